@@ -293,3 +293,356 @@ SELECT t.customer_id, c.first_name, c.last_name, CAST(t.rev AS DOUBLE) AS total_
 FROM (SELECT c.customer_id, SUM(f.revenue) AS rev FROM f_orders f JOIN d_customer c ON f.customer_key = c.customer_key
       GROUP BY c.customer_id ORDER BY rev DESC, c.customer_id LIMIT 10) t
 LEFT JOIN d_customer c ON c.customer_id = t.customer_id AND c.is_current""")
+
+# ====================================================== SCD / temporal text
+# Scenario values: see the "Fixed scenario values" block in queries.py.
+cte("ev_lagged", """
+SELECT user_id, ts, event_id, event_type,
+       lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_type,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+FROM events
+""")
+cte("ev_versions", """
+SELECT user_id, event_type, ts AS effective_from,
+       lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS effective_to,
+       lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
+FROM ev_lagged WHERE rn = 1 OR prev_type IS DISTINCT FROM event_type
+""")
+cte("ev_base", """
+SELECT row_number() OVER (ORDER BY user_id) - 1 AS version_key, user_id, event_type, ts AS effective_from,
+       CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
+FROM (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events WHERE ts < TIMESTAMP '2024-01-01 12:00:00') x
+WHERE rn = 1
+""")
+cte("ev_snap", """
+SELECT user_id, event_type, ts
+FROM (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00') x
+WHERE rn = 1
+""")
+cte("ev_snap_chg", """
+SELECT s.user_id, s.event_type, s.ts, b.user_id IS NULL AS is_new
+FROM ev_snap s LEFT JOIN ev_base b ON s.user_id = b.user_id
+WHERE b.user_id IS NULL OR s.event_type IS DISTINCT FROM b.event_type
+""")
+cte("ev_snap_closed", """
+SELECT b.version_key, b.user_id, b.event_type, b.effective_from, c.ts AS effective_to, FALSE AS is_current
+FROM ev_base b JOIN ev_snap_chg c ON b.user_id = c.user_id AND NOT c.is_new
+""")
+cte("ev_snap_new", """
+SELECT (SELECT COALESCE(MAX(version_key), -1) FROM ev_base) + row_number() OVER (ORDER BY user_id) AS version_key,
+       user_id, event_type, ts AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
+FROM ev_snap_chg
+""")
+cte("ev_feed", """
+SELECT user_id, event_type, ts
+FROM (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events WHERE ts >= TIMESTAMP '2024-01-01 12:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00') x
+WHERE rn = 1 AND user_id IN (SELECT user_id FROM ev_base)
+""")
+cte("cust_snap", """
+SELECT customer_id, first_name, last_name, email,
+       CASE WHEN country = 'EUROPE' THEN 'BERLIN' ELSE city END AS city, state, country, signup_date,
+       CASE WHEN country = 'EUROPE' THEN TIMESTAMP '1998-01-01 00:00:00' ELSE updated_at END AS updated_at
+FROM s_customers
+""")
+CUSTOMER_MERGE = """
+SELECT d.customer_key, d.customer_id, d.first_name, d.last_name, d.email, d.city, d.state, d.country, d.signup_date,
+       d.effective_from, CASE WHEN c.customer_id IS NULL THEN d.effective_to ELSE c.updated_at END AS effective_to,
+       CASE WHEN c.customer_id IS NULL THEN d.is_current ELSE FALSE END AS is_current
+FROM d_customer d LEFT JOIN {chg} c ON d.customer_id = c.customer_id AND d.is_current
+UNION ALL
+SELECT (SELECT MAX(customer_key) FROM d_customer) + row_number() OVER (ORDER BY customer_id) AS customer_key,
+       customer_id, first_name, last_name, email, city, state, country, signup_date,
+       updated_at AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
+FROM {chg}
+"""
+CUSTOMER_CHANGED = """
+SELECT s.* FROM {snap} s JOIN d_customer d ON s.customer_id = d.customer_id AND d.is_current
+WHERE s.first_name IS DISTINCT FROM d.first_name OR s.last_name IS DISTINCT FROM d.last_name
+   OR s.email IS DISTINCT FROM d.email OR s.city IS DISTINCT FROM d.city
+   OR s.state IS DISTINCT FROM d.state OR s.country IS DISTINCT FROM d.country
+"""
+cte("cust_chg", CUSTOMER_CHANGED.format(snap="cust_snap"))
+cte("d_customer_moved", CUSTOMER_MERGE.format(chg="cust_chg"))
+cte("whatif_snap", """
+SELECT customer_id, first_name, last_name, email,
+       CASE WHEN customer_id = 1 THEN 'Test City' ELSE city END AS city, state, country, signup_date,
+       CASE WHEN customer_id = 1 THEN TIMESTAMP '2026-09-26 12:00:00' ELSE updated_at END AS updated_at
+FROM s_customers
+""")
+cte("whatif_chg", CUSTOMER_CHANGED.format(snap="whatif_snap"))
+cte("f_orders_moved", FACT_BODY.format(dim="d_customer_moved"))
+
+oracle("scd2_from_log", "SELECT * FROM ev_versions")
+oracle("scd2_merge_snapshot", """
+SELECT * FROM ev_base b WHERE NOT EXISTS (SELECT 1 FROM ev_snap_chg c WHERE c.user_id = b.user_id AND NOT c.is_new)
+UNION ALL SELECT * FROM ev_snap_closed
+UNION ALL SELECT * FROM ev_snap_new""")
+oracle("scd2_close_current", "SELECT * FROM ev_snap_closed")
+oracle("scd2_new_versions", "SELECT * FROM ev_snap_new")
+oracle("scd2_merge_strict", """
+SELECT b.version_key, b.user_id, b.event_type, b.effective_from,
+       CASE WHEN f.user_id IS NULL THEN b.effective_to ELSE f.ts END AS effective_to,
+       f.user_id IS NULL AS is_current
+FROM ev_base b LEFT JOIN ev_feed f ON b.user_id = f.user_id
+UNION ALL
+SELECT (SELECT MAX(version_key) FROM ev_base) + row_number() OVER (ORDER BY user_id), user_id, event_type, ts,
+       CAST(NULL AS TIMESTAMP), TRUE
+FROM ev_feed""")
+oracle("scd2_customer_moves", "SELECT * FROM d_customer_moved")
+oracle("scd2_what_if", CUSTOMER_MERGE.format(chg="whatif_chg"))
+oracle("scd1_upsert", """
+SELECT d.customer_key, d.customer_id, COALESCE(c.first_name, d.first_name) AS first_name,
+       COALESCE(c.last_name, d.last_name) AS last_name, COALESCE(c.email, d.email) AS email,
+       COALESCE(c.city, d.city) AS city, COALESCE(c.state, d.state) AS state,
+       COALESCE(c.country, d.country) AS country, d.signup_date, d.effective_from, d.effective_to, d.is_current
+FROM d_customer d
+LEFT JOIN (SELECT customer_id, first_name, last_name, CAST(NULL AS VARCHAR) AS email, city || ' NORTH' AS city,
+                  state, country FROM s_customers WHERE state = 'NATION_3') c
+  ON d.customer_id = c.customer_id""")
+oracle("scd2_repair_start", """
+SELECT customer_key, customer_id, first_name, last_name, email, city, state, country, signup_date,
+       CASE WHEN rn = 1 THEN CAST(signup_date AS TIMESTAMP) ELSE effective_from END AS effective_from,
+       effective_to, is_current
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY effective_from, customer_key) AS rn
+      FROM (SELECT customer_key, customer_id, first_name, last_name, email, city, state, country, signup_date,
+                   CASE WHEN effective_from = CAST(signup_date AS TIMESTAMP)
+                        THEN effective_from + INTERVAL 45 DAY ELSE effective_from END AS effective_from,
+                   effective_to, is_current FROM d_customer_moved) late) x""")
+oracle("point_in_time_join", """
+SELECT e.event_id, e.user_id, e.ts, e.event_type, v.event_type AS version_type, v.effective_from
+FROM events e JOIN ev_versions v ON e.user_id = v.user_id AND e.ts >= v.effective_from
+ AND (v.effective_to IS NULL OR e.ts < v.effective_to)""")
+oracle("version_match_count", """
+SELECT o.order_id, COUNT(d.customer_key) AS match_count
+FROM s_orders o LEFT JOIN d_customer_moved d ON o.customer_id = d.customer_id AND o.order_date >= d.effective_from
+ AND (d.effective_to IS NULL OR o.order_date < d.effective_to)
+GROUP BY o.order_id""")
+oracle("fact_orders_versioned", """
+SELECT order_id, customer_key, product_key, date_key, payment_key, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(discount AS DOUBLE) AS discount, CAST(revenue AS DOUBLE) AS revenue FROM f_orders_moved""")
+oracle("customer_sales_versioned", CUSTOMER_SALES.replace("f_orders", "f_orders_moved").format(dim="d_customer_moved"))
+
+# ================================================================ keys text
+oracle("surrogate_key_dense", """
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS item_key,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem""")
+oracle("surrogate_key_continue", """
+SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS party_key, c_custkey AS party_id, 'customer' AS party_type
+FROM customer
+UNION ALL
+SELECT (SELECT MAX(c_custkey) FROM (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS c_custkey FROM customer) k)
+       + row_number() OVER (ORDER BY s_suppkey), s_suppkey, 'supplier' FROM supplier""")
+
+# ========================================================== extraction text
+oracle("snapshot_extract", "SELECT * FROM a_orders")
+oracle("incremental_extract", "SELECT * FROM a_orders WHERE updated_at > TIMESTAMP '2000-01-01 00:00:00'")
+oracle("watermark_next", """
+SELECT 'warehouse' AS pipeline_name, 'orders' AS table_name,
+       COALESCE(MAX(updated_at), TIMESTAMP '2000-01-01 00:00:00') AS last_processed_at, COUNT(*) AS rows_in_batch
+FROM a_orders WHERE updated_at > TIMESTAMP '2000-01-01 00:00:00'""")
+oracle("order_totals", """
+SELECT order_id, COUNT(*) AS item_count, CAST(SUM(line_total) AS DOUBLE) AS order_total
+FROM s_order_items GROUP BY order_id""")
+
+# ============================================================ quality text
+cte("m_daily", DAILY.format(
+    units="total_items_sold",
+    extra=",\n       CAST(SUM(f.revenue) AS DOUBLE) / NULLIF(COUNT(DISTINCT f.order_id), 0) AS average_order_value"))
+cte("m_product", """
+SELECT p.product_key, p.product_id, p.product_name, p.category, p.subcategory,
+       CAST(SUM(f.quantity) AS BIGINT) AS units_sold, CAST(ROUND(SUM(f.revenue), 2) AS DOUBLE) AS total_revenue
+FROM f_orders f JOIN d_product p ON f.product_key = p.product_key
+GROUP BY p.product_key, p.product_id, p.product_name, p.category, p.subcategory""")
+cte("m_customer", CUSTOMER_SALES.format(dim="d_customer"))
+cte("m_category", """
+SELECT p.category, CAST(SUM(f.quantity) AS BIGINT) AS units_sold,
+       CAST(ROUND(SUM(f.revenue), 2) AS DOUBLE) AS total_revenue
+FROM f_orders f JOIN d_product p ON f.product_key = p.product_key GROUP BY p.category""")
+cte("m_payment", """
+SELECT payment_method, payment_status, COUNT(payment_id) AS payment_count,
+       CAST(ROUND(SUM(amount), 2) AS DOUBLE) AS total_payment_amount
+FROM s_payments GROUP BY payment_method, payment_status""")
+
+
+def _report(parts: list[str]) -> str:
+    body = "\nUNION ALL\n".join(parts)
+    return (f'SELECT "check", table_name, column_name, violations,\n'
+            f"       CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status\nFROM (\n{body}\n) r")
+
+
+def _row(check: str, table: str, column: str, count_sql: str) -> str:
+    return (f"SELECT '{check}' AS \"check\", '{table}' AS table_name, '{column}' AS column_name, "
+            f"CAST(({count_sql}) AS BIGINT) AS violations")
+
+
+def _count_if(src: str, pred: str) -> str:
+    return f"SELECT COUNT(*) FROM {src} WHERE {pred}"
+
+
+def _not_null(src: str, table: str, cols: list[str]) -> list[str]:
+    return [_row("not_null", table, c, _count_if(src, f"{c} IS NULL")) for c in cols]
+
+
+def _unique(src: str, table: str, col: str) -> str:
+    return _row("unique", table, col,
+                f"SELECT COUNT(*) FROM (SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1) u")
+
+
+def _rel(child: str, table: str, fk: str, parent: str, pk: str) -> str:
+    return _row("relationships", table, fk,
+                f"SELECT COUNT(*) FROM {child} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})")
+
+
+def _in_list(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_ORDER_STATUSES = ["pending", "confirmed", "shipped", "delivered", "cancelled"]
+_PAYMENT_STATUSES = ["pending", "completed", "failed", "refunded"]
+_PAYMENT_METHODS = ["credit_card", "debit_card", "upi", "net_banking"]
+
+oracle("dq_not_null", _report(
+    _not_null("f_orders", "fact_orders", ["order_id", "customer_key", "product_key", "date_key", "payment_key",
+                                          "quantity", "unit_price", "discount", "revenue"])
+    + _not_null("d_customer", "dim_customer", ["customer_key", "customer_id", "effective_from"])
+    + _not_null("m_daily", "mart_daily_sales", ["full_date", "total_orders", "total_items_sold", "total_revenue"])
+    + _not_null("m_payment", "mart_payment_analysis", ["payment_method", "payment_status", "payment_count",
+                                                       "total_payment_amount"])))
+oracle("dq_unique", _report([
+    _unique("d_date", "dim_date", "full_date"),
+    _unique("d_product", "dim_product", "product_key"),
+    _unique("d_customer", "dim_customer", "customer_key"),
+    _unique("m_category", "mart_category_performance", "category"),
+    _unique("s_customers", "stg_customers", "email"),
+]))
+oracle("dq_relationships", _report([
+    _rel("f_orders", "fact_orders", "customer_key", "d_customer", "customer_key"),
+    _rel("f_orders", "fact_orders", "product_key", "d_product", "product_key"),
+    _rel("f_orders", "fact_orders", "date_key", "d_date", "date_key"),
+    _rel("f_orders", "fact_orders", "payment_key", "d_payment", "payment_key"),
+    _rel("m_product", "product_performance", "product_key", "d_product", "product_key"),
+    _rel("m_customer", "customer_sales", "customer_key", "d_customer", "customer_key"),
+    _rel("s_orders", "stg_orders", "customer_id", "s_customers", "customer_id"),
+    _rel("s_order_items", "stg_order_items", "order_id", "s_orders", "order_id"),
+]))
+oracle("dq_accepted_values", _report([
+    _row("accepted_values", "stg_orders", "order_status",
+         _count_if("s_orders", f"order_status IS NOT NULL AND order_status NOT IN ({_in_list(_ORDER_STATUSES)})")),
+    _row("accepted_values", "stg_payments", "payment_status",
+         _count_if("s_payments", f"payment_status IS NOT NULL AND payment_status NOT IN ({_in_list(_PAYMENT_STATUSES)})")),
+    _row("accepted_values", "stg_payments", "payment_method",
+         _count_if("s_payments", f"payment_method IS NOT NULL AND payment_method NOT IN ({_in_list(_PAYMENT_METHODS)})")),
+]))
+oracle("dq_ranges", _report([
+    _row("range", "fact_orders", "quantity_not_positive", _count_if("f_orders", "quantity <= 0")),
+    _row("range", "fact_orders", "unit_price_negative", _count_if("f_orders", "unit_price < 0")),
+    _row("range", "fact_orders", "discount_negative", _count_if("f_orders", "discount < 0")),
+    _row("range", "fact_orders", "revenue_negative", _count_if("f_orders", "revenue < 0")),
+    _row("range", "stg_products", "unit_price_negative", _count_if("s_products", "unit_price < 0")),
+    _row("range", "stg_products", "cost_price_negative", _count_if("s_products", "cost_price < 0")),
+    _row("range", "stg_products", "margin_negative", _count_if("s_products", "profit_per_unit < 0")),
+    _row("range", "stg_payments", "amount_negative", _count_if("s_payments", "amount < 0")),
+]))
+oracle("dq_revenue_identity", _report([
+    _row("revenue_identity", "fact_orders", "revenue_exact",
+         _count_if("f_orders", "revenue <> quantity * unit_price - discount")),
+    _row("revenue_identity", "fact_orders", "revenue_off_by_more_than_1_cents",
+         _count_if("f_orders", "ABS(revenue - (quantity * unit_price - discount)) > 0.01")),
+]))
+oracle("dq_orders_before_signup", _report([
+    _row("orders_before_signup", "orders", "order_date",
+         "SELECT COUNT(*) FROM s_orders o JOIN s_customers c ON o.customer_id = c.customer_id "
+         "WHERE o.order_date < CAST(c.signup_date AS TIMESTAMP)")]))
+oracle("dq_null_keys", _report([
+    _row("null_dimension_keys", "fact_orders", "customer_key,product_key,date_key,payment_key",
+         _count_if("f_orders", "customer_key IS NULL OR product_key IS NULL OR date_key IS NULL "
+                               "OR payment_key IS NULL"))]))
+oracle("dq_duplicate_fact_groups", _report([
+    _row("duplicate_fact_groups", "fact_orders", "order_id,product_key,quantity,unit_price,discount",
+         "SELECT COUNT(*) FROM (SELECT 1 FROM f_orders GROUP BY order_id, product_key, quantity, unit_price, "
+         "discount HAVING COUNT(*) > 1) g")]))
+oracle("dq_null_measures", _report([
+    _row("null_measure", "mart_daily_sales", "total_revenue", _count_if("m_daily", "total_revenue IS NULL")),
+    _row("null_measure", "product_performance", "total_revenue", _count_if("m_product", "total_revenue IS NULL")),
+    _row("null_measure", "customer_sales", "total_revenue", _count_if("m_customer", "total_revenue IS NULL")),
+    _row("null_measure", "mart_category_performance", "total_revenue",
+         _count_if("m_category", "total_revenue IS NULL")),
+    _row("null_measure", "mart_payment_analysis", "total_payment_amount",
+         _count_if("m_payment", "total_payment_amount IS NULL")),
+]))
+
+
+def _checks(rows: list[tuple[str, str]]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS \"check\", CAST(({q}) AS BIGINT) AS violations"
+                                for name, q in rows)
+
+
+oracle("dq_scd2_integrity", _checks([
+    ("duplicate_version_keys",
+     "SELECT COUNT(*) FROM (SELECT customer_key FROM d_customer_moved GROUP BY customer_key HAVING COUNT(*) > 1) x"),
+    ("multiple_current_versions",
+     "SELECT COUNT(*) FROM (SELECT customer_id FROM d_customer_moved WHERE is_current GROUP BY customer_id "
+     "HAVING COUNT(*) > 1) x"),
+    ("invalid_ranges",
+     "SELECT COUNT(*) FROM d_customer_moved WHERE effective_to IS NOT NULL AND effective_to <= effective_from"),
+    ("broken_chain",
+     "SELECT COUNT(*) FROM d_customer_moved d WHERE d.effective_to IS NOT NULL AND NOT EXISTS "
+     "(SELECT 1 FROM d_customer_moved n WHERE n.customer_id = d.customer_id AND n.effective_from = d.effective_to)"),
+]))
+cte("ev_feed_raw", """
+SELECT user_id, event_type, ts FROM events
+WHERE ts >= TIMESTAMP '2024-01-01 12:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'
+""")
+oracle("dq_change_feed", _checks([
+    ("duplicate_change_ids",
+     "SELECT COUNT(*) FROM (SELECT user_id FROM ev_feed_raw GROUP BY user_id HAVING COUNT(*) > 1) x"),
+    ("multiple_current_versions",
+     "SELECT COUNT(*) FROM (SELECT user_id FROM ev_base WHERE is_current GROUP BY user_id HAVING COUNT(*) > 1) x"),
+    ("change_time_not_after_current_start",
+     "SELECT COUNT(*) FROM ev_feed_raw f JOIN ev_base b ON f.user_id = b.user_id AND b.is_current "
+     "WHERE f.ts IS NULL OR b.effective_from IS NULL OR f.ts <= b.effective_from"),
+    ("id_without_current_version",
+     "SELECT COUNT(*) FROM ev_feed_raw f WHERE NOT EXISTS (SELECT 1 FROM ev_base b WHERE b.user_id = f.user_id "
+     "AND b.is_current)"),
+]))
+
+
+def _recon(rows: list[tuple[str, str, str]], info: tuple[str, ...] = ()) -> str:
+    parts = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS \"check\", CAST(({e}) AS DECIMAL(38,2)) AS e, CAST(({a}) AS DECIMAL(38,2)) AS a"
+        for name, e, a in rows)
+    info_sql = " OR ".join(f"\"check\" = '{c}'" for c in info) or "FALSE"
+    return (f'SELECT "check", CAST(e AS DOUBLE) AS expected, CAST(a AS DOUBLE) AS actual, '
+            f"CAST(a - e AS DOUBLE) AS difference,\n"
+            f"       CASE WHEN e IS NOT DISTINCT FROM a THEN 'PASS' WHEN {info_sql} THEN 'INFO' ELSE 'FAIL' END AS status\n"
+            f"FROM (\n{parts}\n) r")
+
+
+_FACT_REV = "SELECT SUM(revenue) FROM f_orders"
+oracle("reconcile_revenue", _recon([
+    ("daily_sales_revenue", _FACT_REV, "SELECT SUM(CAST(total_revenue AS DECIMAL(38,2))) FROM m_daily"),
+    ("product_revenue", _FACT_REV, "SELECT SUM(CAST(total_revenue AS DECIMAL(38,2))) FROM m_product"),
+    ("customer_revenue", _FACT_REV, "SELECT SUM(CAST(total_revenue AS DECIMAL(38,2))) FROM m_customer"),
+    ("category_revenue", _FACT_REV, "SELECT SUM(CAST(total_revenue AS DECIMAL(38,2))) FROM m_category"),
+]))
+oracle("reconcile_orders", _recon([
+    ("daily_order_count", "SELECT COUNT(DISTINCT order_id) FROM f_orders", "SELECT SUM(total_orders) FROM m_daily"),
+]))
+oracle("reconcile_coverage", _recon([
+    ("product_coverage", "SELECT COUNT(*) FROM d_product", "SELECT COUNT(*) FROM m_product"),
+    ("customer_coverage", "SELECT COUNT(DISTINCT customer_key) FROM f_orders", "SELECT COUNT(*) FROM m_customer"),
+    ("category_coverage", "SELECT COUNT(DISTINCT category) FROM d_product", "SELECT COUNT(*) FROM m_category"),
+], info=("product_coverage",)))
+oracle("reconcile_payments", _recon([
+    ("payment_count", "SELECT COUNT(*) FROM s_payments", "SELECT SUM(payment_count) FROM m_payment"),
+    ("payment_amount", "SELECT SUM(amount) FROM s_payments",
+     "SELECT SUM(CAST(total_payment_amount AS DECIMAL(38,2))) FROM m_payment"),
+    ("orders_paid_in_full", "SELECT 0",
+     "SELECT COUNT(*) FROM (SELECT order_id, SUM(amount) AS paid FROM s_payments GROUP BY order_id) p "
+     "FULL OUTER JOIN (SELECT order_id, SUM(line_total) AS order_total FROM s_order_items GROUP BY order_id) t "
+     "ON p.order_id = t.order_id WHERE COALESCE(p.paid, 0) IS DISTINCT FROM COALESCE(t.order_total, 0)"),
+]))

@@ -191,3 +191,377 @@ def top10_products(spark, sf_dir):
 def top10_customers(spark, sf_dir):
     w = _wh(spark, sf_dir)
     return marts.top_customers(w.fact, w.dim_customer, 10)
+
+
+# ======================================================== SCD / temporal
+from starloom.operators import keys as key_ops, quality as dq, reconcile as rec, scd  # noqa: E402
+from starloom.operators.temporal import point_in_time_join as _pit, version_match_count as _vmc  # noqa: E402
+from starloom.sources import adapters  # noqa: E402
+from starloom.functions.nulls import typed_null  # noqa: E402
+
+# Fixed scenario values (shared with the oracle text):
+AS_OF_BASE = "2024-01-01 12:00:00"     # events: dimension state as of this time
+AS_OF_SNAPSHOT = "2024-01-16 00:00:00"  # events: snapshot / change-feed cut
+MOVE_REGION = "EUROPE"                  # customers of this region move ...
+MOVE_CITY = "BERLIN"                    # ... to this city ...
+MOVE_AT = "1998-01-01 00:00:00"         # ... at this time
+SCD1_STATE = "NATION_3"                 # SCD1 corrections for this state
+WHAT_IF_ID, WHAT_IF_CITY, WHAT_IF_AT = 1, "Test City", "2026-09-26 12:00:00"
+WATERMARK = "2000-01-01 00:00:00"       # stored high-water mark for orders
+
+EVENT_SCD2 = scd.Scd2Spec(key="user_id", version_key="version_key", tracked=("event_type",),
+                          change_ts="ts")
+
+
+def _ts(s: str):
+    return F.lit(s).cast("timestamp_ntz")
+
+
+def _events_as_of(w: Warehouse, cut: str) -> DataFrame:
+    """Latest event per user strictly before ``cut`` (user_id, ts, event_id, event_type)."""
+    ev = w.t.events.filter(F.col("ts") < _ts(cut)).select("user_id", "ts", "event_id", "event_type")
+    return latest_per_key(ev, ["user_id"], ["ts", "event_id"])
+
+
+def _event_base_dim(w: Warehouse) -> DataFrame:
+    s = _events_as_of(w, AS_OF_BASE).select(
+        "user_id", "event_type", F.col("ts").alias("effective_from"),
+        typed_null("timestamp_ntz").alias("effective_to"), F.lit(True).alias("is_current"))
+    return key_ops.dense_key(s, ["user_id"], "version_key")
+
+
+def _event_snapshot(w: Warehouse) -> DataFrame:
+    return _events_as_of(w, AS_OF_SNAPSHOT).select("user_id", "event_type", "ts")
+
+
+def _event_feed(w: Warehouse, base: DataFrame) -> DataFrame:
+    """Strict feed: latest event per known user in [base cut, snapshot cut)."""
+    ev = w.t.events.filter((F.col("ts") >= _ts(AS_OF_BASE)) & (F.col("ts") < _ts(AS_OF_SNAPSHOT))).select(
+        "user_id", "ts", "event_id", "event_type")
+    latest = latest_per_key(ev, ["user_id"], ["ts", "event_id"])
+    return latest.join(base.select("user_id"), "user_id", "left_semi").select("user_id", "event_type", "ts")
+
+
+def _snapshot_merge(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return scd.scd2_merge(_event_base_dim(w), _event_snapshot(w), EVENT_SCD2, mode="snapshot",
+                          return_parts=True)
+
+
+def _customer_moves(w: Warehouse) -> DataFrame:
+    moved = F.col("country") == MOVE_REGION
+    return w.stg_customers.withColumns({
+        "city": F.when(moved, F.lit(MOVE_CITY)).otherwise(F.col("city")),
+        "updated_at": F.when(moved, _ts(MOVE_AT)).otherwise(F.col("updated_at")),
+    })
+
+
+def dim_customer_moved(w: Warehouse) -> DataFrame:
+    return scd.scd2_merge(w.dim_customer, _customer_moves(w), scd.CUSTOMER_SCD2, mode="snapshot")
+
+
+@query()
+def scd2_from_log(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return scd.scd2_from_log(adapters.change_log(w.t), "user_id", "ts", ["event_type"], ["event_id"])
+
+
+@query()
+def scd2_merge_snapshot(spark, sf_dir):
+    return _snapshot_merge(spark, sf_dir)[0]
+
+
+@query()
+def scd2_close_current(spark, sf_dir):
+    return _snapshot_merge(spark, sf_dir)[1]
+
+
+@query()
+def scd2_new_versions(spark, sf_dir):
+    return _snapshot_merge(spark, sf_dir)[2]
+
+
+@query()
+def scd2_merge_strict(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    base = _event_base_dim(w)
+    return scd.scd2_merge(base, _event_feed(w, base), EVENT_SCD2, mode="strict")
+
+
+@query()
+def scd2_customer_moves(spark, sf_dir):
+    return expose(dim_customer_moved(_wh(spark, sf_dir)))
+
+
+@query()
+def scd2_what_if(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return scd.scd2_what_if(w.dim_customer, w.stg_customers, WHAT_IF_ID, {"city": WHAT_IF_CITY}, WHAT_IF_AT)
+
+
+@query()
+def scd1_upsert(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    fix = w.stg_customers.filter(F.col("state") == SCD1_STATE).select(
+        "customer_id", "first_name", "last_name", typed_null("string").alias("email"),
+        F.concat("city", F.lit(" NORTH")).alias("city"), "state", "country", "updated_at")
+    attrs = ["first_name", "last_name", "email", "city", "state", "country"]
+    return scd.scd1_upsert(w.dim_customer, fix, "customer_id", attrs)
+
+
+@query()
+def scd2_repair_start(spark, sf_dir):
+    """The moved dimension loaded late (every first version starts 45 days
+    after signup) is repaired back to signup midnight."""
+    w = _wh(spark, sf_dir)
+    late = dim_customer_moved(w).withColumn(
+        "effective_from",
+        F.when(F.col("effective_from") == F.col("signup_date").cast("timestamp_ntz"),
+               F.col("effective_from") + F.expr("INTERVAL 45 DAYS")).otherwise(F.col("effective_from")))
+    return scd.scd2_repair_start(late)
+
+
+@query()
+def point_in_time_join(spark, sf_dir):
+    """Every event matched to the version of its user valid at its time
+    (day-bucketed interval join)."""
+    w = _wh(spark, sf_dir)
+    versions = scd.scd2_from_log(adapters.change_log(w.t), "user_id", "ts", ["event_type"], ["event_id"])
+    v = versions.select("user_id", F.col("event_type").alias("version_type"), "effective_from", "effective_to")
+    ev = w.t.events.select("event_id", "user_id", "ts", "event_type")
+    return _pit(ev, v, "user_id", "ts", bucket="day").select(
+        "event_id", "user_id", "ts", "event_type", "version_type", "effective_from")
+
+
+@query()
+def version_match_count(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return _vmc(w.stg_orders, dim_customer_moved(w), "order_id", "customer_id", "order_date", "customer_key")
+
+
+@query()
+def fact_orders_versioned(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return expose(w.fact_with(dim_customer_moved(w)))
+
+
+@query()
+def customer_sales_versioned(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    dim = dim_customer_moved(w)
+    return marts.customer_sales(w.fact_with(dim), dim)
+
+
+# ================================================================ keys
+@query()
+def surrogate_key_dense(spark, sf_dir):
+    li = _wh(spark, sf_dir).t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return key_ops.dense_key(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "item_key")
+
+
+@query()
+def surrogate_key_continue(spark, sf_dir):
+    """A party dimension: customers keyed first, suppliers continue after the
+    highest customer key."""
+    t = _wh(spark, sf_dir).t
+    cust = key_ops.dense_key(t.customer.select(F.col("c_custkey").alias("party_id"),
+                                               F.lit("customer").alias("party_type")),
+                             ["party_id"], "party_key")
+    sup = t.supplier.select(F.col("s_suppkey").alias("party_id"), F.lit("supplier").alias("party_type"))
+    return cust.unionByName(key_ops.continue_keys(cust, sup, "party_key", ["party_id"]))
+
+
+# ============================================================ extraction
+@query()
+def snapshot_extract(spark, sf_dir):
+    from starloom.sources.readers import snapshot
+    return snapshot(adapters.raw_orders(_wh(spark, sf_dir).t))
+
+
+@query()
+def incremental_extract(spark, sf_dir):
+    from starloom.sinks.state import initial_state, read_watermark
+    from starloom.sources.readers import changes_since
+    state = initial_state(spark, [("warehouse", "orders", WATERMARK)])
+    wm = read_watermark(state, "warehouse", "orders")
+    return changes_since(adapters.raw_orders(_wh(spark, sf_dir).t), "updated_at", wm)
+
+
+@query()
+def watermark_next(spark, sf_dir):
+    from starloom.sinks.state import advance, initial_state, read_watermark
+    from starloom.sources.readers import changes_since
+    state = initial_state(spark, [("warehouse", "orders", WATERMARK)])
+    wm = read_watermark(state, "warehouse", "orders")
+    batch = changes_since(adapters.raw_orders(_wh(spark, sf_dir).t), "updated_at", wm)
+    return advance(state, "warehouse", "orders", batch, "updated_at").select(
+        "pipeline_name", "table_name", "last_processed_at", "rows_in_batch")
+
+
+@query()
+def order_totals(spark, sf_dir):
+    return expose(rec.order_totals(_wh(spark, sf_dir).stg_order_items))
+
+
+# ========================================================= data quality
+def _fact_marts(w: Warehouse):
+    f = w.fact
+    return {
+        "daily": marts.mart_daily_sales(f, w.dim_date),
+        "product": marts.product_performance(f, w.dim_product),
+        "customer": marts.customer_sales(f, w.dim_customer),
+        "category": marts.mart_category_performance(f, w.dim_product),
+        "payment": marts.mart_payment_analysis(w.stg_payments),
+    }
+
+
+@query()
+def dq_not_null(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    m = _fact_marts(w)
+    return dq.union_all([
+        dq.not_null(w.fact, "fact_orders", ["order_id", "customer_key", "product_key", "date_key",
+                                            "payment_key", "quantity", "unit_price", "discount", "revenue"]),
+        dq.not_null(w.dim_customer, "dim_customer", ["customer_key", "customer_id", "effective_from"]),
+        dq.not_null(m["daily"], "mart_daily_sales", ["full_date", "total_orders", "total_items_sold",
+                                                     "total_revenue"]),
+        dq.not_null(m["payment"], "mart_payment_analysis", ["payment_method", "payment_status",
+                                                            "payment_count", "total_payment_amount"]),
+    ])
+
+
+@query()
+def dq_unique(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    m = _fact_marts(w)
+    return dq.union_all([
+        dq.unique(w.dim_date, "dim_date", "full_date"),
+        dq.unique(w.dim_product, "dim_product", "product_key"),
+        dq.unique(w.dim_customer, "dim_customer", "customer_key"),
+        dq.unique(m["category"], "mart_category_performance", "category"),
+        dq.unique(w.stg_customers, "stg_customers", "email"),
+    ])
+
+
+@query()
+def dq_relationships(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    m = _fact_marts(w)
+    f = w.fact
+    return dq.union_all([
+        dq.relationship(f, "fact_orders", "customer_key", w.dim_customer, "customer_key"),
+        dq.relationship(f, "fact_orders", "product_key", w.dim_product, "product_key"),
+        dq.relationship(f, "fact_orders", "date_key", w.dim_date, "date_key"),
+        dq.relationship(f, "fact_orders", "payment_key", w.dim_payment, "payment_key"),
+        dq.relationship(m["product"], "product_performance", "product_key", w.dim_product, "product_key"),
+        dq.relationship(m["customer"], "customer_sales", "customer_key", w.dim_customer, "customer_key"),
+        dq.relationship(w.stg_orders, "stg_orders", "customer_id", w.stg_customers, "customer_id"),
+        dq.relationship(w.stg_order_items, "stg_order_items", "order_id", w.stg_orders, "order_id"),
+    ])
+
+
+# Fixed domains of the source CHECK constraints and the generator:
+ORDER_STATUSES = ["pending", "confirmed", "shipped", "delivered", "cancelled"]
+PAYMENT_STATUSES = ["pending", "completed", "failed", "refunded"]
+PAYMENT_METHODS = ["credit_card", "debit_card", "upi", "net_banking"]
+
+
+@query()
+def dq_accepted_values(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return dq.union_all([
+        dq.accepted_values(w.stg_orders, "stg_orders", {"order_status": ORDER_STATUSES}),
+        dq.accepted_values(w.stg_payments, "stg_payments", {"payment_status": PAYMENT_STATUSES,
+                                                           "payment_method": PAYMENT_METHODS}),
+    ])
+
+
+@query()
+def dq_ranges(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    c = F.col
+    return dq.union_all([
+        dq.ranges(w.fact, "fact_orders", {"quantity_not_positive": c("quantity") <= 0,
+                                          "unit_price_negative": c("unit_price") < 0,
+                                          "discount_negative": c("discount") < 0,
+                                          "revenue_negative": c("revenue") < 0}),
+        dq.ranges(w.stg_products, "stg_products", {"unit_price_negative": c("unit_price") < 0,
+                                                   "cost_price_negative": c("cost_price") < 0,
+                                                   "margin_negative": c("profit_per_unit") < 0}),
+        dq.ranges(w.stg_payments, "stg_payments", {"amount_negative": c("amount") < 0}),
+    ])
+
+
+@query()
+def dq_revenue_identity(spark, sf_dir):
+    return dq.revenue_identity(_wh(spark, sf_dir).fact)
+
+
+@query()
+def dq_orders_before_signup(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return dq.orders_before_signup(w.stg_orders, w.stg_customers)
+
+
+@query()
+def dq_null_keys(spark, sf_dir):
+    return dq.null_keys(_wh(spark, sf_dir).fact)
+
+
+@query()
+def dq_duplicate_fact_groups(spark, sf_dir):
+    return dq.duplicate_fact_groups(_wh(spark, sf_dir).fact)
+
+
+@query()
+def dq_scd2_integrity(spark, sf_dir):
+    return scd.scd2_integrity(dim_customer_moved(_wh(spark, sf_dir)))
+
+
+@query()
+def dq_change_feed(spark, sf_dir):
+    """DQ19 on a raw feed (every event in the window, not reduced per user)
+    against the event dimension: duplicates and unknown ids are reported."""
+    w = _wh(spark, sf_dir)
+    base = _event_base_dim(w)
+    feed = w.t.events.filter((F.col("ts") >= _ts(AS_OF_BASE)) & (F.col("ts") < _ts(AS_OF_SNAPSHOT))).select(
+        "user_id", "event_type", "ts")
+    return scd.scd2_violations(base, feed, EVENT_SCD2, mode="strict", on_new="reject")
+
+
+# ======================================================== reconciliation
+@query()
+def reconcile_revenue(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    m = _fact_marts(w)
+    return rec.revenue_report(w.fact, m["daily"], m["product"], m["customer"], m["category"])
+
+
+@query()
+def reconcile_orders(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return rec.orders_report(w.fact, _fact_marts(w)["daily"])
+
+
+@query()
+def reconcile_coverage(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    m = _fact_marts(w)
+    return rec.coverage_report(w.fact, w.dim_product, m["product"], m["customer"], m["category"])
+
+
+@query()
+def reconcile_payments(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return rec.payments_report(w.stg_payments, _fact_marts(w)["payment"], w.stg_order_items)
+
+
+@query()
+def dq_null_measures(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    m = _fact_marts(w)
+    return rec.null_measures({"mart_daily_sales": (m["daily"], "total_revenue"),
+                              "product_performance": (m["product"], "total_revenue"),
+                              "customer_sales": (m["customer"], "total_revenue"),
+                              "mart_category_performance": (m["category"], "total_revenue"),
+                              "mart_payment_analysis": (m["payment"], "total_payment_amount")})
