@@ -184,27 +184,56 @@ def scd2_what_if(dim: DataFrame, source: DataFrame, key_value, overrides: dict,
 
 # ----------------------------------------------------------- from a change log
 def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebreak: list[str] | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, carry: list[str] | None = None) -> DataFrame:
     """OP5: versions from a whole change log. A version starts at every row
     whose tracked values differ (null-safely) from the previous row of the same
     key; it ends where the next version of that key starts (NULL = open).
+    ``carry`` columns are taken from the row that starts a version.
 
     Both neighbour steps use the range-partitioned ``with_neighbours`` so a
     key with a huge history is spread over many tasks."""
     order = [ts, *(tiebreak or [])]
-    nb = with_neighbours(log.select(key, *order, *tracked), [key], order, tracked, prev=True,
+    carry = list(carry or [])
+    nb = with_neighbours(log.select(key, *order, *tracked, *carry), [key], order, tracked, prev=True,
                          num_partitions=num_partitions)
     starts_cond = ~F.col("prev_exists") | any_distinct([(F.col(c), F.col(f"prev_{c}")) for c in tracked])
-    starts = nb.filter(starts_cond).select(key, *order, *tracked)
+    starts = nb.filter(starts_cond).select(key, *order, *tracked, *carry)
     nx = with_neighbours(starts, [key], order, [ts], prev=False, nxt=True, num_partitions=num_partitions)
     return nx.select(
         key, *tracked,
         F.col(ts).alias("effective_from"),
         F.col(f"next_{ts}").alias("effective_to"),
         (~F.col("next_exists")).alias("is_current"),
+        *carry,
     )
 
 
+def scd2_apply_log(dim: DataFrame, batch: DataFrame, key: str, ts: str, tracked: list[str],
+                   tiebreak: str, version_key: str) -> DataFrame:
+    """Append a batch of change-log rows to a Type 2 dimension built by
+    ``scd2_from_log`` (the streaming / incremental form of OP5).
+
+    The current version of each key is put in front of the key's batch rows
+    and the combined log is collapsed again: a batch row equal to the current
+    version extends it, a different one closes it. Closed history is
+    untouched; new versions get keys after the highest existing key. Batch
+    rows not later than the current version's start are late and dropped."""
+    cur = dim.filter(F.col("is_current")).select(
+        key, F.col("effective_from").alias(ts), F.lit(None).cast("long").alias(tiebreak), *tracked,
+        F.col(version_key))
+    history = dim.filter(~F.col("is_current"))
+    starts = cur.select(key, F.col(ts).alias("_sl_cur_from"))
+    ev = batch.select(key, ts, F.col(tiebreak).cast("long").alias(tiebreak), *tracked).join(
+        starts, key, "left").filter(F.col("_sl_cur_from").isNull() | (F.col(ts) > F.col("_sl_cur_from"))).select(
+        key, ts, tiebreak, *tracked, F.lit(None).cast("long").alias(version_key))
+    versions = scd2_from_log(cur.unionByName(ev), key, ts, tracked, [tiebreak], carry=[version_key])
+    kept = versions.filter(F.col(version_key).isNotNull())
+    fresh = versions.filter(F.col(version_key).isNull()).drop(version_key)
+    keyed = dense_key(fresh, [key, "effective_from"], version_key, next_key_start(dim, version_key))
+    cols = dim.columns
+    return history.select(*cols).unionByName(kept.select(*cols)).unionByName(keyed.select(*cols))
+
+
 # ------------------------------------------------------------------- SCD 1
 def scd1_upsert(dim: DataFrame, changes: DataFrame, key: str, attrs: list[str],
                 change_ts: str | None = "updated_at", insert_new: bool = False,

@@ -646,3 +646,28 @@ oracle("reconcile_payments", _recon([
      "FULL OUTER JOIN (SELECT order_id, SUM(line_total) AS order_total FROM s_order_items GROUP BY order_id) t "
      "ON p.order_id = t.order_id WHERE COALESCE(p.paid, 0) IS DISTINCT FROM COALESCE(t.order_total, 0)"),
 ]))
+
+# ============================================== publish / incremental text
+oracle("publish_roundtrip", "SELECT * FROM d_customer")
+cte("inc_log", """
+SELECT user_id, effective_from AS ts, CAST(NULL AS BIGINT) AS event_id, event_type, version_key FROM ev_base
+UNION ALL
+SELECT user_id, ts, event_id, event_type, CAST(NULL AS BIGINT) FROM events WHERE ts > TIMESTAMP '2024-01-01 12:00:00'
+""")
+cte("inc_versions", """
+SELECT user_id, event_type, ts AS effective_from,
+       lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id NULLS FIRST) AS effective_to, version_key
+FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id NULLS FIRST) AS pt,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id NULLS FIRST) AS rn FROM inc_log) x
+WHERE rn = 1 OR pt IS DISTINCT FROM event_type
+""")
+oracle("incremental_load", """
+SELECT version_key, user_id, event_type, effective_from, effective_to, effective_to IS NULL AS is_current
+FROM inc_versions WHERE version_key IS NOT NULL
+UNION ALL
+SELECT (SELECT MAX(version_key) FROM ev_base) + row_number() OVER (ORDER BY user_id, effective_from),
+       user_id, event_type, effective_from, effective_to, effective_to IS NULL
+FROM inc_versions WHERE version_key IS NULL""")
+oracle("incremental_stream", """
+SELECT row_number() OVER (ORDER BY user_id, effective_from) - 1 AS version_key, user_id, event_type,
+       effective_from, effective_to, is_current FROM ev_versions""")

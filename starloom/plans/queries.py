@@ -565,3 +565,57 @@ def dq_null_measures(spark, sf_dir):
                               "customer_sales": (m["customer"], "total_revenue"),
                               "mart_category_performance": (m["category"], "total_revenue"),
                               "mart_payment_analysis": (m["payment"], "total_payment_amount")})
+
+
+# ============================================ publish / incremental / stream
+def _scratch(spark, name: str) -> str:
+    """A fresh directory under the cluster's checkpoint dir (shared storage)."""
+    import os
+    import uuid
+    from starloom.session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark), f"starloom-{name}-{uuid.uuid4().hex[:10]}")
+
+
+@query()
+def publish_roundtrip(spark, sf_dir):
+    """SNK4/SNK5: publish the customer dimension twice through the staged
+    protocol (the second run moves the first to a backup), verify after the
+    write, and read the live table back."""
+    from starloom.sinks.publish import publish
+    w = _wh(spark, sf_dir)
+    path = _scratch(spark, "publish") + "/dim_customer"
+    integrity = lambda df: scd.scd2_integrity(df).agg(F.sum("violations")).first()[0]
+    publish(w.dim_customer, path, verify=integrity)
+    publish(w.dim_customer, path, verify=integrity)
+    return expose(spark.read.parquet(path))
+
+
+@query()
+def incremental_load(spark, sf_dir):
+    """OP22: stored mark -> events after it -> appended to the event
+    dimension -> published -> mark advanced. Returns the new dimension."""
+    from starloom.plans.incremental import incremental_run
+    from starloom.sinks.publish import publish
+    from starloom.sinks.state import initial_state
+    w = _wh(spark, sf_dir)
+    base = _event_base_dim(w)
+    state = initial_state(spark, [("warehouse", "events", AS_OF_BASE)])
+    path = _scratch(spark, "incremental") + "/dim_events"
+    run = incremental_run(
+        w.t.events, state, "warehouse", "events", "ts",
+        apply=lambda batch: scd.scd2_apply_log(base, batch, "user_id", "ts", ["event_type"], "event_id",
+                                               "version_key"),
+        publish=lambda df: publish(df, path))
+    return spark.read.parquet(path) if run.applied else base
+
+
+@query()
+def incremental_stream(spark, sf_dir):
+    """OP22 stream variant: the events file as a streaming source,
+    availableNow trigger, foreachBatch merge into the event dimension."""
+    import os
+    from starloom.streaming.change_feed import run_change_stream
+    src = os.path.join(sf_dir, "event[s].parquet")
+    schema = _wh(spark, sf_dir).t.events.schema
+    return run_change_stream(spark, src, schema, "user_id", "ts", ["event_type"], "event_id",
+                             base_path=sf_dir)
