@@ -50,5 +50,5 @@ def fact_orders(stg_orders: DataFrame, stg_items: DataFrame, dim_customer: DataF
     f = items.join(orders, "order_id").join(prod, "product_id")
     out = [c if c != "revenue" else F.col("line_total").alias("revenue") for c in FACT_COLUMNS]
     if keep_line_id:
-        out += ["line_number", "supplier_id"]
+        out += ["line_number", "product_id", "supplier_id"]
     return f.select(*out)

@@ -276,6 +276,21 @@ def scd1_upsert(dim: DataFrame, changes: DataFrame, key: str, attrs: list[str],
     return out.unionByName(keyed.select(*dim.columns))
 
 
+def scd1_refresh(existing: DataFrame, staged: DataFrame, key: str, version_key: str) -> DataFrame:
+    """Type 1 refresh of a keyed dimension from a full staging snapshot with
+    stable keys: ids present in both keep their key and take the staged
+    attributes, ids only in the dimension are kept (no deletes), new ids get
+    keys after the highest existing one (ordered by id). Rebuilding the keys
+    from scratch would re-point every stored fact row."""
+    attrs = [c for c in existing.columns if c not in (key, version_key)]
+    keys = existing.select(key, version_key)
+    updated = staged.join(keys, key).select(*existing.columns)
+    gone = existing.join(staged.select(key), key, "left_anti").select(*existing.columns)
+    fresh = staged.join(keys.select(key), key, "left_anti").select(key, *attrs)
+    keyed = dense_key(fresh, [key], version_key, next_key_start(existing, version_key))
+    return updated.unionByName(gone).unionByName(keyed.select(*existing.columns))
+
+
 # -------------------------------------------------------------- start repair
 def scd2_repair_start(dim: DataFrame, key: str = "customer_id", version_key: str = "customer_key",
                       start_col: str = "signup_date", valid_from: str = "effective_from") -> DataFrame:

@@ -518,6 +518,10 @@ oracle("dq_unique", _report([
     _unique("d_customer", "dim_customer", "customer_key"),
     _unique("m_category", "mart_category_performance", "category"),
     _unique("s_customers", "stg_customers", "email"),
+    _unique("s_customers", "stg_customers", "customer_id"),
+    _unique("s_products", "stg_products", "product_id"),
+    _unique("s_orders", "stg_orders", "order_id"),
+    _unique("s_payments", "stg_payments", "payment_id"),
 ]))
 oracle("dq_relationships", _report([
     _rel("f_orders", "fact_orders", "customer_key", "d_customer", "customer_key"),
@@ -671,3 +675,22 @@ FROM inc_versions WHERE version_key IS NULL""")
 oracle("incremental_stream", """
 SELECT row_number() OVER (ORDER BY user_id, effective_from) - 1 AS version_key, user_id, event_type,
        effective_from, effective_to, is_current FROM ev_versions""")
+
+cte("f_lines", FACT_BODY.format(dim="d_customer").replace(
+    "SELECT o.order_id,", "SELECT i.line_number, i.product_id, i.supplier_id, o.order_id,"))
+oracle("dq_fact_grain", _report([
+    _row("fact_grain_fan_out", "fact_orders", "order_id,line_number,product_id,supplier_id",
+         "SELECT COUNT(*) FROM (SELECT 1 FROM f_lines GROUP BY order_id, line_number, product_id, supplier_id "
+         "HAVING COUNT(*) > 1) g"),
+    _row("fact_grain_dropped_lines", "stg_order_items", "order_id,line_number,product_id,supplier_id",
+         "SELECT COUNT(*) FROM s_order_items i WHERE NOT EXISTS (SELECT 1 FROM f_lines f WHERE "
+         "f.order_id = i.order_id AND f.line_number = i.line_number AND f.product_id = i.product_id "
+         "AND f.supplier_id = i.supplier_id)"),
+]))
+oracle("dq_version_matches", _report([
+    _row("exactly_one_version", "orders", "customer_id",
+         "SELECT COUNT(*) FROM (SELECT o.order_id FROM s_orders o LEFT JOIN d_customer d "
+         "ON o.customer_id = d.customer_id AND o.order_date >= d.effective_from "
+         "AND (d.effective_to IS NULL OR o.order_date < d.effective_to) "
+         "GROUP BY o.order_id HAVING COUNT(d.customer_key) <> 1) m"),
+]))

@@ -440,6 +440,10 @@ def dq_unique(spark, sf_dir):
         dq.unique(w.dim_customer, "dim_customer", "customer_key"),
         dq.unique(m["category"], "mart_category_performance", "category"),
         dq.unique(w.stg_customers, "stg_customers", "email"),
+        dq.unique(w.stg_customers, "stg_customers", "customer_id"),
+        dq.unique(w.stg_products, "stg_products", "product_id"),
+        dq.unique(w.stg_orders, "stg_orders", "order_id"),
+        dq.unique(w.stg_payments, "stg_payments", "payment_id"),
     ])
 
 
@@ -619,3 +623,26 @@ def incremental_stream(spark, sf_dir):
     schema = _wh(spark, sf_dir).t.events.schema
     return run_change_stream(spark, src, schema, "user_id", "ts", ["event_type"], "event_id",
                              base_path=sf_dir)
+
+
+@query()
+def dq_fact_grain(spark, sf_dir):
+    """OP10 grain: order lines that appear more than once in the fact (payment
+    fan-out) and order lines that the inner joins dropped."""
+    from starloom.operators.fact import fact_orders as build_fact
+    w = _wh(spark, sf_dir)
+    line = ["order_id", "line_number", "product_id", "supplier_id"]
+    f = build_fact(w.stg_orders, w.stg_order_items, w.dim_customer, w.dim_product, w.dim_date,
+                   w.dim_payment, keep_line_id=True)
+    fanned = f.groupBy(*line).count().filter("count > 1")
+    dropped = w.stg_order_items.select(*line).join(f.select(*line).distinct(), line, "left_anti")
+    return dq.union_all([dq._count_row(fanned, "fact_grain_fan_out", "fact_orders", ",".join(line)),
+                         dq._count_row(dropped, "fact_grain_dropped_lines", "stg_order_items", ",".join(line))])
+
+
+@query()
+def dq_version_matches(spark, sf_dir):
+    """DQ18: orders that do not match exactly one customer version."""
+    w = _wh(spark, sf_dir)
+    m = _vmc(w.stg_orders, w.dim_customer, "order_id", "customer_id", "order_date", "customer_key")
+    return dq._count_row(m.filter(F.col("match_count") != 1), "exactly_one_version", "orders", "customer_id")
