@@ -146,16 +146,75 @@ def scd2_changes(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, mode: str =
     return current_after, additions
 
 
+def _sequence_violations(dim: DataFrame, changes: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Checks for a batch with several changes per id: ids may repeat, but
+    (id, change time) must be unique and every change of a known id must be
+    later than its current version's start."""
+    dup_times = changes.groupBy(spec.key, spec.change_ts).count().filter("count > 1").select(
+        F.lit("duplicate_change_times").alias("check"))
+    cur = dim.filter(F.col(spec.current))
+    multi = cur.groupBy(spec.key).count().filter("count > 1").select(
+        F.lit("multiple_current_versions").alias("check"))
+    late = changes.join(cur.select(spec.key, F.col(spec.valid_from).alias("_sl_from")), spec.key).filter(
+        F.col(spec.change_ts).isNull() | F.col("_sl_from").isNull()
+        | (_ts(F.col(spec.change_ts)) <= F.col("_sl_from"))).select(
+        F.lit("change_time_not_after_current_start").alias("check"))
+    names = ["duplicate_change_times", "multiple_current_versions", "change_time_not_after_current_start"]
+    counts = dup_times.unionByName(multi).unionByName(late).groupBy("check").agg(
+        F.count(F.lit(1)).cast("long").alias("violations"))
+    checks = dim.sparkSession.createDataFrame([(n,) for n in names], "check string")
+    return checks.join(counts, "check", "left").select(
+        "check", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))
+
+
+def _merge_sequence(dim: DataFrame, changes: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Snapshot merge of a batch holding several changes per id, applied in
+    change-time order: the current version and the id's changes form one
+    small log that is collapsed with ``scd2_from_log`` (equal consecutive
+    tracked values extend a version). A new id's first version starts at
+    ``new_start``."""
+    vk, key = spec.version_key, spec.key
+    extra = [c for c in spec.carried]
+    cur = dim.filter(F.col(spec.current)).select(
+        key, F.col(spec.valid_from).alias("_sl_t"), *spec.tracked, *extra, F.col(vk))
+    src = changes.select(key, _ts(F.col(spec.change_ts)).alias("_sl_t"), *spec.tracked, *extra,
+                         F.lit(None).cast("long").alias(vk))
+    versions = scd2_from_log(cur.unionByName(src), key, "_sl_t", list(spec.tracked), carry=[*extra, vk])
+    versions = versions.withColumnsRenamed({"effective_from": spec.valid_from, "effective_to": spec.valid_to,
+                                            "is_current": spec.current})
+    kept = versions.filter(F.col(vk).isNotNull())
+    fresh = versions.filter(F.col(vk).isNull()).drop(vk)
+    if spec.new_start:
+        known = cur.select(key).withColumn("_sl_known", F.lit(True))
+        first = fresh.groupBy(key).agg(F.min(spec.valid_from).alias("_sl_first"))
+        fresh = fresh.join(known, key, "left").join(first, key).withColumn(
+            spec.valid_from,
+            F.when(F.col("_sl_known").isNull() & (F.col(spec.valid_from) == F.col("_sl_first")),
+                   _ts(F.col(spec.new_start))).otherwise(F.col(spec.valid_from))).drop("_sl_known", "_sl_first")
+    keyed = dense_key(fresh, [key, spec.valid_from], vk, next_key_start(dim, vk))
+    history = dim.filter(~F.col(spec.current) | F.col(spec.current).isNull())
+    cols = dim.columns
+    return history.select(*cols).unionByName(kept.select(*cols)).unionByName(keyed.select(*cols))
+
+
 def scd2_merge(dim: DataFrame, changes: DataFrame, spec: Scd2Spec = CUSTOMER_SCD2,
                mode: str = "snapshot", on_new: str | None = None, validate: bool = True,
-               return_parts: bool = False):
+               return_parts: bool = False, sequence: bool = False):
     """Apply a change set to a Type 2 dimension and return the new dimension
     (``return_parts=True``: also the closed rows and the new versions).
 
     ``on_new``: ``"insert"`` (snapshot default), ``"reject"`` (strict
     default) or ``"ignore"``. With ``validate`` the change set is checked
     first (one job) and rejected with ``Scd2ValidationError``.
+    ``sequence=True`` (snapshot mode) accepts several changes per id and
+    applies them in change-time order instead of rejecting the batch.
     """
+    if sequence:
+        if mode != "snapshot":
+            raise ValueError("sequence=True is defined for snapshot mode")
+        if validate:
+            _enforce(_sequence_violations(dim, changes, spec))
+        return _merge_sequence(dim, changes, spec)
     on_new = on_new or ("insert" if mode == "snapshot" else "reject")
     if validate:
         _enforce(scd2_violations(dim, changes, spec, mode, on_new))

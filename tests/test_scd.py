@@ -197,3 +197,21 @@ def test_from_log_and_batched_apply_agree(spark):
     assert inc == got
     keys = [r["version_key"] for r in both.collect()]
     assert len(keys) == len(set(keys))
+
+
+def test_sequence_applies_several_changes_in_order(spark):
+    chg = SNAP + [(1, "Ann", "Lee", "ann@x.com", "Delhi", "DL", "IN", D(2024, 1, 1), T(2024, 6, 1)),
+                  (1, "Ann", "Lee", "ann@x.com", "Delhi", "DL", "IN", D(2024, 1, 1), T(2024, 7, 1)),
+                  (1, "Ann", "Lee", "ann@x.com", "Goa", "GA", "IN", D(2024, 1, 1), T(2024, 8, 1)),
+                  (5, "Eve", "Kim", "eve@x.com", "Seoul", None, "KR", D(2024, 4, 1), T(2024, 6, 1))]
+    with pytest.raises(scd.Scd2ValidationError):
+        scd.scd2_merge(dim(spark), src(spark, chg))          # default: duplicate ids rejected
+    out = scd.scd2_merge(dim(spark), src(spark, chg), sequence=True)
+    one = sorted((r["effective_from"], r["city"], r["effective_to"], r["customer_key"])
+                 for r in out.filter("customer_id = 1").collect())
+    assert one == [(T(2024, 1, 1), "Pune", T(2024, 6, 1), 0), (T(2024, 6, 1), "Delhi", T(2024, 8, 1), 4),
+                   (T(2024, 8, 1), "Goa", None, 5)]
+    new = out.filter("customer_id = 5").collect()
+    assert len(new) == 1 and new[0]["effective_from"] == T(2024, 4, 1) and new[0]["customer_key"] == 6
+    assert out.count() == 7
+    assert {r["check"]: r["violations"] for r in scd.scd2_integrity(out).collect()}["broken_chain"] == 0
