@@ -62,6 +62,8 @@ def test_dense_key_matches_row_number(spark):
     keyed = dense_key(df, ["id"], "k", start=10, num_partitions=7)
     ref = {i: n + 10 for n, i in enumerate(sorted(ids))}
     assert {r["id"]: r["k"] for r in keyed.collect()} == ref
+    quant = dense_key(df, ["id"], "k", start=10, num_partitions=7, method="quantile")
+    assert {r["id"]: r["k"] for r in quant.collect()} == ref
     more = spark.createDataFrame([(i,) for i in (5, 3)], "id long").withColumn("v", F.lit("x"))
     cont = continue_keys(keyed, more, "k", ["id"])
     assert sorted((r["id"], r["k"]) for r in cont.collect()) == [(3, 5010), (5, 5011)]
