@@ -694,3 +694,9 @@ oracle("dq_version_matches", _report([
          "AND (d.effective_to IS NULL OR o.order_date < d.effective_to) "
          "GROUP BY o.order_id HAVING COUNT(d.customer_key) <> 1) m"),
 ]))
+
+oracle("dedupe_latest", """
+SELECT event_id, ts, user_id, event_type, value, props
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC,
+             event_type DESC, value DESC, props DESC) AS rn FROM events) x
+WHERE rn = 1""")
