@@ -268,15 +268,16 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebrea
 
 
 def scd2_apply_log(dim: DataFrame, batch: DataFrame, key: str, ts: str, tracked: list[str],
-                   tiebreak: str, version_key: str) -> DataFrame:
+                   tiebreak: str, version_key: str, key_start: int | None = None) -> DataFrame:
     """Append a batch of change-log rows to a Type 2 dimension built by
     ``scd2_from_log`` (the streaming / incremental form of OP5).
 
     The current version of each key is put in front of the key's batch rows
     and the combined log is collapsed again: a batch row equal to the current
     version extends it, a different one closes it. Closed history is
-    untouched; new versions get keys after the highest existing key. Batch
-    rows not later than the current version's start are late and dropped."""
+    untouched; new versions get keys after the highest existing key (or from
+    ``key_start`` when ``dim`` holds only the current versions). Batch rows
+    not later than the current version's start are late and dropped."""
     cur = dim.filter(F.col("is_current")).select(
         key, F.col("effective_from").alias(ts), F.lit(None).cast("long").alias(tiebreak), *tracked,
         F.col(version_key))
@@ -288,7 +289,8 @@ def scd2_apply_log(dim: DataFrame, batch: DataFrame, key: str, ts: str, tracked:
     versions = scd2_from_log(cur.unionByName(ev), key, ts, tracked, [tiebreak], carry=[version_key])
     kept = versions.filter(F.col(version_key).isNotNull())
     fresh = versions.filter(F.col(version_key).isNull()).drop(version_key)
-    keyed = dense_key(fresh, [key, "effective_from"], version_key, next_key_start(dim, version_key))
+    start = key_start if key_start is not None else next_key_start(dim, version_key)
+    keyed = dense_key(fresh, [key, "effective_from"], version_key, start)
     cols = dim.columns
     return history.select(*cols).unionByName(kept.select(*cols)).unionByName(keyed.select(*cols))
 

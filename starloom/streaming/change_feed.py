@@ -2,12 +2,20 @@
 variant).
 
 A file (or any) streaming source delivers change-log rows; every micro-batch
-is merged into the Type 2 dimension with ``scd2_apply_log`` and published as
-a new immutable version directory. The one-row ``_current`` pointer (batch
-id + path) is the commit: a replayed batch whose id is not newer than the
-committed one is skipped, so recovery after a failure is idempotent.
-``trigger(availableNow=True)`` processes everything present and stops, which
-is the streaming replacement of the reference's stored high-water mark.
+is merged into the Type 2 dimension with ``scd2_apply_log``. Storage is
+append-only for history:
+
+    <root>/data/batch=<id>/is_current=false/   versions closed by batch <id>
+    <root>/data/batch=<id>/is_current=true/    all current versions after <id>
+    <root>/_current                             one row: committed batch id, max key
+
+A batch reads only the current versions of the last committed batch (not the
+whole history), writes one directory partitioned by ``is_current``, and
+commits by replacing the one-row pointer. A replayed batch whose id is not
+newer than the committed one is skipped; a crashed, uncommitted attempt is
+overwritten by its retry and ignored by readers (they prune to committed
+batches). ``trigger(availableNow=True)`` processes everything present and
+stops: the streaming replacement of the reference's stored high-water mark.
 
 State lives under the cluster's ``spark.checkpoint.dir`` (shared storage).
 """
@@ -29,11 +37,16 @@ def _pointer(root: str) -> str:
     return f"{root.rstrip('/')}/_current"
 
 
-def committed(spark: SparkSession, root: str) -> tuple[int, str] | None:
+def _data(root: str) -> str:
+    return f"{root.rstrip('/')}/data"
+
+
+def committed(spark: SparkSession, root: str) -> tuple[int, int | None] | None:
+    """(last committed batch id, highest version key) or None."""
     if not exists(spark, _pointer(root)):
         return None
     row = spark.read.parquet(_pointer(root)).orderBy(F.col("batch_id").desc()).first()
-    return None if row is None else (int(row["batch_id"]), row["path"])
+    return None if row is None else (int(row["batch_id"]), row["max_key"])
 
 
 def _empty_dim(spark: SparkSession, batch_schema: StructType, key: str, tracked: list[str],
@@ -45,6 +58,24 @@ def _empty_dim(spark: SparkSession, batch_schema: StructType, key: str, tracked:
     return spark.createDataFrame([], StructType(fields))
 
 
+def read_dimension(spark: SparkSession, root: str, schema: StructType, key: str, tracked: list[str],
+                   version_key: str = "version_key", current_only: bool = False) -> DataFrame:
+    """The committed dimension: history closed by every committed batch plus
+    the current versions of the last one (partition pruning on the path)."""
+    last = committed(spark, root)
+    empty = _empty_dim(spark, schema, key, tracked, version_key)
+    if last is None:
+        return empty
+    # partition values come back as inferred types (is_current as a string)
+    df = spark.read.parquet(_data(root)).withColumns(
+        {"is_current": F.col("is_current").cast("boolean"), "batch": F.col("batch").cast("long")})
+    b = F.col("batch")
+    keep = (b == last[0]) & F.col("is_current")
+    if not current_only:
+        keep = keep | ((b <= last[0]) & ~F.col("is_current"))
+    return df.filter(keep).select(*[F.col(f.name).cast(f.dataType) for f in empty.schema.fields])
+
+
 def apply_batch(batch: DataFrame, batch_id: int, root: str, key: str, ts: str, tracked: list[str],
                 tiebreak: str, version_key: str) -> bool:
     """foreachBatch body. Returns False when the batch was already committed."""
@@ -52,12 +83,16 @@ def apply_batch(batch: DataFrame, batch_id: int, root: str, key: str, ts: str, t
     last = committed(spark, root)
     if last is not None and batch_id <= last[0]:
         return False
-    dim = (spark.read.parquet(last[1]) if last is not None
-           else _empty_dim(spark, batch.schema, key, tracked, version_key))
-    merged = scd2_apply_log(dim, batch, key, ts, tracked, tiebreak, version_key)
-    target = f"{root.rstrip('/')}/batch={batch_id}"
-    write_parquet(merged, target, "overwrite")  # a crashed attempt's files are replaced
-    pointer = spark.createDataFrame([(batch_id, target)], "batch_id long, path string")
+    current = read_dimension(spark, root, batch.schema, key, tracked, version_key, current_only=True)
+    start = 0 if last is None or last[1] is None else int(last[1]) + 1
+    merged = scd2_apply_log(current, batch, key, ts, tracked, tiebreak, version_key, key_start=start)
+    target = f"{_data(root)}/batch={batch_id}"
+    # one write, split by is_current; a crashed attempt's files are replaced
+    merged.write.mode("overwrite").partitionBy("is_current").parquet(target)
+    written = spark.read.parquet(target)
+    top = written.agg(F.max(version_key).alias("m")).first()["m"]
+    max_key = top if top is not None else (last[1] if last is not None else None)
+    pointer = spark.createDataFrame([(batch_id, max_key)], "batch_id long, max_key long")
     write_parquet(pointer.coalesce(1), _pointer(root), "overwrite")
     return True
 
@@ -66,7 +101,7 @@ def run_change_stream(spark: SparkSession, source: str, schema: StructType, key:
                       tracked: list[str], tiebreak: str, version_key: str = "version_key",
                       root: str | None = None, base_path: str | None = None,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the stream to completion (availableNow) and return the published
+    """Run the stream to completion (availableNow) and return the committed
     dimension."""
     root = root or os.path.join(ensure_checkpoint_dir(spark), f"starloom-stream-{uuid.uuid4().hex[:10]}")
     reader = spark.readStream.schema(schema)
@@ -83,7 +118,4 @@ def run_change_stream(spark: SparkSession, source: str, schema: StructType, key:
          .option("checkpointLocation", f"{root.rstrip('/')}/_stream")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    last = committed(spark, root)
-    if last is None:
-        return _empty_dim(spark, schema, key, tracked, version_key)
-    return spark.read.parquet(last[1])
+    return read_dimension(spark, root, schema, key, tracked, version_key)
