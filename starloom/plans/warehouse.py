@@ -98,9 +98,11 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
     def path(name: str) -> str:
         return os.path.join(out_root, name)
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        report[name] = publish(df, path(name)).rows
-        return spark.read.parquet(path(name))
+    def put(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        report[name] = publish(df, path(name), partition_by=partition_by).rows
+        # read back with the written schema: partition values (e.g. a boolean)
+        # are not type-inferred from directory names
+        return spark.read.schema(df.schema).parquet(path(name)).select(*df.columns)
 
     report: dict = {}
     w = Warehouse(spark, sf_dir, calendar)
@@ -108,13 +110,16 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
            for n in ("customers", "products", "orders", "order_items", "payments")}
     cust_path = path("warehouse/dim_customer")
     if exists(spark, cust_path):
-        current = spark.read.parquet(cust_path)
+        current = spark.read.parquet(cust_path).withColumn(
+            "is_current", F.col("is_current").cast("boolean")).select(*dims.DIM_CUSTOMER_COLUMNS)
         has_history = not current.filter(~F.col("is_current")).isEmpty()
         dim_customer = (scd.scd2_merge(current, stg["customers"], scd.CUSTOMER_SCD2) if has_history
                         else dims.dim_customer_initial(stg["customers"]))
     else:
         dim_customer = dims.dim_customer_initial(stg["customers"])
-    dim_customer = put("warehouse/dim_customer", dim_customer)
+    # history is append-only and a merge reads only current rows: split the
+    # customer dimension by is_current so that read is partition-pruned
+    dim_customer = put("warehouse/dim_customer", dim_customer, ["is_current"])
     def keyed_dim(name: str, build, key: str, version_key: str) -> DataFrame:
         fresh = build(stg[name.split("_", 1)[1] + "s"])
         target = path(f"warehouse/{name}")
@@ -126,8 +131,10 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
     dim_product = keyed_dim("dim_product", dims.dim_product, "product_id", "product_key")
     dim_payment = keyed_dim("dim_payment", dims.dim_payment, "payment_id", "payment_key")
     dim_date = put("warehouse/dim_date", dims.dim_date(spark, *calendar))
+    # the fact is laid out by order month (date_key // 100) for time pruning
     fact = put("warehouse/fact_orders", fact_ops.fact_orders(
-        stg["orders"], stg["order_items"], dim_customer, dim_product, dim_date, dim_payment))
+        stg["orders"], stg["order_items"], dim_customer, dim_product, dim_date, dim_payment).withColumn(
+        "order_month", (F.col("date_key") / 100).cast("int")), ["order_month"])
     put("analytics/mart_daily_sales", marts.mart_daily_sales(fact, dim_date))
     put("analytics/mart_product_performance", marts.mart_product_performance(fact, dim_product))
     put("analytics/mart_customer_performance", marts.mart_customer_performance(fact, dim_customer))
