@@ -68,7 +68,8 @@ def _bucket_expr(col: Column, bounds: list[float], lo: int, hi: int) -> Column:
 
 def _dense_key_quantile(df: DataFrame, col: str, key_col: str, start, n: int) -> DataFrame:
     probs = [i / n for i in range(1, n)]
-    bounds = sorted({b for b in df.approxQuantile(col, probs, 1.0 / (4 * n)) if b is not None})
+    found = df.approxQuantile(col, probs, 1.0 / (4 * n)) if probs else []
+    bounds = sorted({b for b in found if b is not None})
     value = F.col(col).cast("double")
     bucket = _bucket_expr(value, bounds, 0, len(bounds)) if bounds else F.lit(0)
     bucket = F.when(value.isNull(), F.lit(0)).otherwise(bucket)   # NULLs sort first

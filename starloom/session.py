@@ -46,6 +46,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     named = checkpoint_dir(spark)
     if not named:
+        master = sc.master or ""
+        if not master.startswith("local"):
+            # a machine-local folder is not visible to other executors and is
+            # lost with its machine: the cluster must name a shared one
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/...) "
+                               "for checkpoints and scratch tables")
         named = tempfile.mkdtemp(prefix="starloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(named)
     return named
