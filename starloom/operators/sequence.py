@@ -6,8 +6,8 @@ the data. Here the rows are *range*-partitioned on ``(key, order...)``, so a
 hot key is spread over as many partitions as its share needs, and the
 neighbour is computed in two parts:
 
-1. inside each range partition: ``lag``/``lead`` over a window partitioned
-   by the partition id (each window partition = one balanced range slice);
+1. inside each range slice: ``lag``/``lead`` over a window partitioned by
+   (slice id, key), so a window group is at most one balanced slice;
 2. at slice borders: the first row of a slice takes its predecessor from
    the last row of the previous non-empty slice (and symmetrically for the
    successor). Those border rows come from a per-slice aggregate with one
@@ -44,54 +44,49 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list
     ranged = (df.repartitionByRange(_n(df, num_partitions), *sort_cols)
               .withColumn(_PID, F.spark_partition_id())
               .checkpoint(eager=True))
-    w = Window.partitionBy(_PID).orderBy(*sort_cols)
+    # Window groups are (slice, key): a slice holds many keys, a hot key spans
+    # many slices, so no group is larger than one slice and most are small.
+    w = Window.partitionBy(_PID, *keys).orderBy(*order)
     packed = F.struct(*[F.col(c) for c in sort_cols + [c for c in carried if c not in sort_cols]])
+    sort_key = F.struct(*[F.col(c) for c in sort_cols])
 
-    out = ranged
-    border = ranged.groupBy(_PID).agg(
-        *([F.max(packed).alias("_sl_last")] if prev else []),
-        *([F.min(packed).alias("_sl_first")] if nxt else []),
-    )
-    tiny = Window.orderBy(_PID)  # over one row per slice: bounded
-    border_cols = [_PID]
-    if prev:
-        border_cols.append(F.lag("_sl_last").over(tiny).alias("_sl_before"))
-    if nxt:
-        border_cols.append(F.lead("_sl_first").over(tiny).alias("_sl_after"))
-    border = border.select(*border_cols)
+    def key_of(struct_col: str) -> F.Column:
+        return F.struct(*[F.col(f"{struct_col}.{c}") for c in sort_cols])
+
+    # one row per slice: its first/last row and the neighbouring slices' rows
+    tiny = Window.orderBy(_PID)  # over one row per slice: bounded by the slice count
+    border = ranged.groupBy(_PID).agg(F.min(packed).alias("_sl_first"), F.max(packed).alias("_sl_last"))
+    border = border.select(
+        _PID, key_of("_sl_first").alias("_sl_head_key"), key_of("_sl_last").alias("_sl_tail_key"),
+        F.lag("_sl_last").over(tiny).alias("_sl_before"), F.lead("_sl_first").over(tiny).alias("_sl_after"))
 
     sel = [F.col(c) for c in ranged.columns]
     if prev:
-        sel.append(F.lag(F.lit(1)).over(w).isNull().alias("_sl_head"))
-        sel += [F.lag(c).over(w).alias(f"_sl_p_{c}") for c in carried]
+        sel.append(F.lag(F.lit(1)).over(w).isNotNull().alias("_sl_pin"))
+        sel += [F.lag(c).over(w).alias(f"_sl_p_{c}") for c in cols]
     if nxt:
-        sel.append(F.lead(F.lit(1)).over(w).isNull().alias("_sl_tail"))
-        sel += [F.lead(c).over(w).alias(f"_sl_n_{c}") for c in carried]
+        sel.append(F.lead(F.lit(1)).over(w).isNotNull().alias("_sl_nin"))
+        sel += [F.lead(c).over(w).alias(f"_sl_n_{c}") for c in cols]
     out = ranged.select(*sel).join(F.broadcast(border), _PID, "left")
 
     def same_key(side: str) -> F.Column:
-        cond = F.lit(True)
+        cond = F.col(side).isNotNull()
         for k in keys:
-            cond = cond & F.col(f"_sl_{side}_{k}").eqNullSafe(F.col(k))
+            cond = cond & F.col(f"{side}.{k}").eqNullSafe(F.col(k))
         return cond
 
-    adds = {}
-    if prev:
-        for c in carried:
-            adds[f"_sl_p_{c}"] = F.when(F.col("_sl_head"), F.col(f"_sl_before.{c}")).otherwise(
-                F.col(f"_sl_p_{c}"))
-    if nxt:
-        for c in carried:
-            adds[f"_sl_n_{c}"] = F.when(F.col("_sl_tail"), F.col(f"_sl_after.{c}")).otherwise(
-                F.col(f"_sl_n_{c}"))
-    out = out.withColumns(adds)
     final = [F.col(c) for c in df.columns]
     if prev:
-        ok = same_key("p") & F.col(f"_sl_p_{keys[0]}").isNotNull()
-        final.append(ok.alias("prev_exists"))
-        final += [F.when(ok, F.col(f"_sl_p_{c}")).alias(f"{prefix_prev}{c}") for c in cols]
+        # the first row of a slice takes its predecessor from the slice before
+        head = sort_key.eqNullSafe(F.col("_sl_head_key"))
+        across = same_key("_sl_before")
+        final.append(F.when(head, across).otherwise(F.col("_sl_pin")).alias("prev_exists"))
+        final += [F.when(head, F.when(across, F.col(f"_sl_before.{c}"))).otherwise(F.col(f"_sl_p_{c}"))
+                  .alias(f"{prefix_prev}{c}") for c in cols]
     if nxt:
-        ok = same_key("n") & F.col(f"_sl_n_{keys[0]}").isNotNull()
-        final.append(ok.alias("next_exists"))
-        final += [F.when(ok, F.col(f"_sl_n_{c}")).alias(f"{prefix_next}{c}") for c in cols]
+        tail = sort_key.eqNullSafe(F.col("_sl_tail_key"))
+        across = same_key("_sl_after")
+        final.append(F.when(tail, across).otherwise(F.col("_sl_nin")).alias("next_exists"))
+        final += [F.when(tail, F.when(across, F.col(f"_sl_after.{c}"))).otherwise(F.col(f"_sl_n_{c}"))
+                  .alias(f"{prefix_next}{c}") for c in cols]
     return out.select(*final)
