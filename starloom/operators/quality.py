@@ -34,8 +34,9 @@ def _rows_from_counts(agg_row: DataFrame, check: str, table: str, names: list[st
         "status", _status(F.col("violations")))
 
 
-def _count_row(df: DataFrame, check: str, table: str, column: str) -> DataFrame:
-    """Report row counting the rows of ``df`` (a violation set)."""
+def violation_count(df: DataFrame, check: str, table: str, column: str) -> DataFrame:
+    """Report row counting the rows of ``df`` (a violation set); the building
+    block for custom checks."""
     n = df.agg(F.count(F.lit(1)).cast("long").alias("violations"))
     return n.select(F.lit(check).alias("check"), F.lit(table).alias("table_name"),
                     F.lit(column).alias("column_name"), "violations", _status(F.col("violations")).alias("status"))
@@ -55,7 +56,7 @@ def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     """DQ2: number of non-NULL values occurring more than once."""
     dups = df.filter(F.col(column).isNotNull()).groupBy(column).count().filter("count > 1")
-    return _count_row(dups, "unique", table, column)
+    return violation_count(dups, "unique", table, column)
 
 
 def relationship(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -63,7 +64,7 @@ def relationship(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: s
     the parent side is reduced to distinct keys first)."""
     keys = parent.select(F.col(pk).alias("_sl_pk")).distinct()
     orphans = child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_sl_pk"), "left_anti")
-    return _count_row(orphans, "relationships", table, fk)
+    return violation_count(orphans, "relationships", table, fk)
 
 
 def accepted_values(df: DataFrame, table: str, rules: dict[str, list[str]]) -> DataFrame:
@@ -95,20 +96,20 @@ def orders_before_signup(stg_orders: DataFrame, stg_customers: DataFrame) -> Dat
     j = stg_orders.select("customer_id", "order_date").join(
         stg_customers.select("customer_id", "signup_date"), "customer_id")
     bad = j.filter(F.col("order_date") < F.col("signup_date").cast("timestamp_ntz"))
-    return _count_row(bad, "orders_before_signup", "orders", "order_date")
+    return violation_count(bad, "orders_before_signup", "orders", "order_date")
 
 
 def null_keys(fact: DataFrame, keys=("customer_key", "product_key", "date_key", "payment_key")) -> DataFrame:
     """DQ10: fact rows with any NULL dimension key."""
     bad = fact.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
-    return _count_row(bad, "null_dimension_keys", "fact_orders", ",".join(keys))
+    return violation_count(bad, "null_dimension_keys", "fact_orders", ",".join(keys))
 
 
 def duplicate_fact_groups(fact: DataFrame,
                           cols=("order_id", "product_key", "quantity", "unit_price", "discount")) -> DataFrame:
     """DQ11: groups of identical (order, product, quantity, price, discount)."""
     dups = fact.groupBy(*cols).count().filter("count > 1")
-    return _count_row(dups, "duplicate_fact_groups", "fact_orders", ",".join(cols))
+    return violation_count(dups, "duplicate_fact_groups", "fact_orders", ",".join(cols))
 
 
 def expected_count(df: DataFrame, table: str, expected: int) -> DataFrame:

@@ -12,9 +12,12 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
-from starloom.operators import marts
+from starloom.functions.nulls import typed_null
+from starloom.operators import keys as key_ops, marts, quality as dq, reconcile as rec, scd
 from starloom.operators.staging import latest_per_key
+from starloom.operators.temporal import point_in_time_join as _pit, version_match_count as _vmc
 from starloom.plans.warehouse import Warehouse
+from starloom.sources import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -201,10 +204,6 @@ def top10_customers(spark, sf_dir):
 
 
 # ======================================================== SCD / temporal
-from starloom.operators import keys as key_ops, quality as dq, reconcile as rec, scd  # noqa: E402
-from starloom.operators.temporal import point_in_time_join as _pit, version_match_count as _vmc  # noqa: E402
-from starloom.sources import adapters  # noqa: E402
-from starloom.functions.nulls import typed_null  # noqa: E402
 
 # Fixed scenario values (shared with the oracle text):
 AS_OF_BASE = "2024-01-01 12:00:00"     # events: dimension state as of this time
@@ -643,8 +642,8 @@ def dq_fact_grain(spark, sf_dir):
                    w.dim_payment, keep_line_id=True)
     fanned = f.groupBy(*line).count().filter("count > 1")
     dropped = w.stg_order_items.select(*line).join(f.select(*line).distinct(), line, "left_anti")
-    return dq.union_all([dq._count_row(fanned, "fact_grain_fan_out", "fact_orders", ",".join(line)),
-                         dq._count_row(dropped, "fact_grain_dropped_lines", "stg_order_items", ",".join(line))])
+    return dq.union_all([dq.violation_count(fanned, "fact_grain_fan_out", "fact_orders", ",".join(line)),
+                         dq.violation_count(dropped, "fact_grain_dropped_lines", "stg_order_items", ",".join(line))])
 
 
 @query()
@@ -652,4 +651,4 @@ def dq_version_matches(spark, sf_dir):
     """DQ18: orders that do not match exactly one customer version."""
     w = _wh(spark, sf_dir)
     m = _vmc(w.stg_orders, w.dim_customer, "order_id", "customer_id", "order_date", "customer_key")
-    return dq._count_row(m.filter(F.col("match_count") != 1), "exactly_one_version", "orders", "customer_id")
+    return dq.violation_count(m.filter(F.col("match_count") != 1), "exactly_one_version", "orders", "customer_id")
