@@ -74,3 +74,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def size_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
+                    min_partitions: int | None = None) -> int:
+    """Size ``spark.sql.shuffle.partitions`` so one shuffle partition holds about
+    ``target_bytes`` of input (AQE then coalesces small ones), unless the
+    session already names a value explicitly. The same number sets how many
+    slices the range-partitioned operators (dense keys, neighbours) cut. Scan
+    splits follow ``spark.sql.files.maxPartitionBytes`` (128 MB default)."""
+    cores = spark.sparkContext.defaultParallelism
+    wanted = max(min_partitions or cores, -(-input_bytes // target_bytes))
+    explicit = spark.sparkContext.getConf().get("spark.sql.shuffle.partitions", None)
+    if explicit is None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -208,3 +208,10 @@ def test_scd1_refresh_keeps_keys(spark):
     new = spark.createDataFrame([(15, "n"), (20, "B"), (30, "c")], "id long, v string")
     got = sorted(tuple(r) for r in scd1_refresh(old, new, "id", "k").collect())
     assert got == [(0, 10, "a"), (1, 20, "B"), (2, 30, "c"), (3, 15, "n")]
+
+
+def test_expected_count_check(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "x long")
+    assert dq.expected_count(df, "t", 3).first()["status"] == "PASS"
+    row = dq.expected_count(df, "t", 5).first()
+    assert row["violations"] == 2 and row["status"] == "FAIL"
