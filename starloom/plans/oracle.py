@@ -700,3 +700,5 @@ SELECT event_id, ts, user_id, event_type, value, props
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC,
              event_type DESC, value DESC, props DESC) AS rn FROM events) x
 WHERE rn = 1""")
+
+oracle("mart_daily_sales_sql", "SELECT * FROM m_daily")

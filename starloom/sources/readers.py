@@ -85,3 +85,15 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
     if CORRUPT not in df.columns:
         return df.limit(0)
     return df.filter(F.col(CORRUPT).isNotNull())
+
+
+def register_views(tables: dict[str, DataFrame], suffix: str = "") -> dict[str, str]:
+    """SRC7 / SNK8 (views): expose DataFrames to ``spark.sql`` text under
+    ``name + suffix`` (a per-run suffix keeps concurrent runs apart). Returns
+    name -> view name."""
+    names = {}
+    for name, df in tables.items():
+        view = f"{name}{suffix}"
+        df.createOrReplaceTempView(view)
+        names[name] = view
+    return names
