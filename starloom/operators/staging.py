@@ -49,7 +49,9 @@ class StageSpec:
 
 
 def stage(df: DataFrame, spec: StageSpec, dedupe: bool = True) -> DataFrame:
-    typed = df.select(*[F.col(c).cast(t).alias(c) for c, t in spec.columns])
+    # try_cast at the raw boundary: a value that does not fit its declared type
+    # becomes NULL (reported by the quality checks) instead of failing the job
+    typed = df.select(*[F.col(c).try_cast(t).alias(c) for c, t in spec.columns])
     cleaned = typed.withColumns({c: apply_rule(rule, c) for c, rule in spec.text.items()})
     if dedupe:
         cleaned = latest_per_key(cleaned, list(spec.keys), [r for r in spec.recency if r in cleaned.columns])

@@ -215,3 +215,13 @@ def test_expected_count_check(spark):
     assert dq.expected_count(df, "t", 3).first()["status"] == "PASS"
     row = dq.expected_count(df, "t", 5).first()
     assert row["violations"] == 2 and row["status"] == "FAIL"
+
+
+def test_stage_try_casts_bad_values(spark):
+    raw = spark.createDataFrame([("7", "x", "y", "A@B.C", "c", "s", "k", "2024-01-01", "2024-01-02 00:00:00"),
+                                 ("1.0", "x", "y", "q@b.c", "c", "s", "k", "not a date", "2024-01-02 00:00:00")],
+                                ",".join(f"c{i} string" for i in range(9)))
+    raw = raw.toDF(*[c for c, _ in CUSTOMERS.columns])
+    rows = {r["email"]: r for r in stage(raw, CUSTOMERS, dedupe=False).collect()}
+    assert rows["a@b.c"]["customer_id"] == 7
+    assert rows["q@b.c"]["customer_id"] is None and rows["q@b.c"]["signup_date"] is None
