@@ -17,19 +17,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions.calendar import day_of
-from starloom.operators.temporal import point_in_time_join
+from starloom.operators.temporal import asof_join, point_in_time_join
 
 FACT_COLUMNS = ["order_id", "customer_key", "product_key", "date_key", "payment_key",
                 "quantity", "unit_price", "discount", "revenue"]
 
 
 def resolve_orders(stg_orders: DataFrame, dim_customer: DataFrame, dim_date: DataFrame,
-                   dim_payment: DataFrame) -> DataFrame:
-    """Order grain: (order_id, customer_key, date_key, payment_key)."""
+                   dim_payment: DataFrame, pit: str = "interval") -> DataFrame:
+    """Order grain: (order_id, customer_key, date_key, payment_key).
+    ``pit="asof"`` resolves customer versions with the as-of stream join
+    (for customers with very long histories and many orders)."""
     o = stg_orders.select("order_id", "customer_id", "order_date")
     versions = dim_customer.select("customer_id", "customer_key", "effective_from", "effective_to")
-    ov = point_in_time_join(o, versions, "customer_id", "order_date").select(
-        "order_id", "order_date", "customer_key")
+    join = asof_join if pit == "asof" else point_in_time_join
+    ov = join(o, versions, "customer_id", "order_date").select("order_id", "order_date", "customer_key")
     cal = dim_date.select("full_date", "date_key")
     od = ov.join(cal, day_of(ov.order_date) == cal.full_date).select("order_id", "customer_key", "date_key")
     pay = dim_payment.select("order_id", "payment_key")
@@ -38,10 +40,10 @@ def resolve_orders(stg_orders: DataFrame, dim_customer: DataFrame, dim_date: Dat
 
 def fact_orders(stg_orders: DataFrame, stg_items: DataFrame, dim_customer: DataFrame,
                 dim_product: DataFrame, dim_date: DataFrame, dim_payment: DataFrame,
-                keep_line_id: bool = False) -> DataFrame:
+                keep_line_id: bool = False, pit: str = "interval") -> DataFrame:
     """One row per order item (per payment). ``keep_line_id`` keeps the item's
     natural key so fan-out can be detected (grain check)."""
-    orders = resolve_orders(stg_orders, dim_customer, dim_date, dim_payment)
+    orders = resolve_orders(stg_orders, dim_customer, dim_date, dim_payment, pit)
     item_cols = ["order_id", "product_id", "quantity", "unit_price", "discount", "line_total"]
     if keep_line_id:
         item_cols += ["line_number", "supplier_id"]

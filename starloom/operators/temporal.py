@@ -13,7 +13,7 @@ bucket, so a key's versions are never compared with all of its facts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.nulls import within_validity
 
@@ -56,3 +56,57 @@ def version_match_count(facts: DataFrame, versions: DataFrame, fact_id: str, key
                                 versions.select(key, version_key, valid_from, valid_to),
                                 key, ts, how="left", valid_from=valid_from, valid_to=valid_to)
     return joined.groupBy(fact_id).agg(F.count(version_key).cast("long").alias("match_count"))
+
+
+def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, how: str = "inner",
+              valid_from: str = "effective_from", valid_to: str = "effective_to",
+              num_partitions: int | None = None) -> DataFrame:
+    """Point-in-time join that never pairs a key's facts with all of its
+    versions: facts and version starts are merged into one time-ordered
+    stream per key and every fact takes the latest version started at or
+    before it (then ``ts < effective_to`` is checked). For dimensions whose
+    versions of one key do not overlap (a valid SCD2) it returns what
+    ``point_in_time_join`` returns; with overlaps it returns the latest-started
+    version only.
+
+    The stream is range-partitioned on (key, time) and checkpointed, so a key
+    with a third of all facts is spread over many slices; the latest version
+    reaching into a slice from earlier slices comes from a table with one row
+    per slice (broadcast, bounded by the slice count)."""
+    from pyspark.sql.types import StructType
+
+    vcols = [c for c in versions.columns if c != key]
+    fstruct = StructType(facts.schema.fields)
+    vstruct = StructType([versions.schema[c] for c in vcols])
+    t, kind, pid = "_sl_t", "_sl_kind", "_sl_pid"
+    f = facts.select(F.col(key), F.col(ts).alias(t), F.lit(1).alias(kind),
+                     F.struct(*[F.col(c) for c in facts.columns]).alias("_sl_f"),
+                     F.lit(None).cast(vstruct).alias("_sl_v"))
+    v = versions.select(F.col(key), F.col(valid_from).alias(t), F.lit(0).alias(kind),
+                        F.lit(None).cast(fstruct).alias("_sl_f"),
+                        F.struct(*[F.col(c) for c in vcols]).alias("_sl_v"))
+    n = num_partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a version starting exactly at a fact's time sorts first (half-open intervals)
+    ranged = (f.unionByName(v).repartitionByRange(n, key, t, kind)
+              .withColumn(pid, F.spark_partition_id()).checkpoint(eager=True))
+    upto = Window.partitionBy(pid, key).orderBy(t, kind).rowsBetween(Window.unboundedPreceding, 0)
+    filled = ranged.withColumn("_sl_cur", F.last("_sl_v", ignorenulls=True).over(upto)).filter(
+        F.col(kind) == 1)
+    last_v = ranged.groupBy(pid).agg(
+        F.max(F.when(F.col(kind) == 0, F.struct(F.col(key).alias("k"), F.col(t).alias("t"),
+                                                F.col("_sl_v").alias("v")))).alias("_sl_lv"))
+    before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    carry = last_v.select(pid, F.last("_sl_lv", ignorenulls=True).over(before).alias("_sl_carry"))
+    j = filled.join(F.broadcast(carry), pid, "left")
+    carried = F.when(F.col("_sl_carry.k").eqNullSafe(F.col(key)), F.col("_sl_carry.v"))
+    ver = F.coalesce(F.col("_sl_cur"), carried)
+    open_end = ver.getField(valid_to).isNull() | (F.col(t) < ver.getField(valid_to))
+    matched = ver.isNotNull() & open_end
+    out = j.withColumn("_sl_ver", F.when(matched, ver))
+    if how == "inner":
+        out = out.filter(F.col("_sl_ver").isNotNull())
+    elif how != "left":
+        raise ValueError("how must be 'inner' or 'left'")
+    cols = [F.col(f"_sl_f.{c}").alias(c) for c in facts.columns]
+    cols += [F.col(f"_sl_ver.{c}").alias(c) for c in vcols if c not in facts.columns]
+    return out.select(*cols)

@@ -702,3 +702,5 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS L
 WHERE rn = 1""")
 
 oracle("mart_daily_sales_sql", "SELECT * FROM m_daily")
+
+ORACLE["fact_orders_asof"] = ORACLE["fact_orders"]

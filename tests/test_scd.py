@@ -215,3 +215,29 @@ def test_sequence_applies_several_changes_in_order(spark):
     assert len(new) == 1 and new[0]["effective_from"] == T(2024, 4, 1) and new[0]["customer_key"] == 6
     assert out.count() == 7
     assert {r["check"]: r["violations"] for r in scd.scd2_integrity(out).collect()}["broken_chain"] == 0
+
+
+def test_asof_join_matches_interval_join_with_hot_key(spark):
+    import random
+    from starloom.operators.temporal import asof_join
+    rnd = random.Random(11)
+    vers, facts, vk = [], [], 0
+    for cid in range(6):
+        t = T(2024, 1, 1)
+        for _ in range(rnd.randint(1, 4) if cid else 40):          # customer 0: long history
+            end = t + dt.timedelta(days=rnd.randint(1, 9))
+            vers.append((vk, cid, t, end)); vk += 1; t = end
+        vers[-1] = vers[-1][:3] + (None,)                           # last version open
+    for i in range(3000):
+        cid = 0 if i % 3 == 0 else rnd.randint(0, 6)                # customer 0: a third of facts
+        facts.append((i, cid, T(2023, 12, 25) + dt.timedelta(hours=rnd.randint(0, 24 * 300))))
+    fdf = spark.createDataFrame(facts, "order_id long, customer_id long, order_date timestamp_ntz")
+    vdf = spark.createDataFrame(vers, "customer_key long, customer_id long, effective_from timestamp_ntz, "
+                                      "effective_to timestamp_ntz")
+    ref = point_in_time_join(fdf, vdf, "customer_id", "order_date")
+    got = asof_join(fdf, vdf, "customer_id", "order_date", num_partitions=7)
+    key = lambda df: sorted((r["order_id"], r["customer_key"]) for r in df.collect())
+    assert key(got) == key(ref)
+    left = asof_join(fdf, vdf, "customer_id", "order_date", how="left", num_partitions=5)
+    assert left.count() == 3000
+    assert left.filter("customer_key IS NULL").count() == 3000 - ref.count()
