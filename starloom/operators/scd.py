@@ -89,22 +89,34 @@ def _classify(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, mode: str) ->
 def scd2_violations(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, mode: str = "snapshot",
                     on_new: str = "insert") -> DataFrame:
     """DQ19: change-feed validity before a merge, as data:
-    ``(check, violations)`` with one row per check (one job computes all)."""
+    ``(check, violations)`` with one row per check (one job computes all).
+
+    Runs before uniqueness is known, so it uses only skew-tolerant shapes:
+    per-key counts (map-side partial aggregation), an inner join and an anti
+    join against the current versions (AQE splits a hot key on the change
+    side); the full outer join of the merge runs only after this passed."""
     dup_src = changes.groupBy(spec.key).count().filter(F.col("count") > 1)
-    dup_cur = dim.filter(F.col(spec.current)).groupBy(spec.key).count().filter(F.col("count") > 1)
-    cls = _classify(dim, changes, spec, mode)
-    bad_time = cls.filter(F.col("_changed") & (
-        F.col(spec.change_ts).isNull() | F.col(f"_d_{spec.valid_from}").isNull()
-        | (_ts(F.col(spec.change_ts)) <= F.col(f"_d_{spec.valid_from}"))))
+    cur = dim.filter(F.col(spec.current))
+    dup_cur = cur.groupBy(spec.key).count().filter(F.col("count") > 1)
+    d = cur.select(spec.key, *[F.col(c).alias(f"_d_{c}") for c in (*spec.tracked, spec.valid_from)])
+    matched = changes.select(spec.key, *spec.tracked, spec.change_ts).join(d, spec.key)
+    changed = matched
+    if mode == "snapshot":
+        changed = matched.filter(any_distinct([(F.col(c), F.col(f"_d_{c}")) for c in spec.tracked]))
+    elif mode != "strict":
+        raise ValueError(f"mode must be 'snapshot' or 'strict', not {mode!r}")
+    start = F.col(f"_d_{spec.valid_from}")
+    bad_time = changed.filter(F.col(spec.change_ts).isNull() | start.isNull()
+                              | (_ts(F.col(spec.change_ts)) <= start))
     parts = [
         dup_src.select(F.lit("duplicate_change_ids").alias("check")),
         dup_cur.select(F.lit("multiple_current_versions").alias("check")),
         bad_time.select(F.lit("change_time_not_after_current_start").alias("check")),
     ]
-    if on_new == "reject":
-        parts.append(cls.filter(F.col("_new")).select(F.lit("id_without_current_version").alias("check")))
     names = ["duplicate_change_ids", "multiple_current_versions", "change_time_not_after_current_start"]
     if on_new == "reject":
+        unknown = changes.select(spec.key).join(cur.select(spec.key), spec.key, "left_anti")
+        parts.append(unknown.select(F.lit("id_without_current_version").alias("check")))
         names.append("id_without_current_version")
     found = parts[0]
     for p in parts[1:]:
