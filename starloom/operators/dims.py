@@ -63,3 +63,12 @@ def dim_date(spark: SparkSession, start: str | dt.date, end: str | dt.date) -> D
 
 def calendar_days(start: str | dt.date, end: str | dt.date) -> int:
     return (_as_date(end) - _as_date(start)).days + 1
+
+
+def calendar_span(events: DataFrame, ts: str) -> tuple[str, str]:
+    """Whole calendar years covering the data: Jan 1 of the first event's year
+    to Dec 31 of the last event's year (one scalar aggregate)."""
+    row = events.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    if row is None or row["lo"] is None:
+        raise ValueError("cannot derive a calendar from an empty table")
+    return f"{row['lo'].year:04d}-01-01", f"{row['hi'].year:04d}-12-31"

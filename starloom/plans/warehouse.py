@@ -14,12 +14,14 @@ from starloom.operators import dims, fact as fact_ops, staging
 from starloom.sources import adapters
 from starloom.sources.tables import Tables
 
-# Calendar range covering the driver data (orders 1995-01-01 .. 2001-08-01).
-CALENDAR = ("1995-01-01", "2001-12-31")
+# Calendar: by default whole years spanning the order dates (derived from the
+# data, so the calendar follows the tables it serves); a fixed range can be
+# passed instead (a shorter one drops out-of-range orders from the fact).
+CALENDAR = None
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, calendar: tuple[str, str] = CALENDAR):
+    def __init__(self, spark: SparkSession, sf_dir: str, calendar: tuple[str, str] | None = CALENDAR):
         self.spark = spark
         self.sf_dir = sf_dir
         self.calendar = calendar
@@ -65,7 +67,8 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self.spark, *self.calendar)
+        span = self.calendar or dims.calendar_span(self.raw("orders").select("order_date"), "order_date")
+        return dims.dim_date(self.spark, *span)
 
     def build_dimensions(self, names=("dim_customer", "dim_product", "dim_payment")) -> None:
         """Key the independent dimensions concurrently. Each keying runs its
@@ -96,7 +99,7 @@ class Warehouse:
 
 
 # ------------------------------------------------------------ full refresh
-def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tuple[str, str] = CALENDAR,
+def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tuple[str, str] | None = CALENDAR,
                  fail_on_error: bool = False) -> dict:
     """OP23: extract -> 5 staging -> 4 dimensions -> fact -> 5 marts -> checks,
     in dependency order, every table published through the staged writer.
@@ -148,7 +151,7 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
 
     dim_product = keyed_dim("dim_product", dims.dim_product, "product_id", "product_key")
     dim_payment = keyed_dim("dim_payment", dims.dim_payment, "payment_id", "payment_key")
-    dim_date = put("warehouse/dim_date", dims.dim_date(spark, *calendar))
+    dim_date = put("warehouse/dim_date", w.dim_date)
     # the fact is laid out by order month (date_key // 100) for time pruning
     fact = put("warehouse/fact_orders", fact_ops.fact_orders(
         stg["orders"], stg["order_items"], dim_customer, dim_product, dim_date, dim_payment).withColumn(
