@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.functions.calendar import start_of_day
 from starloom.functions.nulls import any_distinct, typed_null
@@ -261,20 +261,36 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebrea
     key; it ends where the next version of that key starts (NULL = open).
     ``carry`` columns are taken from the row that starts a version.
 
-    Both neighbour steps use the range-partitioned ``with_neighbours`` so a
-    key with a huge history is spread over many tasks."""
+    One range slicing serves both steps, so a key with a huge history is
+    spread over many tasks and the log is sliced and stored once:
+
+    1. ``with_neighbours`` gives each row its predecessor -> start flags;
+    2. on the same (slice, key) groups, a reversed running ``last`` finds the
+       next start inside the slice; a start with none there takes the first
+       start of the following slices from a one-row-per-slice table."""
     order = [ts, *(tiebreak or [])]
     carry = list(carry or [])
+    pid = "_sl_pid"
     nb = with_neighbours(log.select(key, *order, *tracked, *carry), [key], order, tracked, prev=True,
-                         num_partitions=num_partitions)
-    starts_cond = ~F.col("prev_exists") | any_distinct([(F.col(c), F.col(f"prev_{c}")) for c in tracked])
-    starts = nb.filter(starts_cond).select(key, *order, *tracked, *carry)
-    nx = with_neighbours(starts, [key], order, [ts], prev=False, nxt=True, num_partitions=num_partitions)
-    return nx.select(
+                         num_partitions=num_partitions, keep_slice=True)
+    is_start = ~F.col("prev_exists") | any_distinct([(F.col(c), F.col(f"prev_{c}")) for c in tracked])
+    flagged = nb.withColumn("_sl_start", is_start)
+    later = Window.partitionBy(pid, key).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    nearest = F.last(F.when(F.col("_sl_start"), F.col(ts)), ignorenulls=True).over(later)
+    starts = flagged.withColumn("_sl_next_in", nearest).filter(F.col("_sl_start"))
+    first_start = flagged.groupBy(pid).agg(F.min(F.when(
+        F.col("_sl_start"), F.struct(F.col(key).alias("k"), *[F.col(c) for c in order]))).alias("_sl_fs"))
+    following = Window.orderBy(F.col(pid).desc()).rowsBetween(Window.unboundedPreceding, -1)  # per slice
+    after = first_start.select(pid, F.last("_sl_fs", ignorenulls=True).over(following).alias("_sl_after"))
+    j = starts.join(F.broadcast(after), pid, "left")
+    across = F.when(F.col("_sl_after.k").eqNullSafe(F.col(key)), F.col(f"_sl_after.{ts}"))
+    end = F.coalesce(F.col("_sl_next_in"), across)
+    return j.select(
         key, *tracked,
         F.col(ts).alias("effective_from"),
-        F.col(f"next_{ts}").alias("effective_to"),
-        (~F.col("next_exists")).alias("is_current"),
+        end.alias("effective_to"),
+        end.isNull().alias("is_current"),
         *carry,
     )
 

@@ -30,10 +30,13 @@ def _n(df: DataFrame, n: int | None) -> int:
 
 def with_neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
                     prev: bool = True, nxt: bool = False, num_partitions: int | None = None,
-                    prefix_prev: str = "prev_", prefix_next: str = "next_") -> DataFrame:
+                    prefix_prev: str = "prev_", prefix_next: str = "next_",
+                    keep_slice: bool = False) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>`` for every ``c`` in ``cols`` (values of the
     adjacent row of the same key in ``order``), plus ``prev_exists`` /
-    ``next_exists`` flags."""
+    ``next_exists`` flags. ``keep_slice`` also returns the slice id
+    (``_sl_pid``, stored data) so a caller can run further per-slice steps on
+    the same layout without another range exchange."""
     sort_cols = [*keys, *order]
     carried = list(dict.fromkeys([*keys, *cols]))
     # The slice id is read by two branches of the plan (rows, per-slice
@@ -75,7 +78,7 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list
             cond = cond & F.col(f"{side}.{k}").eqNullSafe(F.col(k))
         return cond
 
-    final = [F.col(c) for c in df.columns]
+    final = [F.col(c) for c in df.columns] + ([F.col(_PID)] if keep_slice else [])
     if prev:
         # the first row of a slice takes its predecessor from the slice before
         head = sort_key.eqNullSafe(F.col("_sl_head_key"))
