@@ -382,7 +382,8 @@ def scd1_refresh(existing: DataFrame, staged: DataFrame, key: str, version_key:
 
 # -------------------------------------------------------------- start repair
 def scd2_repair_start(dim: DataFrame, key: str = "customer_id", version_key: str = "customer_key",
-                      start_col: str = "signup_date", valid_from: str = "effective_from") -> DataFrame:
+                      start_col: str = "signup_date", valid_from: str = "effective_from",
+                      orders: DataFrame | None = None, expected_orders: int | None = None) -> DataFrame:
     """OP9: the earliest version of every id (by start, then key) starts at
     ``start_col`` midnight. The earliest version is found with a per-id
     ``min(struct(start, key))`` aggregate (partial map-side, skew-safe) and
@@ -390,9 +391,42 @@ def scd2_repair_start(dim: DataFrame, key: str = "customer_id", version_key: str
     first = dim.groupBy(key).agg(F.min(F.struct(F.col(valid_from), F.col(version_key))).alias("_m")).select(
         F.col(f"_m.{version_key}").alias("_sl_first_key"))
     j = dim.join(first, F.col(version_key) == F.col("_sl_first_key"), "left")
-    return j.select(*[
+    repaired = j.select(*[
         F.when(F.col("_sl_first_key").isNotNull(), _ts(F.col(start_col))).otherwise(F.col(c)).alias(c)
         if c == valid_from else F.col(c) for c in dim.columns])
+    if orders is not None:   # abort before anything is written, as the reference job does
+        _enforce(scd2_repair_checks(repaired, dim, orders, key, version_key, expected_orders=expected_orders))
+    return repaired
+
+
+def scd2_repair_checks(candidate: DataFrame, original: DataFrame, orders: DataFrame,
+                       key: str = "customer_id", version_key: str = "customer_key",
+                       order_id: str = "order_id", order_ts: str = "order_date",
+                       expected_orders: int | None = None) -> DataFrame:
+    """OP9's guards as data, one job: ``(check, violations)`` for NULL starts,
+    a changed row count, orders not matching exactly one version and (when
+    given) an unexpected number of checked orders. ``scd2_repair_start(...,
+    orders=...)`` raises on any of them before anything is written."""
+    from starloom.operators.temporal import version_match_count
+
+    one = F.lit(1)
+    parts = [
+        candidate.agg(F.count_if(F.col("effective_from").isNull()).cast("long").alias("v")).select(
+            F.lit("null_effective_from").alias("check"), "v"),
+        candidate.select(F.lit(1).alias("s")).unionByName(original.select(F.lit(-1).alias("s"))).agg(
+            F.abs(F.sum("s")).cast("long").alias("v")).select(F.lit("row_count_changed").alias("check"), "v"),
+    ]
+    matches = version_match_count(orders.dropDuplicates([order_id]), candidate, order_id, key, order_ts,
+                                  version_key)
+    parts.append(matches.agg(F.count_if(F.col("match_count") != 1).cast("long").alias("v")).select(
+        F.lit("orders_not_matching_one_version").alias("check"), "v"))
+    if expected_orders is not None:
+        parts.append(matches.agg(F.abs(F.count(one) - F.lit(expected_orders)).cast("long").alias("v")).select(
+            F.lit("checked_order_count").alias("check"), "v"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumnRenamed("v", "violations")
 
 
 # --------------------------------------------------------------- integrity

@@ -682,3 +682,16 @@ def fact_orders_asof(spark, sf_dir):
     w.build_dimensions()
     return expose(build_fact(w.stg_orders, w.stg_order_items, w.dim_customer, w.dim_product, w.dim_date,
                              w.dim_payment, pit="asof"))
+
+
+@query()
+def dq_repair_checks(spark, sf_dir):
+    """OP9 guards on the repaired moved dimension against all staged orders."""
+    w = _wh(spark, sf_dir)
+    moved = dim_customer_moved(w)
+    late = moved.withColumn(
+        "effective_from",
+        F.when(F.col("effective_from") == F.col("signup_date").cast("timestamp_ntz"),
+               F.col("effective_from") + F.expr("INTERVAL 45 DAYS")).otherwise(F.col("effective_from")))
+    repaired = scd.scd2_repair_start(late)
+    return scd.scd2_repair_checks(repaired, late, w.stg_orders)

@@ -241,3 +241,17 @@ def test_asof_join_matches_interval_join_with_hot_key(spark):
     left = asof_join(fdf, vdf, "customer_id", "order_date", how="left", num_partitions=5)
     assert left.count() == 3000
     assert left.filter("customer_key IS NULL").count() == 3000 - ref.count()
+
+
+def test_repair_guards_abort(spark):
+    orders = spark.createDataFrame([(10, 1, T(2024, 1, 5)), (11, 2, T(2024, 3, 2))],
+                                   "order_id long, customer_id long, order_date timestamp_ntz")
+    ok = scd.scd2_repair_start(dim(spark), orders=orders, expected_orders=2)
+    assert ok.count() == 4
+    early = orders.unionByName(spark.createDataFrame([(12, 3, T(2023, 12, 1))],
+                                                     "order_id long, customer_id long, order_date timestamp_ntz"))
+    with pytest.raises(scd.Scd2ValidationError) as e:
+        scd.scd2_repair_start(dim(spark), orders=early)
+    assert dict(e.value.violations) == {"orders_not_matching_one_version": 1}
+    with pytest.raises(scd.Scd2ValidationError):
+        scd.scd2_repair_start(dim(spark), orders=orders, expected_orders=300)
