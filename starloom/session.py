@@ -66,6 +66,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder.config("spark.ui.enabled", "false")
+        # checkpoint files of DataFrames that are no longer referenced are
+        # removed by the context cleaner (sessions run many keyed builds)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
     )

@@ -18,6 +18,7 @@ def spark():
     s = (SparkSession.builder.master("local[4]").appName("starloom-tests")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
