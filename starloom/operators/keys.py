@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import FractionalType, IntegralType
 
+from starloom.functions.plan import bounded_broadcast
+
 _POS_BITS = 33
 _MID = "_sl_mid"
 _PID = "_sl_pid"
@@ -81,7 +83,7 @@ def _dense_key_quantile(df: DataFrame, col: str, key_col: str, start, n: int) ->
     start_col = start if isinstance(start, Column) else F.lit(start)
     return (
         tagged.withColumn(_MID, pos)
-        .join(F.broadcast(offsets), _PID)
+        .join(bounded_broadcast(offsets, n), _PID)
         .withColumn(key_col, (start_col + F.col(_OFF) + F.col(_MID)).cast("long"))
         .select(key_col, *df.columns)
     )
@@ -103,7 +105,7 @@ def _dense_key_range(df: DataFrame, order_cols: list[str], key_col: str, start,
     pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     start_col = start if isinstance(start, Column) else F.lit(start)
     return (
-        tagged.join(F.broadcast(offsets), pid == F.col(_PID))
+        tagged.join(bounded_broadcast(offsets, n), pid == F.col(_PID))
         .withColumn(key_col, (start_col + F.col(_OFF) + pos).cast("long"))
         .drop(_MID, _PID, _OFF)
         .select(key_col, *df.columns)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.functions.calendar import start_of_day
 from starloom.functions.nulls import any_distinct, typed_null
+from starloom.functions.plan import bounded_broadcast
 from starloom.operators.keys import dense_key, next_key_start
 from starloom.operators.sequence import with_neighbours
 from starloom.operators.staging import latest_per_key
@@ -283,7 +284,8 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebrea
         F.col("_sl_start"), F.struct(F.col(key).alias("k"), *[F.col(c) for c in order]))).alias("_sl_fs"))
     following = Window.orderBy(F.col(pid).desc()).rowsBetween(Window.unboundedPreceding, -1)  # per slice
     after = first_start.select(pid, F.last("_sl_fs", ignorenulls=True).over(following).alias("_sl_after"))
-    j = starts.join(F.broadcast(after), pid, "left")
+    n = num_partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    j = starts.join(bounded_broadcast(after, n), pid, "left")
     across = F.when(F.col("_sl_after.k").eqNullSafe(F.col(key)), F.col(f"_sl_after.{ts}"))
     end = F.coalesce(F.col("_sl_next_in"), across)
     return j.select(

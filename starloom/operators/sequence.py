@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from starloom.functions.plan import bounded_broadcast
+
 _PID = "_sl_pid"
 
 
@@ -44,7 +46,8 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list
     # execution, so two executions of a range exchange may cut differently:
     # the sliced rows are checkpointed once (reliable, in the cluster's
     # checkpoint dir) with their slice id stored as data.
-    ranged = (df.repartitionByRange(_n(df, num_partitions), *sort_cols)
+    n = _n(df, num_partitions)
+    ranged = (df.repartitionByRange(n, *sort_cols)
               .withColumn(_PID, F.spark_partition_id())
               .checkpoint(eager=True))
     # Window groups are (slice, key): a slice holds many keys, a hot key spans
@@ -70,7 +73,7 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list
     if nxt:
         sel.append(F.lead(F.lit(1)).over(w).isNotNull().alias("_sl_nin"))
         sel += [F.lead(c).over(w).alias(f"_sl_n_{c}") for c in cols]
-    out = ranged.select(*sel).join(F.broadcast(border), _PID, "left")
+    out = ranged.select(*sel).join(bounded_broadcast(border, n), _PID, "left")
 
     def same_key(side: str) -> F.Column:
         cond = F.col(side).isNotNull()

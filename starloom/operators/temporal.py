@@ -9,6 +9,7 @@ For entities with very long histories, ``bucket`` adds a coarse time bucket
 to the equi-key: every version is replicated into the buckets its interval
 overlaps (bounded by the span of the facts), every fact probes only its own
 bucket, so a key's versions are never compared with all of its facts.
+``asof_join`` avoids pairing altogether (time-ordered stream per key).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.nulls import within_validity
+from starloom.functions.plan import bounded_broadcast
 
 
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
@@ -97,7 +99,7 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, how: str
                                                 F.col("_sl_v").alias("v")))).alias("_sl_lv"))
     before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
     carry = last_v.select(pid, F.last("_sl_lv", ignorenulls=True).over(before).alias("_sl_carry"))
-    j = filled.join(F.broadcast(carry), pid, "left")
+    j = filled.join(bounded_broadcast(carry, n), pid, "left")
     carried = F.when(F.col("_sl_carry.k").eqNullSafe(F.col(key)), F.col("_sl_carry.v"))
     ver = F.coalesce(F.col("_sl_cur"), carried)
     open_end = ver.getField(valid_to).isNull() | (F.col(t) < ver.getField(valid_to))
