@@ -225,3 +225,23 @@ def test_stage_try_casts_bad_values(spark):
     rows = {r["email"]: r for r in stage(raw, CUSTOMERS, dedupe=False).collect()}
     assert rows["a@b.c"]["customer_id"] == 7
     assert rows["q@b.c"]["customer_id"] is None and rows["q@b.c"]["signup_date"] is None
+
+
+def test_incremental_run_empty_batch_and_advance(spark, scratch):
+    from starloom.plans.incremental import incremental_run
+    src = spark.createDataFrame([(1, T(2024, 1, 1)), (2, T(2024, 1, 3))], "id long, updated_at timestamp_ntz")
+    state = initial_state(spark, [("p", "t", "2024-01-05 00:00:00")])
+    published = []
+    run = incremental_run(src, state, "p", "t", "updated_at", apply=lambda b: b,
+                          publish=lambda df: published.append(df.count()))
+    assert not run.applied and published == []                        # nothing newer: target untouched
+    state = initial_state(spark, [("p", "t", "2024-01-02 00:00:00")])
+    run = incremental_run(src, state, "p", "t", "updated_at", apply=lambda b: b,
+                          publish=lambda df: published.append(df.count()))
+    assert run.applied and published == [1]
+    assert read_watermark(run.state, "p", "t") == T(2024, 1, 3)        # advanced after the publish
+
+
+def test_observed_write_counts_in_the_same_job(spark, scratch):
+    m = pub.write_observed(spark.range(0, 1234).toDF("x"), os.path.join(scratch, "obs"))
+    assert m["rows"] == 1234
