@@ -180,19 +180,27 @@ def _sequence_violations(dim: DataFrame, changes: DataFrame, spec: Scd2Spec) ->
         "check", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))
 
 
-def _merge_sequence(dim: DataFrame, changes: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """Snapshot merge of a batch holding several changes per id, applied in
+def _merge_sequence(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, mode: str = "snapshot") -> DataFrame:
+    """Merge of a batch holding several changes per id, applied in
     change-time order: the current version and the id's changes form one
-    small log that is collapsed with ``scd2_from_log`` (equal consecutive
-    tracked values extend a version). A new id's first version starts at
-    ``new_start``."""
+    small log that is collapsed with ``scd2_from_log``. In snapshot mode equal
+    consecutive tracked values extend a version; in strict mode every change
+    row opens one (its time is part of the compared values). A new id's first
+    version starts at ``new_start``."""
     vk, key = spec.version_key, spec.key
     extra = [c for c in spec.carried]
     cur = dim.filter(F.col(spec.current)).select(
         key, F.col(spec.valid_from).alias("_sl_t"), *spec.tracked, *extra, F.col(vk))
     src = changes.select(key, _ts(F.col(spec.change_ts)).alias("_sl_t"), *spec.tracked, *extra,
                          F.lit(None).cast("long").alias(vk))
-    versions = scd2_from_log(cur.unionByName(src), key, "_sl_t", list(spec.tracked), carry=[*extra, vk])
+    compared = list(spec.tracked)
+    log = cur.unionByName(src)
+    if mode == "strict":
+        log = log.withColumn("_sl_row_t", F.col("_sl_t"))
+        compared.append("_sl_row_t")
+    versions = scd2_from_log(log, key, "_sl_t", compared, carry=[*extra, vk])
+    if mode == "strict":
+        versions = versions.drop("_sl_row_t")
     versions = versions.withColumnsRenamed({"effective_from": spec.valid_from, "effective_to": spec.valid_to,
                                             "is_current": spec.current})
     kept = versions.filter(F.col(vk).isNotNull())
@@ -219,15 +227,20 @@ def scd2_merge(dim: DataFrame, changes: DataFrame, spec: Scd2Spec = CUSTOMER_SCD
     ``on_new``: ``"insert"`` (snapshot default), ``"reject"`` (strict
     default) or ``"ignore"``. With ``validate`` the change set is checked
     first (one job) and rejected with ``Scd2ValidationError``.
-    ``sequence=True`` (snapshot mode) accepts several changes per id and
-    applies them in change-time order instead of rejecting the batch.
+    ``sequence=True`` accepts several changes per id and applies them in
+    change-time order instead of rejecting the batch (both modes).
     """
     if sequence:
-        if mode != "snapshot":
-            raise ValueError("sequence=True is defined for snapshot mode")
         if validate:
-            _enforce(_sequence_violations(dim, changes, spec))
-        return _merge_sequence(dim, changes, spec)
+            checks = _sequence_violations(dim, changes, spec)
+            if mode == "strict" and (on_new or "reject") == "reject":
+                unknown = changes.select(spec.key).join(
+                    dim.filter(F.col(spec.current)).select(spec.key), spec.key, "left_anti")
+                checks = checks.unionByName(unknown.agg(F.count(F.lit(1)).cast("long").alias("violations"))
+                                            .select(F.lit("id_without_current_version").alias("check"),
+                                                    "violations"))
+            _enforce(checks)
+        return _merge_sequence(dim, changes, spec, mode)
     on_new = on_new or ("insert" if mode == "snapshot" else "reject")
     if validate:
         _enforce(scd2_violations(dim, changes, spec, mode, on_new))

@@ -255,3 +255,14 @@ def test_repair_guards_abort(spark):
     assert dict(e.value.violations) == {"orders_not_matching_one_version": 1}
     with pytest.raises(scd.Scd2ValidationError):
         scd.scd2_repair_start(dim(spark), orders=orders, expected_orders=300)
+
+
+def test_sequence_strict_opens_a_version_per_change(spark):
+    chg = [(1, "Ann", "Lee", "ann@x.com", "Pune", "MH", "IN", D(2024, 1, 1), T(2024, 6, 1)),
+           (1, "Ann", "Lee", "ann@x.com", "Pune", "MH", "IN", D(2024, 1, 1), T(2024, 7, 1))]
+    out = scd.scd2_merge(dim(spark), src(spark, chg), mode="strict", sequence=True)
+    one = sorted((r["effective_from"], r["effective_to"]) for r in out.filter("customer_id = 1").collect())
+    assert one == [(T(2024, 1, 1), T(2024, 6, 1)), (T(2024, 6, 1), T(2024, 7, 1)), (T(2024, 7, 1), None)]
+    with pytest.raises(scd.Scd2ValidationError):
+        scd.scd2_merge(dim(spark), src(spark, chg + [(9, "Z", "Z", "z@x", "C", "S", "K", D(2024, 1, 1),
+                                                       T(2024, 6, 1))]), mode="strict", sequence=True)
