@@ -266,3 +266,20 @@ def test_sequence_strict_opens_a_version_per_change(spark):
     with pytest.raises(scd.Scd2ValidationError):
         scd.scd2_merge(dim(spark), src(spark, chg + [(9, "Z", "Z", "z@x", "C", "S", "K", D(2024, 1, 1),
                                                        T(2024, 6, 1))]), mode="strict", sequence=True)
+
+
+def test_from_log_with_a_user_holding_a_third_of_the_log(spark):
+    import random
+    from pyspark.sql import Window
+    rnd = random.Random(5)
+    rows = [(0 if i % 3 == 0 else rnd.randint(1, 40), T(2024, 1, 1) + dt.timedelta(seconds=i), i,
+             rnd.choice("ab")) for i in range(6000)]
+    log = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_id long, event_type string")
+    got = scd.scd2_from_log(log, "user_id", "ts", ["event_type"], ["event_id"], num_partitions=9)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    starts = log.withColumn("p", F.lag("event_type").over(w)).filter(
+        F.col("p").isNull() | (F.col("p") != F.col("event_type")))
+    ref = starts.select("user_id", "event_type", F.col("ts").alias("effective_from"),
+                        F.lead("ts").over(w).alias("effective_to"))
+    cols = ["user_id", "event_type", "effective_from", "effective_to"]
+    assert sorted(got.select(*cols).collect()) == sorted(ref.select(*cols).collect())
