@@ -198,7 +198,7 @@ def _merge_sequence(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, mode: st
     if mode == "strict":
         log = log.withColumn("_sl_row_t", F.col("_sl_t"))
         compared.append("_sl_row_t")
-    versions = scd2_from_log(log, key, "_sl_t", compared, carry=[*extra, vk])
+    versions = scd2_from_log(log, key, "_sl_t", compared, carry=[*extra, vk], slicing="range")
     if mode == "strict":
         versions = versions.drop("_sl_row_t")
     versions = versions.withColumnsRenamed({"effective_from": spec.valid_from, "effective_to": spec.valid_to,
@@ -269,7 +269,8 @@ def scd2_what_if(dim: DataFrame, source: DataFrame, key_value, overrides: dict,
 
 # ----------------------------------------------------------- from a change log
 def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebreak: list[str] | None = None,
-                  num_partitions: int | None = None, carry: list[str] | None = None) -> DataFrame:
+                  num_partitions: int | None = None, carry: list[str] | None = None,
+                  slicing: str = "sample") -> DataFrame:
     """OP5: versions from a whole change log. A version starts at every row
     whose tracked values differ (null-safely) from the previous row of the same
     key; it ends where the next version of that key starts (NULL = open).
@@ -281,12 +282,17 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebrea
     1. ``with_neighbours`` gives each row its predecessor -> start flags;
     2. on the same (slice, key) groups, a reversed running ``last`` finds the
        next start inside the slice; a start with none there takes the first
-       start of the following slices from a one-row-per-slice table."""
+       start of the following slices from a one-row-per-slice table.
+
+    ``slicing="sample"`` (default, for a log read from storage) cuts slices
+    from a bounded sample and writes nothing; ``"range"`` (for a log that is
+    itself computed, e.g. a union with a dimension) slices with a range
+    exchange and checkpoints once, so the input is not recomputed per pass."""
     order = [ts, *(tiebreak or [])]
     carry = list(carry or [])
     pid = "_sl_pid"
     nb = with_neighbours(log.select(key, *order, *tracked, *carry), [key], order, tracked, prev=True,
-                         num_partitions=num_partitions, keep_slice=True)
+                         num_partitions=num_partitions, keep_slice=True, slicing=slicing)
     is_start = ~F.col("prev_exists") | any_distinct([(F.col(c), F.col(f"prev_{c}")) for c in tracked])
     flagged = nb.withColumn("_sl_start", is_start)
     later = Window.partitionBy(pid, key).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(
@@ -329,7 +335,8 @@ def scd2_apply_log(dim: DataFrame, batch: DataFrame, key: str, ts: str, tracked:
     ev = batch.select(key, ts, F.col(tiebreak).cast("long").alias(tiebreak), *tracked).join(
         starts, key, "left").filter(F.col("_sl_cur_from").isNull() | (F.col(ts) > F.col("_sl_cur_from"))).select(
         key, ts, tiebreak, *tracked, F.lit(None).cast("long").alias(version_key))
-    versions = scd2_from_log(cur.unionByName(ev), key, ts, tracked, [tiebreak], carry=[version_key])
+    versions = scd2_from_log(cur.unionByName(ev), key, ts, tracked, [tiebreak], carry=[version_key],
+                             slicing="range")
     kept = versions.filter(F.col(version_key).isNotNull())
     fresh = versions.filter(F.col(version_key).isNull()).drop(version_key)
     start = key_start if key_start is not None else next_key_start(dim, version_key)

@@ -47,11 +47,12 @@ def test_snapshot_merges_equal_log_versions(spark, batches):
 
 @SETTINGS
 @given(values=st.lists(st.tuples(st.integers(0, 3), st.sampled_from("xy")), min_size=1, max_size=60),
-       parts=st.integers(1, 6))
-def test_neighbours_equal_window(spark, values, parts):
+       parts=st.integers(1, 6), slicing=st.sampled_from(["sample", "range"]))
+def test_neighbours_equal_window(spark, values, parts, slicing):
     rows = [(k if i % 3 else 0, i, v) for i, (k, v) in enumerate(values)]   # key 0 is hot
     df = spark.createDataFrame(rows, "k long, t long, v string")
-    got = with_neighbours(df, ["k"], ["t"], ["v"], prev=True, nxt=True, num_partitions=parts)
+    got = with_neighbours(df, ["k"], ["t"], ["v"], prev=True, nxt=True, num_partitions=parts,
+                          slicing=slicing)
     w = Window.partitionBy("k").orderBy("t")
     ref = df.select("k", "t", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n"))
     bad = got.join(ref, ["k", "t"]).filter(~F.col("prev_v").eqNullSafe(F.col("p"))
