@@ -25,7 +25,7 @@ from starloom.functions.calendar import start_of_day
 from starloom.functions.nulls import any_distinct, typed_null
 from starloom.functions.plan import bounded_broadcast
 from starloom.operators.keys import dense_key, next_key_start
-from starloom.operators.sequence import with_neighbours
+from starloom.operators.sequence import sliced, with_neighbours
 from starloom.operators.staging import latest_per_key
 
 
@@ -291,19 +291,38 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebrea
     order = [ts, *(tiebreak or [])]
     carry = list(carry or [])
     pid = "_sl_pid"
-    nb = with_neighbours(log.select(key, *order, *tracked, *carry), [key], order, tracked, prev=True,
-                         num_partitions=num_partitions, keep_slice=True, slicing=slicing)
+    sort_cols = [key, *order]
+    n = num_partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = sliced(log.select(key, *order, *tracked, *carry), sort_cols, n, slicing)
+    nb = with_neighbours(ranged, [key], order, tracked, prev=True, num_partitions=n, keep_slice=True,
+                         slicing="presliced")
     is_start = ~F.col("prev_exists") | any_distinct([(F.col(c), F.col(f"prev_{c}")) for c in tracked])
-    flagged = nb.withColumn("_sl_start", is_start)
     later = Window.partitionBy(pid, key).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(
         Window.unboundedPreceding, -1)
-    nearest = F.last(F.when(F.col("_sl_start"), F.col(ts)), ignorenulls=True).over(later)
-    starts = flagged.withColumn("_sl_next_in", nearest).filter(F.col("_sl_start"))
-    first_start = flagged.groupBy(pid).agg(F.min(F.when(
-        F.col("_sl_start"), F.struct(F.col(key).alias("k"), *[F.col(c) for c in order]))).alias("_sl_fs"))
+    nearest = F.last(F.when(is_start, F.col(ts)), ignorenulls=True).over(later)
+    starts = nb.withColumn("_sl_start", is_start).withColumn("_sl_next_in", nearest).filter(
+        F.col("_sl_start"))
+
+    # First version start of every slice, from the sliced rows with one
+    # aggregation (no second window pass): the slice's head row if it starts
+    # a version, else the first row whose (key, tracked) differ from the
+    # head's (every row before it repeats the head, so it is the first start).
+    packed = F.struct(F.col(key).alias("k"), *[F.col(c) for c in order], *[F.col(c) for c in tracked])
+    tiny = Window.orderBy(pid)  # one row per slice
+    border = ranged.groupBy(pid).agg(F.min(packed).alias("_sl_h"), F.max(packed).alias("_sl_l")).select(
+        pid, "_sl_h", F.lag("_sl_l").over(tiny).alias("_sl_b"))
+    head_starts = (F.col("_sl_b").isNull() | ~F.col("_sl_b.k").eqNullSafe(F.col("_sl_h.k"))
+                   | any_distinct([(F.col(f"_sl_b.{c}"), F.col(f"_sl_h.{c}")) for c in tracked]))
+    differs = (~F.col(key).eqNullSafe(F.col("_sl_h.k"))
+               | any_distinct([(F.col(c), F.col(f"_sl_h.{c}")) for c in tracked]))
+    at = F.struct(F.col(key).alias("k"), *[F.col(c) for c in order])
+    head_at = F.struct(F.col("_sl_h.k").alias("k"), *[F.col(f"_sl_h.{c}").alias(c) for c in order])
+    first_start = ranged.join(bounded_broadcast(border, n), pid).groupBy(pid).agg(
+        F.first(F.when(head_starts, head_at), ignorenulls=True).alias("_sl_hs"),
+        F.min(F.when(differs, at)).alias("_sl_ds")).select(
+        pid, F.coalesce("_sl_hs", "_sl_ds").alias("_sl_fs"))
     following = Window.orderBy(F.col(pid).desc()).rowsBetween(Window.unboundedPreceding, -1)  # per slice
     after = first_start.select(pid, F.last("_sl_fs", ignorenulls=True).over(following).alias("_sl_after"))
-    n = num_partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     j = starts.join(bounded_broadcast(after, n), pid, "left")
     across = F.when(F.col("_sl_after.k").eqNullSafe(F.col(key)), F.col(f"_sl_after.{ts}"))
     end = F.coalesce(F.col("_sl_next_in"), across)

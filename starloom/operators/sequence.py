@@ -98,14 +98,15 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list
     """Add ``prev_<c>`` / ``next_<c>`` for every ``c`` in ``cols`` (values of the
     adjacent row of the same key in ``order``), plus ``prev_exists`` /
     ``next_exists`` flags. ``keep_slice`` also returns the slice id
-    (``_sl_pid``, stored data) so a caller can run further per-slice steps on
-    the same layout without another range exchange."""
+    (``_sl_pid``) so a caller can run further per-slice steps on the same
+    layout; ``slicing="presliced"`` takes a ``df`` that already carries it
+    (from ``sliced``)."""
     sort_cols = [*keys, *order]
     carried = list(dict.fromkeys([*keys, *cols]))
     # The slice id is read by two branches of the plan (rows, per-slice
     # borders), so it must be the same in both: see ``sliced``.
     n = _n(df, num_partitions)
-    ranged = sliced(df, sort_cols, n, slicing)
+    ranged = df if slicing == "presliced" else sliced(df, sort_cols, n, slicing)
     # Window groups are (slice, key): a slice holds many keys, a hot key spans
     # many slices, so no group is larger than one slice and most are small.
     w = Window.partitionBy(_PID, *keys).orderBy(*order)
@@ -137,7 +138,7 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list
             cond = cond & F.col(f"{side}.{k}").eqNullSafe(F.col(k))
         return cond
 
-    final = [F.col(c) for c in df.columns] + ([F.col(_PID)] if keep_slice else [])
+    final = [F.col(c) for c in df.columns if c != _PID] + ([F.col(_PID)] if keep_slice else [])
     if prev:
         # the first row of a slice takes its predecessor from the slice before
         head = sort_key.eqNullSafe(F.col("_sl_head_key"))

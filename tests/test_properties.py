@@ -67,3 +67,20 @@ def test_dense_key_equals_row_number(spark, ids, parts, method):
     df = spark.createDataFrame([(i,) for i in ids], "id long")
     got = {r["id"]: r["k"] for r in dense_key(df, ["id"], "k", num_partitions=parts, method=method).collect()}
     assert got == {i: n for n, i in enumerate(sorted(ids))}
+
+
+@SETTINGS
+@given(values=st.lists(st.tuples(st.integers(0, 2), st.sampled_from("ab")), min_size=1, max_size=50),
+       parts=st.integers(1, 7), slicing=st.sampled_from(["sample", "range"]))
+def test_from_log_equals_window_definition(spark, values, parts, slicing):
+    rows = [(k if i % 2 else 0, T0 + dt.timedelta(minutes=i), i, v) for i, (k, v) in enumerate(values)]
+    log = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_id long, event_type string")
+    got = scd.scd2_from_log(log, "user_id", "ts", ["event_type"], ["event_id"], num_partitions=parts,
+                            slicing=slicing)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    starts = log.withColumn("p", F.lag("event_type").over(w)).filter(
+        F.col("p").isNull() | (F.col("p") != F.col("event_type")))
+    ref = starts.select("user_id", "event_type", F.col("ts").alias("effective_from"),
+                        F.lead("ts").over(w).alias("effective_to"))
+    cols = ["user_id", "event_type", "effective_from", "effective_to"]
+    assert sorted(got.select(*cols).collect()) == sorted(ref.select(*cols).collect())
