@@ -21,7 +21,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.functions.calendar import start_of_day
 from starloom.functions.nulls import any_distinct, typed_null
 from starloom.functions.plan import bounded_broadcast
 from starloom.operators.keys import dense_key, next_key_start
