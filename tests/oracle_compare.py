@@ -21,6 +21,9 @@ if ROOT not in sys.path:
 
 from starloom.sources.tables import DRIVER_TABLES  # noqa: E402
 
+# STARLOOM_EXACT=1 compares doubles bit for bit (the driver hashes values)
+EXACT = os.environ.get("STARLOOM_EXACT", "") == "1"
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -37,7 +40,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if hasattr(v, "isoformat"):
         return pd.Timestamp(v).isoformat()
     if hasattr(v, "item"):
