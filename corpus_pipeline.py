@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import langid, linededup, mixing, packing
+from starloom.llm import jaccard, langid, linededup, mixing, packing
 from starloom.llm.queries import tokenizer_path
 from starloom.llm.ship import ready
 from starloom.session import ensure_checkpoint_dir
