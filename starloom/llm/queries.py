@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.sources.tables import read_table
 
-from . import jaccard, langid, linededup, merkle, mixing, packing, spotsigs, topk
+from . import hpylm, jaccard, langid, linededup, merkle, mixing, packing, spotsigs, topk
 from .ship import ready
 
 VOCABULARY = "word_bpe_49k.json"
@@ -33,6 +33,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(read_table(spark, sf_dir, "documents"))
 
 
+def op4_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return hpylm.score(docs, "doc_id", "text", langid.held_out(F.col("doc_id"), part=1))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -88,7 +93,7 @@ def _ready(fn):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _ready(f) for f in (op2_topk_search, op3_jaccard_join, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing)}
+    f.__name__: _ready(f) for f in (op2_topk_search, op3_jaccard_join, op4_hpylm, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing)}
 
 ORACLE: dict[str, str] = {
     "op2_topk_search": """
