@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.sources.tables import read_table
 
-from . import hpylm, jaccard, langid, linededup, merkle, mixing, packing, spotsigs, topk
+from . import cotrain, hpylm, jaccard, langid, linededup, merkle, mixing, packing, spotsigs, topk
 from .ship import ready
 
 VOCABULARY = "word_bpe_49k.json"
@@ -23,6 +23,10 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings")
     e = e.select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
@@ -93,7 +97,7 @@ def _ready(fn):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _ready(f) for f in (op2_topk_search, op3_jaccard_join, op4_hpylm, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing)}
+    f.__name__: _ready(f) for f in (op1_cotrain, op2_topk_search, op3_jaccard_join, op4_hpylm, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing)}
 
 ORACLE: dict[str, str] = {
     "op2_topk_search": """
