@@ -143,11 +143,21 @@ def shared_counts(docs: DataFrame, buckets: int, k: int, text_col: str) -> DataF
         c, t = c[order], t[order]
         new = np.concatenate(([True], (c[1:] != c[:-1]) | (t[1:] != t[:-1])))[:len(c)]
         who, n = np.unique(c[new], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(who.view(np.int64)), pa.array(n.astype(np.int64))], names=["c", "shared"])
-
-    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(send, "bucket int, c binary, count binary, t binary")
-    per = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(count, "c long, shared long")
-    return per.groupBy("c").agg(F.sum("shared").alias("shared"))
+        to = _bucket(mix(who), buckets)
+        rows = _spread(np.arange(len(who)), to, buckets, [n.astype(np.uint32)], who)
+        yield _rows({"bucket": pa.int32(), "c": pa.binary(), "count": pa.binary(), "t": pa.binary()}, rows)
+
+    def total(batches):
+        c, _, n = _gather(batches, [np.uint64, np.uint32, np.uint32])
+        who, inverse = np.unique(c, return_inverse=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(who.view(np.int64)), pa.array(np.bincount(inverse, weights=n, minlength=len(who)).astype(np.int64))],
+            names=["c", "shared"])
+
+    block = "bucket int, c binary, count binary, t binary"
+    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(send, block)
+    per = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(count, block)
+    return per.repartitionById(buckets, F.col("bucket")).mapInArrow(total, "c long, shared long")
 
 
 def profiles(docs: DataFrame, buckets: int, k: int, percent: int) -> DataFrame:
