@@ -38,12 +38,15 @@ def boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "host"
     """host, line_key, n_pages, host_pages of every boilerplate line."""
     base = pages.select(F.col(host_col).alias("host"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     base = base.withColumn("page", _digest(F.col("text")))
-    hosts = base.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    lines = base.select("host", "page", F.explode(F.split("text", sep)).alias("line")).filter(F.trim("line") != "")
-    counts = (lines.select("host", "page", _line_key(F.col("line")).alias("line_key")).distinct()
-              .groupBy("host", "line_key").agg(F.count(F.lit(1)).alias("n_pages"))
-              .filter(F.col("n_pages") >= min_pages))
-    return (counts.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).drop("h")
+    # the empty key stands for the page itself: one pass counts lines and pages
+    lines = F.filter(F.split("text", sep), lambda x: F.trim(x) != "")
+    keys = F.concat(F.transform(lines, _line_key), F.array(F.lit("").cast("binary")))
+    counts = (base.select("host", "page", F.explode(keys).alias("line_key")).distinct()
+              .groupBy("host", "line_key").agg(F.count(F.lit(1)).alias("n_pages")))
+    page = F.octet_length("line_key") == 0
+    hosts = counts.filter(page).select(F.col("host").alias("h"), F.col("n_pages").alias("host_pages"))
+    found = counts.filter(~page & (F.col("n_pages") >= min_pages))
+    return (found.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h")
             .filter(F.col("n_pages") > F.col("host_pages") * ratio))
 
 
