@@ -129,8 +129,9 @@ def tilts(pairs: DataFrame, targets: DataFrame, max_copies: float, tolerance: fl
                .withColumn("lam", F.when(F.col("done"), F.col("lam")).otherwise(F.col("next")))
                .withColumn("lo", F.coalesce("lo2", "lo")).withColumn("hi", F.coalesce("hi2", "hi")))
         state = new.select("source", "source_size", "target", "mean", "lam", "lo", "hi", "full", "done").checkpoint(eager=True)
+    # rounded, so that the order in which sums were added leaves no trace
     return state.select("source", "source_size", "target", "mean",
-                        F.when(~F.col("full"), F.col("lam")).alias("lam"))
+                        F.when(~F.col("full"), F.round("lam", 9)).alias("lam"))
 
 
 def _with_rates(sized: DataFrame, tilt: DataFrame, source_col: str, id_col: str, cap: float) -> DataFrame:
