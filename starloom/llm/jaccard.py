@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .textops import Words, mix, slices
+from .textops import Words, mix, release, slices
 
 SHINGLE = 5
 PERCENT = 80
@@ -145,6 +145,8 @@ def shared_counts(docs: DataFrame, buckets: int, k: int, text_col: str) -> DataF
         who, n = np.unique(c[new], return_counts=True)
         to = _bucket(mix(who), buckets)
         rows = _spread(np.arange(len(who)), to, buckets, [n.astype(np.uint32)], who)
+        del c, t, order, mask, new, starts, several
+        release()
         yield _rows({"bucket": pa.int32(), "c": pa.binary(), "count": pa.binary(), "t": pa.binary()}, rows)
 
     def total(batches):
@@ -219,6 +221,8 @@ def profiles(docs: DataFrame, buckets: int, k: int, percent: int) -> DataFrame:
                 rows = []
         if rows:
             yield _rows(names, rows)
+        del who, t, df, ties, ranks, order, new
+        release()
 
     binary = "bucket int, c binary, count binary, t binary"
     sent = docs.select("text", "c").mapInArrow(send, binary)

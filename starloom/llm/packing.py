@@ -33,10 +33,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from .textops import release
+
 # Distinct words whose ids one Python worker remembers in each of two
 # generations; older ones are looked up or encoded again, so a vocabulary of
 # any size costs bounded memory.
-WORD_CACHE = 600_000
+WORD_CACHE = 400_000
 
 
 class WordIds(dict):
@@ -232,5 +234,6 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             rows(packer.finish(), out)
             if out:
                 yield batch(out)
+        release()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)

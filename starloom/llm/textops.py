@@ -9,6 +9,7 @@ return NumPy arrays over all its documents at once.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+_LIBC = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: Python workers outlive a task,
+    and what the allocators keep would add up over the tasks of a job."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one slice holds about ``max_bytes`` of text
     (at least one row), which bounds the memory of the vectorised steps."""
     for batch in batches:
@@ -62,6 +74,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             upto = max(at + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield batch.slice(at, upto - at)
             at = upto
+    release()
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
