@@ -27,6 +27,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,8 @@ from .textops import release
 # Distinct words whose ids one Python worker remembers in each of two
 # generations; older ones are looked up or encoded again, so a vocabulary of
 # any size costs bounded memory.
-WORD_CACHE = 400_000
+WORD_CACHE = 250_000
+KEPT_WORDS = 100_000  # of them, those that stay between tasks: the first seen, so the commonest
 
 
 class WordIds(dict):
@@ -80,6 +82,13 @@ class WordIds(dict):
         self._learn(words)
         return [b"".join(map(self.__getitem__, w)) for w in words]
 
+    def shrink(self) -> None:
+        """Between tasks only the words first seen stay."""
+        kept = dict(islice(self.items(), KEPT_WORDS))
+        self.old = {}
+        self.clear()
+        self.update(kept)
+
     def _learn(self, words: list[list[bytes]]) -> None:
         if len(self) > WORD_CACHE:
             self.old = dict(self)
@@ -234,6 +243,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             rows(packer.finish(), out)
             if out:
                 yield batch(out)
+        words.shrink()
         release()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
