@@ -23,8 +23,3 @@ def typed_null(type_name: str) -> Column:
 def within_validity(ts: Column, start: Column, end: Column) -> Column:
     """FLT3: half-open validity ``start <= ts < end`` where a NULL end is open."""
     return (ts >= start) & (end.isNull() | (ts < end))
-
-
-def null_count_exprs(columns: list[str]) -> list[Column]:
-    """DQ1: one ``sum(case when c is null)`` per column, for a single pass."""
-    return [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("long").alias(c) for c in columns]

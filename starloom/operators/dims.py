@@ -53,7 +53,7 @@ def dim_date(spark: SparkSession, start: str | dt.date, end: str | dt.date) -> D
     days = (last - first).days + 1
     if days <= 0:
         raise ValueError(f"empty calendar range {first}..{last}")
-    parts = max(1, min(days // 4096 + 1, 64))
+    parts = days // 4096 + 1
     base = spark.range(0, days, 1, parts).select(
         F.date_add(F.lit(first.isoformat()).cast("date"), F.col("id").cast("int")).alias("full_date")
     )
@@ -61,10 +61,6 @@ def dim_date(spark: SparkSession, start: str | dt.date, end: str | dt.date) -> D
     return base.select(*[expr.alias(name) for name, expr in cols.items()])
 
 
-def calendar_days(start: str | dt.date, end: str | dt.date) -> int:
-    return (_as_date(end) - _as_date(start)).days + 1
-
-
 def calendar_span(events: DataFrame, ts: str) -> tuple[str, str]:
     """Whole calendar years covering the data: Jan 1 of the first event's year
     to Dec 31 of the last event's year (one scalar aggregate)."""

@@ -216,5 +216,5 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 10) -> Data
         "customer_id").agg(F.sum("_rev").alias("_rev"))
     cur = dim_customer.filter(F.col("is_current")).select("customer_id", "first_name", "last_name")
     return ids.orderBy(F.col("_rev").desc(), F.col("customer_id").asc()).limit(k).join(
-        cur, "customer_id", "left").select(
+        cur, "customer_id", "left").orderBy(F.col("_rev").desc(), F.col("customer_id").asc()).select(
         "customer_id", "first_name", "last_name", as_double("_rev").alias("total_revenue"))

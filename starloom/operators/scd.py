@@ -258,12 +258,11 @@ def scd2_what_if(dim: DataFrame, source: DataFrame, key_value, overrides: dict,
                  spec: Scd2Spec = CUSTOMER_SCD2) -> DataFrame:
     """OP24: simulate a change of one entity on read-only inputs: overlay the
     attribute values and change time for ``key_value`` and return the merged
-    candidate (nothing is written)."""
-    hit = F.col(spec.key) == F.lit(key_value)
-    over = {c: F.when(hit, F.lit(v)).otherwise(F.col(c)) for c, v in overrides.items()}
-    over[spec.change_ts] = F.when(hit, F.lit(change_time).cast("timestamp_ntz")).otherwise(
-        F.col(spec.change_ts))
-    return scd2_merge(dim, source.withColumns(over), spec, mode="snapshot")
+    candidate (nothing is written). Other entities of the source stay out, so
+    drift between source and dimension opens no versions."""
+    over = {c: F.lit(v) for c, v in overrides.items()}
+    over[spec.change_ts] = F.lit(change_time).cast("timestamp_ntz")
+    return scd2_merge(dim, source.filter(F.col(spec.key) == F.lit(key_value)).withColumns(over), spec, mode="snapshot")
 
 
 # ----------------------------------------------------------- from a change log
@@ -334,8 +333,17 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebrea
     )
 
 
+def scd2_late_rows(dim: DataFrame, batch: DataFrame, key: str, ts: str) -> DataFrame:
+    """Batch rows that cannot be applied to an event dimension: without a
+    time, or not later than the start of their key's current version."""
+    starts = dim.filter(F.col("is_current")).select(key, F.col("effective_from").alias("_sl_cur_from"))
+    late = F.col(ts).isNull() | (F.col(ts) <= F.col("_sl_cur_from"))
+    return batch.join(starts, key, "left").filter(late).select(*batch.columns)
+
+
 def scd2_apply_log(dim: DataFrame, batch: DataFrame, key: str, ts: str, tracked: list[str],
-                   tiebreak: str, version_key: str, key_start: int | None = None) -> DataFrame:
+                   tiebreak: str, version_key: str, key_start: int | None = None,
+                   on_late: str = "raise") -> DataFrame:
     """Append a batch of change-log rows to a Type 2 dimension built by
     ``scd2_from_log`` (the streaming / incremental form of OP5).
 
@@ -343,8 +351,13 @@ def scd2_apply_log(dim: DataFrame, batch: DataFrame, key: str, ts: str, tracked:
     and the combined log is collapsed again: a batch row equal to the current
     version extends it, a different one closes it. Closed history is
     untouched; new versions get keys after the highest existing key (or from
-    ``key_start`` when ``dim`` holds only the current versions). Batch rows
-    not later than the current version's start are late and dropped."""
+    ``key_start`` when ``dim`` holds only the current versions). Late rows
+    (``scd2_late_rows``) raise ``Scd2ValidationError`` with their number;
+    ``on_late="skip"`` leaves them out, for callers that store them."""
+    if on_late == "raise":
+        late_rows = scd2_late_rows(dim, batch, key, ts).count()
+        if late_rows:
+            raise Scd2ValidationError([("late_rows", late_rows)])
     cur = dim.filter(F.col("is_current")).select(
         key, F.col("effective_from").alias(ts), F.lit(None).cast("long").alias(tiebreak), *tracked,
         F.col(version_key))

@@ -311,6 +311,13 @@ SELECT user_id, event_type, ts AS effective_from,
 FROM ev_lagged WHERE rn = 1 OR prev_type IS DISTINCT FROM event_type
 """)
 cte("ev_base", """
+SELECT row_number() OVER (ORDER BY user_id) - 1 AS version_key, user_id, event_type, ts AS effective_from,
+       CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
+FROM (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+      FROM events) x
+WHERE rn = 1
+""")
+cte("ev_marked", """
 SELECT row_number() OVER (ORDER BY user_id) - 1 AS version_key, user_id, event_type, ts AS effective_from,
        CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
 FROM (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
@@ -320,7 +327,7 @@ WHERE rn = 1
 cte("ev_snap", """
 SELECT user_id, event_type, ts
 FROM (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-      FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00') x
+      FROM events) x
 WHERE rn = 1
 """)
 cte("ev_snap_chg", """
@@ -339,9 +346,9 @@ FROM ev_snap_chg
 """)
 cte("ev_feed", """
 SELECT user_id, event_type, ts
-FROM (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-      FROM events WHERE ts >= TIMESTAMP '2024-01-01 12:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00') x
-WHERE rn = 1 AND user_id IN (SELECT user_id FROM ev_base)
+FROM (SELECT e.*, row_number() OVER (PARTITION BY e.user_id ORDER BY e.ts DESC, e.event_id DESC) AS rn
+      FROM events e JOIN ev_base b ON e.user_id = b.user_id AND e.ts > b.effective_from) x
+WHERE rn = 1
 """)
 cte("cust_snap", """
 SELECT customer_id, first_name, last_name, email,
@@ -370,14 +377,18 @@ cte("cust_chg", CUSTOMER_CHANGED.format(snap="cust_snap"))
 cte("d_customer_moved", CUSTOMER_MERGE.format(chg="cust_chg"))
 cte("whatif_snap", """
 SELECT customer_id, first_name, last_name, email,
-       CASE WHEN customer_id = 1 THEN 'Test City' ELSE city END AS city, state, country, signup_date,
-       CASE WHEN customer_id = 1 THEN TIMESTAMP '2026-09-26 12:00:00' ELSE updated_at END AS updated_at
-FROM s_customers
+       CASE WHEN customer_id = 7 THEN 'LISBON' ELSE city END AS city, state, country, signup_date,
+       CASE WHEN customer_id = 7 THEN TIMESTAMP '1999-06-01 08:30:00' ELSE updated_at END AS updated_at
+FROM s_customers WHERE customer_id = 7
 """)
 cte("whatif_chg", CUSTOMER_CHANGED.format(snap="whatif_snap"))
 cte("f_orders_moved", FACT_BODY.format(dim="d_customer_moved"))
 
 oracle("scd2_from_log", "SELECT * FROM ev_versions")
+oracle("scd2_log_rejected", """
+SELECT e.user_id, e.ts, e.event_id, e.event_type FROM events e JOIN ev_base b ON e.user_id = b.user_id
+WHERE e.ts IS NULL OR e.ts <= b.effective_from
+""")
 oracle("scd2_merge_snapshot", """
 SELECT * FROM ev_base b WHERE NOT EXISTS (SELECT 1 FROM ev_snap_chg c WHERE c.user_id = b.user_id AND NOT c.is_new)
 UNION ALL SELECT * FROM ev_snap_closed
@@ -606,8 +617,7 @@ oracle("dq_scd2_integrity", _checks([
      "(SELECT 1 FROM d_customer_moved n WHERE n.customer_id = d.customer_id AND n.effective_from = d.effective_to)"),
 ]))
 cte("ev_feed_raw", """
-SELECT user_id, event_type, ts FROM events
-WHERE ts >= TIMESTAMP '2024-01-01 12:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'
+SELECT e.user_id, e.event_type, e.ts FROM events e JOIN ev_base b ON e.user_id = b.user_id AND e.ts > b.effective_from
 """)
 oracle("dq_change_feed", _checks([
     ("duplicate_change_ids",
@@ -662,7 +672,7 @@ oracle("reconcile_payments", _recon([
 # ============================================== publish / incremental text
 oracle("publish_roundtrip", "SELECT * FROM d_customer")
 cte("inc_log", """
-SELECT user_id, effective_from AS ts, CAST(NULL AS BIGINT) AS event_id, event_type, version_key FROM ev_base
+SELECT user_id, effective_from AS ts, CAST(NULL AS BIGINT) AS event_id, event_type, version_key FROM ev_marked
 UNION ALL
 SELECT user_id, ts, event_id, event_type, CAST(NULL AS BIGINT) FROM events WHERE ts > TIMESTAMP '2024-01-01 12:00:00'
 """)
@@ -677,7 +687,7 @@ oracle("incremental_load", """
 SELECT version_key, user_id, event_type, effective_from, effective_to, effective_to IS NULL AS is_current
 FROM inc_versions WHERE version_key IS NOT NULL
 UNION ALL
-SELECT (SELECT MAX(version_key) FROM ev_base) + row_number() OVER (ORDER BY user_id, effective_from),
+SELECT (SELECT MAX(version_key) FROM ev_marked) + row_number() OVER (ORDER BY user_id, effective_from),
        user_id, event_type, effective_from, effective_to, effective_to IS NULL
 FROM inc_versions WHERE version_key IS NULL""")
 oracle("incremental_stream", """

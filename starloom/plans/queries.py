@@ -206,13 +206,12 @@ def top10_customers(spark, sf_dir):
 # ======================================================== SCD / temporal
 
 # Fixed scenario values (shared with the oracle text):
-AS_OF_BASE = "2024-01-01 12:00:00"     # events: dimension state as of this time
-AS_OF_SNAPSHOT = "2024-01-16 00:00:00"  # events: snapshot / change-feed cut
+EVENTS_MARK = "2024-01-01 12:00:00"    # stored high-water mark of the events load
 MOVE_REGION = "EUROPE"                  # customers of this region move ...
 MOVE_CITY = "BERLIN"                    # ... to this city ...
 MOVE_AT = "1998-01-01 00:00:00"         # ... at this time
 SCD1_STATE = "NATION_3"                 # SCD1 corrections for this state
-WHAT_IF_ID, WHAT_IF_CITY, WHAT_IF_AT = 1, "Test City", "2026-09-26 12:00:00"
+WHAT_IF_ID, WHAT_IF_CITY, WHAT_IF_AT = 7, "LISBON", "1999-06-01 08:30:00"
 WATERMARK = "2000-01-01 00:00:00"       # stored high-water mark for orders
 
 EVENT_SCD2 = scd.Scd2Spec(key="user_id", version_key="version_key", tracked=("event_type",),
@@ -223,29 +222,42 @@ def _ts(s: str):
     return F.lit(s).cast("timestamp_ntz")
 
 
-def _events_as_of(w: Warehouse, cut: str) -> DataFrame:
-    """Latest event per user strictly before ``cut`` (user_id, ts, event_id, event_type)."""
-    ev = w.t.events.filter(F.col("ts") < _ts(cut)).select("user_id", "ts", "event_id", "event_type")
-    return latest_per_key(ev, ["user_id"], ["ts", "event_id"])
+def _events(w: Warehouse) -> DataFrame:
+    return w.t.events.select("user_id", "ts", "event_id", "event_type")
 
 
-def _event_base_dim(w: Warehouse) -> DataFrame:
-    s = _events_as_of(w, AS_OF_BASE).select(
-        "user_id", "event_type", F.col("ts").alias("effective_from"),
-        typed_null("timestamp_ntz").alias("effective_to"), F.lit(True).alias("is_current"))
+def _open_versions(events: DataFrame) -> DataFrame:
+    """One open version per user of a one-row-per-user event table."""
+    s = events.select("user_id", "event_type", F.col("ts").alias("effective_from"),
+                      typed_null("timestamp_ntz").alias("effective_to"), F.lit(True).alias("is_current"))
     return key_ops.dense_key(s, ["user_id"], "version_key")
 
 
+def _event_base_dim(w: Warehouse) -> DataFrame:
+    """Dimension state after the first event of every user."""
+    first = _events(w).groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "event_type")).alias("r"))
+    return _open_versions(first.select("user_id", "r.*"))
+
+
+def _event_marked_dim(w: Warehouse) -> DataFrame:
+    """Dimension state at the stored mark of the incremental load."""
+    seen = _events(w).filter(F.col("ts") < _ts(EVENTS_MARK))
+    return _open_versions(latest_per_key(seen, ["user_id"], ["ts", "event_id"]))
+
+
 def _event_snapshot(w: Warehouse) -> DataFrame:
-    return _events_as_of(w, AS_OF_SNAPSHOT).select("user_id", "event_type", "ts")
+    """The last event of every user."""
+    return latest_per_key(_events(w), ["user_id"], ["ts", "event_id"]).select("user_id", "event_type", "ts")
+
+
+def _later_events(w: Warehouse, base: DataFrame) -> DataFrame:
+    start = base.select("user_id", F.col("effective_from").alias("_from"))
+    return _events(w).join(start, "user_id").filter(F.col("ts") > F.col("_from")).drop("_from")
 
 
 def _event_feed(w: Warehouse, base: DataFrame) -> DataFrame:
-    """Strict feed: latest event per known user in [base cut, snapshot cut)."""
-    ev = w.t.events.filter((F.col("ts") >= _ts(AS_OF_BASE)) & (F.col("ts") < _ts(AS_OF_SNAPSHOT))).select(
-        "user_id", "ts", "event_id", "event_type")
-    latest = latest_per_key(ev, ["user_id"], ["ts", "event_id"])
-    return latest.join(base.select("user_id"), "user_id", "left_semi").select("user_id", "event_type", "ts")
+    """Strict feed: the latest event per user after its open version."""
+    return latest_per_key(_later_events(w, base), ["user_id"], ["ts", "event_id"]).select("user_id", "event_type", "ts")
 
 
 def _snapshot_merge(spark, sf_dir):
@@ -305,6 +317,12 @@ def scd2_merge_strict(spark, sf_dir):
     return scd.scd2_merge(base, _event_feed(w, base), EVENT_SCD2, mode="strict")
 
 
+@query()
+def scd2_log_rejected(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return scd.scd2_late_rows(_event_base_dim(w), _events(w), "user_id", "ts")
+
+
 @query()
 def scd2_customer_moves(spark, sf_dir):
     return expose(dim_customer_moved(_wh(spark, sf_dir)))
@@ -541,12 +559,11 @@ def dq_scd2_integrity(spark, sf_dir):
 
 @query()
 def dq_change_feed(spark, sf_dir):
-    """DQ19 on a raw feed (every event in the window, not reduced per user)
+    """DQ19 on a raw feed (every event after the first, not reduced per user)
     against the event dimension: duplicates and unknown ids are reported."""
     w = _wh(spark, sf_dir)
     base = _event_base_dim(w)
-    feed = w.t.events.filter((F.col("ts") >= _ts(AS_OF_BASE)) & (F.col("ts") < _ts(AS_OF_SNAPSHOT))).select(
-        "user_id", "event_type", "ts")
+    feed = _later_events(w, base).select("user_id", "event_type", "ts")
     return scd.scd2_violations(base, feed, EVENT_SCD2, mode="strict", on_new="reject")
 
 
@@ -619,8 +636,8 @@ def incremental_load(spark, sf_dir):
     from starloom.sinks.publish import publish
     from starloom.sinks.state import initial_state
     w = _wh(spark, sf_dir)
-    base = _event_base_dim(w)
-    state = initial_state(spark, [("warehouse", "events", AS_OF_BASE)])
+    base = _event_marked_dim(w)
+    state = initial_state(spark, [("warehouse", "events", EVENTS_MARK)])
     path = _scratch(spark, "incremental") + "/dim_events"
     run = incremental_run(
         w.t.events, state, "warehouse", "events", "ts",

@@ -104,9 +104,9 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
     """OP23: extract -> 5 staging -> 4 dimensions -> fact -> 5 marts -> checks,
     in dependency order, every table published through the staged writer.
 
-    A dimension that already holds closed versions is never rebuilt from
-    staging (that would destroy its history, as the reference's full refresh
-    does): the snapshot is merged into it with ``scd2_merge`` instead. Each
+    An existing customer dimension is never rebuilt from staging (that would
+    destroy its history and move its keys): the snapshot is merged into it
+    with ``scd2_merge``. Each
     published table is re-read by the next step, so every step starts from
     stored data (lineage is cut at every table)."""
     import os
@@ -133,9 +133,7 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
     if exists(spark, cust_path):
         current = spark.read.parquet(cust_path).withColumn(
             "is_current", F.col("is_current").cast("boolean")).select(*dims.DIM_CUSTOMER_COLUMNS)
-        has_history = not current.filter(~F.col("is_current")).isEmpty()
-        dim_customer = (scd.scd2_merge(current, stg["customers"], scd.CUSTOMER_SCD2) if has_history
-                        else dims.dim_customer_initial(stg["customers"]))
+        dim_customer = scd.scd2_merge(current, stg["customers"], scd.CUSTOMER_SCD2)
     else:
         dim_customer = dims.dim_customer_initial(stg["customers"])
     # history is append-only and a merge reads only current rows: split the

@@ -170,7 +170,7 @@ def test_full_refresh_and_csv_sink(spark, scratch):
     out = os.path.join(scratch, "wh")
     rep = full_refresh(spark, "/root/testdata/sf0.001", out)
     assert rep["warehouse/fact_orders"] > 0 and rep["warehouse/dim_date"] == 2557
-    # second run keeps the dimension (no closed versions yet -> rebuilt identically)
+    # a second run merges into the stored dimensions; unchanged data keeps every key
     keys1 = sorted(spark.read.parquet(os.path.join(out, "warehouse/dim_product")).select(
         "product_id", "product_key").collect())
     rep2 = full_refresh(spark, "/root/testdata/sf0.001", out)
@@ -178,6 +178,19 @@ def test_full_refresh_and_csv_sink(spark, scratch):
     keys2 = sorted(spark.read.parquet(os.path.join(out, "warehouse/dim_product")).select(
         "product_id", "product_key").collect())
     assert keys1 == keys2
+    # a changed city opens a version and leaves the other keys alone
+    path = os.path.join(out, "warehouse/dim_customer")
+    old = {r.customer_id: r for r in spark.read.parquet(path).collect()}
+    spark.read.parquet(path).withColumn("city", F.when(F.col("customer_id") == 5, F.lit("ELSEWHERE")).otherwise(
+        F.col("city"))).withColumn("effective_from", F.when(F.col("customer_id") == 5, F.expr(
+            "effective_from - INTERVAL 1 DAY")).otherwise(F.col("effective_from"))).write.partitionBy("is_current").parquet(os.path.join(scratch, "moved"))
+    from starloom.sinks.publish import publish
+    publish(spark.read.parquet(os.path.join(scratch, "moved")), path, partition_by=["is_current"])
+    full_refresh(spark, "/root/testdata/sf0.001", out)
+    now = spark.read.parquet(path).collect()
+    assert len(now) == len(old) + 1
+    assert all(r.customer_key == old[r.customer_id].customer_key for r in now if r.customer_id != 5)
+    assert sorted(r.is_current for r in now if r.customer_id == 5) == [False, True]
     csv = os.path.join(scratch, "landing")
     write_csv(spark.read.parquet(os.path.join(out, "staging/orders")), csv)
     assert spark.read.option("header", True).csv(csv).count() == rep["staging/orders"]

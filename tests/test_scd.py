@@ -54,13 +54,13 @@ def by_key(df):
 
 
 def test_change_one_city(spark):
-    chg = with_row(SNAP, 1, city="Test City", updated_at=T(2026, 9, 26, 12))
+    chg = with_row(SNAP, 1, city="LISBON", updated_at=T(2027, 6, 1, 8))
     out = by_key(scd.scd2_merge(dim(spark), src(spark, chg)))
     assert len(out) == 5
     old, new = out[0], out[4]  # old key kept, new key = max + 1
-    assert old["effective_to"] == T(2026, 9, 26, 12) and old["is_current"] is False
-    assert new["customer_id"] == 1 and new["city"] == "Test City" and new["is_current"] is True
-    assert new["effective_from"] == T(2026, 9, 26, 12) and new["effective_to"] is None
+    assert old["effective_to"] == T(2027, 6, 1, 8) and old["is_current"] is False
+    assert new["customer_id"] == 1 and new["city"] == "LISBON" and new["is_current"] is True
+    assert new["effective_from"] == T(2027, 6, 1, 8) and new["effective_to"] is None
 
 
 def test_identical_snapshot_is_noop(spark):
@@ -175,7 +175,7 @@ def test_scd1_upsert(spark):
 
 def test_what_if_does_not_write(spark):
     d = dim(spark)
-    out = scd.scd2_what_if(d, src(spark, SNAP), 1, {"city": "Test City"}, "2026-09-26 12:00:00")
+    out = scd.scd2_what_if(d, src(spark, SNAP), 1, {"city": "LISBON"}, "2027-06-01 08:00:00")
     assert out.filter("customer_id = 1").count() == 2
     assert d.count() == 4
 
@@ -283,3 +283,15 @@ def test_from_log_with_a_user_holding_a_third_of_the_log(spark):
                         F.lead("ts").over(w).alias("effective_to"))
     cols = ["user_id", "event_type", "effective_from", "effective_to"]
     assert sorted(got.select(*cols).collect()) == sorted(ref.select(*cols).collect())
+
+
+def test_apply_log_reports_late_rows(spark):
+    cols = "user_id long, ts timestamp_ntz, event_id long, event_type string"
+    first = spark.createDataFrame([(1, T(2024, 1, 5), 1, "a")], cols)
+    empty = spark.createDataFrame([], "version_key long, user_id long, event_type string, effective_from timestamp_ntz, "
+                                      "effective_to timestamp_ntz, is_current boolean")
+    dim_ = scd.scd2_apply_log(empty, first, "user_id", "ts", ["event_type"], "event_id", "version_key")
+    batch = spark.createDataFrame([(1, T(2024, 1, 4), 2, "b"), (1, None, 3, "c"), (1, T(2024, 1, 6), 4, "d")], cols)
+    assert {r.event_id for r in scd.scd2_late_rows(dim_, batch, "user_id", "ts").collect()} == {2, 3}
+    with pytest.raises(scd.Scd2ValidationError, match="late_rows=2"):
+        scd.scd2_apply_log(dim_, batch, "user_id", "ts", ["event_type"], "event_id", "version_key")
