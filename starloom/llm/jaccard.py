@@ -164,7 +164,8 @@ def shared_counts(docs: DataFrame, buckets: int, k: int, text_col: str) -> DataF
 
 def profiles(docs: DataFrame, buckets: int, k: int, percent: int) -> DataFrame:
     """For the surviving classes (rows text, c, n of one document each):
-    c, n, tokens (shared ones, sorted), pre0.. (prefix in every order)."""
+    slice (of the classes), c, n, tokens (shared ones, sorted), pre0.. (prefix
+    in every order)."""
     def send(batches):
         for part in slices(batches, "text"):
             tokens, ptr, n, key = _sets(part.column(0), k)
@@ -191,7 +192,7 @@ def profiles(docs: DataFrame, buckets: int, k: int, percent: int) -> DataFrame:
         yield _rows({"bucket": pa.int32(), "c": pa.binary(), "count": pa.binary(), "t": pa.binary(),
                      "df": pa.binary()}, rows)
 
-    names = {"c": pa.int64(), "n": pa.int64(), "tokens": pa.binary(), **{f"pre{i}": pa.binary() for i in range(ORDERS)}}
+    names = {"slice": pa.int64(), "c": pa.int64(), "n": pa.int64(), "tokens": pa.binary(), **{f"pre{i}": pa.binary() for i in range(ORDERS)}}
 
     def profile(batches):
         who, counts, t, df = _gather(batches, [np.uint64, np.uint32, np.uint64, np.uint32])
@@ -207,7 +208,8 @@ def profiles(docs: DataFrame, buckets: int, k: int, percent: int) -> DataFrame:
         ties = [mix(t ^ mix(np.array([i + 1], dtype=np.uint64))) for i in range(ORDERS)]
         ranks = [df, df, np.floor(np.log2(df))]
         rows = []
-        for a, b in zip(starts, np.append(starts[1:], len(t))):
+        places = _bucket(mix(who[starts, 0]), buckets)
+        for a, b, place in zip(starts, np.append(starts[1:], len(t)), places):
             n = int(who[a, 1])
             need = needed(n, percent)
             room = n - need + 1 - (n - (b - a))  # unshared shingles come first in every order
@@ -215,7 +217,7 @@ def profiles(docs: DataFrame, buckets: int, k: int, percent: int) -> DataFrame:
                 continue
             own = t[a:b]
             pre = [np.sort(own[np.lexsort((tie[a:b], rank[a:b]))[:room]]).tobytes() for tie, rank in zip(ties, ranks)]
-            rows.append((int(who[a, 0].view(np.int64)), n, own.tobytes(), *pre))
+            rows.append((int(place), int(who[a, 0].view(np.int64)), n, own.tobytes(), *pre))
             if len(rows) >= 512:
                 yield _rows(names, rows)
                 rows = []
@@ -227,22 +229,99 @@ def profiles(docs: DataFrame, buckets: int, k: int, percent: int) -> DataFrame:
     binary = "bucket int, c binary, count binary, t binary"
     sent = docs.select("text", "c").mapInArrow(send, binary)
     counted = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(frequency, binary + ", df binary")
-    schema = "c long, n long, tokens binary, " + ", ".join(f"pre{i} binary" for i in range(ORDERS))
+    schema = "slice long, c long, n long, tokens binary, " + ", ".join(f"pre{i} binary" for i in range(ORDERS))
     return counted.repartitionById(buckets, F.col("bucket")).mapInArrow(profile, schema)
 
 
-def postings(profile: DataFrame) -> DataFrame:
-    """t, c, n: the prefixes of the first order."""
-    def run(batches):
-        for b in batches:
-            pre = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in b.column(2)]
-            size = [len(x) for x in pre]
-            if sum(size):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(pre)), pa.array(np.repeat(b.column(0).to_numpy(), size)),
-                     pa.array(np.repeat(b.column(1).to_numpy(), size))], names=["t", "c", "n"])
+def _least(owner: np.ndarray, t: np.ndarray, hub: np.ndarray, x: np.ndarray, hi: np.ndarray, lo_x: np.ndarray,
+           hi_x: np.ndarray):
+    """Per (owner, t): smallest class and its x, largest class, range of x."""
+    order = np.lexsort((hub, t, owner))
+    owner, t = owner[order], t[order]
+    at = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (owner[1:] != owner[:-1]))))
+    first = order[at]
+    return (owner[at], t[at], hub[first], x[first], np.maximum.reduceat(hi[order], at),
+            np.minimum.reduceat(lo_x[order], at), np.maximum.reduceat(hi_x[order], at), order, at)
+
+
+def _postings(column) -> tuple[np.ndarray, np.ndarray]:
+    pre = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in column]
+    return np.concatenate(pre) if pre else np.zeros(0, dtype=np.uint64), np.array([len(v) for v in pre], dtype=np.int64)
+
 
-    return profile.select("c", "n", "pre0").mapInArrow(run, "t long, c long, n long")
+def meet(rows: DataFrame, buckets: int, apart: str, finish, schema: str) -> DataFrame:
+    """``rows``: slice, c, x, pre0. Every prefix shingle of the first order
+    meets its hub, the smallest class that has it, if the classes (``apart``
+    = "c") or the x (``apart`` = "x") that have it differ. The postings stay
+    in their slice: a batch asks with one entry per shingle, so a shingle that
+    a third of the classes have costs its task one entry per batch.
+    ``finish`` turns the arrays t, c, x, hub, x of the hub into a table."""
+    arrays = ("t", "hub", "x", "hi", "lo_x", "hi_x")
+
+    def ask(batches):
+        for b in batches:
+            t, size = _postings(b.column(3))
+            if not len(t):
+                continue
+            owner, c, x = (np.repeat(b.column(i).to_numpy().astype(np.int64), size) for i in range(3))
+            owner, *entry = _least(owner, t, c, x, c, x, x)[:7]
+            names, owner = np.unique(owner, return_inverse=True)
+            sent = _spread(owner, _bucket(entry[0], buckets), buckets, entry, names)
+            yield _rows({"bucket": pa.int32(), **dict.fromkeys(("slice", "count", *arrays), pa.binary())}, sent)
+
+    def answer(batches):
+        owner, counts, t, *entry = _gather(batches, [np.int64, np.uint32, np.uint64] + [np.int64] * 5)
+        if not len(t):
+            return
+        owner = np.repeat(owner, counts)
+        _, _, hub, x, hi, lo_x, hi_x, order, at = _least(np.zeros(len(t), dtype=np.int64), t, *entry)
+        alive = hub < hi if apart == "c" else lo_x < hi_x
+        of = np.empty(len(t), dtype=np.int64)
+        of[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(t))))
+        back = np.flatnonzero(alive[of])
+        back = back[np.argsort(owner[back], kind="stable")]
+        cut = np.flatnonzero(np.diff(owner[back])) + 1
+        rows = [(int(owner[p[0]]), t[p].tobytes(), hub[of[p]].tobytes(), x[of[p]].tobytes())
+                for p in np.split(back, cut) if len(p)]
+        yield _rows({"slice": pa.int64(), "t": pa.binary(), "hub": pa.binary(), "x": pa.binary()}, rows)
+
+    def match(left: pa.Table, right: pa.Table) -> pa.Table:
+        t, size = _postings(v for chunk in left.column("pre0").chunks for v in chunk)
+        c, x = (np.repeat(left.column(name).to_numpy(), size) for name in ("c", "x"))
+        known, hub, hub_x = (np.concatenate([np.zeros(0, dtype=kind)] + [
+            np.frombuffer(v.as_buffer(), dtype=kind) for chunk in right.column(name).chunks for v in chunk])
+            for name, kind in (("t", np.uint64), ("hub", np.int64), ("x", np.int64)))
+        known, first = np.unique(known, return_index=True)
+        hit = np.isin(t, known)
+        t, c, x = t[hit], c[hit], x[hit]
+        to = first[np.searchsorted(known, t)]
+        return finish(t, c, x, hub[to], hub_x[to])
+
+    rows = rows.select("slice", "c", "x", "pre0")
+    asked = rows.mapInArrow(ask, "bucket int, slice binary, count binary, " + ", ".join(f"{a} binary" for a in arrays))
+    answers = asked.repartitionById(buckets, F.col("bucket")).mapInArrow(answer, "slice long, t binary, hub binary, x binary")
+    return rows.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(match, schema)
+
+
+def hub_pairs(profile: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """Distinct candidate pairs (a, b): a class and the hub of one of its
+    prefix shingles, of sizes that can link."""
+    def finish(t, c, n, hub, hub_n):
+        near = (c != hub) & (np.minimum(n, hub_n) * 100 >= np.maximum(n, hub_n) * percent)
+        pairs = np.unique(np.stack([hub[near], c[near]], axis=1), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return meet(profile.withColumnRenamed("n", "x"), buckets, "c", finish, "a long, b long")
+
+
+def split_postings(profile: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
+    """t, c, root, hub: postings of shingles that classes of different
+    components have."""
+    def finish(t, c, root, hub, _):
+        return pa.table({"t": t.view(np.int64), "c": c, "root": root, "hub": hub})
+
+    rooted = _with_root(profile.select("slice", "c", "pre0"), roots).withColumnRenamed("root", "x")
+    return meet(rooted, buckets, "x", finish, "t long, c long, root long, hub long")
 
 
 def _meets(a: np.ndarray, b: np.ndarray) -> int:
@@ -311,14 +390,12 @@ def _with_root(df: DataFrame, roots: DataFrame) -> DataFrame:
     return df.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
 
 
-def compare_blocks(post: DataFrame, hubs: DataFrame, roots: DataFrame, profile: DataFrame, percent: int) -> DataFrame:
+def compare_blocks(profile: DataFrame, roots: DataFrame, buckets: int, percent: int) -> DataFrame:
     """Links between classes of different components that share a prefix
     shingle: block against block."""
-    own = _with_root(post, roots)
-    split = own.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("t")
-    own = own.join(split, "t").select("t", "c", "root").checkpoint(eager=True)
+    own = split_postings(profile, roots, buckets).checkpoint(eager=True)
     # a class lies with the smallest hub it met; large components apart
-    place = own.join(hubs.select("t", "hub"), "t").groupBy("c", "root").agg(F.min("hub").alias("hub"))
+    place = own.groupBy("c", "root").agg(F.min("hub").alias("hub"))
     size = place.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("members"))
     place = place.join(size, ["hub", "root"])
     big = F.col("members") > BLOCK // 4
@@ -409,15 +486,9 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = F.broadcast(reps) if n_able <= BROADCAST_ROWS else reps.hint("merge")
     base = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
     profile = profiles(base.join(reps, "rep"), buckets, k, percent).checkpoint(eager=True)
-    post = postings(profile).checkpoint(eager=True)
-    hubs = post.groupBy("t").agg(F.min(F.struct("c", "n")).alias("h"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    hubs = hubs.select("t", F.col("h.c").alias("hub"), F.col("h.n").alias("hub_n")).checkpoint(eager=True)
-    pairs = (post.join(hubs, "t").filter("c <> hub")
-             .filter(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent)
-             .select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct())
-    links = verify_pairs(pairs, profile, percent).checkpoint(eager=True)
+    links = verify_pairs(hub_pairs(profile, buckets, percent), profile, percent).checkpoint(eager=True)
     roots = components(links).checkpoint(eager=True)
-    more = compare_blocks(post, hubs, roots, profile, percent).checkpoint(eager=True)
+    more = compare_blocks(profile, roots, buckets, percent).checkpoint(eager=True)
     star = roots.filter("c <> root").select(F.col("c").alias("a"), F.col("root").alias("b"))
     roots = components(star.unionByName(more)).checkpoint(eager=True)
     labelled = _with_root(classes, roots)
