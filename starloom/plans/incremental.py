@@ -1,9 +1,11 @@
 """Incremental load loop (OP22): stored mark -> change set -> apply ->
 publish -> advance the mark.
 
-The mark advances only after the target was published successfully (the
-reference has no such coupling), to the highest change time of the batch
-that was actually applied. An optional ``lookback`` re-reads rows committed
+The upper bound of a run is taken first, in one scalar aggregate; the batch
+is the rows with ``mark < time <= bound``, so rows that reach a live source
+during the run wait for the next one. The mark advances to that bound, and is
+stored, only after the target was published successfully (the reference has
+no such coupling). An optional ``lookback`` re-reads rows committed
 late with a timestamp at or before the mark; the apply step must then be
 idempotent for repeated rows (the SCD merges are: an unchanged snapshot row
 opens no version).
@@ -15,10 +17,10 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from starloom.sinks.state import advance, read_watermark
-from starloom.sources.readers import changes_since, is_empty
+from starloom.sources.readers import changes_since
 
 
 @dataclass
@@ -31,12 +33,19 @@ class IncrementalResult:
 def incremental_run(source: DataFrame, state: DataFrame, pipeline: str, table: str, ts_col: str,
                     apply: Callable[[DataFrame], DataFrame],
                     publish: Callable[[DataFrame], object] | None = None,
-                    lookback: dt.timedelta | None = None) -> IncrementalResult:
+                    lookback: dt.timedelta | None = None,
+                    store: Callable[[DataFrame], object] | None = None) -> IncrementalResult:
+    """``publish`` writes the result, then ``store`` the new state."""
     mark = read_watermark(state, pipeline, table)
-    batch = changes_since(source, ts_col, mark, lookback)
-    if is_empty(batch):  # SRC10: nothing to do, the target is not touched
+    bound = changes_since(source, ts_col, mark).agg(F.max(ts_col)).first()[0]
+    if bound is None:  # SRC10: nothing to do, the target is not touched
         return IncrementalResult(state, applied=False)
+    batch = changes_since(source, ts_col, mark, lookback).filter(
+        F.col(ts_col) <= F.lit(bound).cast(source.schema[ts_col].dataType))
     result = apply(batch)
     if publish is not None:
         publish(result)
-    return IncrementalResult(advance(state, pipeline, table, batch, ts_col), applied=True, result=result)
+    state = advance(state, pipeline, table, batch, ts_col, bound)
+    if store is not None:
+        store(state)
+    return IncrementalResult(state, applied=True, result=result)

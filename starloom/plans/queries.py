@@ -114,43 +114,43 @@ def fact_orders(spark, sf_dir):
 @query()
 def daily_sales(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.daily_sales(w.fact, w.dim_date)
+    return marts.daily_sales(w.sales, w.dim_date)
 
 
 @query()
 def mart_daily_sales(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.mart_daily_sales(w.fact, w.dim_date)
+    return marts.mart_daily_sales(w.sales, w.dim_date)
 
 
 @query()
 def product_performance(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.product_performance(w.fact, w.dim_product)
+    return marts.product_performance(w.sales, w.dim_product)
 
 
 @query()
 def mart_product_performance(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.mart_product_performance(w.fact, w.dim_product)
+    return marts.mart_product_performance(w.sales, w.dim_product)
 
 
 @query()
 def customer_sales(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.customer_sales(w.fact, w.dim_customer)
+    return marts.customer_sales(w.sales, w.dim_customer)
 
 
 @query()
 def mart_customer_performance(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.mart_customer_performance(w.fact, w.dim_customer)
+    return marts.mart_customer_performance(w.sales, w.dim_customer)
 
 
 @query()
 def mart_category_performance(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.mart_category_performance(w.fact, w.dim_product)
+    return marts.mart_category_performance(w.sales, w.dim_product)
 
 
 @query()
@@ -161,7 +161,7 @@ def mart_payment_analysis(spark, sf_dir):
 @query()
 def customers_without_sales(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.customers_without_sales(w.fact, w.dim_customer)
+    return marts.customers_without_sales(w.sales, w.dim_customer)
 
 
 @query()
@@ -172,13 +172,13 @@ def orders_without_items(spark, sf_dir):
 
 @query()
 def kpi_totals(spark, sf_dir):
-    return marts.kpi_totals(_wh(spark, sf_dir).fact)
+    return marts.kpi_totals(_wh(spark, sf_dir).sales)
 
 
 @query()
 def revenue_by_category(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.revenue_by_category(w.fact, w.dim_product)
+    return marts.revenue_by_category(w.sales, w.dim_product)
 
 
 @query()
@@ -194,13 +194,13 @@ def payment_status_counts(spark, sf_dir):
 @query()
 def top10_products(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.top_products(w.fact, w.dim_product, 10)
+    return marts.top_products(w.sales, w.dim_product, 10)
 
 
 @query()
 def top10_customers(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return marts.top_customers(w.fact, w.dim_customer, 10)
+    return marts.top_customers(w.sales, w.dim_customer, 10)
 
 
 # ======================================================== SCD / temporal
@@ -278,14 +278,13 @@ def dim_customer_moved(w: Warehouse) -> DataFrame:
     return scd.scd2_merge(w.dim_customer, _customer_moves(w), scd.CUSTOMER_SCD2, mode="snapshot")
 
 
-def _moved_with_fact_dims(w: Warehouse) -> DataFrame:
-    """The moved customer dimension, built while the product and payment
-    dimensions are keyed (independent jobs overlap)."""
+def _moved_with_fact_dims(w: Warehouse, others=("dim_product", "dim_payment")) -> DataFrame:
+    """The moved customer dimension, built while the ``others`` are keyed (independent jobs overlap)."""
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=1) as pool:
         moved = pool.submit(dim_customer_moved, w)
-        w.build_dimensions(("dim_product", "dim_payment"))
+        w.build_dimensions(others)
         return moved.result()
 
 
@@ -383,8 +382,8 @@ def fact_orders_versioned(spark, sf_dir):
 @query()
 def customer_sales_versioned(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    dim = _moved_with_fact_dims(w)
-    return marts.customer_sales(w.fact_with(dim), dim)
+    dim = _moved_with_fact_dims(w, ("dim_product",))
+    return marts.customer_sales(w.sales_with(dim), dim)
 
 
 # ================================================================ keys
@@ -440,7 +439,7 @@ def order_totals(spark, sf_dir):
 
 # ========================================================= data quality
 def _fact_marts(w: Warehouse):
-    f = w.fact
+    f = w.sales
     return {
         "daily": marts.mart_daily_sales(f, w.dim_date),
         "product": marts.product_performance(f, w.dim_product),
@@ -453,7 +452,7 @@ def _fact_marts(w: Warehouse):
 @query()
 def dq_not_null(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    m = _fact_marts(w)
+    m = _fact_marts(w.store_fact())
     return dq.union_all([
         dq.not_null(w.fact, "fact_orders", ["order_id", "customer_key", "product_key", "date_key",
                                             "payment_key", "quantity", "unit_price", "discount", "revenue"]),
@@ -485,7 +484,7 @@ def dq_unique(spark, sf_dir):
 @query()
 def dq_relationships(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    m = _fact_marts(w)
+    m = _fact_marts(w.store_fact())
     f = w.fact
     return dq.union_all([
         dq.relationship(f, "fact_orders", "customer_key", w.dim_customer, "customer_key"),
@@ -520,7 +519,7 @@ def dq_ranges(spark, sf_dir):
     w = _wh(spark, sf_dir)
     c = F.col
     return dq.union_all([
-        dq.ranges(w.fact, "fact_orders", {"quantity_not_positive": c("quantity") <= 0,
+        dq.ranges(w.sales, "fact_orders", {"quantity_not_positive": c("quantity") <= 0,
                                           "unit_price_negative": c("unit_price") < 0,
                                           "discount_negative": c("discount") < 0,
                                           "revenue_negative": c("revenue") < 0}),
@@ -533,7 +532,7 @@ def dq_ranges(spark, sf_dir):
 
 @query()
 def dq_revenue_identity(spark, sf_dir):
-    return dq.revenue_identity(_wh(spark, sf_dir).fact)
+    return dq.revenue_identity(_wh(spark, sf_dir).sales)
 
 
 @query()
@@ -549,7 +548,7 @@ def dq_null_keys(spark, sf_dir):
 
 @query()
 def dq_duplicate_fact_groups(spark, sf_dir):
-    return dq.duplicate_fact_groups(_wh(spark, sf_dir).fact)
+    return dq.duplicate_fact_groups(_wh(spark, sf_dir).sales)
 
 
 @query()
@@ -571,33 +570,33 @@ def dq_change_feed(spark, sf_dir):
 @query()
 def reconcile_revenue(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    m = _fact_marts(w)
-    return rec.revenue_report(w.fact, m["daily"], m["product"], m["customer"], m["category"])
+    m = _fact_marts(w.store_fact("sales"))
+    return rec.revenue_report(w.sales, m["daily"], m["product"], m["customer"], m["category"])
 
 
 @query()
 def reconcile_orders(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return rec.orders_report(w.fact, _fact_marts(w)["daily"])
+    return rec.orders_report(w.sales, _fact_marts(w.store_fact("sales"))["daily"])
 
 
 @query()
 def reconcile_coverage(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    m = _fact_marts(w)
-    return rec.coverage_report(w.fact, w.dim_product, m["product"], m["customer"], m["category"])
+    m = _fact_marts(w.store_fact("sales"))
+    return rec.coverage_report(w.sales, w.dim_product, m["product"], m["customer"], m["category"])
 
 
 @query()
 def reconcile_payments(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return rec.payments_report(w.stg_payments, _fact_marts(w)["payment"], w.stg_order_items)
+    return rec.payments_report(w.stg_payments, marts.mart_payment_analysis(w.stg_payments), w.stg_order_items)
 
 
 @query()
 def dq_null_measures(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    m = _fact_marts(w)
+    m = _fact_marts(w.store_fact("sales"))
     return rec.null_measures({"mart_daily_sales": (m["daily"], "total_revenue"),
                               "product_performance": (m["product"], "total_revenue"),
                               "customer_sales": (m["customer"], "total_revenue"),
@@ -690,7 +689,7 @@ def mart_daily_sales_sql(spark, sf_dir):
     import uuid
     from starloom.sources.readers import register_views
     w = _wh(spark, sf_dir)
-    v = register_views({"fact_orders": w.fact, "dim_date": w.dim_date}, "_" + uuid.uuid4().hex[:8])
+    v = register_views({"fact_orders": w.sales, "dim_date": w.dim_date}, "_" + uuid.uuid4().hex[:8])
     return spark.sql(f"""
         SELECT d.full_date, d.year, d.month, d.month_name, d.quarter,
                CAST(COUNT(DISTINCT f.order_id) AS BIGINT) AS total_orders,

@@ -1,7 +1,7 @@
 """Full-refresh composition (OP23): raw -> staging -> dimensions -> fact ->
 marts, in dependency order, inside one Spark session. Each stage is a lazy
-DataFrame built once per ``Warehouse`` and shared by everything downstream,
-so one query plan contains each step once.
+DataFrame built once per ``Warehouse`` and shared by everything downstream.
+A suite that uses the fact several times stores it first (``store_fact``).
 """
 
 from __future__ import annotations
@@ -97,6 +97,25 @@ class Warehouse:
         self.build_dimensions()
         return self.fact_with(self.dim_customer)
 
+    def sales_with(self, dim_customer: DataFrame) -> DataFrame:
+        """The fact without ``payment_key``: payments only decide which orders
+        appear and how often, so the payment table is not numbered."""
+        return fact_ops.fact_orders(self.stg_orders, self.stg_order_items, dim_customer,
+                                    self.dim_product, self.dim_date, self.stg_payments)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        if "fact" in self.__dict__:
+            return self.fact
+        self.build_dimensions(("dim_customer", "dim_product"))
+        return self.sales_with(self.dim_customer)
+
+    def store_fact(self, name: str = "fact") -> "Warehouse":
+        """Compute the fact (or ``sales``) once, into the checkpoint folder;
+        everything built on it afterwards reads the stored rows."""
+        self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
+        return self
+
 
 # ------------------------------------------------------------ full refresh
 def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tuple[str, str] | None = CALENDAR,

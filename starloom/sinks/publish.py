@@ -14,8 +14,8 @@ table:
 6. ``keep_backup=False`` deletes the backup only after success.
 
 On object stores where rename is a copy, point readers at a versioned
-directory instead (``versioned=True`` writes ``<path>/v=<n>`` and a one-row
-``_current`` pointer table).
+directory instead (``publish_versioned`` writes ``<path>/v=<n>`` and commits
+it with a one-row table ``<path>/_commits/v=<n>``; the highest one counts).
 """
 
 from __future__ import annotations
@@ -60,6 +60,20 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise PublishError(f"rename {src} -> {dst} failed")
 
 
+def write_once(df: DataFrame, path: str) -> None:
+    """Write aside, then rename: ``path`` appears whole or not at all. An
+    existing ``path`` is an error."""
+    spark = df.sparkSession
+    if exists(spark, path):
+        raise PublishError(f"{path} already exists")
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    aside = f"{parent}._staging_{name}_{uuid.uuid4().hex[:6]}"
+    df.write.parquet(aside)
+    fs, p, _ = _fs(spark, parent)
+    fs.mkdirs(p)
+    rename(spark, aside, path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
     if fs.exists(p):
@@ -139,20 +153,21 @@ def publish(df: DataFrame, path: str, verify: Callable[[DataFrame], int] | None
 
 
 def publish_versioned(df: DataFrame, root: str) -> str:
-    """Object-store friendly publish: write ``<root>/v=<n>`` then replace the
-    one-row ``<root>/_current`` pointer (readers resolve it first)."""
+    """Object-store friendly publish: write ``<root>/v=<n>``, then commit it
+    with a row of its own. A crash between the two leaves the last version
+    live; the retry replaces the uncommitted files."""
     spark = df.sparkSession
     current = read_current_version(spark, root)
     nxt = (current or 0) + 1
     target = f"{root.rstrip('/')}/v={nxt}"
-    write_parquet(df, target, "errorifexists")
+    write_parquet(df, target, "overwrite")
     pointer = spark.createDataFrame([(nxt, target)], "version int, path string")
-    write_parquet(pointer.coalesce(1), f"{root.rstrip('/')}/_current", "overwrite")
+    write_once(pointer.coalesce(1), f"{root.rstrip('/')}/_commits/n={nxt}")
     return target
 
 
 def read_current_version(spark: SparkSession, root: str) -> int | None:
-    ptr = f"{root.rstrip('/')}/_current"
+    ptr = f"{root.rstrip('/')}/_commits"
     if not exists(spark, ptr):
         return None
     row = spark.read.parquet(ptr).agg(F.max("version").alias("v")).first()

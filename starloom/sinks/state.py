@@ -29,15 +29,17 @@ def read_watermark(state: DataFrame, pipeline: str, table: str):
     return None if row is None else row["last_processed_at"]
 
 
-def advance(state: DataFrame, pipeline: str, table: str, batch: DataFrame, ts_col: str) -> DataFrame:
+def advance(state: DataFrame, pipeline: str, table: str, batch: DataFrame, ts_col: str,
+            bound: dt.datetime | None = None) -> DataFrame:
     """New state after ``batch`` was committed: the mark moves to the batch's
-    highest change time (unchanged for an empty batch); other rows are kept.
+    highest change time (unchanged for an empty batch), or to ``bound``, the
+    upper bound the batch was read with; other rows are kept.
     Adds ``rows_in_batch`` for the run report."""
     this = (F.col("pipeline_name") == pipeline) & (F.col("table_name") == table)
     old = read_watermark(state, pipeline, table)
     new = batch.agg(F.max(ts_col).alias("_m"), F.count(F.lit(1)).cast("long").alias("rows_in_batch")).select(
         F.lit(pipeline).alias("pipeline_name"), F.lit(table).alias("table_name"),
-        F.coalesce(F.col("_m"), F.lit(old).cast("timestamp_ntz")).alias("last_processed_at"),
+        F.coalesce(F.lit(bound).cast("timestamp_ntz"), F.col("_m"), F.lit(old).cast("timestamp_ntz")).alias("last_processed_at"),
         F.current_timestamp().cast("timestamp_ntz").alias("updated_at"), "rows_in_batch")
     kept = state.filter(~this).withColumn("rows_in_batch", F.lit(None).cast("long"))
     return kept.unionByName(new)

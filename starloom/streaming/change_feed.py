@@ -7,11 +7,12 @@ append-only for history:
 
     <root>/data/batch=<id>/is_current=false/   versions closed by batch <id>
     <root>/data/batch=<id>/is_current=true/    all current versions after <id>
-    <root>/_current                             one row: committed batch id, max key
+    <root>/_commits/n=<id>/                     one row: batch id, max key
 
 A batch reads only the current versions of the last committed batch (not the
 whole history), writes one directory partitioned by ``is_current``, and
-commits by replacing the one-row pointer. A replayed batch whose id is not
+commits with a row of its own, written aside and renamed, so a crash leaves
+the last commit in force. A replayed batch whose id is not
 newer than the committed one is skipped; a crashed, uncommitted attempt is
 overwritten by its retry and ignored by readers (they prune to committed
 batches). ``trigger(availableNow=True)`` processes everything present and
@@ -30,11 +31,11 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType, Ti
 
 from starloom.operators.scd import scd2_apply_log
 from starloom.session import ensure_checkpoint_dir
-from starloom.sinks.publish import exists, write_parquet
+from starloom.sinks.publish import exists, write_once
 
 
 def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_current"
+    return f"{root.rstrip('/')}/_commits"
 
 
 def _data(root: str) -> str:
@@ -93,7 +94,7 @@ def apply_batch(batch: DataFrame, batch_id: int, root: str, key: str, ts: str, t
     top = written.agg(F.max(version_key).alias("m")).first()["m"]
     max_key = top if top is not None else (last[1] if last is not None else None)
     pointer = spark.createDataFrame([(batch_id, max_key)], "batch_id long, max_key long")
-    write_parquet(pointer.coalesce(1), _pointer(root), "overwrite")
+    write_once(pointer.coalesce(1), f"{_pointer(root)}/n={batch_id}")
     return True
 
 

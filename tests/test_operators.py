@@ -258,3 +258,39 @@ def test_incremental_run_empty_batch_and_advance(spark, scratch):
 def test_observed_write_counts_in_the_same_job(spark, scratch):
     m = pub.write_observed(spark.range(0, 1234).toDF("x"), os.path.join(scratch, "obs"))
     assert m["rows"] == 1234
+
+
+def test_incremental_run_stops_at_its_upper_bound(spark, scratch):
+    """Rows that reach the source during a run wait for the next one."""
+    from starloom.plans.incremental import incremental_run
+    from starloom.sinks.state import initial_state
+    path = os.path.join(scratch, "live")
+    rows = "id long, updated_at timestamp_ntz"
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 2))], rows).write.parquet(path)
+    state = initial_state(spark, [("p", "t", "2024-01-01 00:00:00")])
+
+    def late(batch):
+        got = batch.collect()
+        spark.createDataFrame([(2, dt.datetime(2024, 1, 3))], rows).write.mode("append").parquet(path)
+        return spark.createDataFrame(got, rows)
+
+    order, stored = [], []
+    run = incremental_run(spark.read.parquet(path), state, "p", "t", "updated_at", apply=late,
+                          publish=lambda df: order.append([r.id for r in df.collect()]),
+                          store=lambda s: stored.extend(s.collect()))
+    assert order == [[1]]
+    assert stored[0].last_processed_at == dt.datetime(2024, 1, 2)
+    again = incremental_run(spark.read.parquet(path), run.state, "p", "t", "updated_at", apply=lambda b: b)
+    assert [r.id for r in again.result.collect()] == [2]
+
+
+def test_crash_before_the_commit_keeps_the_last_version(spark, scratch):
+    from starloom.sinks import publish as pub
+    root = os.path.join(scratch, "committed")
+    pub.publish_versioned(spark.range(3), root)
+    spark.range(9).write.parquet(f"{root}/v=2")  # a writer that died before its commit
+    assert pub.read_versioned(spark, root).count() == 3
+    pub.publish_versioned(spark.range(5), root)
+    assert pub.read_versioned(spark, root).count() == 5
+    with pytest.raises(pub.PublishError):
+        pub.write_once(spark.range(1), f"{root}/_commits/n=2")
