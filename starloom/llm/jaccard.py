@@ -355,35 +355,36 @@ def verify_pairs(pairs: DataFrame, profile: DataFrame, percent: int) -> DataFram
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """c, root (smallest c of the component) of every node with a link."""
-    both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b")
-    edges = both.filter("a > b").distinct().checkpoint(eager=True)
+def _unfinished(edges: DataFrame) -> int:
+    """Nodes that keep the edges (a > b) from being stars, that is with two
+    smaller neighbours, or with a smaller and a larger one."""
+    ends = edges.select(F.inline(F.array(
+        F.struct(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
+    node = ends.groupBy("x").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return node.filter("up > 1 OR (up > 0 AND down > 0)").count()
 
-    def mark(e):
-        # count and two sums that tell edge sets apart
-        h = F.xxhash64("a", "b")
-        return e.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 20)), F.sum(F.shiftright(F.xxhash64("b", "a"), 20))).first()
 
-    before = mark(edges)
-    while True:
+def components(links: DataFrame) -> DataFrame:
+    """c, root (smallest c of the component) of every node with a link."""
+    edges = (links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+             .distinct().checkpoint(eager=True))
+    # a step moves every node to a smaller neighbour, so the steps end with
+    # stars, which need no further step to tell
+    while _unfinished(edges):
         # large star: larger neighbours of u go to the smallest around u
-        around = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-            edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (around.filter("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-                 .filter("a <> b").distinct())
+        around = edges.select(F.inline(F.array(
+            F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))))
+        low = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = edges.select(F.col("b").alias("u"), F.col("a").alias("v")).join(low, "u").select(
+            F.col("v").alias("a"), F.col("m").alias("b"))
         # small star: u and its smaller neighbours go to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").select(F.col("b").alias("x"), "m").union(low.select(F.col("a").alias("x"), "m"))
-                 .filter("x <> m").select(F.col("x").alias("a"), F.col("m").alias("b")).distinct())
-        edges = small.checkpoint(eager=True)
-        now = mark(edges)
-        if now == before:
-            break
-        before = now
+        small = large.join(low, "a").select(F.inline(F.array(
+            F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))))
+        edges = small.filter("a <> b").distinct().checkpoint(eager=True)
     return edges.select(F.col("a").alias("c"), F.col("b").alias("root")).union(
-        edges.select(F.col("b").alias("c"), F.col("b").alias("root"))).distinct()
+        edges.select(F.col("b").alias("c"), F.col("b").alias("root")).distinct())
 
 
 def _with_root(df: DataFrame, roots: DataFrame) -> DataFrame:
