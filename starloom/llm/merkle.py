@@ -10,7 +10,9 @@ missing, added or moved record changes every node above it.
 An audit compares roots first and then descends: at each level only the
 children of nodes that differ are compared, until the differing records
 remain. Trees are stored once per replica and read level by level; equal
-archives cost one row of comparison.
+archives cost one row of comparison. By default nodes are ranges of record_id
+and records are aligned by it; with ``by_position`` they are ranges of
+places, and a lost record shifts all behind it.
 
 All steps are DataFrame operations. Windows run within an archive; an
 archive holds at most ``per_archive`` records by construction
@@ -120,9 +122,97 @@ def audit(primary: DataFrame, replica: DataFrame, height: int, fanout: int = FAN
                         F.col("a_digest").alias("digest"), F.col("b_digest").alias("replica_digest"))
 
 
-def fixity_audit(primary: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataFrame:
-    """Audit of two record tables (see ``records``). Trees are written once,
-    so descending reads them instead of hashing again."""
+def _cell(c: Column, fanout: int) -> Column:
+    """Floor of whole number ``c`` / ``fanout``, without doubles."""
+    f = F.lit(fanout).cast("long")
+    return F.call_function("div", c, f) - F.when(c % f < 0, 1).otherwise(0).cast("long")
+
+
+def _parent_cell(c: Column, level: int, fanout: int, height: int) -> Column:
+    return F.lit(0).cast("long") if level + 1 == height else _cell(c, fanout)
+
+
+def id_tree(recs: DataFrame, fanout: int, height: int) -> DataFrame:
+    """Nodes over ranges of record_id: archive, level (1 to ``height``), cell,
+    digest. Offsets are not hashed, so a record that is lost or added changes
+    no node but those above it."""
+    below = recs.select("archive", F.col("record_id").cast("long").alias("cell"),
+                        F.concat_ws(":", F.col("length").cast("string"), "digest").alias("digest"))
+    out = None
+    for level in range(1, height + 1):
+        parts = F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("cell", "digest"))),
+            lambda x: F.concat_ws(":", F.coalesce(x["cell"].cast("string"), F.lit("null")), x["digest"])), "|")
+        up = _parent_cell(F.col("cell"), level - 1, fanout, height)
+        below = below.groupBy("archive", up.alias("up")).agg(F.sha2(parts.cast("binary"), 256).alias("digest")).select(
+            "archive", F.col("up").alias("cell"), "digest")
+        nodes = below.select("archive", F.lit(level).alias("level"), "cell", "digest")
+        out = nodes if out is None else out.unionByName(nodes)
+    return out
+
+
+def id_height(recs: DataFrame, fanout: int) -> int:
+    """Levels that the widest range of ids of an archive needs."""
+    ids = F.col("record_id").cast("double")
+    span = recs.groupBy("archive").agg((F.max(ids) - F.min(ids)).alias("s")).agg(F.max("s")).first()[0] or 0
+    height = 1
+    while fanout ** height <= span:
+        height += 1
+    return height
+
+
+def _in_cells(rows: DataFrame, cells: DataFrame, up: Column) -> DataFrame:
+    keep = cells.select(F.col("archive").alias("ka"), F.col("cell").alias("kc"))
+    return rows.join(keep, F.col("archive").eqNullSafe(F.col("ka")) & up.eqNullSafe(F.col("kc")), "left_semi")
+
+
+def align(primary: DataFrame, replica: DataFrame) -> DataFrame:
+    """Differing records by record_id: equal records (id, length, digest) of
+    the two sides cancel out one by one; what is left of an id on both sides
+    pairs up as 'corrupt', on one side it is 'missing' or 'extra'."""
+    columns = ["n", "offset", "length", "digest"]
+    both = primary.withColumn("side", F.lit(0)).unionByName(replica.withColumn("side", F.lit(1)))
+    copy = Window.partitionBy("side", "archive", "record_id", "length", "digest").orderBy("n")
+    alone = (both.withColumn("copy", F.row_number().over(copy)).groupBy("archive", "record_id", "length", "digest", "copy")
+             .agg(F.count(F.lit(1)).alias("sides"), F.min("side").alias("side"), F.min("n").alias("n"),
+                  F.min("offset").alias("offset")).filter("sides = 1"))
+    rank = Window.partitionBy("side", "archive", "record_id").orderBy("n")
+    one = F.struct(*columns)
+    rows = (alone.withColumn("r", F.row_number().over(rank)).groupBy("archive", "record_id", "r")
+            .agg(F.max(F.when(F.col("side") == 0, one)).alias("a"), F.max(F.when(F.col("side") == 1, one)).alias("b")))
+    at = F.coalesce("a", "b")
+    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("corrupt")
+    return rows.select("archive", at["n"].alias("n"), at["offset"].alias("start"),
+                       (at["offset"] + at["length"]).alias("end"), "record_id", status.alias("status"),
+                       F.col("a.digest").alias("digest"), F.col("b.digest").alias("replica_digest"))
+
+
+def audit_by_id(primary: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataFrame:
+    """Audit of two record tables whose nodes are ranges of record_id (whole
+    numbers): roots first, then the children of nodes that differ, then the
+    records of the lowest such ranges, aligned by id."""
+    height = max(id_height(primary, fanout), id_height(replica, fanout))
+    a, b = (id_tree(r, fanout, height).checkpoint(eager=True) for r in (primary, replica))
+    nodes = a.withColumn("side", F.lit(0)).unionByName(b.withColumn("side", F.lit(1)))
+    cells = None
+    for level in range(height, 0, -1):
+        here = nodes.filter(F.col("level") == level)
+        if cells is not None:
+            here = _in_cells(here, cells, _parent_cell(F.col("cell"), level, fanout, height))
+        mine, theirs = (F.max(F.when(F.col("side") == i, F.col("digest"))) for i in (0, 1))
+        cells = (here.groupBy("archive", "cell").agg(mine.alias("a"), theirs.alias("b"))
+                 .filter(~F.col("a").eqNullSafe(F.col("b"))).select("archive", "cell"))
+    up = _parent_cell(F.col("record_id").cast("long"), 0, fanout, height)
+    return align(_in_cells(primary, cells, up), _in_cells(replica, cells, up))
+
+
+def fixity_audit(primary: DataFrame, replica: DataFrame, fanout: int = FANOUT, by_position: bool = False) -> DataFrame:
+    """Audit of two record tables (see ``records``): by record_id, so that a
+    lost or added record is the only row reported for it; ``by_position``
+    compares place with place, so that every record behind it differs too.
+    Trees are written once, so descending reads them instead of hashing again."""
+    if not by_position:
+        return audit_by_id(primary, replica, fanout)
     height = max(tree_height(primary, fanout), tree_height(replica, fanout))
     return audit(tree(primary, fanout, height).checkpoint(eager=True),
                  tree(replica, fanout, height).checkpoint(eager=True), height, fanout)

@@ -67,7 +67,8 @@ def decayed_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     primary, replica = decayed_pages(spark, sf_dir)
-    return merkle.fixity_audit(primary, replica)
+    # by place, as the SQL text has it: records behind a lost one count as corrupt
+    return merkle.fixity_audit(primary, replica, by_position=True)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -368,6 +368,29 @@ def test_merkle_audit(spark):
     assert merkle.fixity_audit(recs(df.limit(0)), recs(df.limit(0))).count() == 0
 
 
+def test_merkle_audit_reports_only_the_lost_record(spark):
+    rows = [(i, f"http://x/{i}", f"page {i}") for i in range(-70, 300)]
+    rows += [(9, "http://x/9", "other"), (9, "http://x/9", "other"), (None, None, "lost id"), (None, None, "other")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+
+    def recs(d):
+        return merkle.records(d, F.col("page_id"), merkle.warc_record(F.col("url"), F.col("html")),
+                              merkle.archives_by_id(F.col("page_id"), 64))
+
+    def found(a, b):
+        return sorted((r.record_id, r.status) for r in merkle.fixity_audit(recs(a), recs(b), fanout=4).collect())
+    whole = F.coalesce(~F.col("page_id").isin(-30, 20, 100, 101, 255), F.lit(True))
+    bad = df.filter(whole).withColumn("html", F.when(F.col("page_id") == 130, "a longer page").otherwise(F.col("html")))
+    lost = [(-30, "missing"), (20, "missing"), (100, "missing"), (101, "missing"), (130, "corrupt"), (255, "missing")]
+    assert found(df, bad) == lost
+    assert found(bad, df) == [(i, s.replace("missing", "extra")) for i, s in lost]
+    # a copy of a repeated id, and a record without one
+    copies = df.dropDuplicates().filter(F.coalesce(F.col("page_id") > -100, F.col("html") == "other"))
+    got = {(r.record_id, r.status) for r in merkle.fixity_audit(recs(df), recs(copies), fanout=4).collect()}
+    assert got == {(9, "missing"), (None, "missing")}
+    assert found(df, df.repartition(3)) == []
+
+
 def test_hpylm(docs, none):
     held = langid.held_out(F.col("doc_id"), part=1)
     for buckets in (2, 24):  # with 24 the commonest contexts are dealt over buckets
