@@ -1,8 +1,9 @@
 """Line de-duplication by site-relative frequency.
 
 For each host: the share of its pages that contain a line. A line whose
-share exceeds ``ratio`` (and which stands on at least ``min_pages`` pages) is
-boilerplate of that host and is dropped from its pages. Copies of a page
+share exceeds ``ratio`` is boilerplate of that host and is dropped from its
+pages, whatever the host's size; only lines of a single distinct page are left
+out of it (``min_pages`` = 2). Copies of a page
 count as one page on both sides of the division, so a page that was crawled
 a thousand times does not turn its own prose into boilerplate.
 
@@ -34,7 +35,7 @@ def _line_key(line: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "host", ratio: float = 0.1,
-                min_pages: int = 5, sep: str = "\n") -> DataFrame:
+                min_pages: int = 2, sep: str = "\n") -> DataFrame:
     """host, line_key, n_pages, host_pages of every boilerplate line."""
     base = pages.select(F.col(host_col).alias("host"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     base = base.withColumn("page", _digest(F.col("text")))
@@ -51,7 +52,7 @@ def boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "host"
 
 
 def drop_boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "host", ratio: float = 0.1,
-                     min_pages: int = 5, sep: str = "\n", counts: bool = False,
+                     min_pages: int = 2, sep: str = "\n", counts: bool = False,
                      broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """``pages`` with the boilerplate lines of their host taken out of
     ``text_col``; with ``counts`` also n_lines and n_dropped."""

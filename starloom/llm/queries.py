@@ -74,7 +74,8 @@ def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select(
         "page_id", linededup.page_host(F.col("url")).alias("host"), linededup.html_lines(F.col("html")).alias("text"))
-    return linededup.drop_boilerplate(pages, counts=True)
+    # at least 5 pages, as the SQL text has it
+    return linededup.drop_boilerplate(pages, min_pages=5, counts=True)
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,14 @@ def test_language_model_beats_the_base(spark):
     assert r.s > r.b
 
 
+def test_line_dedup_stage_on_a_small_source(spark):
+    rows = [(i, f"body {i}\n{'Menu' if i < 3 else f'own {i}'}", "en", "small", 9) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    assert [got[i].text for i in range(3)] == [f"body {i}" for i in range(3)] and got[0].n_chars == 6
+    assert all(got[i].text == rows[i][1] for i in range(3, 20))
+
+
 def test_pipeline_stages(spark):
     ready(spark)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
