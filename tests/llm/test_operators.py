@@ -414,6 +414,18 @@ def test_hpylm(docs, none):
     assert hpylm.score(none, "doc_id", "text", held, 4).count() == 0
 
 
+def test_hpylm_tells_words_apart_by_all_bits():
+    # equal in the lower 40 bits
+    w = np.array([7, 7 | 1 << 45, 7, 9, 7 | 1 << 63, *range(100, 100 + (1 << 16)), 7 | 1 << 45], dtype=np.uint64)
+    for tokens in (w[:5], w):  # indices of 16 and of 32 bits
+        types = [(x, pa.binary()) for x in ("u", "run", "words", "word", "doc")]
+        rows = [(np.array([3], np.uint32).tobytes(), np.array([len(t)], np.uint32).tobytes(), *hpylm._coded(t),
+                 np.zeros(len(t), np.uint16).tobytes()) for t in (tokens, tokens[:2])]
+        b = hpylm.Bucket(hpylm._table(rows, types), np.zeros(0, np.uint64), 0)
+        want = collections.Counter([*tokens.tolist(), *tokens[:2].tolist()])
+        assert dict(zip(b.words.tolist(), b.word_count.tolist())) == want
+
+
 def test_seating_keeps_every_customer():
     g = np.random.default_rng(1)
     count = g.integers(0, 9, 200)
