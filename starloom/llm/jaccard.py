@@ -20,6 +20,10 @@ their Jaccard similarity reaches ``percent``. The join is exact:
    classes, placed by their hub), inside tasks and without listing pairs.
 5. Components come from alternating large-star and small-star steps over the
    links, as joins and aggregations.
+6. Every link lies inside a component. ``join_links`` and the number of links
+   of a document compare all classes of a component with each other, block
+   against block, by the prefixes of every order and then the sets; plain
+   components (``keep_one``) need no such step.
 
 Nothing is collected but counts. A shingle or class that a third of the rows
 have is aggregated before it is shuffled or met through its hub.
@@ -426,7 +430,8 @@ def compare_blocks(profile: DataFrame, roots: DataFrame, buckets: int, percent:
     return dealt.groupBy("block", "block2").applyInArrow(compare, "a long, b long")
 
 
-def _block_links(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _block_links(table: pa.Table, percent: int, within: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Links between classes of different components, or ``within`` one."""
     side = table.column("side").to_numpy()
     c, root, n = (table.column(x).to_numpy() for x in ("c", "root", "n"))
 
@@ -436,7 +441,7 @@ def _block_links(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]
     mine = np.flatnonzero(side == 0)
     alone = not (side == 1).any()
     theirs = mine if alone else np.flatnonzero(side == 1)
-    hope = root[mine][:, None] != root[theirs][None]
+    hope = (root[mine][:, None] == root[theirs][None]) == within
     if alone:
         hope &= c[mine][:, None] < c[theirs][None]
     lo, hi = np.minimum(n[mine][:, None], n[theirs][None]), np.maximum(n[mine][:, None], n[theirs][None])
@@ -470,10 +475,35 @@ def _block_links(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]
     return np.array(out_a, dtype=np.int64), np.array(out_b, dtype=np.int64)
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id (key of the shingle set),
-    linked_classes (other classes of the component)."""
+def links_within(profile: DataFrame, roots: DataFrame, percent: int, counts: bool = False) -> DataFrame:
+    """All links (a, b) between classes; with ``counts`` c, n instead: links
+    of a class, one row per class and cell. A component larger than ``BLOCK``
+    has blocks of its own, which all meet each other; smaller ones share."""
+    size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    shared = max(1, -(-roots.count() // BLOCK))
+    big = F.col("members") > BLOCK
+    place = roots.join(size, "root").select(
+        "c", "root", F.when(big, F.col("root")).alias("family"),
+        F.when(big, F.ceil(F.col("members") / BLOCK)).otherwise(1).cast("long").alias("parts"),
+        F.when(big, F.pmod(F.xxhash64("c"), F.ceil(F.col("members") / BLOCK)))
+        .otherwise(F.pmod(F.xxhash64("root"), F.lit(shared))).cast("long").alias("part"))
+    other = F.when(F.col("family").isNotNull(), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("part"))
+    dealt = place.withColumn("other", F.explode(other)).select(
+        "c", "root", "family", F.least("part", "other").alias("block"), F.greatest("part", "other").alias("block2"),
+        F.when(F.col("part") <= F.col("other"), 0).otherwise(1).alias("side")).join(profile, "c")
+
+    def compare(table: pa.Table) -> pa.Table:
+        a, b = _block_links(table, percent, within=True)
+        if counts:
+            a, b = np.unique(np.concatenate([a, b]), return_counts=True)
+        return pa.table({"c" if counts else "a": a, "n" if counts else "b": b.astype(np.int64)})
+
+    return dealt.groupBy("family", "block", "block2").applyInArrow(compare, "c long, n long" if counts else "a long, b long")
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, k: int,
+            percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Documents' sets, classes, profiles, and c, root of the classes with links."""
     spark = docs.sparkSession
     sig = shingle_sets(docs, id_col, text_col, k).checkpoint(eager=True)
     classes = (sig.filter("n > 0").groupBy("c", "n").agg(F.min("doc_id").alias("rep")).checkpoint(eager=True))
@@ -491,22 +521,51 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links).checkpoint(eager=True)
     more = compare_blocks(profile, roots, buckets, percent).checkpoint(eager=True)
     star = roots.filter("c <> root").select(F.col("c").alias("a"), F.col("root").alias("b"))
-    roots = components(star.unionByName(more)).checkpoint(eager=True)
+    return sig, classes, profile, components(star.unionByName(more)).checkpoint(eager=True)
+
+
+def _named(sig: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id."""
     labelled = _with_root(classes, roots)
-    ids = labelled.groupBy("root").agg(F.min("rep").alias("component_id"), (F.count(F.lit(1)) - 1).alias("linked_classes"))
-    named = labelled.select("c", "root").join(ids, "root").select("c", "component_id", "linked_classes")
+    ids = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = labelled.select("c", "root").join(ids, "root").select("c", "component_id")
     return (sig.join(named, "c", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNull(), None)
                     .otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
-                    F.col("c").alias("class_id"), F.coalesce("linked_classes", F.lit(0)).alias("linked_classes")))
+                    F.col("c").alias("class_id")))
+
+
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
+                    percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id (key of the shingle set),
+    linked_classes (other classes that the document's class links with)."""
+    sig, classes, profile, roots = _joined(docs, id_col, text_col, k, percent)
+    linked = links_within(profile, roots, percent, counts=True).groupBy("c").agg(F.sum("n").alias("linked_classes"))
+    found = _named(sig, classes, roots).join(linked.withColumnRenamed("c", "class_id"), "class_id", "left")
+    return found.select("doc_id", "n_shingles", "component_id", "class_id",
+                        F.coalesce("linked_classes", F.lit(0)).alias("linked_classes"))
+
+
+def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
+               percent: int = PERCENT) -> DataFrame:
+    """a, b (a < b): all links, between the smallest ids of the classes."""
+    _, classes, profile, roots = _joined(docs, id_col, text_col, k, percent)
+    rep = classes.select("c", "rep")
+    links = links_within(profile, roots, percent)
+    links = (links.join(rep.select(F.col("c").alias("a"), F.col("rep").alias("x")), "a")
+             .join(rep.select(F.col("c").alias("b"), F.col("rep").alias("y")), "b"))
+    return links.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near duplicates: of every component the document with
     the smallest id stays (of repeated rows one). Documents without words,
     and rows with a null id, stay."""
-    found = join_components(docs, id_col, text_col).checkpoint(eager=True)
+    sig, classes, _, roots = _joined(docs, id_col, text_col, SHINGLE, PERCENT)
+    found = _named(sig, classes, roots).checkpoint(eager=True)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     n = gone.count()
     gone = F.broadcast(gone) if n <= BROADCAST_ROWS else gone.hint("merge")

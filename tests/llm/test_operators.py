@@ -127,6 +127,35 @@ def test_jaccard_large_near_group_and_blocks(spark, monkeypatch):
         assert (r.n_shingles, r.component_id) == want[r.doc_id]
 
 
+@pytest.mark.parametrize("block", [16, 512])
+def test_jaccard_all_links(spark, monkeypatch, block):
+    """Every link of every component, and each document's number of them."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    base = [f"w{i}" for i in range(64)]
+    chain = [" ".join(base[i:i + 54]) for i in (0, 4, 8)]  # no link between the first and the last
+    rows = [*enumerate(chain), (3, chain[1])]
+    for i in range(60):
+        w = [f"v{j}" for j in range(160)]
+        for j in rnd.sample(range(160), rnd.choice([0, 1, 2])):
+            w[j] = f"x{i}_{j}"
+        rows.append((100 + i, " ".join(w)))
+    rows += [(1000, "a lone text of six words"), (1001, None), (1002, chain[0].upper())]
+    sets = {}
+    for i, t in rows:
+        w = words(t)
+        sets.setdefault(frozenset(tuple(w[j:j + 5]) for j in range(len(w) - 4)), []).append(i)
+    sets.pop(frozenset(), None)
+    want = {(min(sets[a]), min(sets[b])) for a in sets for b in sets
+            if min(sets[a]) < min(sets[b]) and 100 * len(a & b) >= 80 * len(a | b)}
+    assert {(0, 1), (1, 2)} <= want and (0, 2) not in want and len(want) > 500
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.a, r.b) for r in jaccard.join_links(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    number = collections.Counter(x for link in want for x in link)
+    of = {i: number[min(ids)] for ids in sets.values() for i in ids}
+    assert all(r.linked_classes == of.get(r.doc_id, 0) for r in jaccard.join_components(df).collect())
+
+
 def test_jaccard_keep_one(docs):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
