@@ -3,21 +3,29 @@
 Two views of a document: its text (hashed words and character statistics)
 and its page metadata (source, language, stated length). Each view has its own
 classifier, a ridge logistic regression. They learn from a bounded sample of
-labelled documents and exchange pseudo-labels over rounds: from a bounded
-random pool of unlabelled documents each view hands its most confident ones
-to the training set of the other. Each view is then calibrated on labelled
-documents that neither has learned from, the calibrated views are combined
-there, and all documents are scored in one map.
-
-Bounds: at most about ``max_labelled`` labelled and ``max_pool`` unlabelled
-documents (chosen by a hash of the id, so any table gives an even sample)
-reach the driver, as feature vectors of fixed width. Nothing else is sampled.
+labelled documents and exchange pseudo-labels over rounds: in every round each
+view scores all unlabelled documents, and all that it is confident of (odds of
+nine to one) train the other view, weighted so that the classes keep the
+shares they have among the labels; if a view is confident of one class only,
+it hands over none. Each view is then calibrated on labelled documents that
+neither has learned from, the calibrated views are combined there, and all
+documents are scored in one map.
+
+How it is spread: the features of the unlabelled documents are written once.
+A Newton step of both views is one pass over them: every task sums loss,
+gradient and curvature of its confident documents (numbers of fixed length, as
+integers, so the order of adding does not matter), tasks add them up by parts,
+and the driver gets one such sum. A step that raises the loss is halved.
+
+Bounds: at most about ``max_labelled`` labelled documents (chosen by a hash of
+the id, one row per id) reach the driver, as feature vectors of fixed width.
+Nothing else is sampled.
 
 Defined cases: a null or empty text has zero features; null metadata is a
 value of its own; several labels of one document count as the worst; null
 labels and ids are no labels; without labels of both classes every score is
-the share of good labels (1 without labels); repeated rows score alike;
-extra columns are ignored; empty table, empty result.
+the share of good labels (1 without labels); repeated rows score alike, and
+a labelled id with several texts teaches its smallest row; extra columns are ignored; empty table, empty result.
 """
 
 from __future__ import annotations
@@ -26,9 +34,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import uuid
 import zlib
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.session import ensure_checkpoint_dir
+
 from .textops import Words, raw, segment_sum, slices
 
 WORD_BUCKETS = 512
@@ -43,6 +54,12 @@ _CLASS[[32, 9, 10, 11, 12, 13]] = 5
 _CLASS[[ord(c) for c in ".,;:'\"-?"]] = 6
 _CLASS[[ord(c) for c in "#$%&*!|@^~+=<>_/\\{}[]()`"]] = 7
 CLASSES = 8
+WIDTHS = WORD_BUCKETS + CLASSES + 4, SOURCE_BUCKETS + LANG_BUCKETS + 3
+CONFIDENT = float(np.log(9))  # log odds
+STEPS = 12  # Newton steps of a round
+SMALL = 1e-3  # change of a coefficient that ends the steps, and the rounds
+PARTS = 16
+SCALE = float(1 << 24)  # sums travel as integers of this fraction
 
 
 def content_features(column: pa.Array) -> np.ndarray:
@@ -112,6 +129,8 @@ class Model:
     calibration: list | None = None
     combine: np.ndarray | None = None
     constant: float = 1.0
+    labelled: int = 0  # labelled documents learned from or calibrated on
+    taken: tuple = (0, 0)  # documents that each view was handed in the last round
 
     def scores(self, xs: list[np.ndarray]) -> np.ndarray:
         """[documents, 3]: calibrated content, metadata, combined."""
@@ -121,46 +140,128 @@ class Model:
         return np.stack([_sigmoid(z[0]), _sigmoid(z[1]), _sigmoid(logit(np.stack(z, 1), self.combine))], axis=1)
 
 
-def cotrain(xs: list[np.ndarray], y: np.ndarray, order: np.ndarray, pools: list[np.ndarray], rounds: int = 5,
-            grow: int = 200) -> Model:
-    """``xs``: the two views of labelled documents, ``pools`` those of the
-    unlabelled; every fifth document by ``order`` is kept for calibration."""
+def _sums(x: np.ndarray, y: float | np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number, loss, gradient and upper curvature of rows with label ``y``."""
+    z = logit(x, w)
+    p = _sigmoid(z)
+    one = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
+    curve = (one * np.maximum(p * (1 - p), 1e-6).astype(x.dtype)[:, None]).T @ one
+    loss = np.logaddexp(0, z).sum() - (y * z).sum()
+    return np.concatenate([[len(x), loss], (p - y) @ one, curve[np.triu_indices(len(w))].astype(np.float64)])
+
+
+def _opened(v: np.ndarray, width: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Loss, gradient and full curvature of sums as in ``_sums``."""
+    n = width + 1
+    curve = np.zeros((n, n))
+    curve[np.triu_indices(n)] = v[2 + n:]
+    return v[1], v[2:2 + n], curve + np.triu(curve, 1).T
+
+
+_PACKED = [2 + (w + 1) + (w + 1) * (w + 2) // 2 for w in WIDTHS for _ in (0, 1)]  # view 0 by label, view 1 by label
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    n, at = len(column), column.offset
+    if not n:
+        return np.zeros((0, width), dtype=np.float32)
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[at:at + n + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]].view(np.float32).reshape(n, width)
+
+
+def _pass(rows: DataFrame, label_by: list[np.ndarray], at: list[np.ndarray]) -> list[np.ndarray]:
+    """``_sums`` at the weights ``at`` over all documents that the other view
+    is confident of by the weights ``label_by``: view 0 with label 0 and 1,
+    view 1 with label 0 and 1."""
+    spread = rows.sparkSession.sparkContext.broadcast((label_by, at))
+    schema = pa.schema([("part", pa.int32()), ("sums", pa.binary())])
+
+    def run(batches):
+        label_by, at = spread.value
+        total = None
+        for b in batches:
+            xs = [_matrix(b.column(i), w) for i, w in enumerate(WIDTHS)]
+            zs = [logit(x, w) for x, w in zip(xs, label_by)]
+            own = np.concatenate([_sums(xs[view][sign * zs[1 - view] > CONFIDENT], label, at[view])
+                                  for view in (0, 1) for label, sign in ((0.0, -1), (1.0, 1))])
+            total = own if total is None else total + own
+        if total is not None:
+            fixed = np.rint(total * SCALE).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(
+                [fixed[p::PARTS].tobytes() for p in range(PARTS)], pa.binary())], schema=schema)
+
+    def add(batches):
+        total = {}
+        for b in batches:
+            for part, sums in zip(b.column(0).to_pylist(), b.column(1)):
+                total[part] = total.get(part, 0) + np.frombuffer(sums.as_buffer(), dtype=np.int64)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(
+                [t.tobytes() for t in total.values()], pa.binary())], schema=schema)
+
+    found = rows.mapInArrow(run, "part int, sums binary").repartition(PARTS, "part").mapInArrow(
+        add, "part int, sums binary").collect()
+    out = np.zeros(sum(_PACKED))
+    for r in found:
+        out[r["part"]::PARTS] = np.frombuffer(bytes(r["sums"]), dtype=np.int64) / SCALE
+    spread.destroy()
+    return np.split(out, np.cumsum(_PACKED)[:-1])
+
+
+def _round(rows: DataFrame, xs: list[np.ndarray], y: np.ndarray, weights: list[np.ndarray], ridge: float = 1.0):
+    """Weights of both views fitted to the labelled documents and to all
+    unlabelled ones that the other view is confident of by ``weights``; and
+    the numbers of these."""
+    good, now, best, low, taken = y.mean(), list(weights), [None, None], [np.inf, np.inf], (0, 0)
+    for _ in range(STEPS):
+        sums, moved, taken = _pass(rows, weights, now), 0.0, []
+        for view in (0, 1):
+            bad_sums, good_sums = sums[2 * view:2 * view + 2]
+            n0, n1 = bad_sums[0], good_sums[0]
+            whole = min(n1 / good, n0 / (1 - good))
+            taken.append(int(n0 + n1) if whole else 0)
+            mine = _sums(xs[view].astype(np.float64), y, now[view])
+            if whole:
+                mine = mine + (1 - good) * whole / n0 * bad_sums + good * whole / n1 * good_sums
+            loss, slope, curve = _opened(mine, WIDTHS[view])
+            penalty = np.append(np.full(WIDTHS[view], ridge), 1e-6)
+            loss += 0.5 * (penalty * now[view] ** 2).sum()
+            if loss > low[view] + 1e-9 * abs(low[view]) + 1e-4:
+                step = (now[view] - best[view]) / 2
+                now[view] = best[view] + step
+            else:
+                best[view], low[view] = now[view], loss
+                step = np.linalg.solve(curve + np.diag(penalty), slope + penalty * now[view])
+                now[view] = now[view] - step
+            moved = max(moved, np.abs(step).max())
+        if moved < SMALL or not any(taken):
+            break
+    return now, tuple(taken)
+
+
+def cotrain(xs: list[np.ndarray], y: np.ndarray, order: np.ndarray, rows, rounds: int = 5) -> Model:
+    """``xs``: the two views of labelled documents, ``rows`` (called when
+    needed) the table of those of the unlabelled; every fifth document by
+    ``order`` is kept for calibration."""
     if len(y) == 0 or y.min() == y.max():
-        return Model(constant=float(y.mean()) if len(y) else 1.0)
+        return Model(constant=float(y.mean()) if len(y) else 1.0, labelled=len(y))
     apart = np.argsort(np.argsort(order, kind="stable")) % 5 == 0
     learn = ~apart
     if y[learn].min() == y[learn].max() or y[apart].min() == y[apart].max():
         apart, learn = np.ones(len(y), bool), np.ones(len(y), bool)
-    good = y[learn].mean()
-    sets = [[x[learn]] for x in xs]
-    labels = [[y[learn].astype(float)] for _ in xs]
-    free = np.ones(len(pools[0]), dtype=bool)
-    weights = [fit(s[0], t[0]) for s, t in zip(sets, labels)]
+    weights, taken = [fit(x[learn], y[learn]) for x in xs], (0, 0)
+    pool = rows() if rounds else None
     for _ in range(rounds):
-        if not free.any():
+        before = weights
+        weights, taken = _round(pool, [x[learn] for x in xs], y[learn], before)
+        if not any(taken) or max(np.abs(a - b).max() for a, b in zip(weights, before)) < SMALL:
             break
-        taken = np.zeros(len(free), dtype=bool)
-        for view in (0, 1):
-            z = logit(pools[view], weights[view])
-            for label, share in ((1.0, good), (0.0, 1 - good)):
-                sign = 1 if label else -1
-                want = max(1, int(grow * share))
-                rank = np.argsort(np.where(free & ~taken, -sign * z, np.inf), kind="stable")[:want]
-                # confident only: odds of nine to one
-                pick = rank[(sign * z[rank] > np.log(9)) & free[rank] & ~taken[rank]]
-                taken[pick] = True
-                sets[1 - view].append(pools[1 - view][pick])
-                labels[1 - view].append(np.full(len(pick), label))
-        if not taken.any():
-            break
-        free &= ~taken
-        weights = [fit(np.concatenate(s), np.concatenate(t)) for s, t in zip(sets, labels)]
     calibration = []
     for x, w in zip(xs, weights):
         a, b = fit(logit(x[apart], w)[:, None], y[apart], ridge=0.1)
         calibration.append((max(float(a), 0.0), float(b)))
     z = np.stack([a * logit(x[apart], w) + b for x, w, (a, b) in zip(xs, weights, calibration)], axis=1)
-    return Model(weights, calibration, fit(z, y[apart], ridge=0.1))
+    return Model(weights, calibration, fit(z, y[apart], ridge=0.1), labelled=len(y), taken=taken)
 
 
 def _features(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -175,7 +276,7 @@ def _features(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     types = dict(docs.dtypes)
     return docs.select("text", "source", "lang", "n_chars", *keep).mapInArrow(
-        run, ", ".join(f"{k} {types[k]}" for k in keep) + ", content binary, metadata binary")
+        run, ", ".join([*(f"{k} {types[k]}" for k in keep), "content binary", "metadata binary"]))
 
 
 def _share(key, wanted: int, total: int):
@@ -185,31 +286,46 @@ def _share(key, wanted: int, total: int):
     return F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 11) < int((1 << 53) * wanted / total)
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "quality", max_labelled: int = 8000, max_pool: int = 8000, rounds: int = 5,
-             threshold: float = 0.5) -> DataFrame:
-    """doc_id, p_content, p_metadata, score (probability of good quality), keep."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
                        F.col("n_chars").cast("double").alias("n_chars"))
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "quality", max_labelled: int = 8000, rounds: int = 5) -> Model:
+    """The classifiers, from at most about ``max_labelled`` labelled documents
+    and all others."""
+    base = _base(docs, id_col, text_col)
     known = (labels.select(F.col("doc_id").alias("id"), F.col(label_col).cast("int").alias("y"))
              .filter("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.min("y").alias("y")))
-    some = known.filter(_share(F.col("id"), max_labelled, known.count()))
-    total = base.select("doc_id").count()
     # at most about max_labelled rows: the share was chosen from the count
-    joined = base.join(F.broadcast(some), F.col("doc_id") == F.col("id"), "left")
-    pool = _share(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("pool")), max_pool, total)
-    sample = joined.filter(F.col("y").isNotNull() | pool).withColumn("o", F.xxhash64("doc_id"))
+    some = known.filter(_share(F.col("id"), max_labelled, known.count()))
+    one = F.struct("text", "source", "lang", "n_chars", "y")
+    sample = (base.join(F.broadcast(some), F.col("doc_id") == F.col("id")).groupBy("doc_id").agg(F.min(one).alias("one"))
+              .select("one.*", F.xxhash64("doc_id").alias("o")))
     rows = _features(sample, ["y", "o"]).toArrow()
-    y = np.array([-1 if v is None else v for v in rows.column("y").to_pylist()], dtype=np.int64)
-    order = rows.column("o").to_numpy() if len(y) else np.zeros(0, dtype=np.int64)
+    y, order = (rows.column(c).to_numpy() for c in ("y", "o"))
     sort = np.lexsort((y, order))
-    views = [np.array([np.frombuffer(x, dtype=np.float32) for x in rows.column(c).to_pylist()]) for c in ("content", "metadata")]
-    views = [v[sort] if len(y) else v for v in views]
-    y, order = y[sort], order[sort]
-    has = y >= 0
-    model = cotrain([v[has] for v in views], (y[has] > 0).astype(float), order[has], [v[~has] for v in views], rounds) \
-        if len(y) else Model()
+    views = [np.array([np.frombuffer(x, dtype=np.float32) for x in rows.column(c).to_pylist()]).reshape(-1, w)[sort]
+             for c, w in zip(("content", "metadata"), WIDTHS)]
+
+    def pool() -> DataFrame:
+        spark = docs.sparkSession
+        path = f"{ensure_checkpoint_dir(spark)}/cotrain-{uuid.uuid4().hex}"
+        rest = base.join(F.broadcast(some), F.col("doc_id") == F.col("id"), "left_anti")
+        _features(rest, []).write.option("compression", "zstd").parquet(path)
+        return spark.read.parquet(path)
+
+    return cotrain(views, (y[sort] > 0).astype(float), order[sort], pool, rounds)
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             label_col: str = "quality", max_labelled: int = 8000, rounds: int = 5,
+             threshold: float = 0.5) -> DataFrame:
+    """doc_id, p_content, p_metadata, score (probability of good quality), keep."""
+    base = _base(docs, id_col, text_col)
+    model = train(docs, labels, id_col, text_col, label_col, max_labelled, rounds)
 
     def run(batches):
         for part in slices(batches, "text"):

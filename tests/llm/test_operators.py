@@ -480,3 +480,19 @@ def test_cotraining(spark, docs, none):
     got = cotrain.classify(docs, labels.limit(0)).collect()
     assert len(got) == docs.count() and all(r.score == 1.0 and r.keep for r in got)
     assert len(cotrain.classify(docs, labels).collect()) == docs.count()
+
+
+def test_cotraining_learns_from_all_unlabelled(spark):
+    """More documents than a pool of 8,000 would hold, and a labelled id with many rows."""
+    def text(n):
+        bad, good = F.lit("### !!! ### !!!"), F.lit("plain words of a page")
+        return F.concat(F.when(n % 4 == 0, bad).otherwise(good), F.lit(" "), n.cast("string"))
+    i = F.col("id")
+    many = spark.range(12000).select(i.alias("doc_id"), text(i).alias("text"), F.lit("en").alias("lang"),
+                                     F.when(i % 4 == 0, "bad").otherwise("good").alias("source"), F.lit(20).cast("long").alias("n_chars"))
+    df = many.unionByName(many.filter("doc_id = 8").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("copy"))
+    labels = many.filter("doc_id < 400").select("doc_id", (F.col("doc_id") % 4 > 0).cast("int").alias("quality"))
+    model = cotrain.train(df, labels)
+    assert model.labelled == 400 and min(model.taken) > 11000
+    wrong = cotrain.classify(df, labels).filter(F.col("keep") != (F.col("doc_id") % 4 > 0))
+    assert wrong.count() == 0
