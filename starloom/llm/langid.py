@@ -7,8 +7,9 @@ corpus. Prediction: a document is a mixture of languages; a word's likelihood
 under a language is the product of its 3-gram probabilities. Expectation
 maximisation over the document's words gives the language proportions.
 Nested language sets, in the order of those proportions, are then refitted
-and the set with the best penalised likelihood (BIC) stays; the prediction
-is its largest language and the score that language's proportion.
+and the set with the best penalised likelihood (BIC) stays; a size is left
+out only if a bound on the likelihood of any set shows that it cannot win. The
+prediction is the set's largest language, the score that language's proportion.
 
 Prediction is a map over the documents: no shuffle, memory bounded by one
 slice of text.
@@ -33,7 +34,6 @@ BUCKETS = 1 << BITS
 PARTS = 16
 EM_STEPS = 20
 REFIT_STEPS = 6
-MAX_SET = 4
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
@@ -132,18 +132,27 @@ def infer(words: Words, table: np.ndarray) -> np.ndarray:
     count = count.astype(np.float64)
     ptr = np.searchsorted(doc, np.arange(words.n_docs + 1))
     n = segment_sum(count, ptr)
-    full, _ = _em(like, count, ptr, np.full((words.n_docs, n_lang), 1.0 / n_lang), EM_STEPS)
+    full, top = _em(like, count, ptr, np.full((words.n_docs, n_lang), 1.0 / n_lang), EM_STEPS)
     order = np.argsort(-full, axis=1, kind="stable")
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.broadcast_to(np.arange(n_lang), order.shape).copy(), axis=1)
+    # no proportions have a likelihood above this (Jensen's inequality)
+    gain = segment_sum(like * (count / (full[doc] * like).sum(axis=1))[:, None], ptr).max(axis=1)
+    top = top + n * np.log(np.maximum(gain / np.maximum(n, 1), 1.0))
     best = np.full(words.n_docs, -np.inf)
-    for k in range(1, min(n_lang, MAX_SET) + 1):
-        start = np.where(rank < k, full + 1e-6, 0.0)
+    for k in range(1, n_lang + 1):
+        price = (k - 1) * np.log(np.maximum(n, 2))
+        some = np.flatnonzero(top - price > best - 1e-6)
+        if not len(some):
+            break
+        own = np.isin(doc, some) if len(some) < words.n_docs else slice(None)
+        part = np.concatenate(([0], np.cumsum(np.diff(ptr)[some])))
+        start = np.where(rank[some] < k, full[some] + 1e-6, 0.0)
         start /= start.sum(axis=1, keepdims=True)
-        fit, ll = _em(like, count, ptr, start, REFIT_STEPS if k > 1 else 0)
-        ll = ll - 0.5 * (k - 1) * np.log(np.maximum(n, 2)) * 2
-        better = ll > best
-        out[better], best[better] = fit[better], ll[better]
+        fit, ll = _em(like[own], count[own], part, start, REFIT_STEPS if k > 1 else 0)
+        ll = ll - price[some]
+        better = ll > best[some]
+        out[some[better]], best[some[better]] = fit[better], ll[better]
     out[n == 0] = 0
     return out
 

@@ -307,6 +307,15 @@ def test_langid_mixture_and_penalty(spark):
     assert b.lang_mix == {"en": 1.0}
 
 
+def test_langid_finds_more_than_four_languages(spark):
+    parts = {f"l{i}": " ".join(c * 3 + x * 2 for x in "stuvwx") for i, c in enumerate("abcdefg")}
+    model = langid.learn(spark.createDataFrame([(t, g) for g, t in parts.items()] * 5, "text string, lang string"))
+    mixed = " ".join(t for g, t in parts.items() for _ in range(9 if g == "l6" else 5))
+    a, b = langid.predict(spark.createDataFrame([(mixed,), (parts["l2"],)], "text string"), model).collect()
+    assert a.lang_pred == "l6" and set(a.lang_mix) == set(parts) and abs(a.score - 9 / 39) < 0.02
+    assert b.lang_mix == {"l2": 1.0}
+
+
 def test_topk(spark):
     g = np.random.default_rng(3)
     rows = [(i, [float(x) for x in g.normal(size=8)]) for i in range(400)]
