@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.sources.tables import read_table
 
-from . import cotrain, hpylm, jaccard, langid, linededup, merkle, mixing, packing, spotsigs, topk
+from . import bpa, cotrain, hpylm, jaccard, langid, linededup, merkle, mixing, packing, spotsigs, topk
 from .ship import ready
 
 VOCABULARY = "word_bpe_49k.json"
@@ -91,6 +91,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path(), with_ids=False)
 
 
+def op13_bpa_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpa.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def _ready(fn):
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +103,8 @@ def _ready(fn):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _ready(f) for f in (op1_cotrain, op2_topk_search, op3_jaccard_join, op4_hpylm, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing)}
+    f.__name__: _ready(f) for f in (op1_cotrain, op2_topk_search, op3_jaccard_join, op4_hpylm, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing,
+        op13_bpa_search)}
 
 ORACLE: dict[str, str] = {
     "op2_topk_search": """
@@ -172,4 +177,34 @@ ORACLE: dict[str, str] = {
                coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped
         FROM p LEFT JOIN kept USING (r)
     """,
+    "op13_bpa_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), i AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), total AS (
+            SELECT count(DISTINCT r) AS n_docs, count(*) AS n_terms FROM d
+        ), doc AS (
+            SELECT r, 100 - 50 + (50 * count(*) * (SELECT n_docs FROM total)) // (SELECT n_terms FROM total) AS m
+            FROM d GROUP BY r
+        ), tf AS (
+            SELECT r, doc_id, term, count(*) AS tf FROM d SEMI JOIN i USING (term) GROUP BY ALL
+        ), weight AS (
+            SELECT term, CAST(floor(1000 * ln((2 * (SELECT n_docs FROM total) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))
+                              AS BIGINT) AS w
+            FROM tf GROUP BY term
+        ), scored AS (
+            SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+            FROM i JOIN tf USING (term) JOIN weight USING (term) JOIN doc USING (r) GROUP BY ALL
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+               doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 50
+    """,
 }

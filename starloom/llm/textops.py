@@ -25,6 +25,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+# ends a term: all of ASCII but letters and digits
+PUNCTUATION = np.ones(256, dtype=bool)
+PUNCTUATION[48:58] = PUNCTUATION[65:91] = PUNCTUATION[97:123] = PUNCTUATION[128:] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -89,12 +92,12 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """All words of a column: ``starts``/``ends`` in ``data`` (lower-cased
     bytes), ``ptr`` (document i has words ptr[i]:ptr[i+1]), ``hashes``
-    (64-bit, equal for equal words)."""
+    (64-bit, equal for equal words). ``breaks`` marks the bytes between words."""
 
-    def __init__(self, column: pa.Array, hashes: bool = True):
+    def __init__(self, column: pa.Array, hashes: bool = True, breaks: np.ndarray = _SPACE):
         data, offsets = raw(column)
         self.n_docs = len(offsets) - 1
-        mask = ~_SPACE[data]
+        mask = ~breaks[data]
         n = len(data)
         before = np.empty(n, dtype=bool)
         after = np.empty(n, dtype=bool)
