@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.sources.tables import read_table
 
-from . import bpa, cotrain, hpylm, jaccard, langid, linededup, merkle, mixing, packing, spotsigs, topk
+from . import bpa, cotrain, hpylm, jaccard, langid, licenses, linededup, merkle, mixing, packing, spotsigs, topk
 from .ship import ready
 
 VOCABULARY = "word_bpe_49k.json"
@@ -91,6 +91,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path(), with_ids=False)
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["exact"])
+
+    def labels(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda s: s["first_word"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda s: s["first_word"])).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["similarity"])), F.lit(0.0)).alias("score"), "spans")
+
+
 def op13_bpa_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpa.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -104,7 +118,7 @@ def _ready(fn):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (op1_cotrain, op2_topk_search, op3_jaccard_join, op4_hpylm, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing,
-        op13_bpa_search)}
+        op12_license_scan, op13_bpa_search)}
 
 ORACLE: dict[str, str] = {
     "op2_topk_search": """
