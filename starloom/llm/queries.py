@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.sources.tables import read_table
 
-from . import bpa, cotrain, hpylm, jaccard, langid, licenses, linededup, merkle, mixing, packing, spotsigs, topk
+from . import bpa, cotrain, hpylm, jaccard, langid, licenses, linededup, merkle, mixing, packing, spotsigs, topk, variants
 from .ship import ready
 
 VOCABULARY = "word_bpe_49k.json"
@@ -91,6 +91,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path(), with_ids=False)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(read_table(spark, sf_dir, "documents"), typos=97)
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["exact"])
@@ -118,7 +122,7 @@ def _ready(fn):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (op1_cotrain, op2_topk_search, op3_jaccard_join, op4_hpylm, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing,
-        op12_license_scan, op13_bpa_search)}
+        op11_spelling_variants, op12_license_scan, op13_bpa_search)}
 
 ORACLE: dict[str, str] = {
     "op2_topk_search": """
