@@ -127,15 +127,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_topk_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-            SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
-            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.vec_id % 20 = 0
+            SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.r <> b.r AND a.vec_id % 20 = 0
         )
-        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                vec_id, score
         FROM scored QUALIFY rank <= 20
     """,

@@ -321,20 +321,38 @@ def test_topk(spark):
     rows = [(i, [float(x) for x in g.normal(size=8)]) for i in range(400)]
     rows += [(400 + i, rows[7][1]) for i in range(60)]  # ties
     rows += [(1000, None), (1001, [1.0, float("nan")] * 4), (1002, [1.0, None] * 4), (None, rows[0][1]), (1003, []),
-             (1020, [2.0, 3.0]), (1021, [1.0, 1.0]), rows[5]]
+             (1020, [2.0, 3.0]), (1021, [1.0, 1.0]), rows[5], rows[20], (6, rows[9][1]), (40, rows[3][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit(1)).withColumn("id", F.lit("x"))
-    vectors = df.select("vec_id", "v", "id", topk.quantised(F.col("embedding")).alias("vector"))
-    got = collections.defaultdict(list)
-    for r in topk.top_k(vectors, F.col("vec_id") % 20 == 0, block=64).collect():
-        got[r.query_id].append((r.rank, r.vec_id, r.score))
-    good = {i: np.floor(64 * np.array(e, dtype=np.float32).astype(float)).astype(int) for i, e in rows
-            if i is not None and e and None not in e and not any(math.isnan(x) for x in e)}
-    for q in (i for i in good if i % 20 == 0):
-        all_ = sorted((-int(good[q] @ good[x]), x) for x in good if x != q and len(good[x]) == len(good[q]))[:20]
-        assert sorted(got.get(q, [])) == [(k + 1, x, -s) for k, (s, x) in enumerate(all_)]
+    vectors = df.select("vec_id", "v", "id", topk.quantised(F.col("embedding")).alias("vector")).withColumn("row", F.lit(0))
+    good = [(i, np.floor(64 * np.array(e, dtype=np.float32).astype(float)).astype(int)) for i, e in rows
+            if i is not None and e and None not in e and not any(math.isnan(x) for x in e)]
+    # every row but the query's own: two rows of one id are rows of their own
+    want = collections.Counter()
+    for n, (i, q) in enumerate(good):
+        if i % 20 == 0:
+            scored = sorted((-int(q @ x), j) for m, (j, x) in enumerate(good) if m != n and len(x) == len(q))[:20]
+            want.update((i, r + 1, j, -s) for r, (s, j) in enumerate(scored))
+    for sizes in ({"block": 64, "query_block": 7}, {}):
+        got = topk.top_k(vectors, F.col("vec_id") % 20 == 0, **sizes).collect()
+        assert collections.Counter((r.query_id, r.rank, r.vec_id, r.score) for r in got) == want
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_takes_exact_products_of_survivors_only():
+    g = np.random.default_rng(8)
+    centres = g.normal(size=(40, 64))
+    for x, share in ((centres[g.integers(0, 40, 6000)] + 0.3 * g.normal(size=(6000, 64)), 0.3), (g.normal(size=(6000, 64)), 0.9)):
+        x = np.floor(64 * x).astype(np.int64)
+        rows, seen = np.arange(len(x)), [0] * (len(topk.LEVELS) + 1)
+        q = rows[::100]
+        a, b, score = topk.search_block(q, x[q], rows, rows, x, 20, seen=seen)
+        exact = x[q] @ x.T
+        exact[np.arange(len(q)), q] = -2**60
+        best = np.lexsort((np.broadcast_to(rows, exact.shape), -exact), axis=1)[:, :20]
+        assert (b.reshape(-1, 20) == best).all() and (score == exact[q[a] // 100, b]).all()
+        assert seen[0] == len(q) * (len(x) - 1) and seen == sorted(seen, reverse=True) and seen[-1] < share * seen[0]
+
+
 def test_spotsigs_next_and_edited(docs, none):
     out = spotsigs.compare_with_next(docs).collect()
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
