@@ -1,7 +1,7 @@
 """Distributed dense surrogate keys (WN2, WN3, WN4).
 
 ``Window.orderBy(...)`` without a partition (the reference's key assignment)
-moves every row into one task. Instead (range method, the default):
+moves every row into one task. Instead:
 
 1. range-partition on the business order and sort inside each partition;
 2. tag rows with ``monotonically_increasing_id`` = (partition << 33) + position;
@@ -13,16 +13,12 @@ moves every row into one task. Instead (range method, the default):
 5. key = start + offset(partition) + position.
 
 The result equals ``row_number() over (order by keys) - 1 + start`` when
-the order columns are unique. The quantile method (one numeric column) cuts
-the value range at approximate quantiles computed once, numbers rows inside
-their bucket with a window partitioned by bucket, and takes bucket offsets
-from a per-bucket count table (n rows, broadcast).
+the order columns are unique.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import FractionalType, IntegralType
 
 from starloom.functions.plan import bounded_broadcast
 
@@ -39,57 +35,13 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def dense_key(df: DataFrame, order_cols: list[str], key_col: str, start: int | Column = 0,
-              num_partitions: int | None = None, method: str = "range") -> DataFrame:
+              num_partitions: int | None = None) -> DataFrame:
     """Append ``key_col`` = start + 0-based rank of each row in ``order_cols``
-    order (columns must form a unique, total order).
-
-    ``"range"`` (default) uses a range exchange whose layout is fixed by a
-    checkpoint; the checkpoint also cuts the lineage, so everything built on
-    the keyed table (a dimension feeding a fact) reads stored rows instead of
-    re-running staging. ``"quantile"`` (one numeric order column) cuts the key
-    range at approximate quantiles computed once on the driver (n-1 numbers)
-    and writes nothing; it is cheaper when the keyed rows are consumed once,
-    slower when a dimension is reused (measured: +18 % on the bench)."""
-    if method == "quantile":
-        if len(order_cols) != 1 or not isinstance(df.schema[order_cols[0]].dataType,
-                                                  (IntegralType, FractionalType)):
-            raise ValueError("method='quantile' needs one numeric order column")
-        return _dense_key_quantile(df, order_cols[0], key_col, start, _partitions(df, num_partitions))
-    return _dense_key_range(df, order_cols, key_col, start, _partitions(df, num_partitions))
-
-
-def _bucket_expr(col: Column, bounds: list[float], lo: int, hi: int) -> Column:
-    """Index of the bucket of ``col`` among sorted ``bounds`` (binary search
-    unrolled into a balanced CASE tree: log2(n) comparisons per row)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(col < F.lit(bounds[mid - 1]), _bucket_expr(col, bounds, lo, mid - 1)).otherwise(
-        _bucket_expr(col, bounds, mid, hi))
-
-
-def _dense_key_quantile(df: DataFrame, col: str, key_col: str, start, n: int) -> DataFrame:
-    probs = [i / n for i in range(1, n)]
-    found = df.approxQuantile(col, probs, 1.0 / (4 * n)) if probs else []
-    bounds = sorted({b for b in found if b is not None})
-    value = F.col(col).cast("double")
-    bucket = _bucket_expr(value, bounds, 0, len(bounds)) if bounds else F.lit(0)
-    bucket = F.when(value.isNull(), F.lit(0)).otherwise(bucket)   # NULLs sort first
-    tagged = df.withColumn(_PID, bucket)
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_sl_n"))
-    offsets = counts.select(
-        _PID, (F.sum("_sl_n").over(Window.orderBy(_PID)) - F.col("_sl_n")).alias(_OFF))
-    pos = F.row_number().over(Window.partitionBy(_PID).orderBy(F.col(col))) - 1
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    return (
-        tagged.withColumn(_MID, pos)
-        .join(bounded_broadcast(offsets, n), _PID)
-        .withColumn(key_col, (start_col + F.col(_OFF) + F.col(_MID)).cast("long"))
-        .select(key_col, *df.columns)
-    )
-
-
-def _dense_key_range(df: DataFrame, order_cols: list[str], key_col: str, start, n: int) -> DataFrame:
+    order (columns must form a unique, total order). The checkpoint that fixes
+    the layout also cuts the lineage, so everything built on the keyed table
+    (a dimension feeding a fact) reads stored rows instead of re-running
+    staging."""
+    n = _partitions(df, num_partitions)
     tagged = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)

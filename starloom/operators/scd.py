@@ -22,7 +22,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.functions.nulls import any_distinct, typed_null
-from starloom.functions.plan import bounded_broadcast
 from starloom.operators.keys import dense_key, next_key_start
 from starloom.operators.sequence import sliced, with_neighbours
 from starloom.operators.staging import latest_per_key
@@ -197,7 +196,7 @@ def _merge_sequence(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, mode: st
     if mode == "strict":
         log = log.withColumn("_sl_row_t", F.col("_sl_t"))
         compared.append("_sl_row_t")
-    versions = scd2_from_log(log, key, "_sl_t", compared, carry=[*extra, vk], slicing="range")
+    versions = scd2_from_log(log, key, "_sl_t", compared, carry=[*extra, vk])
     if mode == "strict":
         versions = versions.drop("_sl_row_t")
     versions = versions.withColumnsRenamed({"effective_from": spec.valid_from, "effective_to": spec.valid_to,
@@ -266,71 +265,113 @@ def scd2_what_if(dim: DataFrame, source: DataFrame, key_value, overrides: dict,
 
 
 # ----------------------------------------------------------- from a change log
+def _marked(log: DataFrame, key: str, order: list[str], tracked: list[str], n: int) -> DataFrame:
+    """The sliced log with ``_sl_start`` (the row starts a version: its tracked
+    values differ null-safely from the previous row of its key) and the
+    previous row's time."""
+    ranged = sliced(log, [key, *order], n)
+    rows = with_neighbours(ranged, [key], order, [*tracked, order[0]], num_partitions=n, keep_slice=True, presliced=True)
+    start = ~F.col("prev_exists") | any_distinct([(F.col(c), F.col(f"prev_{c}")) for c in tracked])
+    return rows.withColumn("_sl_start", start).drop("prev_exists", *[f"prev_{c}" for c in tracked])
+
+
+def _ended(starts: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
+    """Stored version starts with the next start's time and the time of the
+    last row before it (``next_*``; none for the last version of a key)."""
+    ts = order[0]
+    return with_neighbours(starts, [key], order, [ts, f"prev_{ts}"], prev=False, nxt=True, num_partitions=n, presliced=True)
+
+
 def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebreak: list[str] | None = None,
-                  num_partitions: int | None = None, carry: list[str] | None = None,
-                  slicing: str = "sample") -> DataFrame:
+                  num_partitions: int | None = None, carry: list[str] | None = None) -> DataFrame:
     """OP5: versions from a whole change log. A version starts at every row
     whose tracked values differ (null-safely) from the previous row of the same
     key; it ends where the next version of that key starts (NULL = open).
     ``carry`` columns are taken from the row that starts a version.
 
-    One range slicing serves both steps, so a key with a huge history is
-    spread over many tasks and the log is sliced and stored once:
-
-    1. ``with_neighbours`` gives each row its predecessor -> start flags;
-    2. on the same (slice, key) groups, a reversed running ``last`` finds the
-       next start inside the slice; a start with none there takes the first
-       start of the following slices from a one-row-per-slice table.
-
-    ``slicing="sample"`` (default, for a log read from storage) cuts slices
-    from a bounded sample and writes nothing; ``"range"`` (for a log that is
-    itself computed, e.g. a union with a dimension) slices with a range
-    exchange and checkpoints once, so the input is not recomputed per pass."""
+    The log is cut into slices of (key, time) order once, so a key with a huge
+    history is spread over many tasks. Its neighbours tell the starts; the
+    starts, stored (they are what the dimension will hold), tell the ends by
+    the same neighbour step on the same slices."""
     order = [ts, *(tiebreak or [])]
     carry = list(carry or [])
-    pid = "_sl_pid"
-    sort_cols = [key, *order]
     n = num_partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = sliced(log.select(key, *order, *tracked, *carry), sort_cols, n, slicing)
-    nb = with_neighbours(ranged, [key], order, tracked, prev=True, num_partitions=n, keep_slice=True,
-                         slicing="presliced")
-    is_start = ~F.col("prev_exists") | any_distinct([(F.col(c), F.col(f"prev_{c}")) for c in tracked])
-    later = Window.partitionBy(pid, key).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(
-        Window.unboundedPreceding, -1)
-    nearest = F.last(F.when(is_start, F.col(ts)), ignorenulls=True).over(later)
-    starts = nb.withColumn("_sl_start", is_start).withColumn("_sl_next_in", nearest).filter(
-        F.col("_sl_start"))
-
-    # First version start of every slice, from the sliced rows with one
-    # aggregation (no second window pass): the slice's head row if it starts
-    # a version, else the first row whose (key, tracked) differ from the
-    # head's (every row before it repeats the head, so it is the first start).
-    packed = F.struct(F.col(key).alias("k"), *[F.col(c) for c in order], *[F.col(c) for c in tracked])
-    tiny = Window.orderBy(pid)  # one row per slice
-    border = ranged.groupBy(pid).agg(F.min(packed).alias("_sl_h"), F.max(packed).alias("_sl_l")).select(
-        pid, "_sl_h", F.lag("_sl_l").over(tiny).alias("_sl_b"))
-    head_starts = (F.col("_sl_b").isNull() | ~F.col("_sl_b.k").eqNullSafe(F.col("_sl_h.k"))
-                   | any_distinct([(F.col(f"_sl_b.{c}"), F.col(f"_sl_h.{c}")) for c in tracked]))
-    differs = (~F.col(key).eqNullSafe(F.col("_sl_h.k"))
-               | any_distinct([(F.col(c), F.col(f"_sl_h.{c}")) for c in tracked]))
-    at = F.struct(F.col(key).alias("k"), *[F.col(c) for c in order])
-    head_at = F.struct(F.col("_sl_h.k").alias("k"), *[F.col(f"_sl_h.{c}").alias(c) for c in order])
-    first_start = ranged.join(bounded_broadcast(border, n), pid).groupBy(pid).agg(
-        F.first(F.when(head_starts, head_at), ignorenulls=True).alias("_sl_hs"),
-        F.min(F.when(differs, at)).alias("_sl_ds")).select(
-        pid, F.coalesce("_sl_hs", "_sl_ds").alias("_sl_fs"))
-    following = Window.orderBy(F.col(pid).desc()).rowsBetween(Window.unboundedPreceding, -1)  # per slice
-    after = first_start.select(pid, F.last("_sl_fs", ignorenulls=True).over(following).alias("_sl_after"))
-    j = starts.join(bounded_broadcast(after, n), pid, "left")
-    across = F.when(F.col("_sl_after.k").eqNullSafe(F.col(key)), F.col(f"_sl_after.{ts}"))
-    end = F.coalesce(F.col("_sl_next_in"), across)
-    return j.select(
-        key, *tracked,
-        F.col(ts).alias("effective_from"),
-        end.alias("effective_to"),
-        end.isNull().alias("is_current"),
-        *carry,
-    )
+    marked = _marked(log.select(key, *order, *tracked, *carry), key, order, tracked, n)
+    starts = marked.filter("_sl_start").drop("_sl_start").checkpoint(eager=True)
+    ended = _ended(starts, key, order, n)
+    return ended.select(
+        key, *tracked, F.col(ts).alias("effective_from"), F.col(f"next_{ts}").alias("effective_to"),
+        F.col(f"next_{ts}").isNull().alias("is_current"), *carry)
+
+
+# ------------------------------------------------- log rows in any order
+def log_row_columns(key: str, ts: str, tiebreak: str, tracked: list[str], version_key: str) -> list[str]:
+    """Columns of the rows ``scd2_merge_rows`` keeps: every change-log row once,
+    whether it starts a version, and for starts its key, end and last-seen time."""
+    return [key, ts, tiebreak, *tracked, "is_start", version_key, "effective_to", "last_seen"]
+
+
+def scd2_merge_rows(state: DataFrame, batch: DataFrame, key: str, ts: str, tiebreak: str, tracked: list[str],
+                    version_key: str, key_start: int, num_partitions: int | None = None) -> DataFrame:
+    """OP5/DQ19, rows in any order: merge change-log rows into stored ones
+    (``log_row_columns``) and return only the rows that are new or changed.
+
+    A late row splits the version that covers its time, is absorbed by it, or
+    joins its neighbours, as if the whole log had been read in order. For that
+    a version's confirming rows stay stored beside its start (a split version
+    goes on at the first confirmation behind the late row). Of each key in
+    the batch, only the versions that end at or after its earliest new row,
+    and their confirmations, are read again; earlier history is not touched.
+
+    Version keys stay with their start row. Where an earlier row takes over a
+    version's start, the version keeps its key; where two versions join, the
+    smaller key stays. A row already stored (same key, time and tiebreak) counts once."""
+    order = [ts, tiebreak]
+    n = num_partitions or int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    new = batch.select(key, ts, F.col(tiebreak).cast(state.schema[tiebreak].dataType).alias(tiebreak), *tracked)
+    low = new.groupBy(key).agg(F.min(ts).alias("_sl_low"))
+    known = state.join(low, key)
+    at = F.struct(*order)
+    first = known.filter(F.col("is_start") & (F.col("effective_to").isNull() | (F.col("effective_to") >= F.col("_sl_low")))
+                         ).groupBy(key).agg(F.min(at).alias("_sl_first"))
+    was = ["is_start", version_key, "effective_to", "last_seen"]
+    touched = known.join(first, key).filter(at >= F.col("_sl_first")).select(
+        key, *order, *tracked, F.struct(*was).alias("_sl_was"))
+    log = touched.unionByName(new, allowMissingColumns=True)
+    log = latest_per_key(log, [key, *order], ["_sl_was"])  # a stored row wins over its repetition
+    rows = _marked(log, key, order, tracked, n)
+
+    # a start without a key takes the smallest key that lost its start to it
+    run = F.sum(F.col("_sl_start").cast("int")).over(Window.partitionBy("_sl_pid", key).orderBy(*order))
+    rows = rows.withColumn("_sl_run", run)
+    left = F.min(f"_sl_was.{version_key}").over(Window.partitionBy("_sl_pid", key, "_sl_run"))
+    rows = rows.withColumn(version_key, F.when(F.col("_sl_start"), F.coalesce(f"_sl_was.{version_key}", left)))
+    rows = rows.drop("_sl_run").checkpoint(eager=True)
+    tops = rows.groupBy(key).agg(F.max(ts).alias("_sl_top"))
+    starts = _ended(rows.filter("_sl_start"), key, order, n).join(tops, key).select(
+        key, *order, *tracked, "_sl_was", F.lit(True).alias("is_start"), version_key,
+        F.col(f"next_{ts}").alias("effective_to"),
+        F.when(F.col(f"next_{ts}").isNull(), F.col("_sl_top")).otherwise(F.col(f"next_prev_{ts}")).alias("last_seen"))
+    fresh = dense_key(starts.filter(F.col(version_key).isNull()).drop(version_key), [key, *order], version_key, key_start)
+    seen = rows.filter(~F.col("_sl_start")).select(
+        key, *order, *tracked, "_sl_was", F.lit(False).alias("is_start"), F.lit(None).cast("long").alias(version_key),
+        typed_null("timestamp_ntz").alias("effective_to"), typed_null("timestamp_ntz").alias("last_seen"))
+    merged = starts.filter(F.col(version_key).isNotNull()).unionByName(fresh).unionByName(seen)
+    return merged.filter(~F.struct(*was).eqNullSafe(F.col("_sl_was"))).select(
+        log_row_columns(key, ts, tiebreak, tracked, version_key))
+
+
+def scd2_rejects(batch: DataFrame, key: str, ts: str, current: DataFrame | None = None) -> DataFrame:
+    """Rows that no version can take, with ``reason``: without a key, without a
+    time, and, if the ``current`` versions (key, effective_from) are given,
+    not later than their key's current version."""
+    reason = F.when(F.col(key).isNull(), "no key").when(F.col(ts).isNull(), "no time")
+    if current is None:
+        return batch.withColumn("reason", reason).filter("reason IS NOT NULL")
+    starts = current.select(F.col(key).alias("_sl_key"), F.col("effective_from").alias("_sl_from"))
+    late = reason.when(F.col(ts) <= F.col("_sl_from"), "late")
+    return (batch.join(starts, F.col(key) == F.col("_sl_key"), "left").withColumn("reason", late)
+            .filter("reason IS NOT NULL").select(*batch.columns, "reason"))
 
 
 def scd2_late_rows(dim: DataFrame, batch: DataFrame, key: str, ts: str) -> DataFrame:
@@ -366,8 +407,7 @@ def scd2_apply_log(dim: DataFrame, batch: DataFrame, key: str, ts: str, tracked:
     ev = batch.select(key, ts, F.col(tiebreak).cast("long").alias(tiebreak), *tracked).join(
         starts, key, "left").filter(F.col("_sl_cur_from").isNull() | (F.col(ts) > F.col("_sl_cur_from"))).select(
         key, ts, tiebreak, *tracked, F.lit(None).cast("long").alias(version_key))
-    versions = scd2_from_log(cur.unionByName(ev), key, ts, tracked, [tiebreak], carry=[version_key],
-                             slicing="range")
+    versions = scd2_from_log(cur.unionByName(ev), key, ts, tracked, [tiebreak], carry=[version_key])
     kept = versions.filter(F.col(version_key).isNotNull())
     fresh = versions.filter(F.col(version_key).isNull()).drop(version_key)
     start = key_start if key_start is not None else next_key_start(dim, version_key)

@@ -30,62 +30,12 @@ def _n(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-SAMPLE_PER_SLICE = 20          # sampled sort keys per slice when cutting slice bounds
-MAX_SAMPLED_SLICES = 1024      # beyond this the bound tree gets large: use "range"
-
-
-def sample_bounds(df: DataFrame, sort_cols: list[str], n: int, seed: int = 7) -> list[tuple]:
-    """n-1 cut points of ``sort_cols`` order taken from a Bernoulli sample of
-    about ``SAMPLE_PER_SLICE * n`` rows (one count and one sample job; the
-    sample, sorted by Spark, is the only data brought to the driver and its
-    size is bounded by the parameters, not by the data)."""
-    if n <= 1:
-        return []
-    total = df.count()
-    if total == 0:
-        return []
-    frac = min(1.0, SAMPLE_PER_SLICE * n / total)
-    pts = df.select(*sort_cols).sample(False, frac, seed).orderBy(*sort_cols).collect()
-    bounds: list[tuple] = []
-    for i in range(1, n):
-        if not pts:
-            break
-        b = tuple(pts[min(len(pts) - 1, int(i * len(pts) / n))])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds
-
-
-def slice_of(df: DataFrame, sort_cols: list[str], bounds: list[tuple]) -> F.Column:
-    """Slice index of a row: binary search of its ``sort_cols`` struct among
-    literal ``bounds``, unrolled into a balanced CASE tree (log2(n) struct
-    comparisons). A pure function of the row, so every branch of a plan and
-    every retry computes the same slice."""
-    key = F.struct(*[F.col(c) for c in sort_cols])
-    lits = [F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(sort_cols, b)])
-            for b in bounds]
-
-    def tree(lo: int, hi: int) -> F.Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lits[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return tree(0, len(bounds))
-
-
-def sliced(df: DataFrame, sort_cols: list[str], n: int, slicing: str = "sample") -> DataFrame:
+def sliced(df: DataFrame, sort_cols: list[str], n: int) -> DataFrame:
     """``df`` with a slice id column ``_sl_pid``: consecutive ranges of the
-    ``sort_cols`` order of roughly equal size.
-
-    ``"sample"``: cut points from a bounded sample, slice id computed per row
-    (no shuffle, nothing written). ``"range"``: a range exchange whose result
+    ``sort_cols`` order of roughly equal size, by a range exchange whose result
     is checkpointed (reliable, in the cluster's checkpoint dir) with the slice
-    id stored as data; this is needed because Spark seeds range-bound sampling
-    with the RDD id, so two executions of one range exchange may cut
-    differently."""
-    if slicing == "sample" and n <= MAX_SAMPLED_SLICES:
-        return df.withColumn(_PID, slice_of(df, sort_cols, sample_bounds(df, sort_cols, n)))
+    id stored as data: Spark seeds range-bound sampling with the RDD id, so
+    two executions of one range exchange may cut differently."""
     return (df.repartitionByRange(n, *sort_cols)
             .withColumn(_PID, F.spark_partition_id())
             .checkpoint(eager=True))
@@ -94,19 +44,19 @@ def sliced(df: DataFrame, sort_cols: list[str], n: int, slicing: str = "sample")
 def with_neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
                     prev: bool = True, nxt: bool = False, num_partitions: int | None = None,
                     prefix_prev: str = "prev_", prefix_next: str = "next_",
-                    keep_slice: bool = False, slicing: str = "sample") -> DataFrame:
+                    keep_slice: bool = False, presliced: bool = False) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>`` for every ``c`` in ``cols`` (values of the
     adjacent row of the same key in ``order``), plus ``prev_exists`` /
     ``next_exists`` flags. ``keep_slice`` also returns the slice id
     (``_sl_pid``) so a caller can run further per-slice steps on the same
-    layout; ``slicing="presliced"`` takes a ``df`` that already carries it
-    (from ``sliced``)."""
+    layout; ``presliced`` takes a ``df`` that already carries it (from
+    ``sliced``, and stored, because two branches of the plan read it)."""
     sort_cols = [*keys, *order]
     carried = list(dict.fromkeys([*keys, *cols]))
     # The slice id is read by two branches of the plan (rows, per-slice
     # borders), so it must be the same in both: see ``sliced``.
     n = _n(df, num_partitions)
-    ranged = df if slicing == "presliced" else sliced(df, sort_cols, n, slicing)
+    ranged = df if presliced else sliced(df, sort_cols, n)
     # Window groups are (slice, key): a slice holds many keys, a hot key spans
     # many slices, so no group is larger than one slice and most are small.
     w = Window.partitionBy(_PID, *keys).orderBy(*order)

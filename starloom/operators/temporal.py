@@ -63,7 +63,7 @@ def version_match_count(facts: DataFrame, versions: DataFrame, fact_id: str, key
 
 def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, how: str = "inner",
               valid_from: str = "effective_from", valid_to: str = "effective_to",
-              num_partitions: int | None = None, slicing: str = "range") -> DataFrame:
+              num_partitions: int | None = None) -> DataFrame:
     """Point-in-time join that never pairs a key's facts with all of its
     versions: facts and version starts are merged into one time-ordered
     stream per key and every fact takes the latest version started at or
@@ -72,9 +72,8 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, how: str
     ``point_in_time_join`` returns; with overlaps it returns the latest-started
     version only.
 
-    The stream is cut into slices of (key, time) order (``sequence.sliced``;
-    ``"range"`` by default because facts and versions are usually computed
-    tables), so a key with a third of all facts is spread over many slices; the latest version
+    The stream is cut into slices of (key, time) order (``sequence.sliced``),
+    so a key with a third of all facts is spread over many slices; the latest version
     reaching into a slice from earlier slices comes from a table with one row
     per slice (broadcast, bounded by the slice count)."""
     from pyspark.sql.types import StructType
@@ -91,7 +90,7 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, how: str
                         F.struct(*[F.col(c) for c in vcols]).alias("_sl_v"))
     n = num_partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a version starting exactly at a fact's time sorts first (half-open intervals)
-    ranged = sliced(f.unionByName(v), [key, t, kind], n, slicing)
+    ranged = sliced(f.unionByName(v), [key, t, kind], n)
     upto = Window.partitionBy(pid, key).orderBy(t, kind).rowsBetween(Window.unboundedPreceding, 0)
     filled = ranged.withColumn("_sl_cur", F.last("_sl_v", ignorenulls=True).over(upto)).filter(
         F.col(kind) == 1)

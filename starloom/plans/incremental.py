@@ -19,6 +19,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.sinks.dimension_log import DimensionLog
 from starloom.sinks.state import advance, read_watermark
 from starloom.sources.readers import changes_since
 
@@ -49,3 +50,17 @@ def incremental_run(source: DataFrame, state: DataFrame, pipeline: str, table: s
     if store is not None:
         store(state)
     return IncrementalResult(state, applied=True, result=result)
+
+
+def incremental_log_run(source: DataFrame, log: DimensionLog, lookback: dt.timedelta | None = None) -> bool:
+    """One run into a stored dimension: its mark is read from the last commit,
+    the rows up to a bound taken first are merged, and rows, table version and
+    new mark become visible with one commit record. After a crash the next run
+    starts from the old record, with the old mark. False: nothing new."""
+    mark = log.mark()
+    bound = changes_since(source, log.ts, mark).agg(F.max(log.ts)).first()[0]
+    if bound is None:
+        return False
+    batch = changes_since(source, log.ts, mark, lookback).filter(
+        F.col(log.ts) <= F.lit(bound).cast(source.schema[log.ts].dataType))
+    return log.apply(batch, mark=bound)

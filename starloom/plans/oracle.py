@@ -310,6 +310,17 @@ SELECT user_id, event_type, ts AS effective_from,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
 FROM ev_lagged WHERE rn = 1 OR prev_type IS DISTINCT FROM event_type
 """)
+cte("ev_seen", """
+SELECT user_id, run, any_value(event_type) AS event_type, min(ts) AS effective_from, max(ts) AS last_seen FROM (
+  SELECT *, sum(CASE WHEN rn = 1 OR prev_type IS DISTINCT FROM event_type THEN 1 ELSE 0 END)
+            OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM ev_lagged) x
+GROUP BY user_id, run
+""")
+cte("ev_stored", """
+SELECT user_id, event_type, effective_from, lead(effective_from) OVER w AS effective_to,
+       lead(effective_from) OVER w IS NULL AS is_current, last_seen
+FROM ev_seen WINDOW w AS (PARTITION BY user_id ORDER BY run)
+""")
 cte("ev_base", """
 SELECT row_number() OVER (ORDER BY user_id) - 1 AS version_key, user_id, event_type, ts AS effective_from,
        CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
@@ -690,6 +701,12 @@ UNION ALL
 SELECT (SELECT MAX(version_key) FROM ev_marked) + row_number() OVER (ORDER BY user_id, effective_from),
        user_id, event_type, effective_from, effective_to, effective_to IS NULL
 FROM inc_versions WHERE version_key IS NULL""")
+oracle("scd2_log_two_batches", "SELECT * FROM ev_stored")
+oracle("incremental_stream_files", "SELECT * FROM ev_stored")
+oracle("incremental_two_runs", """
+SELECT s.*, (SELECT max(ts) FROM events) AS stored_mark,
+       (SELECT CAST(count(DISTINCT ts >= TIMESTAMP '2024-01-01 12:00:00') AS BIGINT) FROM events) AS commits
+FROM ev_stored s""")
 oracle("incremental_stream", """
 SELECT row_number() OVER (ORDER BY user_id, effective_from) - 1 AS version_key, user_id, event_type,
        effective_from, effective_to, is_current FROM ev_versions""")

@@ -233,6 +233,12 @@ def _open_versions(events: DataFrame) -> DataFrame:
     return key_ops.dense_key(s, ["user_id"], "version_key")
 
 
+def _event_log(w: Warehouse, root: str):
+    """An empty stored dimension of the users' event types."""
+    from starloom.sinks.dimension_log import DimensionLog
+    return DimensionLog(w.spark, root, _events(w).schema, "user_id", "ts", "event_id", ["event_type"])
+
+
 def _event_base_dim(w: Warehouse) -> DataFrame:
     """Dimension state after the first event of every user."""
     first = _events(w).groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "event_type")).alias("r"))
@@ -654,8 +660,52 @@ def incremental_stream(spark, sf_dir):
     from starloom.streaming.change_feed import run_change_stream
     src = os.path.join(sf_dir, "event[s].parquet")
     schema = _wh(spark, sf_dir).t.events.schema
-    return run_change_stream(spark, src, schema, "user_id", "ts", ["event_type"], "event_id",
-                             base_path=sf_dir)
+    log = run_change_stream(spark, src, schema, "user_id", "ts", ["event_type"], "event_id", base_path=sf_dir)
+    return log.versions().drop("last_seen")
+
+
+@query()
+def scd2_log_two_batches(spark, sf_dir):
+    """OP5/DQ19: the whole log in two batches whose times interleave, so that
+    the second holds late rows of nearly every key: its rows split versions,
+    confirm them or join their neighbours. Same versions as ``scd2_from_log``."""
+    w = _wh(spark, sf_dir)
+    log = _event_log(w, _scratch(spark, "batches"))
+    second = F.pmod(F.col("event_id"), F.lit(3)) == 0
+    for part in (~second, second):
+        log.apply(_events(w).filter(part))
+    return log.versions().drop("version_key")
+
+
+@query()
+def incremental_stream_files(spark, sf_dir):
+    """OP22: the events arrive in three deliveries whose times interleave; the
+    stream takes up each as a micro-batch, merged on read and compacted after
+    the second."""
+    from starloom.streaming.change_feed import run_change_stream
+    w = _wh(spark, sf_dir)
+    root = _scratch(spark, "files")
+    for i in range(3):
+        _events(w).filter(F.pmod(F.col("event_id"), F.lit(3)) == i).write.parquet(f"{root}/feed/part{i}")
+        log = run_change_stream(spark, f"{root}/feed/part*", _events(w).schema, "user_id", "ts", ["event_type"], "event_id",
+                                root=f"{root}/state", base_path=f"{root}/feed", compact_every=2)
+    return log.versions().drop("version_key")
+
+
+@query()
+def incremental_two_runs(spark, sf_dir):
+    """OP22 with stored state: a run over what the source held at the old
+    mark, then one over everything; each reads its mark from the last commit
+    and stores the new one with its rows. Returns the dimension with the
+    stored mark and the number of commits."""
+    from starloom.plans.incremental import incremental_log_run
+    w = _wh(spark, sf_dir)
+    log = _event_log(w, _scratch(spark, "runs"))
+    incremental_log_run(_events(w).filter(F.col("ts") < _ts(EVENTS_MARK)), log)
+    incremental_log_run(_events(w), log)
+    last = log.last()
+    return log.versions().drop("version_key").withColumns({
+        "stored_mark": F.lit(last.mark).cast("timestamp_ntz"), "commits": F.lit(last.seq + 1).cast("long")})
 
 
 @query()

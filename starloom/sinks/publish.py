@@ -74,6 +74,15 @@ def write_once(df: DataFrame, path: str) -> None:
     rename(spark, aside, path)
 
 
+def listed(spark: SparkSession, path: str, name: str) -> list[tuple[int, str]]:
+    """(n, path) of the directories ``<path>/<name>=<n>``."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [str(s.getPath().getName()) for s in fs.listStatus(p)]
+    return sorted((int(f.split("=")[1]), f"{path}/{f}") for f in found if f.startswith(f"{name}="))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
     if fs.exists(p):

@@ -2,21 +2,14 @@
 variant).
 
 A file (or any) streaming source delivers change-log rows; every micro-batch
-is merged into the Type 2 dimension with ``scd2_apply_log``. Storage is
-append-only for history:
-
-    <root>/data/batch=<id>/is_current=false/   versions closed by batch <id>
-    <root>/data/batch=<id>/is_current=true/    all current versions after <id>
-    <root>/_commits/n=<id>/                     one row: batch id, max key
-
-A batch reads only the current versions of the last committed batch (not the
-whole history), writes one directory partitioned by ``is_current``, and
-commits with a row of its own, written aside and renamed, so a crash leaves
-the last commit in force. A replayed batch whose id is not
-newer than the committed one is skipped; a crashed, uncommitted attempt is
-overwritten by its retry and ignored by readers (they prune to committed
-batches). ``trigger(availableNow=True)`` processes everything present and
-stops: the streaming replacement of the reference's stored high-water mark.
+is merged into a Type 2 dimension stored as a log of changed rows
+(``sinks.dimension_log``): a batch writes rows in proportion to the keys it
+changes, commits with one record, and is skipped when it is replayed. Rows
+that come late are merged where they belong, or put aside with
+``late="reject"``; rows without a key or a time are always put aside, so no row
+stops the stream. ``trigger(availableNow=True)`` processes everything present
+and stops: the streaming replacement of the reference's stored high-water
+mark.
 
 State lives under the cluster's ``spark.checkpoint.dir`` (shared storage).
 """
@@ -26,85 +19,22 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from starloom.operators.scd import scd2_apply_log
 from starloom.session import ensure_checkpoint_dir
-from starloom.sinks.publish import exists, write_once
-
-
-def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_commits"
-
-
-def _data(root: str) -> str:
-    return f"{root.rstrip('/')}/data"
-
-
-def committed(spark: SparkSession, root: str) -> tuple[int, int | None] | None:
-    """(last committed batch id, highest version key) or None."""
-    if not exists(spark, _pointer(root)):
-        return None
-    row = spark.read.parquet(_pointer(root)).orderBy(F.col("batch_id").desc()).first()
-    return None if row is None else (int(row["batch_id"]), row["max_key"])
-
-
-def _empty_dim(spark: SparkSession, batch_schema: StructType, key: str, tracked: list[str],
-               version_key: str) -> DataFrame:
-    fields = [StructField(version_key, LongType()), batch_schema[key]]
-    fields += [batch_schema[c] for c in tracked]
-    fields += [StructField("effective_from", TimestampNTZType()), StructField("effective_to", TimestampNTZType()),
-               StructField("is_current", BooleanType())]
-    return spark.createDataFrame([], StructType(fields))
-
-
-def read_dimension(spark: SparkSession, root: str, schema: StructType, key: str, tracked: list[str],
-                   version_key: str = "version_key", current_only: bool = False) -> DataFrame:
-    """The committed dimension: history closed by every committed batch plus
-    the current versions of the last one (partition pruning on the path)."""
-    last = committed(spark, root)
-    empty = _empty_dim(spark, schema, key, tracked, version_key)
-    if last is None:
-        return empty
-    # partition values come back as inferred types (is_current as a string)
-    df = spark.read.parquet(_data(root)).withColumns(
-        {"is_current": F.col("is_current").cast("boolean"), "batch": F.col("batch").cast("long")})
-    b = F.col("batch")
-    keep = (b == last[0]) & F.col("is_current")
-    if not current_only:
-        keep = keep | ((b <= last[0]) & ~F.col("is_current"))
-    return df.filter(keep).select(*[F.col(f.name).cast(f.dataType) for f in empty.schema.fields])
-
-
-def apply_batch(batch: DataFrame, batch_id: int, root: str, key: str, ts: str, tracked: list[str],
-                tiebreak: str, version_key: str) -> bool:
-    """foreachBatch body. Returns False when the batch was already committed."""
-    spark = batch.sparkSession
-    last = committed(spark, root)
-    if last is not None and batch_id <= last[0]:
-        return False
-    current = read_dimension(spark, root, batch.schema, key, tracked, version_key, current_only=True)
-    start = 0 if last is None or last[1] is None else int(last[1]) + 1
-    merged = scd2_apply_log(current, batch, key, ts, tracked, tiebreak, version_key, key_start=start)
-    target = f"{_data(root)}/batch={batch_id}"
-    # one write, split by is_current; a crashed attempt's files are replaced
-    merged.write.mode("overwrite").partitionBy("is_current").parquet(target)
-    written = spark.read.parquet(target)
-    top = written.agg(F.max(version_key).alias("m")).first()["m"]
-    max_key = top if top is not None else (last[1] if last is not None else None)
-    pointer = spark.createDataFrame([(batch_id, max_key)], "batch_id long, max_key long")
-    write_once(pointer.coalesce(1), f"{_pointer(root)}/n={batch_id}")
-    return True
+from starloom.sinks.dimension_log import DimensionLog
 
 
 def run_change_stream(spark: SparkSession, source: str, schema: StructType, key: str, ts: str,
                       tracked: list[str], tiebreak: str, version_key: str = "version_key",
                       root: str | None = None, base_path: str | None = None,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the stream to completion (availableNow) and return the committed
-    dimension."""
+                      max_files_per_trigger: int | None = None, late: str = "merge",
+                      compact_every: int | None = None) -> DimensionLog:
+    """Run the stream to completion (availableNow) and return the stored
+    dimension. ``compact_every``: batches between compactions."""
     root = root or os.path.join(ensure_checkpoint_dir(spark), f"starloom-stream-{uuid.uuid4().hex[:10]}")
+    log = DimensionLog(spark, root, schema, key, ts, tiebreak, tracked, version_key)
     reader = spark.readStream.schema(schema)
     if base_path:
         reader = reader.option("basePath", base_path)
@@ -113,10 +43,13 @@ def run_change_stream(spark: SparkSession, source: str, schema: StructType, key:
     stream = reader.parquet(source).select(key, ts, tiebreak, *tracked)
 
     def body(df: DataFrame, batch_id: int) -> None:
-        apply_batch(df, batch_id, root, key, ts, tracked, tiebreak, version_key)
+        log.apply(df, batch_id, late=late)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            log.compact()
+            log.vacuum()
 
     q = (stream.writeStream.foreachBatch(body)
-         .option("checkpointLocation", f"{root.rstrip('/')}/_stream")
+         .option("checkpointLocation", f"{root}/_stream")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return read_dimension(spark, root, schema, key, tracked, version_key)
+    return log

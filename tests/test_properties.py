@@ -47,12 +47,11 @@ def test_snapshot_merges_equal_log_versions(spark, batches):
 
 @SETTINGS
 @given(values=st.lists(st.tuples(st.integers(0, 3), st.sampled_from("xy")), min_size=1, max_size=60),
-       parts=st.integers(1, 6), slicing=st.sampled_from(["sample", "range"]))
-def test_neighbours_equal_window(spark, values, parts, slicing):
+       parts=st.integers(1, 6))
+def test_neighbours_equal_window(spark, values, parts):
     rows = [(k if i % 3 else 0, i, v) for i, (k, v) in enumerate(values)]   # key 0 is hot
     df = spark.createDataFrame(rows, "k long, t long, v string")
-    got = with_neighbours(df, ["k"], ["t"], ["v"], prev=True, nxt=True, num_partitions=parts,
-                          slicing=slicing)
+    got = with_neighbours(df, ["k"], ["t"], ["v"], prev=True, nxt=True, num_partitions=parts)
     w = Window.partitionBy("k").orderBy("t")
     ref = df.select("k", "t", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n"))
     bad = got.join(ref, ["k", "t"]).filter(~F.col("prev_v").eqNullSafe(F.col("p"))
@@ -61,22 +60,20 @@ def test_neighbours_equal_window(spark, values, parts, slicing):
 
 
 @SETTINGS
-@given(ids=st.sets(st.integers(-10**6, 10**6), min_size=1, max_size=200), parts=st.integers(1, 9),
-       method=st.sampled_from(["range", "quantile"]))
-def test_dense_key_equals_row_number(spark, ids, parts, method):
+@given(ids=st.sets(st.integers(-10**6, 10**6), min_size=1, max_size=200), parts=st.integers(1, 9))
+def test_dense_key_equals_row_number(spark, ids, parts):
     df = spark.createDataFrame([(i,) for i in ids], "id long")
-    got = {r["id"]: r["k"] for r in dense_key(df, ["id"], "k", num_partitions=parts, method=method).collect()}
+    got = {r["id"]: r["k"] for r in dense_key(df, ["id"], "k", num_partitions=parts).collect()}
     assert got == {i: n for n, i in enumerate(sorted(ids))}
 
 
 @SETTINGS
 @given(values=st.lists(st.tuples(st.integers(0, 2), st.sampled_from("ab")), min_size=1, max_size=50),
-       parts=st.integers(1, 7), slicing=st.sampled_from(["sample", "range"]))
-def test_from_log_equals_window_definition(spark, values, parts, slicing):
+       parts=st.integers(1, 7))
+def test_from_log_equals_window_definition(spark, values, parts):
     rows = [(k if i % 2 else 0, T0 + dt.timedelta(minutes=i), i, v) for i, (k, v) in enumerate(values)]
     log = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_id long, event_type string")
-    got = scd.scd2_from_log(log, "user_id", "ts", ["event_type"], ["event_id"], num_partitions=parts,
-                            slicing=slicing)
+    got = scd.scd2_from_log(log, "user_id", "ts", ["event_type"], ["event_id"], num_partitions=parts)
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     starts = log.withColumn("p", F.lag("event_type").over(w)).filter(
         F.col("p").isNull() | (F.col("p") != F.col("event_type")))
