@@ -9,6 +9,7 @@ single aggregation pass (one ``agg`` with a conditional count per rule).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,14 +27,6 @@ def _status(v: Column) -> Column:
     return F.when(v == 0, F.lit("PASS")).otherwise(F.lit("FAIL"))
 
 
-def _rows_from_counts(agg_row: DataFrame, check: str, table: str, names: list[str]) -> DataFrame:
-    """One-row aggregate with one column per rule -> one report row per rule."""
-    long = agg_row.unpivot([], names, "column_name", "violations")
-    return long.select(F.lit(check).alias("check"), F.lit(table).alias("table_name"), "column_name",
-                       F.col("violations").cast("long").alias("violations")).withColumn(
-        "status", _status(F.col("violations")))
-
-
 def violation_count(df: DataFrame, check: str, table: str, column: str) -> DataFrame:
     """Report row counting the rows of ``df`` (a violation set); the building
     block for custom checks."""
@@ -46,11 +39,50 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+# --------------------------------------------------------------- row rules
+@dataclass(frozen=True)
+class Rule:
+    """A rule that one row alone can break: ``broken`` is true where it does."""
+    check: str
+    column: str
+    broken: Column
+
+
+def not_null_rules(*columns: str) -> list[Rule]:
+    return [Rule("not_null", c, F.col(c).isNull()) for c in columns]
+
+
+def accepted_rules(**values: list[str]) -> list[Rule]:
+    return [Rule("accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(v)) for c, v in values.items()]
+
+
+def range_rules(**broken: Column) -> list[Rule]:
+    return [Rule("range", name, pred) for name, pred in broken.items()]
+
+
+def identity_rules(tolerances: tuple[float, ...] = (0.0, 0.01)) -> list[Rule]:
+    """DQ7: ``revenue`` against ``quantity * unit_price - discount``."""
+    return [Rule("revenue_identity", name, pred) for name, pred in _identity(tolerances).items()]
+
+
+def null_key_rule(keys=("customer_key", "product_key", "date_key", "payment_key")) -> Rule:
+    return Rule("null_dimension_keys", ",".join(keys), reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+
+
+def table_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
+    """All row rules of one table, whatever their kind, as conditional counts
+    of one aggregate: one scan, one report row per rule."""
+    counts = df.agg(*[F.count_if(r.broken).alias(f"v{i}") for i, r in enumerate(rules)])
+    rows = F.array(*[F.struct(F.lit(r.check).alias("check"), F.lit(r.column).alias("column_name"),
+                              F.col(f"v{i}").cast("long").alias("violations")) for i, r in enumerate(rules)])
+    return counts.select(F.inline(rows)).select(
+        "check", F.lit(table).alias("table_name"), "column_name", "violations", _status(F.col("violations")).alias("status"))
+
+
 # ------------------------------------------------------------- generic rules
 def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """DQ1: NULL count per column, all columns in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return _rows_from_counts(counts, "not_null", table, columns)
+    return table_rules(df, table, not_null_rules(*columns))
 
 
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
@@ -69,26 +101,26 @@ def relationship(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: s
 
 def accepted_values(df: DataFrame, table: str, rules: dict[str, list[str]]) -> DataFrame:
     """DQ4: non-NULL values outside the accepted list, one pass for all columns."""
-    counts = df.agg(*[F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(v)).alias(c) for c, v in rules.items()])
-    return _rows_from_counts(counts, "accepted_values", table, list(rules))
+    return table_rules(df, table, accepted_rules(**rules))
 
 
 def ranges(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
     """DQ5/DQ6: ``rules`` maps a rule name to a *violation* predicate."""
-    counts = df.agg(*[F.count_if(pred).alias(name) for name, pred in rules.items()])
-    return _rows_from_counts(counts, "range", table, list(rules))
+    return table_rules(df, table, range_rules(**rules))
 
 
 # -------------------------------------------------------------- fact checks
+def _identity(tolerances: tuple[float, ...]) -> dict[str, Column]:
+    expected = line_total()
+    return {("revenue_exact" if t == 0 else f"revenue_off_by_more_than_{int(round(t * 100))}_cents"):
+            (F.col("revenue") != expected) if t == 0 else off_by_more_than("revenue", expected, t)
+            for t in tolerances}
+
+
 def revenue_identity(fact: DataFrame, tolerances: tuple[float, ...] = (0.0, 0.01)) -> DataFrame:
     """DQ7: ``revenue`` vs ``quantity*unit_price - discount``: exact (the
     Spark job) and within 0.01 (the SQL test). NULL operands never violate."""
-    expected = line_total()
-    rules = {("revenue_exact" if t == 0 else f"revenue_off_by_more_than_{int(round(t * 100))}_cents"):
-             (F.col("revenue") != expected) if t == 0 else off_by_more_than("revenue", expected, t)
-             for t in tolerances}
-    counts = fact.agg(*[F.count_if(p).alias(n) for n, p in rules.items()])
-    return _rows_from_counts(counts, "revenue_identity", "fact_orders", list(rules))
+    return table_rules(fact, "fact_orders", identity_rules(tolerances))
 
 
 def orders_before_signup(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:

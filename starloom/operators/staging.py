@@ -34,6 +34,26 @@ def latest_per_key(df: DataFrame, keys: list[str], recency: list[str]) -> DataFr
     ).select(*df.columns)
 
 
+REPEATED_KEYS_BROADCAST = 1_000_000  # 8-byte hashes
+
+
+def latest_of_repeated(df: DataFrame, keys: list[str], recency: list[str]) -> DataFrame:
+    """``latest_per_key`` for a stored source whose keys rarely repeat: a first
+    pass counts 8-byte hashes of the keys (a hash aggregation, no sort); only
+    rows whose hash repeats pay for the grouping, all others pass through
+    without a shuffle. Different keys that share a hash are grouped too, and
+    kept apart there."""
+    mark = F.xxhash64(*keys)
+    repeated = (df.groupBy(mark.alias("_sl_mark")).count().filter("count > 1").select("_sl_mark").checkpoint(eager=True))
+    n = repeated.count()
+    if not n:
+        return df
+    repeated = F.broadcast(repeated) if n <= REPEATED_KEYS_BROADCAST else repeated.hint("shuffle_hash")
+    some = mark == F.col("_sl_mark")
+    again = latest_per_key(df.join(repeated, some, "left_semi"), keys, recency)
+    return df.join(repeated, some, "left_anti").unionByName(again)
+
+
 @dataclass(frozen=True)
 class StageSpec:
     name: str
@@ -42,27 +62,69 @@ class StageSpec:
     recency: tuple[str, ...] = ("updated_at",)
     text: dict[str, str] = field(default_factory=dict)   # column -> rule
     derived: tuple[tuple[str, Callable[[], Column]], ...] = ()
+    required: tuple[str, ...] = ()                       # NOT NULL in the source (keys always are)
+    checks: tuple[tuple[str, Callable[[], Column]], ...] = ()   # must not be false, after cleaning
 
     @property
     def column_names(self) -> list[str]:
         return [c for c, _ in self.columns]
 
 
-def stage(df: DataFrame, spec: StageSpec, dedupe: bool = True) -> DataFrame:
+def _typed(df: DataFrame, spec: StageSpec) -> DataFrame:
     # try_cast at the raw boundary: a value that does not fit its declared type
     # becomes NULL (reported by the quality checks) instead of failing the job
     typed = df.select(*[F.col(c).try_cast(t).alias(c) for c, t in spec.columns])
-    cleaned = typed.withColumns({c: apply_rule(rule, c) for c, rule in spec.text.items()})
+    return typed.withColumns({c: apply_rule(rule, c) for c, rule in spec.text.items()})
+
+
+def _finished(cleaned: DataFrame, spec: StageSpec, dedupe: bool) -> DataFrame:
     if dedupe:
-        cleaned = latest_per_key(cleaned, list(spec.keys), [r for r in spec.recency if r in cleaned.columns])
+        cleaned = latest_of_repeated(cleaned, list(spec.keys), [r for r in spec.recency if r in cleaned.columns])
     if spec.derived:
         cleaned = cleaned.withColumns({name: fn() for name, fn in spec.derived})
     return cleaned
 
 
+def stage(df: DataFrame, spec: StageSpec, dedupe: bool = True) -> DataFrame:
+    return _finished(_typed(df, spec), spec, dedupe)
+
+
+def reject_reasons(spec: StageSpec) -> Column:
+    """Why a raw row cannot be staged (empty: it can): ``cast:<column>`` for a
+    value that does not fit its type, ``null:<column>`` for a missing key or
+    required value, ``check:<name>`` for a broken source constraint."""
+    types = dict(spec.columns)
+    raw = {c: F.col(c) for c in types}
+    typed = {c: raw[c].try_cast(t) for c, t in spec.columns}
+    found = [F.when(raw[c].isNotNull() & typed[c].isNull(), F.lit(f"cast:{c}")) for c in types]
+    found += [F.when(raw[c].isNull(), F.lit(f"null:{c}")) for c in dict.fromkeys([*spec.keys, *spec.required])]
+    return F.filter(F.array(*found), lambda r: r.isNotNull())
+
+
+def stage_split(df: DataFrame, spec: StageSpec, dedupe: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): the staged rows, and the raw rows that cannot be
+    staged, every column as text, with the array ``reasons``. A row is rejected
+    as a whole, so rows whose key does not fit never collapse into one."""
+    raw = df.select(*[F.col(c) for c in spec.column_names])
+    judged = raw.withColumn("_sl_why", reject_reasons(spec)).withColumn("_sl_raw", F.struct(*spec.column_names))
+    typed = judged.select("_sl_why", "_sl_raw", *[F.col(c).try_cast(t).alias(c) for c, t in spec.columns])
+    typed = typed.withColumns({c: apply_rule(rule, c) for c, rule in spec.text.items()})
+    broken = [F.when(~fn(), F.lit(f"check:{name}")) for name, fn in spec.checks]
+    typed = typed.withColumn("_sl_why", F.concat("_sl_why", F.filter(F.array(*broken), lambda r: r.isNotNull()))
+                             if broken else F.col("_sl_why"))
+    rejected = typed.filter(F.size("_sl_why") > 0).select(
+        *[F.col(f"_sl_raw.{c}").cast("string").alias(c) for c in spec.column_names], F.col("_sl_why").alias("reasons"))
+    accepted = typed.filter(F.size("_sl_why") == 0).select(*spec.column_names)
+    return _finished(accepted, spec, dedupe), rejected
+
+
 MONEY = "decimal(10,2)"
 TS = "timestamp_ntz"
 
+# The domains of the source's constraints
+ORDER_STATUSES = ["pending", "confirmed", "shipped", "delivered", "cancelled"]
+PAYMENT_STATUSES = ["pending", "completed", "failed", "refunded"]
+
 CUSTOMERS = StageSpec(
     name="customers",
     keys=("customer_id",),
@@ -89,6 +151,32 @@ ORDERS = StageSpec(
     columns=(("order_id", "bigint"), ("customer_id", "bigint"), ("order_date", TS),
              ("order_status", "string"), ("updated_at", TS)),
     text={"order_status": "lower"},
+    required=("customer_id", "order_date", "order_status"),
+    checks=(("order_status", lambda: F.col("order_status").isin(ORDER_STATUSES)),),
+)
+
+# Orders and items as a source keeps them that ships to an address and numbers
+# its items; the driver's tables have neither (``adapters`` builds the specs above).
+SHIPPED_ORDERS = StageSpec(
+    name="shipped_orders",
+    keys=("order_id",),
+    columns=(("order_id", "bigint"), ("customer_id", "bigint"), ("order_date", TS),
+             ("order_status", "string"), ("shipping_city", "string"), ("shipping_state", "string"), ("updated_at", TS)),
+    text={"order_status": "lower", "shipping_city": "trim", "shipping_state": "trim"},
+    required=("customer_id", "order_date", "order_status"),
+    checks=(("order_status", lambda: F.col("order_status").isin(ORDER_STATUSES)),),
+)
+
+NUMBERED_ITEMS = StageSpec(
+    name="numbered_items",
+    keys=("order_item_id",),
+    columns=(("order_item_id", "bigint"), ("order_id", "bigint"), ("product_id", "bigint"), ("quantity", "int"),
+             ("unit_price", MONEY), ("discount", MONEY)),
+    recency=(),
+    derived=(("line_total", lambda: money.line_total()),),
+    required=("order_id", "product_id", "quantity", "unit_price", "discount"),
+    checks=(("quantity_positive", lambda: F.col("quantity") > 0), ("unit_price_not_negative", lambda: F.col("unit_price") >= 0),
+            ("discount_not_negative", lambda: F.col("discount") >= 0)),
 )
 
 ORDER_ITEMS = StageSpec(
@@ -98,6 +186,9 @@ ORDER_ITEMS = StageSpec(
              ("supplier_id", "bigint"), ("quantity", "int"), ("unit_price", MONEY),
              ("discount", MONEY), ("updated_at", TS)),
     derived=(("line_total", lambda: money.line_total()),),
+    required=("quantity", "unit_price", "discount"),
+    checks=(("quantity_positive", lambda: F.col("quantity") > 0), ("unit_price_not_negative", lambda: F.col("unit_price") >= 0),
+            ("discount_not_negative", lambda: F.col("discount") >= 0)),
 )
 
 PAYMENTS = StageSpec(
@@ -107,9 +198,12 @@ PAYMENTS = StageSpec(
              ("payment_status", "string"), ("amount", MONEY), ("payment_date", TS)),
     recency=("payment_date",),
     text={"payment_method": "lower", "payment_status": "lower"},
+    required=("order_id", "payment_method", "payment_status", "amount", "payment_date"),
+    checks=(("payment_status", lambda: F.col("payment_status").isin(PAYMENT_STATUSES)),
+            ("amount_not_negative", lambda: F.col("amount") >= 0)),
 )
 
-SPECS = {s.name: s for s in (CUSTOMERS, PRODUCTS, ORDERS, ORDER_ITEMS, PAYMENTS)}
+SPECS = {s.name: s for s in (CUSTOMERS, PRODUCTS, ORDERS, ORDER_ITEMS, PAYMENTS, SHIPPED_ORDERS, NUMBERED_ITEMS)}
 
 
 def stage_customers(raw: DataFrame) -> DataFrame:

@@ -5,49 +5,117 @@ A fact at time ``ts`` matches the version of its key with
 
 Catalyst plans this as an equi-join on the key with the interval as a
 residual predicate; AQE splits skewed key partitions on the fact side.
-For entities with very long histories, ``bucket`` adds a coarse time bucket
-to the equi-key: every version is replicated into the buckets its interval
-overlaps (bounded by the span of the facts), every fact probes only its own
-bucket, so a key's versions are never compared with all of its facts.
-``asof_join`` avoids pairing altogether (time-ordered stream per key).
+A key with many versions and many facts would compare all of the one with all
+of the other. ``interval_index`` parts them: a version is stored under the few
+canonical time cells that make up its interval (cells of 8, 64, 512 ... seconds,
+the largest that fit), and a fact looks into the one cell of each size that
+holds its time. An interval of n seconds has at most 14 cells per size, open
+or century-long ones included, and versions of a key that do not overlap
+share no cell but those of one second. ``asof_join`` avoids pairing altogether
+(time-ordered stream per key).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.functions.nulls import within_validity
 from starloom.functions.plan import bounded_broadcast
 from starloom.operators.sequence import sliced
 
 
+CELL_BITS = 3        # a cell holds 8 of the next smaller size
+CELL_LEVELS = 13     # sizes; 8**13 seconds reach beyond the year 9999
+MANY_VERSIONS = 64   # versions from which a key's are indexed
+
+
+def _seconds(ts: Column) -> Column:
+    """Whole seconds of a time without zone, from 1970 (negative before)."""
+    day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return day * 86_400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
+def _cells_between(low: Column, high: Column, level: int) -> Column:
+    cell = F.transform(F.sequence(low, high - 1), lambda c: F.struct(F.lit(level).alias("level"), c.alias("cell")))
+    return F.when(low < high, cell).otherwise(F.array().cast("array<struct<level:int,cell:bigint>>"))
+
+
+def interval_cells(valid_from: Column, valid_to: Column) -> Column:
+    """Canonical cells (level, cell) covering [valid_from, valid_to); a NULL end
+    is open. At each size the cells that fit into the interval but into no
+    larger cell that fits."""
+    a = _seconds(valid_from)
+    last = (1 << CELL_BITS * CELL_LEVELS) - 1
+    b = F.least(F.coalesce(_seconds(valid_to) + 1, F.lit(last)), F.lit(last))  # the second of the end is partly in
+    parts = []
+    for level in range(CELL_LEVELS):
+        def edge(x: Column, up: bool, at: int) -> Column:
+            return F.shiftright(x + ((1 << CELL_BITS * at) - 1 if up else 0), CELL_BITS * at)
+        low, high = edge(a, True, level), edge(b, False, level)
+        if level == CELL_LEVELS - 1:
+            parts.append(_cells_between(low, high, level))
+            continue
+        inner_low, inner_high = edge(a, True, level + 1) * (1 << CELL_BITS), edge(b, False, level + 1) * (1 << CELL_BITS)
+        covered = inner_low < inner_high
+        parts.append(_cells_between(low, F.when(covered, inner_low).otherwise(high), level))
+        parts.append(_cells_between(F.when(covered, inner_high).otherwise(high), high, level))
+    return F.concat(*parts)
+
+
+def interval_index(versions: DataFrame, valid_from: str = "effective_from", valid_to: str = "effective_to") -> DataFrame:
+    """``versions``, each once per cell of its interval: ``_sl_level``, ``_sl_cell``.
+    A version that ends before it starts, or has no start, has no cells."""
+    cells = F.explode(interval_cells(F.col(valid_from), F.col(valid_to)))
+    return versions.withColumn("_sl_at", cells).select(
+        *versions.columns, F.col("_sl_at.level").alias("_sl_level"), F.col("_sl_at.cell").alias("_sl_cell"))
+
+
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
                        how: str = "inner", valid_from: str = "effective_from",
-                       valid_to: str = "effective_to", bucket: str | None = None) -> DataFrame:
+                       valid_to: str = "effective_to", many: int | None = None) -> DataFrame:
     """Join each fact row to the version valid at its ``ts``.
 
     Output: every fact column plus every version column except ``key``.
-    ``bucket``: optional calendar unit (``"month"``, ``"year"`` ...) for the
-    bucketed form described in the module docstring.
-    """
+    ``many``: keys with more than so many versions meet through the interval
+    index (inner joins only); one job counts the versions of each key."""
+    if many is not None:
+        if how != "inner":
+            raise ValueError("the interval index serves inner joins")
+        return _indexed_join(facts, versions, key, ts, valid_from, valid_to, many)
     f = facts.alias("_f")
     v = versions.alias("_v")
     cond = (F.col(f"_f.{key}") == F.col(f"_v.{key}")) & within_validity(
         F.col(f"_f.{ts}"), F.col(f"_v.{valid_from}"), F.col(f"_v.{valid_to}"))
-    if bucket:
-        span = facts.agg(F.max(F.col(ts)).alias("hi")).first()["hi"]
-        fb = F.date_trunc(bucket, F.col(ts)).cast("timestamp_ntz")
-        f = facts.withColumn("_sl_b", fb).alias("_f")
-        end = F.coalesce(F.col(valid_to), F.lit(span).cast("timestamp_ntz"))
-        lo = F.date_trunc(bucket, F.col(valid_from)).cast("timestamp_ntz")
-        hi = F.date_trunc(bucket, F.greatest(end, F.col(valid_from))).cast("timestamp_ntz")
-        step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-        v = versions.withColumn("_sl_b", F.explode(F.sequence(lo, hi, step))).alias("_v")
-        cond = cond & (F.col("_f._sl_b") == F.col("_v._sl_b"))
-    out = f.join(v, cond, how)
-    cols = [F.col(f"_f.{c}") for c in facts.columns]
-    cols += [F.col(f"_v.{c}") for c in versions.columns if c != key and c not in facts.columns]
-    return out.select(*cols)
+    return f.join(v, cond, how).select(*_joined_columns(facts, versions, key))
+
+
+def _joined_columns(facts: DataFrame, versions: DataFrame, key: str) -> list[Column]:
+    return ([F.col(f"_f.{c}") for c in facts.columns]
+            + [F.col(f"_v.{c}") for c in versions.columns if c != key and c not in facts.columns])
+
+
+def _indexed_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, valid_from: str, valid_to: str,
+                  many: int) -> DataFrame:
+    long = versions.groupBy(key).count().filter(F.col("count") > many).select(F.col(key).alias("_sl_key")).checkpoint(eager=True)
+    n = long.count()
+    if not n:
+        return point_in_time_join(facts, versions, key, ts, "inner", valid_from, valid_to)
+    long = bounded_broadcast(long, n)
+    cond = F.col(key) == F.col("_sl_key")
+    plain = point_in_time_join(facts.join(long, cond, "left_anti"), versions.join(long, cond, "left_anti"), key, ts,
+                               "inner", valid_from, valid_to)
+    cells = interval_index(versions.join(long, cond, "left_semi"), valid_from, valid_to).checkpoint(eager=True)
+    used = sorted(r[0] for r in cells.select("_sl_level").distinct().collect())  # at most CELL_LEVELS numbers
+    seconds = _seconds(F.col(ts))
+    probes = F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(seconds, CELL_BITS * level).alias("cell"))
+                       for level in used])
+    f = (facts.join(long, cond, "left_semi").withColumn("_sl_at", F.explode(probes))
+         .withColumns({"_sl_level": F.col("_sl_at.level"), "_sl_cell": F.col("_sl_at.cell")}).alias("_f"))
+    v = cells.alias("_v")
+    same = [F.col(f"_f.{c}") == F.col(f"_v.{c}") for c in (key, "_sl_level", "_sl_cell")]
+    hit = same[0] & same[1] & same[2] & within_validity(
+        F.col(f"_f.{ts}"), F.col(f"_v.{valid_from}"), F.col(f"_v.{valid_to}"))
+    return plain.unionByName(f.join(v, hit).select(*_joined_columns(facts, versions, key)))
 
 
 def version_match_count(facts: DataFrame, versions: DataFrame, fact_id: str, key: str, ts: str,
