@@ -43,7 +43,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .textops import PUNCTUATION, Words, release, slices
+from .textops import PUNCTUATION, Words, ranges, release, slices
 
 BLOCK_TERMS = 1 << 20        # terms of the items sent to the tasks at once
 BLOCK_POSTINGS = 1 << 21     # postings whose lists a task holds at once
@@ -133,12 +133,6 @@ def document_frequencies(index: DataFrame, n: int) -> np.ndarray:
     return out
 
 
-def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """All integers of the half-open ranges, one range after the other."""
-    sizes = ends - starts
-    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-
-
 class ImpactLists:
     """Impact lists of one block of documents and the direct access into them."""
 

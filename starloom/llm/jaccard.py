@@ -39,9 +39,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .textops import Words, mix, release, slices
+from .textops import Words, mix, packed, release, slices, unpacked
 
 SHINGLE = 5
 PERCENT = 80
@@ -558,24 +558,22 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return links.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near duplicates: of every component the document with
     the smallest id stays (of repeated rows one). Documents without words,
     and rows with a null id, stay."""
     sig, classes, _, roots = _joined(docs, id_col, text_col, SHINGLE, PERCENT)
     found = _named(sig, classes, roots).checkpoint(eager=True)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     n = gone.count()
     gone = F.broadcast(gone) if n <= BROADCAST_ROWS else gone.hint("merge")
-    kept = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    kept = packed(docs, id=F.col(id_col)).join(gone, F.col("id") == F.col("gone"), "left_anti")
     again = (found.filter("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
-             .select(F.col("doc_id").alias("__again")).checkpoint(eager=True))
+             .select(F.col("doc_id").alias("again")).checkpoint(eager=True))
     if not again.limit(1).collect():
-        return kept
+        return unpacked(kept, docs.columns)
     # repeated rows of one id: one row of each id stays
-    single = kept.join(again, F.col(id_col) == F.col("__again"), "left_anti")
-    repeated = kept.join(again, F.col(id_col) == F.col("__again"), "left_semi")
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(*repeated.columns)))
-    return single.unionByName(repeated.withColumn("__n", first).filter("__n = 1").drop("__n"))
+    single = kept.join(again, F.col("id") == F.col("again"), "left_anti")
+    repeated = kept.join(again, F.col("id") == F.col("again"), "left_semi")
+    first = repeated.groupBy("id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return unpacked(single.select("row").unionByName(first.select("row")), docs.columns)

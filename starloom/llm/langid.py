@@ -159,8 +159,9 @@ def infer(words: Words, table: np.ndarray) -> np.ndarray:
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and lang_mix (language -> proportion of
-    the chosen set)."""
+    the chosen set), which take the place of columns of these names."""
     names, table = model
+    docs = docs.drop("lang_pred", "score", "lang_mix")
     spread = docs.sparkSession.sparkContext.broadcast((names, table))
     schema = extended(docs.schema, lang_pred="string", score="double", lang_mix="map<string,double>")
     at = docs.columns.index(text_col)

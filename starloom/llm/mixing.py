@@ -39,10 +39,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.plan import bounded_broadcast
 
-from .textops import Words, extended, slices
+from .textops import Words, extended, packed, slices, unpacked
 
 BINS = 4096  # histogram bins of hash / fraction, per source and size class
-MAX_STEPS = 60
+MAX_STEPS = 200  # Newton steps or halvings; beyond, the multipliers count as unsolved
 
 
 def sizes(docs: DataFrame, text_col: str) -> DataFrame:
@@ -102,9 +102,11 @@ def tilts(pairs: DataFrame, targets: DataFrame, max_copies: float, tolerance: fl
              .withColumn("lam", F.lit(0.0)).withColumn("lo", F.lit(float("-inf"))).withColumn("hi", F.lit(float("inf")))
              .withColumn("full", F.col("target") >= F.col("source_size") * cap * (1 - tolerance))
              .withColumn("done", F.col("full") | (F.col("target") <= 0))).checkpoint(eager=True)
-    for _ in range(MAX_STEPS):
+    for step in range(MAX_STEPS + 1):
         if not state.filter(~F.col("done")).limit(1).collect():
             break
+        if step == MAX_STEPS:
+            raise RuntimeError(f"multipliers unsolved after {MAX_STEPS} steps")
         joined = pairs.join(state.filter(~F.col("done")).withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
         x = F.col("size") / F.col("mean")
         rate = _rate(F.col("lam"), x, cap)
@@ -114,8 +116,8 @@ def tilts(pairs: DataFrame, targets: DataFrame, max_copies: float, tolerance: fl
         gap = F.col("tokens") - F.col("target")
         lo = F.when(gap < 0, F.col("lam")).otherwise(F.col("lo"))
         hi = F.when(gap > 0, F.col("lam")).otherwise(F.col("hi"))
-        step = F.col("lam") - gap / F.col("slope")
-        inside = (F.col("slope") > 0) & (step > F.col("lo2")) & (step < F.col("hi2"))
+        newton = F.col("lam") - gap / F.col("slope")
+        inside = (F.col("slope") > 0) & (newton > F.col("lo2")) & (newton < F.col("hi2"))
         # outside the bracket: its middle, or twice as far while it is open
         middle = (F.when(F.col("hi2") == float("inf"), F.greatest(F.col("lam") * 2, F.col("lam") + 1))
                   .when(F.col("lo2") == float("-inf"), F.least(F.col("lam") * 2, F.col("lam") - 1))
@@ -123,7 +125,7 @@ def tilts(pairs: DataFrame, targets: DataFrame, max_copies: float, tolerance: fl
         met = F.abs(gap) <= F.col("target") * tolerance + 1e-9
         new = (state.join(sums, state.source.eqNullSafe(sums.s), "left").drop("s")
                .withColumn("lo2", lo).withColumn("hi2", hi)
-               .withColumn("next", F.when(inside, step).otherwise(middle))
+               .withColumn("next", F.when(inside, newton).otherwise(middle))
                .withColumn("was", F.col("done"))
                .withColumn("done", F.col("was") | F.coalesce(met, F.lit(True)))
                .withColumn("lam", F.when(F.col("done"), F.col("lam")).otherwise(F.col("next")))
@@ -215,6 +217,7 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     with the columns of ``docs``. The decision is worked out again from each
     row, so texts are neither joined nor shuffled."""
     _, tilt, cut = _decided(docs, id_col, text_col, source_col, weights, max_copies)
-    rated = _with_rates(sizes(docs, text_col), tilt, source_col, id_col, float(max_copies))
-    out = _copies(rated, cut, source_col).filter("__copies > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(docs.columns)
+    rows = packed(docs, doc_id=F.col(id_col), text=F.col(text_col), source=F.col(source_col).cast("string"))
+    rated = _with_rates(sizes(rows, "text"), tilt, "source", "doc_id", float(max_copies))
+    out = _copies(rated, cut, "source").filter("__copies > 0")
+    return unpacked(out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))), docs.columns)

@@ -12,6 +12,10 @@ from pyspark.sql import SparkSession
 from starloom.session import configure, ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
+# Text that crosses to a Python worker at once: both sides hold a batch, beside
+# each other, in memory outside the heap. Set unless the session names a size.
+BATCH_BYTES = "4m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -19,6 +23,8 @@ def ready(spark: SparkSession) -> SparkSession:
     in the shared folder, from where every worker loads it."""
     configure(spark)
     sc = spark.sparkContext
+    if sc.getConf().get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_BYTES)
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         held = io.BytesIO()

@@ -15,11 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 _U = np.uint64
-_MULT = _U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_MULT = _U(0x9E3779B97F4A7C15)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -39,17 +39,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _MULT)
-_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        n = max(n, 1 << 20)
-        for i, base in enumerate((_MULT, _INVERSE)):
-            p = np.full(n, base, dtype=np.uint64)
-            p[0] = 1
-            _POWERS[i] = np.multiply.accumulate(p)
-    return _POWERS[0], _POWERS[1]
+def _powers(n: int) -> np.ndarray:
+    p = np.full(max(n, 1), _MULT, dtype=np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
+_POWERS = _powers(1 << 12)
 
 
 _LIBC = ctypes.CDLL(None)
@@ -63,7 +61,7 @@ def release() -> None:
         _LIBC.malloc_trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one slice holds about ``max_bytes`` of text
     (at least one row), which bounds the memory of the vectorised steps."""
     for batch in batches:
@@ -89,6 +87,24 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs ``data[starts:ends]``, none empty."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    sizes = ends - starts
+    ptr = np.cumsum(sizes) - sizes
+    kind = np.int32 if len(data) < 1 << 31 else np.int64
+    place = np.arange(ptr[-1] + sizes[-1], dtype=kind)
+    inside = place - np.repeat(ptr.astype(kind), sizes)
+    place += np.repeat((starts - ptr).astype(kind), sizes)
+    longest = int(sizes.max())
+    power = _POWERS if longest <= len(_POWERS) else _powers(longest)
+    with np.errstate(over="ignore"):
+        value = _BYTE.take(data.take(place))
+        value *= power.take(inside)
+        return mix(np.add.reduceat(value, ptr) + sizes.astype(np.uint64))
+
+
 class Words:
     """All words of a column: ``starts``/``ends`` in ``data`` (lower-cased
     bytes), ``ptr`` (document i has words ptr[i]:ptr[i+1]), ``hashes``
@@ -122,15 +138,7 @@ class Words:
         return np.repeat(np.arange(self.n_docs), self.counts())
 
     def _hash(self) -> np.ndarray:
-        n = len(self.data)
-        if not len(self.starts):
-            return np.zeros(0, dtype=np.uint64)
-        power, inverse = _powers(n)
-        with np.errstate(over="ignore"):
-            total = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(_BYTE[self.data] * power[:n], out=total[1:])
-            h = (total[self.ends] - total[self.starts]) * inverse[self.starts]
-            return mix(h + (self.ends - self.starts).astype(np.uint64))
+        return run_hashes(self.data, self.starts, self.ends)
 
     def shingles(self, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
         """64-bit hashes of the distinct k-word runs, sorted within each
@@ -185,6 +193,23 @@ def segment_sum(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return total
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All integers of the half-open ranges, one range after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 def extended(schema: StructType, **columns: str) -> StructType:
     """``schema`` and further columns, given as name=type."""
     return StructType([*schema.fields, *(StructField(n, _parse_datatype_string(t)) for n, t in columns.items())])
+
+
+def packed(df: DataFrame, **own: Column) -> DataFrame:
+    """``own`` columns beside ``row``, which holds all columns of ``df``: what
+    a user's columns are called then clashes with nothing."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[v.alias(k) for k, v in own.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The user's ``columns`` again, those in ``changed`` with new values."""
+    return df.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in columns])
