@@ -14,9 +14,11 @@ archives cost one row of comparison. By default nodes are ranges of record_id
 and records are aligned by it; with ``by_position`` they are ranges of
 places, and a lost record shifts all behind it.
 
-All steps are DataFrame operations. Windows run within an archive; an
-archive holds at most ``per_archive`` records by construction
-(``archives_by_id``), so no group grows with the input.
+All steps are DataFrame operations. An archive holds ``per_archive`` ids by
+construction (``archives_by_id``). Null ids, or one id repeated, may still
+hold any number of records: equal ones are counted, and windows and lists run
+over chunks of an id's records and then over the chunks, so no group grows
+with the input. Trees by position are for archives of bounded size.
 
 Defined cases: null bytes hash as a record of length 0 that differs from an
 empty one; null ids form archives of their own (ordered by digest); repeated rows are
@@ -26,10 +28,14 @@ ignored; empty replicas have no roots, so a lost archive shows as missing.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 FANOUT = 16
 PER_ARCHIVE = 1024
+PREFIX = 3  # digits of a digest that make a chunk of an id's records: 4,096 chunks
+CHUNK = 4096  # places of a chunk of differing records
 
 
 def warc_record(url: Column, payload: Column) -> Column:
@@ -42,18 +48,43 @@ def warc_record(url: Column, payload: Column) -> Column:
 
 def archives_by_id(record_id: Column, per_archive: int = PER_ARCHIVE) -> Column:
     """Archive number: runs of ``per_archive`` consecutive ids."""
-    return F.floor(record_id / F.lit(per_archive)).cast("long")
+    return _cell(record_id.cast("long"), per_archive)
+
+
+def _same(columns: list[str], other: str) -> Column:
+    """Null-safe equality of ``columns`` with those renamed by a prefix."""
+    return functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(other + c)) for c in columns])
+
+
+def _running(df: DataFrame, group: list[str], chunk: list[str], order: list[str], **sums: Column) -> DataFrame:
+    """``df`` with running sums over the rows of its ``group`` that come before
+    in the order of (chunk, order). Rows are summed within their chunk, and
+    chunks within the group, so a group may hold any number of rows."""
+    before = Window.unboundedPreceding, -1
+    inner = Window.partitionBy(*group, *chunk).orderBy(*order).rowsBetween(*before)
+    outer = Window.partitionBy(*group).orderBy(*chunk).rowsBetween(*before)
+    whole = df.groupBy(*group, *chunk).agg(*[F.sum(v).alias(k) for k, v in sums.items()])
+    whole = whole.select(*[F.col(c).alias(f"whole_{c}") for c in group + chunk],
+                         *[F.coalesce(F.sum(k).over(outer), F.lit(0)).alias(f"before_{k}") for k in sums])
+    df = df.select("*", *[F.coalesce(F.sum(v).over(inner), F.lit(0)).alias(f"inner_{k}") for k, v in sums.items()])
+    joined = df.join(whole, _same(group + chunk, "whole_"))
+    return joined.select(*df.drop(*[f"inner_{k}" for k in sums]).columns,
+                         *[(F.col(f"before_{k}") + F.col(f"inner_{k}")).cast("long").alias(k) for k in sums])
 
 
 def records(df: DataFrame, record_id: Column, payload: Column, archive: Column) -> DataFrame:
-    """The leaves' input: archive, n (position), record_id, offset, length, digest."""
+    """The leaves' input: archive, n (position), record_id, offset, length,
+    digest. Equal records are placed as one with a count; an id with many
+    records (or none) is placed in chunks by digest."""
     base = df.select(archive.alias("archive"), record_id.alias("record_id"),
                      F.coalesce(F.octet_length(payload), F.lit(0)).cast("long").alias("length"),
                      F.sha2(F.coalesce(payload, F.lit("null record").cast("binary")), 256).alias("digest"))
-    order = Window.partitionBy("archive").orderBy("record_id", "digest")
-    return (base.withColumn("n", (F.row_number().over(order) - 1).cast("long"))
-            .withColumn("offset", F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"))
-            .select("archive", "n", "record_id", "offset", "length", "digest"))
+    base = base.groupBy("archive", "record_id", "length", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    placed = _running(base.withColumn("chunk", F.substring("digest", 1, PREFIX)), ["archive"], ["record_id", "chunk"],
+                      ["digest", "length"], n=F.col("copies"), offset=F.col("copies") * F.col("length"))
+    return (placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+            .select("archive", (F.col("n") + F.col("copy")).alias("n"), "record_id",
+                    (F.col("offset") + F.col("copy") * F.col("length")).alias("offset"), "length", "digest"))
 
 
 def _parents(nodes: DataFrame, level: int, fanout: int) -> DataFrame:
@@ -132,20 +163,29 @@ def _parent_cell(c: Column, level: int, fanout: int, height: int) -> Column:
     return F.lit(0).cast("long") if level + 1 == height else _cell(c, fanout)
 
 
+def _digest_of(rows: DataFrame, key: list[str]) -> DataFrame:
+    """One digest per key of the ordered digests below it."""
+    below = F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("part", "digest"))),
+        lambda x: F.concat_ws(":", F.coalesce(x["part"].cast("string"), F.lit("null")), x["digest"])), "|")
+    return rows.groupBy(*key).agg(F.sha2(below.cast("binary"), 256).alias("digest"))
+
+
 def id_tree(recs: DataFrame, fanout: int, height: int) -> DataFrame:
     """Nodes over ranges of record_id: archive, level (1 to ``height``), cell,
     digest. Offsets are not hashed, so a record that is lost or added changes
-    no node but those above it."""
-    below = recs.select("archive", F.col("record_id").cast("long").alias("cell"),
-                        F.concat_ws(":", F.col("length").cast("string"), "digest").alias("digest"))
+    no node but those above it. The records of one id, however many, are
+    hashed as counted distinct ones, in chunks by digest."""
+    rows = (recs.groupBy("archive", F.col("record_id").cast("long").alias("cell"), "length", "digest")
+            .agg(F.count(F.lit(1)).alias("copies"))
+            .select("archive", "cell", F.substring("digest", 1, PREFIX).alias("chunk"), F.col("digest").alias("part"),
+                    F.concat_ws(":", F.col("length").cast("string"), F.col("copies").cast("string")).alias("digest")))
+    below = _digest_of(_digest_of(rows, ["archive", "cell", "chunk"]).withColumnRenamed("chunk", "part"), ["archive", "cell"])
     out = None
     for level in range(1, height + 1):
-        parts = F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.struct("cell", "digest"))),
-            lambda x: F.concat_ws(":", F.coalesce(x["cell"].cast("string"), F.lit("null")), x["digest"])), "|")
         up = _parent_cell(F.col("cell"), level - 1, fanout, height)
-        below = below.groupBy("archive", up.alias("up")).agg(F.sha2(parts.cast("binary"), 256).alias("digest")).select(
-            "archive", F.col("up").alias("cell"), "digest")
+        below = _digest_of(below.select("archive", up.alias("up"), F.col("cell").alias("part"), "digest"), ["archive", "up"])
+        below = below.withColumnRenamed("up", "cell")
         nodes = below.select("archive", F.lit(level).alias("level"), "cell", "digest")
         out = nodes if out is None else out.unionByName(nodes)
     return out
@@ -153,7 +193,7 @@ def id_tree(recs: DataFrame, fanout: int, height: int) -> DataFrame:
 
 def id_height(recs: DataFrame, fanout: int) -> int:
     """Levels that the widest range of ids of an archive needs."""
-    ids = F.col("record_id").cast("double")
+    ids = F.col("record_id").cast("decimal(20,0)")
     span = recs.groupBy("archive").agg((F.max(ids) - F.min(ids)).alias("s")).agg(F.max("s")).first()[0] or 0
     height = 1
     while fanout ** height <= span:
@@ -170,15 +210,28 @@ def align(primary: DataFrame, replica: DataFrame) -> DataFrame:
     """Differing records by record_id: equal records (id, length, digest) of
     the two sides cancel out one by one; what is left of an id on both sides
     pairs up as 'corrupt', on one side it is 'missing' or 'extra'."""
-    columns = ["n", "offset", "length", "digest"]
-    both = primary.withColumn("side", F.lit(0)).unionByName(replica.withColumn("side", F.lit(1)))
-    copy = Window.partitionBy("side", "archive", "record_id", "length", "digest").orderBy("n")
-    alone = (both.withColumn("copy", F.row_number().over(copy)).groupBy("archive", "record_id", "length", "digest", "copy")
-             .agg(F.count(F.lit(1)).alias("sides"), F.min("side").alias("side"), F.min("n").alias("n"),
-                  F.min("offset").alias("offset")).filter("sides = 1"))
-    rank = Window.partitionBy("side", "archive", "record_id").orderBy("n")
-    one = F.struct(*columns)
-    rows = (alone.withColumn("r", F.row_number().over(rank)).groupBy("archive", "record_id", "r")
+    def counted(recs: DataFrame, side: int) -> DataFrame:
+        # copies of a record stand side by side, so the first place and a count tell them all
+        return recs.groupBy("archive", "record_id", "length", "digest").agg(
+            F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"), F.min("offset").alias("offset")).withColumn("side", F.lit(side))
+
+    every = counted(primary, 0).unionByName(counted(replica, 1))
+    one = F.struct("side", "n", "offset", "copies")
+    alone = (every.groupBy("archive", "record_id", "length", "digest")
+             .agg(F.max(F.when(F.col("side") == 0, one)).alias("a"), F.max(F.when(F.col("side") == 1, one)).alias("b"))
+             .withColumn("most", F.greatest("a.copies", "b.copies"))
+             .withColumn("least", F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.least("a.copies", "b.copies"))
+                         .otherwise(F.lit(0)).cast("long"))
+             .filter("most > least")
+             .withColumn("own", F.when(F.coalesce(F.col("a.copies"), F.lit(0)) > F.coalesce(F.col("b.copies"), F.lit(0)),
+                                       F.col("a")).otherwise(F.col("b")))
+             .withColumn("copy", F.explode(F.sequence("least", F.col("most") - 1)))
+             .select("archive", "record_id", "own.side", (F.col("own.n") + F.col("copy")).alias("n"),
+                     (F.col("own.offset") + F.col("copy") * F.col("length")).alias("offset"), "length", "digest",
+                     F.floor((F.col("own.n") + F.col("copy")) / CHUNK).alias("chunk")))
+    ranked = _running(alone, ["side", "archive", "record_id"], ["chunk"], ["n"], r=F.lit(1))
+    one = F.struct("n", "offset", "length", "digest")
+    rows = (ranked.groupBy("archive", "record_id", "r")
             .agg(F.max(F.when(F.col("side") == 0, one)).alias("a"), F.max(F.when(F.col("side") == 1, one)).alias("b")))
     at = F.coalesce("a", "b")
     status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("corrupt")
