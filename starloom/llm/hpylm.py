@@ -4,21 +4,32 @@ Words are dishes. Every context (the previous word; ``BEGIN`` before the
 first) is a restaurant whose parent is the one root restaurant, whose base
 is uniform over the known words and one unknown. Customers are the training
 tokens; a customer that opens a table in a context sends one customer to the
-root. Seating is sampled by Gibbs: a customer leaves its table and is seated
-again, at an existing table of its dish with weight (size - d), at a new one
-with weight (theta + d * tables) * P_parent(dish). Predictive probabilities
-are averaged over samples and give the score (log10, and so perplexity).
+root. Predictive probabilities depend on the seating only through the number
+of tables of each dish, so Gibbs sampling draws these numbers: with all other
+tables of the restaurant in place, t tables for c customers of a dish have
+weight S_d(c, t) * prod(theta + d * (others + i), i < t) * P_parent(dish)^t,
+where the generalised Stirling numbers S_d count the seatings. Up to
+``EXACT`` customers t is drawn from all these weights; customers beyond are
+seated after them, in growing groups, each opening tables with the
+restaurant's weights. A sample is a sweep over all dishes of all customers.
+Every sample's tables make that sample's root restaurant and, under it, that
+sample's predictive probabilities; their average gives the score (log10, and
+so perplexity). Each level has one discount.
 
 How it is spread: all tokens are shuffled once, as binary blocks, to the
 bucket of their context, and stay there for seating and for scoring. Each
-bucket asks the owners of the words it holds: it sends its tokens and tables
-per word, the owners seat the root restaurant and answer with the word's
-count and share. A context with more than 1/(2*buckets) of the tokens is
-dealt over all buckets by dish; its buckets exchange the discounted table
+bucket asks the owners of the words it holds: it sends its tokens and every
+sample's tables per word, the owners seat the root restaurant and answer with
+the word's count and each sample's share; scoring draws the same tables again
+(the draw is a function of the counts and the bucket's number, so a lost task
+repeats it too). While the root is not known, tables are drawn under the
+words' frequencies: over all tokens for words that make up 1/``COMMON`` of
+them, over the bucket's tokens for rarer ones. A context with more than
+1/(2*buckets) of the tokens is dealt over all buckets by dish; a bucket takes
+its tables for a random share of the context's, and the buckets exchange the
 totals of every sample (a list bounded by 2*buckets contexts). Scores return
 as sums per (document, bucket). Sizes of all exchanges follow the input;
-buckets follow ``spark.sql.shuffle.partitions``. Seating depends only on the
-sorted counts and the bucket number, so a lost task repeats it exactly.
+buckets follow the number of tokens.
 
 Words are identified by a 64-bit hash (a block holds its distinct words once
 and an index per token), contexts by their bucket and 32 bits more.
@@ -31,6 +42,8 @@ one; extra columns are ignored; empty table, empty result.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -41,9 +54,13 @@ from .textops import Words, mix, release, slices
 _U = np.uint64
 BEGIN, END = (int(x) for x in mix(np.array([0xB0, 0xE0], dtype=np.uint64)))
 THETA = 1.0
-HOT_DISCOUNT = 0.8  # of contexts dealt over several buckets
+DISCOUNT, ROOT_DISCOUNT = 0.8, 0.6  # of contexts, of the root
 SAMPLES = 3
-STEPS = 12  # customers of each dish seated anew per sample
+BURN = 2  # sweeps before the first sample
+EXACT = 64  # customers of a dish whose tables are drawn from the full posterior
+GROUP = 8  # beyond, a group is 1/GROUP of those seated before
+COMMON = 4096
+TOKENS_PER_BUCKET = 3_000_000
 MAX_DOCS = 30_000  # documents of a slice (their number takes 15 bits)
 
 
@@ -70,28 +87,34 @@ def _slices(batches):
             yield part.slice(at, MAX_DOCS)
 
 
-def hot_contexts(docs: DataFrame, buckets: int) -> np.ndarray:
-    """Contexts with at least 1/(2*buckets) of all tokens: at most 2*buckets.
-    A task reports those that reach half that share of its own tokens."""
+def corpus_counts(docs: DataFrame) -> tuple[int, dict[int, int], dict[int, int]]:
+    """Tokens in all; contexts and training words with at least 1/``COMMON`` of
+    the tokens (a task reports those that reach half that share of its own)."""
     def run(batches):
-        total, held, seen = 0, {}, 0
+        total, held = 0, ({}, {})
         for part in _slices(batches):
-            u, _, _, _ = _tokens(part.column(0))
-            who, n = np.unique(u, return_counts=True)
+            u, w, doc, _ = _tokens(part.column(0))
+            apart = np.array(part.column(1).to_pylist(), dtype=bool)
             total += len(u)
-            for a, b in zip(who[n * 4 * buckets >= len(u)].tolist(), n[n * 4 * buckets >= len(u)].tolist()):
-                held[a] = held.get(a, 0) + b
+            for kind, x in ((0, u), (1, w[~apart[doc]])):
+                who, n = np.unique(x, return_counts=True)
+                many = n * 2 * COMMON >= len(u)
+                for a, b in zip(who[many].tolist(), n[many].tolist()):
+                    held[kind][a] = held[kind].get(a, 0) + b
         if total:
-            keys = np.array([*held.keys(), 0], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([*held.values(), total], pa.int64())],
-                                             names=["u", "n"])
+            rows = [(kind, k, n) for kind in (0, 1) for k, n in held[kind].items()] + [(2, 0, total)]
+            kind, key, n = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(np.array(key, dtype=np.uint64).view(np.int64)),
+                                              pa.array(n, pa.int64())], names=["kind", "key", "n"])
+
+    rows = docs.select("text", "held").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    total = rows.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
+    # at most COMMON rows of either kind reach the share
+    found = rows.filter((F.col("kind") < 2) & (F.col("n") * COMMON >= total)).collect() if total else []
 
-    rows = docs.select("text").mapInArrow(run, "u long, n long").groupBy("u").agg(F.sum("n").alias("n"))
-    total = rows.filter("u = 0").first()
-    if total is None:
-        return np.zeros(0, dtype=np.uint64)
-    found = rows.filter((F.col("u") != 0) & (F.col("n") * 2 * buckets >= total["n"])).select("u").collect()
-    return np.sort(np.array([r["u"] for r in found], dtype=np.int64).view(np.uint64))
+    def of(kind):
+        return {int(np.int64(r["key"]).view(np.uint64)): r["n"] for r in found if r["kind"] == kind}
+    return total, of(0), of(1)
 
 
 def _owner(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -151,84 +174,67 @@ def _column(table: pa.Table, name: str, dtype) -> list[np.ndarray]:
             for chunk in table.column(name).chunks for x in chunk]
 
 
-class Seating:
-    """Gibbs seating of many dishes. ``count`` customers per dish, ``room``
-    its restaurant, ``parent`` the dish's probability at the parent."""
-
-    def __init__(self, count, room, rooms, discount, rng):
-        self.count, self.room, self.rooms, self.d, self.rng = count, room, rooms, discount, rng
-        self.tables = (count > 0).astype(np.int32)
-        # only dishes with several customers have a choice; each has twice as
-        # many table numbers as customers, all start at table 0
-        self.some = np.flatnonzero(count > 1)
-        c = count[self.some]
-        self.at = np.cumsum(c) - c
-        self.seat = np.zeros(int(c.sum()), dtype=np.int32)
-        self.size = np.zeros(2 * len(self.seat), dtype=np.int32)
-        self.size[2 * self.at] = c
-
-    def totals(self) -> np.ndarray:
-        """Discounted tables per restaurant (sum of d * tables)."""
-        return np.bincount(self.room, weights=self.d * self.tables, minlength=self.rooms)
-
-    def step(self, parent, totals) -> np.ndarray:
-        """One customer of every dish leaves and is seated again; returns the
-        change of tables per restaurant times discount."""
-        some, c, rng = self.some, self.count[self.some], self.rng
-        if not len(some):
-            return totals
-        before = self.tables[some].copy()
-        who = self.at + rng.integers(0, c)
-        base = 2 * self.at
-        np.subtract.at(self.size, base + self.seat[who], 1)
-        left = self.tables[some] - (self.size[base + self.seat[who]] == 0)
-        d = self.d[some]
-        fresh = (THETA + np.maximum(totals[self.room[some]] - d * (before - left), 0.0)) * parent[some]
-        old = np.maximum(c - 1 - d * left, 0.0)
-        new = (rng.random(len(some)) * (fresh + old) < fresh) | (left == 0)
-        table = self.seat[who].copy()
-        # an existing table with weight (size - d): the table of a random
-        # other customer, accepted with probability (size - d) / size
-        todo = np.flatnonzero(~new)
-        for _ in range(12):
-            if not len(todo):
-                break
-            pick = rng.integers(0, c[todo] - 1)
-            pick = pick + (self.at[todo] + pick >= who[todo])
-            seat = self.seat[self.at[todo] + pick]
-            n = self.size[base[todo] + seat]
-            table[todo] = seat
-            todo = todo[rng.random(len(todo)) * n >= n - d[todo]]
-        # a free table number: half of them are free
-        todo = np.flatnonzero(new)
-        while len(todo):
-            pick = rng.integers(0, 2 * c[todo])
-            free = self.size[base[todo] + pick] == 0
-            table[todo[free]] = pick[free]
-            todo = todo[~free]
-        self.seat[who] = table
-        np.add.at(self.size, base + table, 1)
-        self.tables[some] = left + new
-        change = self.d[some] * (self.tables[some] - before)
-        return totals + np.bincount(self.room[some], weights=change, minlength=self.rooms)
-
-    def sample(self, parent, steps: int = STEPS) -> np.ndarray:
-        totals = self.totals()
-        for _ in range(steps):
-            totals = self.step(parent, totals)
-        return totals
-
-
-def discount_of(count: np.ndarray) -> float:
-    """Discount from the numbers of dishes with one and two customers."""
-    one, two = int((count == 1).sum()), int((count == 2).sum())
-    return float(np.clip((one + 1) / (one + 2 * two + 2), 0.1, 0.95))
+@functools.cache
+def stirling(d: float, top: int = EXACT) -> np.ndarray:
+    """log S_d(c, t) for c, t <= top (generalised Stirling numbers): in how
+    many ways, weighted by the tables' sizes, c customers sit at t tables."""
+    out = np.full((top + 1, top + 1), -np.inf)
+    out[1, 1] = 0.0
+    t = np.arange(1, top + 1)
+    for c in range(1, top):
+        stay = out[c, 1:] + np.log(np.maximum(c - d * t, 1e-300))
+        out[c + 1, 1:] = np.logaddexp(np.where(t <= c, stay, -np.inf), out[c, :-1])
+    return out
+
+
+def draw_tables(count: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, rng) -> np.ndarray:
+    """Tables of dishes with ``count`` customers, given the ``others``' tables
+    of the restaurant and the dish's probability at its parent."""
+    tables = np.minimum(count, 1).astype(np.int64)
+    first = np.minimum(count, EXACT)
+    order = np.argsort(first, kind="stable")
+    order = order[np.searchsorted(first[order], 2):]  # one customer has one table
+    edges = np.flatnonzero(np.diff(first[order], prepend=0, append=EXACT + 1))
+    log_s = stirling(d)
+    for a, b in zip(edges[:-1], edges[1:]):
+        c = int(first[order[a]])
+        step = max(1, (1 << 20) // c)
+        for at in range(a, b, step):
+            i = order[at:min(at + step, b)]
+            grow = np.log(THETA + d * (others[i][:, None] + np.arange(c))) + np.log(parent[i])[:, None]
+            weight = np.cumsum(grow, axis=1) + log_s[c, 1:c + 1]
+            chance = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+            tables[i] = 1 + (chance < rng.random(len(i))[:, None] * chance[:, -1:]).sum(axis=1)
+    more = np.flatnonzero(count > EXACT)
+    seated = np.full(len(more), EXACT, dtype=np.int64)
+    while len(more):
+        group = np.minimum(np.maximum(seated // GROUP, 1), count[more] - seated)
+        new = (THETA + d * (others[more] + tables[more])) * parent[more]
+        old = np.maximum(seated - d * tables[more], 1e-9)
+        tables[more] += rng.binomial(group, new / (new + old))
+        seated += group
+        left = seated < count[more]
+        more, seated = more[left], seated[left]
+    return tables
+
+
+def sample_tables(count: np.ndarray, room: np.ndarray, rooms: int, parent: np.ndarray, d: float, rng,
+                  share: np.ndarray | float = 1.0) -> list[np.ndarray]:
+    """Tables per dish of ``SAMPLES`` sweeps after ``BURN``. ``share``: part of a
+    restaurant's dishes that is held here."""
+    tables, out = np.minimum(count, 1).astype(np.int64), []
+    for sweep in range(BURN + SAMPLES):
+        whole = np.bincount(room, weights=tables, minlength=rooms) / share
+        tables = draw_tables(count, np.maximum(whole[room] - tables, 0.0), parent, d, rng)
+        if sweep >= BURN:
+            out.append(tables)
+    return out
 
 
 class Bucket:
     """Counts of one bucket: distinct words, (context, word) pairs, contexts."""
 
-    def __init__(self, table: pa.Table, hot32: np.ndarray, number: int):
+    def __init__(self, table: pa.Table, hot32: np.ndarray, number: int, buckets: int):
         self.number = number
         code = _column(table, "doc", np.uint16)
         self.lengths = [len(x) for x in code]
@@ -248,41 +254,20 @@ class Bucket:
         self.customers = np.bincount(self.room, weights=self.count, minlength=len(self.contexts))
         self.word_count = np.bincount(self.pair_word, weights=self.count, minlength=len(self.words)).astype(np.int64)
         self.hot = np.isin(self.contexts, hot32)
-        self.own_discount = discount_of(self.count)
-
-    def seating(self, hot: bool, stage: int) -> tuple[np.ndarray, Seating]:
-        """Pairs of the contexts that are (or are not) dealt over several
-        buckets, and their seating."""
-        index = np.flatnonzero(self.hot[self.room] == hot)
-        d = np.full(len(index), HOT_DISCOUNT if hot else self.own_discount)
-        return index, Seating(self.count[index], self.room[index], len(self.contexts), d,
-                              np.random.default_rng([self.number, stage, int(hot)]))
-
-    def guess(self) -> np.ndarray:
-        """The bucket's own word frequencies, before the root is known."""
-        f = (self.word_count + 0.5) / (self.word_count.sum() + 0.5 * (len(self.words) + 1))
-        return f[self.pair_word]
-
-    def hot_samples(self) -> tuple[np.ndarray, list]:
-        """Samples (tables per pair, discounted totals per context) of the
-        contexts dealt over several buckets: the same on every call."""
-        index, seating = self.seating(True, 0)
-        parent, out = self.guess()[index], []
-        for _ in range(SAMPLES if len(index) else 0):
-            totals = seating.sample(parent)
-            out.append((seating.tables.copy(), totals))
-        return index, out
-
-    def first_tables(self) -> np.ndarray:
-        """Tables per word that send their customers to the root."""
-        tables = np.zeros(len(self.count))
-        index, seating = self.seating(False, 0)
-        seating.sample(self.guess()[index], 2 * STEPS)
-        tables[index] = seating.tables
-        index, samples = self.hot_samples()
-        if samples:
-            tables[index] = samples[-1][0]
-        return np.bincount(self.pair_word, weights=tables, minlength=len(self.words))
+        self.buckets = buckets
+
+    def samples(self, common: dict[int, int], n_train: int) -> list[np.ndarray]:
+        """Tables per pair of every sample: the same on every call."""
+        guess = (self.word_count + 0.5) / (self.word_count.sum() + 0.5 * (len(self.words) + 1))
+        if n_train:
+            keys = np.array(sorted(common), dtype=np.uint64)
+            at = np.minimum(np.searchsorted(keys, self.words), max(0, len(keys) - 1))
+            known = (keys[at] == self.words) if len(keys) else np.zeros(len(self.words), dtype=bool)
+            share = np.array([common[int(k)] for k in keys]) / n_train
+            guess[known] = share[at[known]]
+        rng = np.random.default_rng(self.number)
+        part = np.where(self.hot, 1.0 / self.buckets, 1.0)
+        return sample_tables(self.count, self.room, len(self.contexts), guess[self.pair_word], DISCOUNT, rng, part)
 
 
 _ASK = ("owner int, bucket int, words binary, count binary, tables binary, "
@@ -301,29 +286,32 @@ def _table(rows: list, types: list) -> pa.Table:
 def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score;
     ``held``: documents that are scored but not learned from."""
-    spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), held.alias("held"))
-    hot = hot_contexts(base, buckets)
+    n_tokens, contexts, common = corpus_counts(base)
+    buckets = buckets or max(8, -(-n_tokens // TOKENS_PER_BUCKET))
+    hot = np.sort(np.array([u for u, n in contexts.items() if 2 * buckets * n >= n_tokens], dtype=np.uint64))
     hot32 = np.unique(mix(hot).astype(np.uint32).astype(np.uint64))
+    # tables and counts travel as 64-bit numbers
     blocks = token_blocks(base, buckets, hot)
 
     def seat(table: pa.Table) -> pa.Table:
         number = table.column("bucket")[0].as_py()
-        b = _open(table, hot32, number)
+        b = _open(table, hot32, number, buckets)
         if b is None:
             return _table([], _ASK_TYPES)
-        tables = b.first_tables().astype(np.uint32)
+        samples = b.samples(common, n_tokens)
+        tables = [np.bincount(b.pair_word, weights=t, minlength=len(b.words)).astype(np.uint64) for t in samples]
+        totals = [np.bincount(b.room, weights=t, minlength=len(b.contexts)) for t in samples]
         owner = _owner(b.words, buckets)
-        _, samples = b.hot_samples()
         hot_at = np.flatnonzero(b.hot)
         hot_owner = _owner(b.contexts[hot_at], buckets)
         rows = []
         for o in range(buckets):  # every owner, so that all hear of each other
             m, h = owner == o, hot_at[hot_owner == o]
-            rows.append((o, number, b.words[m].tobytes(), b.word_count[m].astype(np.uint32).tobytes(), tables[m].tobytes(),
+            rows.append((o, number, b.words[m].tobytes(), b.word_count[m].astype(np.uint64).tobytes(),
+                         np.concatenate([t[m] for t in tables]).tobytes(),
                          b.contexts[h].astype(np.int64).tolist(), b.customers[h].tolist(),
-                         [float(t[i]) for i in h for _, t in samples]))
+                         [float(t[i]) for i in h for t in totals]))
         del b, samples
         release()
         return _table(rows, _ASK_TYPES)
@@ -339,32 +327,32 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
         del w
         inverse = inverse.astype(np.int32)
 
-        def total(name):
-            return np.bincount(inverse, weights=np.concatenate(_column(table, name, np.uint32)),
-                               minlength=len(words)).astype(np.int64)
-        count, customers = total("count"), total("tables")
+        def total(parts):
+            out = np.zeros(len(words), dtype=np.int64)
+            np.add.at(out, inverse, np.concatenate(parts).astype(np.int64))
+            return out
+        count = total(_column(table, "count", np.uint64))
         known = int((count > 0).sum())
-        d = discount_of(customers)
-        seating = Seating(customers, np.zeros(len(words), dtype=np.int32), 1, np.full(len(words), d),
-                          np.random.default_rng([number, 1]))
-        # one owner sees 1/buckets of the known words
+        drawn = [x.reshape(SAMPLES, -1) for x in _column(table, "tables", np.uint64)]
+        # one owner sees 1/buckets of the known words and of the root's tables
         parent = np.full(len(words), 1.0 / (known * buckets + 1.0))
-        tables = np.zeros(len(words))
-        for _ in range(SAMPLES):
-            seating.sample(parent)
-            tables += seating.tables / SAMPLES
-        share = (customers - d * tables).astype(np.float32)
-        sums = [float(count.sum()), float(known), float(customers.sum()), float(d * tables.sum())]
+        rng, room = np.random.default_rng([number, 1]), np.zeros(len(words), dtype=np.int64)
+        shares, sums = [], [float(known), float(count.sum())]
+        for s in range(SAMPLES):
+            customers = total([x[s] for x in drawn])
+            tables = sample_tables(customers, room, 1, parent, ROOT_DISCOUNT, rng, 1.0 / buckets)[-1]
+            shares.append((customers - ROOT_DISCOUNT * tables).astype(np.float32))
+            sums += [float(customers.sum()), float(ROOT_DISCOUNT * tables.sum())]
         held: dict[int, np.ndarray] = {}
         for us, ns, ts in zip(*(table.column(x).to_pylist() for x in ("u", "n", "totals"))):
             for i, u in enumerate(us):
                 held[u] = held.get(u, 0) + np.array([ns[i], *ts[i * SAMPLES:(i + 1) * SAMPLES]])
         hot_rows = (list(held), [float(v[0]) for v in held.values()], [float(x) for v in held.values() for x in v[1:]])
-        rows, at, count = [], 0, count.astype(np.uint32)
+        rows, at, count = [], 0, count.astype(np.uint64)
         for b, n in zip(froms, lengths):
             pick = inverse[at:at + n]
             at += n
-            rows.append((b, number, count[pick].tobytes(), share[pick].tobytes(), sums, *hot_rows))
+            rows.append((b, number, count[pick].tobytes(), np.concatenate([x[pick] for x in shares]).tobytes(), sums, *hot_rows))
         release()
         return _table(rows, _TELL_TYPES)
 
@@ -377,11 +365,11 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
         number = blocks.column("bucket")[0].as_py()
         for r in blocks.filter(blocks.column("ids").is_valid()).select(["slice", "ids", "size", "held"]).to_pylist():
             rows.append((r["slice"], None, None, None, None, None, r["ids"], r["size"], r["held"]))
-        b = _open(blocks, hot32, number)
+        b = _open(blocks, hot32, number, buckets)
         if b is None:
             return _table(rows, _PART_TYPES)
-        known, n_train, vocabulary, parent = _parents(b, answers, buckets)
-        s = np.log10(_predict(b, parent, answers))[b.pair]
+        known, n_train, vocabulary, parents = _parents(b, answers, buckets)
+        s = np.log10(_predict(b, b.samples(common, n_tokens), parents, answers))[b.pair]
         base_log = np.log10((known + 0.5) / (n_train + 0.5 * (vocabulary + 1)))
         base, k = base_log[b.pair_word][b.pair], (known > 0)[b.pair_word][b.pair]
         slices_of = [x for x, ok in zip(blocks.column("slice").to_pylist(), blocks.column("u").is_valid().to_pylist()) if ok]
@@ -427,51 +415,39 @@ _PART_TYPES = [("slice", pa.int64()), *[(x, pa.binary()) for x in ("doc", "score
                ("ids", pa.list_(pa.int64())), ("size", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))]
 
 
-def _open(table: pa.Table, hot32: np.ndarray, number: int) -> Bucket | None:
+def _open(table: pa.Table, hot32: np.ndarray, number: int, buckets: int) -> Bucket | None:
     tokens = table.filter(table.column("u").is_valid())
-    return Bucket(tokens, hot32, number) if tokens.num_rows else None
+    return Bucket(tokens, hot32, number, buckets) if tokens.num_rows else None
 
 
 def _parents(b: Bucket, told: pa.Table, buckets: int):
     """Training count per word of the bucket; training tokens; known words;
-    the words' root probabilities."""
-    known, share = np.zeros(len(b.words)), np.zeros(len(b.words))
+    the words' root probabilities in every sample."""
+    known, share = np.zeros(len(b.words), dtype=np.int64), np.zeros((SAMPLES, len(b.words)))
     owner = _owner(b.words, buckets)
-    for o, c, s in zip(told.column("owner").to_pylist(), _column(told, "count", np.uint32), _column(told, "share", np.float32)):
-        known[owner == o], share[owner == o] = c, s
-    n_train, vocabulary, customers, discounted = np.sum(told.column("sums").to_pylist(), axis=0)
+    for o, c, s in zip(told.column("owner").to_pylist(), _column(told, "count", np.uint64), _column(told, "share", np.float32)):
+        known[owner == o], share[:, owner == o] = c.astype(np.int64), s.reshape(SAMPLES, -1)
+    sums = np.sum(told.column("sums").to_pylist(), axis=0)
+    vocabulary, n_train = sums[:2]
     base = 1.0 / (vocabulary + 1.0)
-    parent = np.maximum(share, 0.0) / (THETA + customers) + (THETA + discounted) / (THETA + customers) * base
-    return known, n_train, vocabulary, parent
-
-
-def _predict(b: Bucket, parent: np.ndarray, told: pa.Table) -> np.ndarray:
-    """Probability of every pair, averaged over the samples. Contexts of this
-    bucket alone are seated under the root's probabilities; those dealt over
-    all buckets keep their samples, with the totals of all buckets."""
-    p = parent[b.pair_word]
-    out = np.zeros(len(p))
-
-    def add(index, d, tables, totals, customers):
-        own = np.maximum(b.count[index] - d * tables, 0.0)
-        room = b.room[index]
-        out[index] += (own + (THETA + totals[room]) * p[index]) / (THETA + customers[room]) / SAMPLES
-
-    index, seating = b.seating(False, 1)
-    seating.sample(p[index])
-    for _ in range(SAMPLES):
-        totals = seating.sample(p[index])
-        add(index, b.own_discount, seating.tables, totals, b.customers)
-    index, samples = b.hot_samples()
-    if samples:
-        place = {int(b.contexts[i]): i for i in np.flatnonzero(b.hot)}
-        customers, whole = b.customers.copy(), [t.copy() for _, t in samples]
-        for us, ns, ts in zip(*(told.column(x).to_pylist() for x in ("u", "n", "totals"))):
-            for j, u in enumerate(us):
-                if u in place:
-                    customers[place[u]] = ns[j]
-                    for s in range(SAMPLES):
-                        whole[s][place[u]] = ts[j * SAMPLES + s]
-        for (tables, _), totals in zip(samples, whole):
-            add(index, HOT_DISCOUNT, tables, totals, customers)
+    parents = [(np.maximum(share[s], 0.0) + (THETA + discounted) * base) / (THETA + customers)
+               for s, (customers, discounted) in enumerate(sums[2:].reshape(SAMPLES, 2))]
+    return known, n_train, vocabulary, parents
+
+
+def _predict(b: Bucket, samples: list[np.ndarray], parents: list[np.ndarray], told: pa.Table) -> np.ndarray:
+    """Probability of every pair, averaged over the samples; contexts dealt over
+    all buckets with the totals of all of them."""
+    out, customers = np.zeros(len(b.pair_word)), b.customers.copy()
+    totals = [np.bincount(b.room, weights=t, minlength=len(b.contexts)) for t in samples]
+    place = {int(b.contexts[i]): i for i in np.flatnonzero(b.hot)}
+    for us, ns, ts in zip(*(told.column(x).to_pylist() for x in ("u", "n", "totals"))):
+        for j, u in enumerate(us):
+            if u in place:
+                customers[place[u]] = ns[j]
+                for s in range(SAMPLES):
+                    totals[s][place[u]] = ts[j * SAMPLES + s]
+    for tables, total, parent in zip(samples, totals, parents):
+        own = np.maximum(b.count - DISCOUNT * tables, 0.0)
+        out += (own + (THETA + DISCOUNT * total[b.room]) * parent[b.pair_word]) / (THETA + customers[b.room]) / SAMPLES
     return out

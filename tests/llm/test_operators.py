@@ -284,6 +284,38 @@ def test_line_dedup(spark, none):
     assert empty.count() == 0 and empty.columns == df.columns
 
 
+def test_line_dedup_deals_a_hot_host(spark):
+    rows = [(i, "hot" if i % 3 else f"h{i % 7}", f"Menu\nown {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, host string, text string").repartition(3)
+    got = {limit: sorted(map(tuple, linededup.drop_boilerplate(df, broadcast_lines=limit).collect())) for limit in (10**6, 0)}
+    assert got[0] == got[10**6] == [(i, h, f"own {i}") for i, h, _ in rows]
+
+
+CLASHING = ["score", "lang_pred", "__size", "__hash", "__copies", "__h", "__kept", "__keys", "__gone", "__n", "__again",
+            "host", "h", "keys", "kept", "row", "id", "gone", "again", "size", "rate", "bin", "target"]
+
+
+def test_user_columns_clash_with_nothing(spark):
+    """Every name an operator once used inside, carried untouched by the stages."""
+    import corpus_pipeline
+
+    rows = [(i, f"Menu\n{prose(12)}" if i % 4 else None if i % 8 else "Menu\nsame text here for all to see again", "en", f"s{i % 2}", 9)
+            for i in range(60)]
+    rows += [rows[8], rows[8], (None, rows[9][1], "en", "s0", 9)]
+    base = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = base.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(c)
+                               for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, extra, "")
+        assert out.columns == extra.columns, name
+        kept = out.collect()
+        assert kept and all(r[c] == f"{c}:{'' if r.doc_id is None else r.doc_id}" for r in kept for c in CLASHING), name
+        plain = stage(spark, base, "").collect()
+        assert collections.Counter((r.doc_id, r.text) for r in kept) == collections.Counter((r.doc_id, r.text) for r in plain)
+        assert stage(spark, extra.limit(0), "").count() == 0
+    assert corpus_pipeline.STAGES[4][1](spark, extra, "").count() >= len(rows)
+
+
 def test_langid(docs, none):
     model = langid.learn(docs)
     assert model[0] == ["de", "en"]
@@ -447,6 +479,30 @@ def test_merkle_audit_reports_only_the_lost_record(spark):
     assert found(df, df.repartition(3)) == []
 
 
+def test_merkle_many_records_of_one_id(spark, monkeypatch):
+    """Null and repeated ids are placed and compared in chunks, as if whole."""
+    monkeypatch.setattr(merkle, "CHUNK", 4)
+    rows = [(i % 3 if i % 2 else None, f"r{i % 150}") for i in range(400)] + [(2**60 + i, "big") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+
+    def recs(d):
+        return merkle.records(d, F.col("page_id"), merkle.warc_record(F.lit("u"), F.col("html")),
+                              merkle.archives_by_id(F.col("page_id"), 64))
+    placed = [(r.archive, r.n, r.record_id, r.offset, r.length, r.digest) for r in recs(df).collect()]
+    want, at = [], collections.Counter()
+    for r in sorted(placed, key=lambda r: (r[0] is not None, r[0] or 0, r[2] is not None, r[2] or 0, r[5])):
+        want.append((r[0], at[r[0], "n"], r[2], at[r[0], "offset"], r[4], r[5]))
+        at[r[0], "n"] += 1
+        at[r[0], "offset"] += r[4]
+    assert sorted(map(str, placed)) == sorted(map(str, want)) and len(placed) == len(rows)
+    assert {r[0] for r in placed if r[2] and r[2] > 9} == {2**54}
+    worse = spark.createDataFrame([(i, "x" + h if n in (0, 7, 9) else h) for n, (i, h) in enumerate(rows) if n != 20],
+                                  "page_id long, html string")
+    got = collections.Counter((r.record_id, r.status) for r in merkle.fixity_audit(recs(df), recs(worse), fanout=4).collect())
+    assert got == {(None, "corrupt"): 1, (None, "missing"): 1, (1, "corrupt"): 1, (0, "corrupt"): 1}
+    assert merkle.fixity_audit(recs(df), recs(df.repartition(5)), fanout=4).count() == 0
+
+
 def test_hpylm(docs, none):
     held = langid.held_out(F.col("doc_id"), part=1)
     for buckets in (2, 24):  # with 24 the commonest contexts are dealt over buckets
@@ -477,23 +533,109 @@ def test_hpylm_tells_words_apart_by_all_bits():
         types = [(x, pa.binary()) for x in ("u", "run", "words", "word", "doc")]
         rows = [(np.array([3], np.uint32).tobytes(), np.array([len(t)], np.uint32).tobytes(), *hpylm._coded(t),
                  np.zeros(len(t), np.uint16).tobytes()) for t in (tokens, tokens[:2])]
-        b = hpylm.Bucket(hpylm._table(rows, types), np.zeros(0, np.uint64), 0)
+        b = hpylm.Bucket(hpylm._table(rows, types), np.zeros(0, np.uint64), 0, 1)
         want = collections.Counter([*tokens.tolist(), *tokens[:2].tolist()])
         assert dict(zip(b.words.tolist(), b.word_count.tolist())) == want
 
 
-def test_seating_keeps_every_customer():
-    g = np.random.default_rng(1)
-    count = g.integers(0, 9, 200)
-    s = hpylm.Seating(count, g.integers(0, 10, 200).astype(np.int32), 10, np.full(200, 0.5), g)
-    for _ in range(50):
-        totals = s.sample(np.full(200, 0.01), 1)
-        assert np.allclose(totals, s.totals())
-        sizes = np.zeros(len(s.some), dtype=int)
-        for i, (at, d) in enumerate(zip(s.at, s.some)):
-            own = s.size[2 * at:2 * at + 2 * count[d]]
-            assert own.sum() == count[d] and (own > 0).sum() == s.tables[d] >= 1
-            assert (np.bincount(s.seat[at:at + count[d]], minlength=len(own)) == own).all()
+def test_hpylm_draws_tables_from_their_posterior():
+    """Against the sum over all seatings, customer by customer."""
+    theta, d = hpylm.THETA, hpylm.DISCOUNT
+    for c, others, parent in ((2, 0, 0.5), (5, 3, 0.2), (9, 40, 0.01), (64, 7, 0.3)):
+        weight = {1: (theta + d * others) * parent}
+        for i in range(1, c):
+            new = collections.Counter()
+            for t, w in weight.items():
+                new[t] += w * (i - d * t)
+                new[t + 1] += w * (theta + d * (others + t)) * parent
+            weight = new
+        n = 40_000
+        got = np.bincount(hpylm.draw_tables(np.full(n, c), np.full(n, others), np.full(n, parent), d, np.random.default_rng(c)))
+        for t, w in weight.items():
+            p = w / sum(weight.values())
+            assert abs(got[t] / n - p if t < len(got) else p) < 5 * math.sqrt(p / n) + 1e-3
+    # beyond the exact part tables go on growing
+    few, many = (hpylm.draw_tables(np.full(500, c), np.full(500, 10), np.full(500, 0.2), d, np.random.default_rng(0)) for c in (64, 6400))
+    assert 5 < many.mean() / few.mean() < 100 ** d
+
+
+def plain_gibbs(train, texts, sweeps=150):
+    """Average log10 probabilities under a sampler that seats one customer at
+    a time, in every context and at the root."""
+    r = random.Random(2)
+    theta, d, e = hpylm.THETA, hpylm.DISCOUNT, hpylm.ROOT_DISCOUNT
+    known = {w for t in train for w in t}
+    seats = collections.defaultdict(list)  # (context, word) -> sizes of tables
+    rooms, root, total = collections.Counter(), collections.defaultdict(list), collections.Counter()
+
+    def at_root(w):
+        own = max(sum(root[w]) - e * len(root[w]), 0.0)
+        return (own + (theta + e * total["tables"]) / (len(known) + 1)) / (theta + total["customers"])
+
+    def enter(tables, d, new, room):
+        weights = [n - d for n in tables] + [new]
+        i = r.choices(range(len(weights)), weights)[0]
+        if i < len(tables):
+            tables[i] += 1
+            return False
+        tables.append(1)
+        return True
+
+    def leave(tables):
+        i = r.choices(range(len(tables)), tables)[0]
+        tables[i] -= 1
+        if not tables[i]:
+            del tables[i]
+            return True
+        return False
+
+    def sit(u, w):
+        if enter(seats[u, w], d, (theta + d * rooms[u]) * at_root(w), u):
+            rooms[u] += 1
+            total["tables"] += enter(root[w], e, (theta + e * total["tables"]) / (len(known) + 1), None)
+            total["customers"] += 1
+
+    def rise(u, w):
+        if leave(seats[u, w]):
+            rooms[u] -= 1
+            total["tables"] -= leave(root[w])
+            total["customers"] -= 1
+    tokens = [(u, w) for t in train for u, w in zip([None, *t], t)]
+    customers = collections.Counter(u for u, _ in tokens)
+    for x in tokens:
+        sit(*x)
+    sums = [[0.0] * len(t) for t in texts]
+    for sweep in range(sweeps):
+        for x in tokens:
+            rise(*x)
+            sit(*x)
+        if sweep >= 30:
+            for s, t in zip(sums, texts):
+                for i, (u, w) in enumerate(zip([None, *t], t)):
+                    own = max(sum(seats[u, w]) - d * len(seats[u, w]), 0.0) if (u, w) in seats else 0.0
+                    s[i] += (own + (theta + d * rooms[u]) * at_root(w)) / (theta + customers[u]) / (sweeps - 30)
+    return [sum(math.log10(p) for p in s) for s in sums]
+
+
+def test_hpylm_agrees_with_a_plain_sampler(spark):
+    r = random.Random(7)
+    texts = [" ".join(r.choice(["aa", "bb", "cc dd", "cc ee", "ff gg hh", "ii"] + [f"w{i}" for i in range(r.randint(1, 30))])
+                      for _ in range(25)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokens = [[*t.split(), "</s>"] for t in texts]
+    want = plain_gibbs([t for i, t in enumerate(tokens) if i % 3], tokens)
+    size = [len(t) for t in tokens]
+    for buckets in (1, 8):
+        got = {x.doc_id: x.score for x in hpylm.score(df, "doc_id", "text", F.col("doc_id") % 3 == 0, buckets).collect()}
+        apart = [abs(got[i] - w) / n for i, (w, n) in enumerate(zip(want, size))]
+        assert sum(apart) / len(apart) < 0.02 and max(apart) < 0.08, (buckets, sum(apart) / len(apart), max(apart))
+
+
+def test_hpylm_scores_hardly_change_with_the_buckets(docs):
+    held = langid.held_out(F.col("doc_id"), part=1)
+    few, many = ({r.doc_id: r for r in hpylm.score(docs, "doc_id", "text", held, b).collect()} for b in (2, 24))
+    apart = [abs(few[i].score - many[i].score) / few[i].n_tokens for i in few]
+    assert sum(apart) / len(apart) < 0.02
 
 
 def test_cotraining(spark, docs, none):
