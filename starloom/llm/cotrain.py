@@ -4,14 +4,18 @@ Two views of a document: its text (hashed words and character statistics)
 and its page metadata (source, language, stated length). Each view has its own
 classifier, a ridge logistic regression. They learn from a bounded sample of
 labelled documents and exchange pseudo-labels over rounds: in every round each
-view scores all unlabelled documents, and all that it is confident of (odds of
-nine to one) train the other view, weighted so that the classes keep the
-shares they have among the labels; if a view is confident of one class only,
-it hands over none. Each view is then calibrated on labelled documents that
-neither has learned from, the calibrated views are combined there, and all
-documents are scored in one map.
+view scores all unlabelled documents and hands the other, of each class, the
+share that it is surest of (growing with the rounds) and all others that it is
+confident of (odds of nine to one), weighted so that the classes keep the
+shares they have among the labels. So both views teach in every round; one
+that gives all documents the same score hands over none. A view keeps what it
+has learned only if it tells labelled documents that it has not learned from
+apart at least as well as before; rounds end when neither view gains. Each
+view is then calibrated on those documents, the calibrated views are combined
+there, and all documents are scored in one map.
 
 How it is spread: the features of the unlabelled documents are written once.
+A round's cuts come from one pass that counts all scores in ``BINS`` bins.
 A Newton step of both views is one pass over them: every task sums loss,
 gradient and curvature of its confident documents (numbers of fixed length, as
 integers, so the order of adding does not matter), tasks add them up by parts,
@@ -56,6 +60,9 @@ _CLASS[[ord(c) for c in "#$%&*!|@^~+=<>_/\\{}[]()`"]] = 7
 CLASSES = 8
 WIDTHS = WORD_BUCKETS + CLASSES + 4, SOURCE_BUCKETS + LANG_BUCKETS + 3
 CONFIDENT = float(np.log(9))  # log odds
+SHARES = (0.05, 0.1, 0.2, 0.3, 0.4)  # of each class, by round
+BINS = 4096
+GAIN = 1e-3  # fall of the held-out loss by which a view gains
 STEPS = 12  # Newton steps of a round
 SMALL = 1e-3  # change of a coefficient that ends the steps, and the rounds
 PARTS = 16
@@ -130,7 +137,7 @@ class Model:
     combine: np.ndarray | None = None
     constant: float = 1.0
     labelled: int = 0  # labelled documents learned from or calibrated on
-    taken: tuple = (0, 0)  # documents that each view was handed in the last round
+    taken: tuple = (0, 0)  # documents that each view was handed in the last round that taught it
 
     def scores(self, xs: list[np.ndarray]) -> np.ndarray:
         """[documents, 3]: calibrated content, metadata, combined."""
@@ -169,10 +176,42 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]].view(np.float32).reshape(n, width)
 
 
-def _pass(rows: DataFrame, label_by: list[np.ndarray], at: list[np.ndarray]) -> list[np.ndarray]:
+def _bin(z: np.ndarray) -> np.ndarray:
+    return np.clip(((z + 30) * (BINS / 60)).astype(np.int64), 0, BINS - 1)
+
+
+def _cuts(rows: DataFrame, weights: list[np.ndarray], good: float, share: float) -> list[tuple[float, float]]:
+    """Per view the log odds up to which a document is handed over as bad, and
+    from which as good (no document where the two meet)."""
+    spread = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches):
+        total = np.zeros((2, BINS), dtype=np.int64)
+        for b in batches:
+            for view, w in enumerate(spread.value):
+                total[view] += np.bincount(_bin(logit(_matrix(b.column(view), WIDTHS[view]), w)), minlength=BINS)
+        view, at = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(view, pa.int32()), pa.array(at, pa.int32()), pa.array(total[view, at])],
+                                         names=["view", "bin", "n"])
+
+    hist = np.zeros((2, BINS), dtype=np.int64)
+    for r in rows.mapInArrow(run, "view int, bin int, n long").groupBy("view", "bin").agg(F.sum("n").alias("n")).collect():
+        hist[r["view"], r["bin"]] = r["n"]  # at most 2 * BINS rows
+    spread.destroy()
+    out = []
+    for h in hist:
+        n = h.sum()
+        low = np.searchsorted(np.cumsum(h), share * (1 - good) * n)
+        high = BINS - 1 - np.searchsorted(np.cumsum(h[::-1]), share * good * n)
+        bad_to, good_from = max((low + 1) * 60 / BINS - 30, -CONFIDENT), min(high * 60 / BINS - 30, CONFIDENT)
+        out.append((bad_to, good_from) if n and low < high else (-np.inf, np.inf))
+    return out
+
+
+def _pass(rows: DataFrame, label_by: list[np.ndarray], cuts: list[tuple[float, float]], at: list[np.ndarray]) -> list[np.ndarray]:
     """``_sums`` at the weights ``at`` over all documents that the other view
-    is confident of by the weights ``label_by``: view 0 with label 0 and 1,
-    view 1 with label 0 and 1."""
+    hands over by the weights ``label_by`` and its ``cuts``: view 0 with label 0
+    and 1, view 1 with label 0 and 1."""
     spread = rows.sparkSession.sparkContext.broadcast((label_by, at))
     schema = pa.schema([("part", pa.int32()), ("sums", pa.binary())])
 
@@ -182,8 +221,8 @@ def _pass(rows: DataFrame, label_by: list[np.ndarray], at: list[np.ndarray]) ->
         for b in batches:
             xs = [_matrix(b.column(i), w) for i, w in enumerate(WIDTHS)]
             zs = [logit(x, w) for x, w in zip(xs, label_by)]
-            own = np.concatenate([_sums(xs[view][sign * zs[1 - view] > CONFIDENT], label, at[view])
-                                  for view in (0, 1) for label, sign in ((0.0, -1), (1.0, 1))])
+            own = np.concatenate([_sums(xs[view][chosen], label, at[view]) for view in (0, 1) for label, chosen in (
+                (0.0, zs[1 - view] < cuts[1 - view][0]), (1.0, zs[1 - view] >= cuts[1 - view][1]))])
             total = own if total is None else total + own
         if total is not None:
             fixed = np.rint(total * SCALE).astype(np.int64)
@@ -208,13 +247,15 @@ def _pass(rows: DataFrame, label_by: list[np.ndarray], at: list[np.ndarray]) ->
     return np.split(out, np.cumsum(_PACKED)[:-1])
 
 
-def _round(rows: DataFrame, xs: list[np.ndarray], y: np.ndarray, weights: list[np.ndarray], ridge: float = 1.0):
-    """Weights of both views fitted to the labelled documents and to all
-    unlabelled ones that the other view is confident of by ``weights``; and
-    the numbers of these."""
+def _round(rows: DataFrame, xs: list[np.ndarray], y: np.ndarray, weights: list[np.ndarray], share: float,
+           ridge: float = 1.0):
+    """Weights of both views fitted to the labelled documents and to the
+    unlabelled ones that the other view hands over by ``weights``; and the
+    numbers of these."""
+    cuts = _cuts(rows, weights, float(y.mean()), share)
     good, now, best, low, taken = y.mean(), list(weights), [None, None], [np.inf, np.inf], (0, 0)
     for _ in range(STEPS):
-        sums, moved, taken = _pass(rows, weights, now), 0.0, []
+        sums, moved, taken = _pass(rows, weights, cuts, now), 0.0, []
         for view in (0, 1):
             bad_sums, good_sums = sums[2 * view:2 * view + 2]
             n0, n1 = bad_sums[0], good_sums[0]
@@ -239,10 +280,19 @@ def _round(rows: DataFrame, xs: list[np.ndarray], y: np.ndarray, weights: list[n
     return now, tuple(taken)
 
 
+def _held_loss(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Mean log loss of a view's calibrated scores on documents it has not
+    learned from."""
+    z = logit(x, w)
+    a, b = fit(z[:, None], y, ridge=0.1)
+    z = max(float(a), 0.0) * z + b
+    return float(np.mean(np.logaddexp(0, z) - y * z))
+
+
 def cotrain(xs: list[np.ndarray], y: np.ndarray, order: np.ndarray, rows, rounds: int = 5) -> Model:
     """``xs``: the two views of labelled documents, ``rows`` (called when
     needed) the table of those of the unlabelled; every fifth document by
-    ``order`` is kept for calibration."""
+    ``order`` is kept apart for gains and calibration."""
     if len(y) == 0 or y.min() == y.max():
         return Model(constant=float(y.mean()) if len(y) else 1.0, labelled=len(y))
     apart = np.argsort(np.argsort(order, kind="stable")) % 5 == 0
@@ -251,10 +301,17 @@ def cotrain(xs: list[np.ndarray], y: np.ndarray, order: np.ndarray, rows, rounds
         apart, learn = np.ones(len(y), bool), np.ones(len(y), bool)
     weights, taken = [fit(x[learn], y[learn]) for x in xs], (0, 0)
     pool = rows() if rounds else None
-    for _ in range(rounds):
-        before = weights
-        weights, taken = _round(pool, [x[learn] for x in xs], y[learn], before)
-        if not any(taken) or max(np.abs(a - b).max() for a, b in zip(weights, before)) < SMALL:
+    loss = [_held_loss(x[apart], y[apart], w) for x, w in zip(xs, weights)]
+    for i in range(rounds):
+        new, n = _round(pool, [x[learn] for x in xs], y[learn], weights, SHARES[min(i, len(SHARES) - 1)])
+        now = [_held_loss(x[apart], y[apart], w) for x, w in zip(xs, new)]
+        gains = [a - b for a, b in zip(loss, now)]
+        # no worse is kept too: what was learned is agreed with
+        keep = [m > 0 and g >= 0 for m, g in zip(n, gains)]
+        moved = max([np.abs(a - b).max() for a, b, k in zip(new, weights, keep) if k], default=0.0)
+        weights, loss = [a if k else b for a, b, k in zip(new, weights, keep)], [b if k else a for a, b, k in zip(loss, now, keep)]
+        taken = tuple(m if k else t for m, t, k in zip(n, taken, keep))
+        if moved < SMALL or (i and max(gains) < GAIN):
             break
     calibration = []
     for x, w in zip(xs, weights):

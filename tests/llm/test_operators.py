@@ -419,7 +419,21 @@ def test_spotsigs_slices_are_whole(spark):
         assert follow == [own[-1] + 3 if own[-1] < 297 else 0]
 
 
-def test_spotsigs_near_duplicates(docs):
+@pytest.mark.parametrize("hot", [None, 7])
+def test_spotsigs_slices_split_a_hot_id(spark, hot):
+    rows = [(hot, f"text {i} the cat and dog") for i in range(60)] + [(i * 3, f"own {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    cut, n = spotsigs.with_next(df, per_slice=10)
+    seen = [r for r in cut.collect() if not r["last"]]
+    assert sorted((r.doc_id or -1, r.text) for r in seen) == sorted((i or -1, t) for i, t in rows)
+    assert max(collections.Counter(r.slice for r in seen).values()) < 40
+    got = {(r.doc_id, r.n_chars) for r in spotsigs.compare_with_next(df).collect()}
+    assert got == {(i, len(t)) for i, t in rows}
+
+
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_spotsigs_near_duplicates(docs, monkeypatch, hot):
+    monkeypatch.setattr(spotsigs, "HOT_SIGNATURE", hot)
     prints = spotsigs.fingerprints(docs)
     got = {(r.a_id, r.b_id): r.likeness for r in spotsigs.near_duplicates(prints, 0.6).collect()}
     sets = {}
@@ -665,3 +679,31 @@ def test_cotraining_learns_from_all_unlabelled(spark):
     assert model.labelled == 400 and min(model.taken) > 11000
     wrong = cotrain.classify(df, labels).filter(F.col("keep") != (F.col("doc_id") % 4 > 0))
     assert wrong.count() == 0
+
+
+def test_cotraining_exchanges_both_ways(spark):
+    """Text and source each tell quality apart with errors of their own, by
+    more words and sources than the labels show well: both views are taught,
+    and do better on documents without labels than from the labels alone."""
+    r = random.Random(4)
+    rows = []
+    for i in range(6000):
+        good = r.random() < 0.6
+        by_text, by_source = (good if r.random() < 0.9 else not good for _ in range(2))
+        text = " ".join(f"{'good' if by_text else 'bad'}{r.randint(0, 120)}" if r.random() < 0.3 else f"w{r.randint(0, 200)}"
+                        for _ in range(8))
+        rows.append((i, text, "en", f"s{r.randint(0, 29) + 30 * by_source}", 100, int(good)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, quality int")
+    labels = df.filter("doc_id < 250").select("doc_id", "quality")
+    model = cotrain.train(df.drop("quality"), labels)
+    assert min(model.taken) > 500  # handed over in both directions
+    out = cotrain.classify(df.drop("quality"), labels).join(df.select("doc_id", "quality"), "doc_id").filter("doc_id >= 250").collect()
+    alone = cotrain.classify(df.drop("quality"), labels, rounds=0).join(df.select("doc_id", "quality"), "doc_id").filter("doc_id >= 250").collect()
+
+    def auc(found, name):
+        order = sorted(found, key=lambda x: x[name])
+        good = [n for n, x in enumerate(order) if x.quality]
+        return (sum(good) - len(good) * (len(good) - 1) / 2) / (len(good) * (len(order) - len(good)))
+    for name, gain in (("p_content", 0.05), ("p_metadata", 0), ("score", 0)):
+        assert auc(out, name) > auc(alone, name) + gain
+    assert auc(out, "score") > max(auc(out, "p_content"), auc(out, "p_metadata"))

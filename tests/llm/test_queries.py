@@ -47,3 +47,17 @@ def test_pipeline_stages(spark):
     ids = collections.Counter(r.doc_id for r in kept.select("doc_id").collect())
     assert ids and set(ids) <= {r.doc_id for r in docs.select("doc_id").collect()} and max(ids.values()) <= 3
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_spotsigs_query_finds_all_pairs(spark):
+    from starloom.llm import spotsigs
+    prints = spotsigs.fingerprints(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    sets = {}
+    for r in prints:
+        s = frozenset(spotsigs.decode(r.fingerprint).tolist())
+        if s:
+            sets[s] = min(sets.get(s, r.doc_id), r.doc_id)
+    want = {(i, j): len(a & b) / len(a | b) for a, i in sets.items() for b, j in sets.items()
+            if i < j and len(a & b) >= 0.8 * len(a | b)}
+    got = {(r.a_id, r.b_id): r.likeness for r in queries.QUERIES["near_duplicates_spotsigs"](spark, SF).collect()}
+    assert got == pytest.approx(want) and want
