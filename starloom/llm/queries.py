@@ -65,6 +65,12 @@ def decayed_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return recs(pages), recs(decayed)
 
 
+def near_duplicates_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6's near duplicates: all pairs of different fingerprints with a
+    likeness of 0.8 or more, by the smallest ids that have them."""
+    return spotsigs.near_duplicates(spotsigs.fingerprints(read_table(spark, sf_dir, "documents")))
+
+
 def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fixity_audit(*decayed_pages(spark, sf_dir))
 
@@ -121,7 +127,7 @@ def _ready(fn):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (op1_cotrain, op2_topk_search, op3_jaccard_join, op4_hpylm, op5_mixing, op6_spotsigs, op7_merkle_audit, op8_line_dedup, op9_langid, op10_packing,
-        op11_spelling_variants, op12_license_scan, op13_bpa_search)}
+        op11_spelling_variants, near_duplicates_spotsigs, op12_license_scan, op13_bpa_search)}
 
 ORACLE: dict[str, str] = {
     "op2_topk_search": """

@@ -15,7 +15,9 @@ t*a .. a/t, so sets are partitioned by size class (powers of 1/t) and each
 meets its own and the next class only; within them candidates must share one
 of the first (1-t)*a + 1 hashes, rarest first, and the positions of the
 shared hash must still allow the threshold. Equal fingerprints are compared
-once, through one representative.
+once, through one representative; a signature that many sets share is dealt
+over several tasks. Pairs are as many as there are links between different
+fingerprints.
 
 Defined cases: a null text counts as empty; the empty text has the empty
 fingerprint, likeness 1 to itself and 0 to others; equal texts have equal
@@ -43,6 +45,8 @@ ANCHORS = {
     "es": "al con de del el en es la las lo los no para por que se su un una y",
 }
 CHAIN = 2  # content words after an anchor
+PER_SLICE = 8192  # documents whose order is settled in one task, about
+HOT_SIGNATURE = 2000  # sets with a signature that are compared in one task, about
 _PUNCT = b".,;:!?\"'()[]{}"
 _U = np.uint64
 
@@ -146,7 +150,7 @@ def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     b_id) and likeness. ``prints``: rows of ``fingerprints``. Documents with
     equal fingerprints are represented by the smallest id."""
     decoded = F.unbase64(F.substring_index("fingerprint", ":", -1))
-    reps = (prints.filter("n_signatures > 0").groupBy("fingerprint", "n_signatures")
+    reps = (prints.filter("n_signatures > 0 AND doc_id IS NOT NULL").groupBy("fingerprint", "n_signatures")
             .agg(F.min("doc_id").alias("id")).withColumn("bytes", decoded))
     n = F.col("n_signatures")
     hashes = F.transform(F.sequence(F.lit(0), (n - 1).cast("int")),
@@ -160,13 +164,16 @@ def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     rank = Window.partitionBy("id").orderBy(F.coalesce("df", F.lit(1)), "sig")
     prefix = (token.join(often, "sig", "left").withColumn("pos", F.row_number().over(rank))
               .filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-              .filter("df > 1").select("id", "n", "class", "sig", "pos"))
-    left = prefix.withColumn("meet", F.explode(F.array(F.col("class"), F.col("class") + 1)))
-    right = prefix.select(F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("class").alias("meet"), "sig",
-                          F.col("pos").alias("pos2"))
+              .filter("df > 1").select("id", "n", "class", "sig", "pos", "df"))
+    # a common signature is dealt: the left sets over parts, the right ones to each part
+    parts = F.ceil(F.col("df") / HOT_SIGNATURE).cast("long")
+    left = (prefix.withColumn("part", F.pmod(F.xxhash64("id"), parts))
+            .withColumn("meet", F.explode(F.array(F.col("class"), F.col("class") + 1))).drop("df"))
+    right = prefix.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).select(
+        F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("class").alias("meet"), "sig", "part", F.col("pos").alias("pos2"))
     need = F.ceil((F.col("n") + F.col("n2")) * (threshold / (1 + threshold)) - 1e-9)
     room = 1 + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
-    pairs = (left.join(right, ["meet", "sig"])
+    pairs = (left.join(right, ["meet", "sig", "part"])
              .filter((F.col("class") < F.col("meet")) | (F.col("id") < F.col("id2")))
              .filter((F.least("n", "n2") >= F.greatest("n", "n2") * threshold - 1e-9) & (room >= need))
              .select(F.least("id", "id2").alias("a_id"), F.greatest("id", "id2").alias("b_id")).distinct())
@@ -177,29 +184,42 @@ def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     return full.filter(F.col("likeness") >= threshold - 1e-12).select("a_id", "b_id", "likeness")
 
 
-def _slice_bounds(ids: DataFrame, slices_wanted: int) -> list[int]:
-    """Ids that cut the table into slices of similar size (a sample of
-    quantiles: any cut is right, its evenness only balances the work)."""
-    probs = [i / slices_wanted for i in range(1, slices_wanted)]
-    found = ids.approxQuantile("doc_id", probs, 1 / (4 * slices_wanted)) if probs else []
-    return sorted({int(x) for x in found})
-
-
-def with_next(docs: DataFrame, per_slice: int = 4096) -> DataFrame:
-    """Rows (slice, doc_id, text, last) of ``docs`` sliced by ranges of id;
-    each slice ends with the first document of the following one (marked
-    ``last``; the first document of all after the end)."""
-    ids = docs.select(F.col("doc_id").cast("long"))
-    n = ids.count()
-    bounds = _slice_bounds(ids.filter("doc_id IS NOT NULL"), max(1, -(-n // per_slice)))
+def _slice_bounds(keys: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first (id, hash) of every slice but the first, where a range
+    exchange of the keys alone would cut (any cut is right; its evenness only
+    balances the work). One row per slice comes back."""
+    if n <= 1:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    heads = (keys.repartitionByRange(n, "doc_id", "h").groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.min(F.struct("doc_id", "h")).alias("k")).select("k.*").orderBy("doc_id", "h").collect()[1:])
+    return np.array([r.doc_id for r in heads], dtype=np.int64), np.array([r.h for r in heads], dtype=np.int64)
+
+
+def _slice_of(ids: np.ndarray, hashes: np.ndarray, bound_ids: np.ndarray, bound_hashes: np.ndarray) -> np.ndarray:
+    """Number of bounds at or below each (id, hash)."""
+    low, high = (np.searchsorted(bound_ids, ids, side=s) for s in ("left", "right"))
+    for i in np.unique(ids[high > low]):  # ids that are bounds: their rows are told apart by hash
+        at = np.flatnonzero(ids == i)
+        a, b = low[at[0]], high[at[0]]
+        low[at] = a + np.searchsorted(bound_hashes[a:b], hashes[at], side="right")
+    return np.where(high > low, low, high) if len(bound_ids) else low
+
+
+def with_next(docs: DataFrame, per_slice: int = PER_SLICE) -> DataFrame:
+    """Rows (slice, doc_id, text, last) of ``docs`` sliced by ranges of (id,
+    hash of the text); each slice ends with the first document of the following
+    one (marked ``last``; the first document of all after the end)."""
+    docs = docs.withColumn("h", F.xxhash64("text"))
+    null = F.lit(-(1 << 63)).cast("long")  # before all ids
+    bounds = _slice_bounds(docs.select(F.coalesce(F.col("doc_id").cast("long"), null).alias("doc_id"), "h"),
+                           max(1, -(-docs.count() // per_slice)))
 
     @F.pandas_udf("int")
-    def place(ids: pd.Series) -> pd.Series:
-        # number of bounds at or below the id
-        return pd.Series(np.searchsorted(np.array(bounds, dtype=np.int64), ids.to_numpy(), side="right"))
+    def place(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(_slice_of(ids.to_numpy(), hashes.to_numpy(), *bounds).astype(np.int32))
 
-    sliced = docs.withColumn("slice", place(F.coalesce("doc_id", F.lit(-(1 << 63)))))
-    order = F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"), F.md5(F.coalesce("text", F.lit(""))).alias("m"))
+    sliced = docs.withColumn("slice", place(F.coalesce("doc_id", null), "h"))
+    order = F.struct(F.col("doc_id"), F.col("h"), F.md5(F.coalesce("text", F.lit(""))).alias("m"))
     heads = sliced.groupBy("slice").agg(F.min(order).alias("k")).checkpoint(eager=True)
     # one row per slice: the head of each slice goes to the end of the one before
     after = Window.partitionBy(F.lit(0)).orderBy("slice")
@@ -209,7 +229,7 @@ def with_next(docs: DataFrame, per_slice: int = 4096) -> DataFrame:
     first = (sliced.join(F.broadcast(goes), (F.col("slice") == F.col("of")) & order.eqNullSafe(F.col("k")))
              .groupBy("to", "doc_id", "text").count()
              .select(F.col("to").alias("slice"), "doc_id", "text", F.lit(True).alias("last")))
-    return sliced.select("slice", "doc_id", "text", F.lit(False).alias("last")).unionByName(first), len(bounds) + 1
+    return sliced.select("slice", "doc_id", "text", F.lit(False).alias("last")).unionByName(first), len(bounds[0]) + 1
 
 
 def edited(text: str, following: str) -> str:
