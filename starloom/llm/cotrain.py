@@ -43,6 +43,7 @@ import zlib
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.session import ensure_checkpoint_dir
+from starloom.sinks.publish import delete
 
 from .textops import Words, raw, segment_sum, slices
 
@@ -367,14 +368,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     views = [np.array([np.frombuffer(x, dtype=np.float32) for x in rows.column(c).to_pylist()]).reshape(-1, w)[sort]
              for c, w in zip(("content", "metadata"), WIDTHS)]
 
+    spark = docs.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cotrain-{uuid.uuid4().hex}"
+
     def pool() -> DataFrame:
-        spark = docs.sparkSession
-        path = f"{ensure_checkpoint_dir(spark)}/cotrain-{uuid.uuid4().hex}"
         rest = base.join(F.broadcast(some), F.col("doc_id") == F.col("id"), "left_anti")
         _features(rest, []).write.option("compression", "zstd").parquet(path)
         return spark.read.parquet(path)
 
-    return cotrain(views, (y[sort] > 0).astype(float), order[sort], pool, rounds)
+    try:
+        return cotrain(views, (y[sort] > 0).astype(float), order[sort], pool, rounds)
+    finally:
+        delete(spark, path)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -32,6 +32,7 @@ from .textops import Words, extended, segment_sum, slices
 BITS = 16
 BUCKETS = 1 << BITS
 PARTS = 16
+MAX_LANGUAGES = 500
 EM_STEPS = 20
 REFIT_STEPS = 6
 
@@ -93,6 +94,8 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
 
     base = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     base = base.filter("text IS NOT NULL AND lang IS NOT NULL")
+    if base.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values; a table of {BUCKETS} counts is kept for each")
     schema = "lang string, part long, counts binary"
     # one row per language and part: languages * BUCKETS numbers in all
     rows = base.mapInArrow(run, schema).groupBy("lang", "part").applyInArrow(total, schema).collect()

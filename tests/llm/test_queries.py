@@ -1,11 +1,14 @@
 """Registered queries and the pipeline over the smallest tables."""
 
 import collections
+import math
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from starloom.llm import queries
+from starloom.llm import langid, mixing, packing, queries
+from starloom.llm.queries import tokenizer_path
 from starloom.llm.ship import ready
 from tests.oracle_compare import compare, duck
 
@@ -61,3 +64,114 @@ def test_spotsigs_query_finds_all_pairs(spark):
             if i < j and len(a & b) >= 0.8 * len(a | b)}
     got = {(r.a_id, r.b_id): r.likeness for r in queries.QUERIES["near_duplicates_spotsigs"](spark, SF).collect()}
     assert got == pytest.approx(want) and want
+
+
+def brute_mix(text, model, em=20, refit=6):
+    """Operator 9 for one text, word by word: proportions by expectation
+    maximisation over all languages, then nested sets by penalised likelihood."""
+    names, table = model
+    words = [w for w in text.lower().encode().split() if any(97 <= c <= 122 or c >= 128 for c in w)]
+    like = []
+    for w in words:
+        p = b" " + w + b" "
+        grams = [(((p[i] << 16 | p[i + 1] << 8 | p[i + 2]) * 2654435761) & 0xFFFFFFFF) >> 16 for i in range(len(w))]
+        log = [sum(float(t[g]) for g in grams) for t in table]
+        like.append([math.exp(max(x - max(log), -60.0)) for x in log])
+
+    def fit(start, steps):
+        mix = start
+        for _ in range(steps):
+            joint = [[m * x for m, x in zip(mix, row)] for row in like]
+            mix = [sum(j[i] / sum(j) for j in joint) / len(like) for i in range(len(mix))]
+        return mix, sum(math.log(sum(m * x for m, x in zip(mix, row))) for row in like)
+    full, _ = fit([1 / len(names)] * len(names), em)
+    order, best = sorted(range(len(names)), key=lambda i: -full[i]), None
+    for k in range(1, len(names) + 1):
+        start = [full[i] + 1e-6 if i in order[:k] else 0.0 for i in range(len(names))]
+        mix, ll = fit([x / sum(start) for x in start], refit if k > 1 else 0)
+        ll -= (k - 1) * math.log(max(len(like), 2))
+        if best is None or ll > best[0]:
+            best = ll, mix
+    return {n: m for n, m in zip(names, best[1]) if m}
+
+
+def test_language_mixture_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    ready(spark)
+    model = langid.learn(docs.filter("doc_id % 3 > 0"))
+    texts = [" ".join(r.text.split()[:40]) for r in docs.filter("text IS NOT NULL").limit(30).collect()]
+    texts += [f"{a} {b}" for a, b in zip(texts[::2], texts[1::2])]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in langid.predict(df, model).filter("lang_pred <> 'und'").collect():
+        want = brute_mix(r.text, model)
+        assert r.lang_mix.keys() == want.keys() and all(abs(r.lang_mix[k] - v) < 1e-3 for k, v in want.items())
+        assert want[r.lang_pred] == pytest.approx(max(want.values()), abs=1e-3) and r.score == pytest.approx(max(want.values()), abs=1e-3)
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    df = spark.createDataFrame([(f"text {i}", f"l{i}") for i in range(4)], "text string, lang string")
+    with pytest.raises(ValueError):
+        langid.learn(df)
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    ready(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = [(10_001, None, None, "src0", 0), (10_002, "", "en", "src1", 0), (10_003, "123 !!!", "en", None, 7), (None, "the cat and the dog", None, "src0", 3)]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema)).checkpoint()
+    rows = docs.collect()
+    stages = dict(corpus_pipeline.STAGES)
+    kept = {(r.doc_id, r.text): r for r in stages["language_id"](spark, docs, SF).collect()}
+    assert set(kept) == {(r.doc_id, r.text) for r in rows if any(map(str.isalpha, r.text or ""))}
+    assert all(r.lang for r in kept.values())
+
+    lines, pages = collections.Counter(), collections.defaultdict(set)
+    for s, t in {(r.source, r.text) for r in rows if r.text is not None}:
+        pages[s].add(t)
+        lines.update({(s, x.strip(" ")) for x in t.split("\n") if x.strip(" ")})
+    bad = {k for k, n in lines.items() if n >= 2 and n > 0.1 * len(pages[k[0]])}
+    want = [(r.doc_id, r.text and "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" ")) not in bad)) for r in rows]
+    assert collections.Counter(want) == collections.Counter(map(tuple, stages["line_dedup"](spark, docs, SF).select("doc_id", "text").collect()))
+
+    sets = {}
+    for r in rows:
+        w = (r.text or "").encode().lower().split()
+        if w and r.doc_id is not None:
+            sets[r.doc_id] = {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            a, b = sets[i], sets[j]
+            if 0.8 * len(a) <= len(b) <= 1.25 * len(a) and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    gone = {i for i in ids if find(i) != i}
+    assert {r.doc_id for r in rows} - gone == {r.doc_id for r in stages["near_duplicates"](spark, docs, SF).collect()}
+
+    size = {r.doc_id: len((r.text or "").encode().split()) for r in rows}
+    mixed = collections.Counter(r.doc_id for r in stages["mix_sources"](spark, docs, SF).collect())
+    rate = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    assert set(mixed) <= set(size) and max(mixed.values()) <= 3
+    taken = collections.Counter()
+    for r in rows:
+        taken[r.source] += mixed[r.doc_id] * size[r.doc_id]
+    largest = collections.defaultdict(int)
+    for r in rate.values():
+        largest[r.source] = max(largest[r.source], r.size)
+    for r in rate.values():  # ten documents a source: within one of them
+        assert abs(taken[r.source] - r.target) <= largest[r.source] and mixed[r.doc_id] == r.copies
+
+    whole = collections.defaultdict(list)
+    for r in stages["pack_sequences"](spark, docs, SF).collect():
+        whole[r.doc_id].append((r.start, bytes(r.ids)))
+    plain = packing.coder(tokenizer_path()).tokenizer
+    for r in rows:
+        ids = [*plain.encode(r.text or "", add_special_tokens=False).ids, 2]
+        assert b"".join(x for _, x in sorted(whole[r.doc_id])) == np.array(ids, "<u4").tobytes()
