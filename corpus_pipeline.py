@@ -15,6 +15,7 @@ from starloom.llm.queries import tokenizer_path
 from starloom.llm.ship import ready
 from starloom.llm.textops import packed, unpacked
 from starloom.session import ensure_checkpoint_dir
+from starloom.sinks.publish import delete
 from starloom.sources.tables import table_path
 
 
@@ -77,12 +78,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; what a stage
+    has read is removed once its own rows are written."""
     ready(spark)
     root = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    docs, before = spark.read.parquet(table_path(sf_dir, "documents")), None
     for name, stage in STAGES:
-        path = f"{root}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
+        docs = spark.read.parquet(f"{root}/{name}")
+        if before:
+            delete(spark, before)
+        before = f"{root}/{name}"
     return docs
