@@ -37,6 +37,11 @@ def safe_ratio(numerator: str | Column, denominator: str | Column) -> Column:
     return _c(numerator).cast("double") / F.nullif(_c(denominator), F.lit(0)).cast("double")
 
 
+def exact(c: str | Column) -> Column:
+    """A money total as DECIMAL in cents, wide enough for any table."""
+    return _c(c).cast("decimal(38,2)")
+
+
 def as_double(c: str | Column) -> Column:
     """Exact decimal result exposed as double (sum first, convert once)."""
     return _c(c).cast("double")

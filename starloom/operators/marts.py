@@ -3,14 +3,14 @@
 Every mart aggregates the fact *before* joining a dimension (pre-aggregation):
 the join then sees one row per group key instead of one per fact row, and
 the partial (map-side) aggregation collapses hot keys before any shuffle.
-Money is summed exactly in decimal and exposed once as double.
+Money is summed exactly and stays DECIMAL (38 digits, cents); ratios are double.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from starloom.functions.money import as_double, gross_value, round2, safe_ratio
+from starloom.functions.money import as_double, exact, gross_value, round2, safe_ratio
 
 
 def _order_grain(fact: DataFrame, *extra_keys: str) -> DataFrame:
@@ -42,7 +42,7 @@ def daily_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """OP12 (Spark contract): units_sold, total_revenue per day."""
     d = _daily(fact, dim_date)
     return d.select("full_date", "year", "month", "month_name", "quarter", "total_orders",
-                    F.col("units").alias("units_sold"), as_double("revenue").alias("total_revenue"))
+                    F.col("units").alias("units_sold"), exact("revenue").alias("total_revenue"))
 
 
 def mart_daily_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def mart_daily_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     d = _daily(fact, dim_date)
     return d.select("full_date", "year", "month", "month_name", "quarter", "total_orders",
                     F.col("units").alias("total_items_sold"),
-                    as_double("revenue").alias("total_revenue"),
+                    exact("revenue").alias("total_revenue"),
                     safe_ratio("revenue", "total_orders").alias("average_order_value"))
 
 
@@ -63,7 +63,7 @@ def product_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     per = fact.groupBy("product_key").agg(F.sum("quantity").cast("long").alias("units_sold"),
                                           F.sum("revenue").alias("_rev"))
     return per.join(dim_product.select(*PRODUCT_ATTRS), "product_key").select(
-        *PRODUCT_ATTRS, "units_sold", as_double(round2("_rev")).alias("total_revenue"))
+        *PRODUCT_ATTRS, "units_sold", exact(round2("_rev")).alias("total_revenue"))
 
 
 def mart_product_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -77,8 +77,8 @@ def mart_product_performance(fact: DataFrame, dim_product: DataFrame) -> DataFra
     )
     return per.join(dim_product.select(*PRODUCT_ATTRS), "product_key").select(
         *PRODUCT_ATTRS, "total_orders", "total_units_sold",
-        as_double("_gross").alias("gross_sales"), as_double("_disc").alias("total_discount"),
-        as_double("_rev").alias("total_revenue"))
+        exact("_gross").alias("gross_sales"), exact("_disc").alias("total_discount"),
+        exact("_rev").alias("total_revenue"))
 
 
 def _order_grain_product(fact: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def customer_sales(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     per = _per_customer(fact)
     return per.join(dim_customer.select(*CUSTOMER_ATTRS), "customer_key").select(
         *CUSTOMER_ATTRS, "total_orders", F.col("_units").alias("units_purchased"),
-        as_double(round2("_rev")).alias("total_revenue"))
+        exact(round2("_rev")).alias("total_revenue"))
 
 
 def mart_customer_performance(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def mart_customer_performance(fact: DataFrame, dim_customer: DataFrame) -> DataF
         *CUSTOMER_ATTRS, "is_current",
         F.coalesce("total_orders", F.lit(0).cast("long")).alias("total_orders"),
         F.coalesce("_units", F.lit(0).cast("long")).alias("total_items_purchased"),
-        as_double(F.coalesce("_rev", F.lit(0))).alias("total_revenue"),
+        exact(F.coalesce("_rev", F.lit(0))).alias("total_revenue"),
         _date_from_key("_first").alias("first_purchase_date"),
         _date_from_key("_last").alias("most_recent_purchase_date"),
     )
@@ -138,7 +138,7 @@ def mart_category_performance(fact: DataFrame, dim_product: DataFrame) -> DataFr
     j = per.join(dim_product.select("product_key", "category"), "product_key")
     return j.groupBy("category").agg(
         F.sum("_units").cast("long").alias("units_sold"),
-        as_double(round2(F.sum("_rev"))).alias("total_revenue"))
+        exact(round2(F.sum("_rev"))).alias("total_revenue"))
 
 
 # ------------------------------------------------------------------ payments
@@ -146,7 +146,7 @@ def mart_payment_analysis(stg_payments: DataFrame) -> DataFrame:
     """OP19: from staging payments, per (method, status)."""
     return stg_payments.groupBy("payment_method", "payment_status").agg(
         F.count("payment_id").cast("long").alias("payment_count"),
-        as_double(round2(F.sum("amount"))).alias("total_payment_amount"))
+        exact(round2(F.sum("amount"))).alias("total_payment_amount"))
 
 
 # ---------------------------------------------------------- anti-join checks
@@ -169,7 +169,7 @@ def kpi_totals(fact: DataFrame) -> DataFrame:
     """OP21: Total Revenue, Total Orders, Units Sold, Average Order Value."""
     per_order = _order_grain(fact)
     return per_order.agg(
-        as_double(F.sum("_revenue")).alias("total_revenue"),
+        exact(F.sum("_revenue")).alias("total_revenue"),
         F.count(F.lit(1)).cast("long").alias("total_orders"),
         F.sum("_units").cast("long").alias("units_sold"),
         safe_ratio(F.sum("_revenue"), F.count(F.lit(1))).alias("average_order_value"),
@@ -177,26 +177,25 @@ def kpi_totals(fact: DataFrame) -> DataFrame:
 
 
 def revenue_by_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """OP21: category revenue and its share of the total (the total is a
-    window over the per-category rows: bounded by the number of categories)."""
+    """OP21: category revenue and its share of the total (a scalar subquery)."""
     per = fact.groupBy("product_key").agg(F.sum("revenue").alias("_rev"))
     cat = per.join(dim_product.select("product_key", "category"), "product_key").groupBy(
         "category").agg(F.sum("_rev").alias("_rev"))
-    total = F.sum("_rev").over(Window.partitionBy())
-    return cat.select("category", as_double("_rev").alias("total_revenue"),
-                      (as_double("_rev") / as_double(total)).alias("revenue_share"))
+    total = cat.agg(as_double(F.sum("_rev"))).scalar()
+    return cat.select("category", exact("_rev").alias("total_revenue"),
+                      (as_double("_rev") / total).alias("revenue_share"))
 
 
 def payment_amount_by_method(stg_payments: DataFrame) -> DataFrame:
     return stg_payments.groupBy("payment_method").agg(
         F.count("payment_id").cast("long").alias("payment_count"),
-        as_double(F.sum("amount")).alias("total_amount"))
+        exact(F.sum("amount")).alias("total_amount"))
 
 
 def payment_status_counts(stg_payments: DataFrame) -> DataFrame:
     return stg_payments.groupBy("payment_status").agg(
         F.count("payment_id").cast("long").alias("payment_count"),
-        as_double(F.sum("amount")).alias("total_amount"))
+        exact(F.sum("amount")).alias("total_amount"))
 
 
 def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
@@ -206,7 +205,7 @@ def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFr
     j = per.join(dim_product.select("product_key", "product_id", "product_name", "category"), "product_key")
     return j.orderBy(F.col("_rev").desc(), F.col("product_id").asc()).limit(k).select(
         "product_key", "product_id", "product_name", "category", "units_sold",
-        as_double("_rev").alias("total_revenue"))
+        exact("_rev").alias("total_revenue"))
 
 
 def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 10) -> DataFrame:
@@ -217,4 +216,4 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 10) -> Data
     cur = dim_customer.filter(F.col("is_current")).select("customer_id", "first_name", "last_name")
     return ids.orderBy(F.col("_rev").desc(), F.col("customer_id").asc()).limit(k).join(
         cur, "customer_id", "left").orderBy(F.col("_rev").desc(), F.col("customer_id").asc()).select(
-        "customer_id", "first_name", "last_name", as_double("_rev").alias("total_revenue"))
+        "customer_id", "first_name", "last_name", exact("_rev").alias("total_revenue"))

@@ -25,6 +25,7 @@ from starloom.functions.nulls import any_distinct, typed_null
 from starloom.operators.keys import dense_key, next_key_start
 from starloom.operators.sequence import sliced, with_neighbours
 from starloom.operators.staging import latest_per_key
+from starloom.sources.readers import require_columns
 
 
 class Scd2ValidationError(ValueError):
@@ -136,8 +137,9 @@ def _enforce(violations: DataFrame) -> None:
 def scd2_changes(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, mode: str = "snapshot",
                  on_new: str = "insert") -> tuple[DataFrame, DataFrame]:
     """The two halves of a merge, before keys are assigned:
-    (current versions after closing, new versions without version key)."""
-    cls = _classify(dim, changes, spec, mode)
+    (current versions after closing, new versions without version key). The
+    outer join is stored, so both halves read one execution of it."""
+    cls = _classify(dim, changes, spec, mode).checkpoint(eager=True)
     d = lambda c: F.col(f"_d_{c}")
     chg = _ts(F.col(spec.change_ts))
     current_after = cls.filter(d(spec.version_key).isNotNull()).select(*[
@@ -226,8 +228,15 @@ def scd2_merge(dim: DataFrame, changes: DataFrame, spec: Scd2Spec = CUSTOMER_SCD
     default) or ``"ignore"``. With ``validate`` the change set is checked
     first (one job) and rejected with ``Scd2ValidationError``.
     ``sequence=True`` accepts several changes per id and applies them in
-    change-time order instead of rejecting the batch (both modes).
+    change-time order instead of rejecting the batch (both modes; ``on_new``
+    then rejects or inserts, and the parts are not told apart).
+    Missing columns fail before any job (SRC9).
     """
+    require_columns(dim, spec.dim_columns, "dimension")
+    require_columns(changes, [spec.key, *spec.tracked, *spec.carried, spec.change_ts,
+                              *([spec.new_start] if spec.new_start else [])], "change set")
+    if sequence and (return_parts or on_new == "ignore"):
+        raise ValueError("sequence=True takes neither return_parts nor on_new='ignore'")
     if sequence:
         if validate:
             checks = _sequence_violations(dim, changes, spec)
@@ -428,7 +437,7 @@ def scd1_upsert(dim: DataFrame, changes: DataFrame, key: str, attrs: list[str],
     if change_ts and change_ts in changes.columns:
         ch = latest_per_key(changes.select(key, *attrs, change_ts), [key], [change_ts]).drop(change_ts)
     else:
-        ch = changes.select(key, *attrs).dropDuplicates([key])
+        ch = latest_per_key(changes.select(key, *attrs), [key], [])
     ch = ch.select(key, *[F.col(a).alias(f"_n_{a}") for a in attrs])
     j = dim.join(ch, key, "left")
     out = j.select(*[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if c in attrs else F.col(c)
@@ -481,6 +490,7 @@ def scd2_repair_start(dim: DataFrame, key: str = "customer_id", version_key: str
     ``start_col`` midnight. The earliest version is found with a per-id
     ``min(struct(start, key))`` aggregate (partial map-side, skew-safe) and
     matched back on the unique version key."""
+    require_columns(dim, [key, version_key, start_col, valid_from], "dimension")
     first = dim.groupBy(key).agg(F.min(F.struct(F.col(valid_from), F.col(version_key))).alias("_m")).select(
         F.col(f"_m.{version_key}").alias("_sl_first_key"))
     j = dim.join(first, F.col(version_key) == F.col("_sl_first_key"), "left")
@@ -532,8 +542,10 @@ def scd2_integrity(dim: DataFrame, key: str = "customer_id", version_key: str =
     * multiple_current_versions - ids with more than one current version
     * invalid_ranges - closed versions with ``effective_to <= effective_from``
     * broken_chain - closed versions whose end is not the start of another
-      version of the same id (a gap or an overlap); an equi-join on
-      ``(id, time)``, no window over a whole id
+      version of the same id; an equi-join on ``(id, time)``
+    * overlapping_versions - versions that start before the version of the
+      same id before them (by start) has ended; where any two overlap, such
+      neighbours do. Slices of (id, start) order, no window over a whole id
     """
     dup_keys = dim.groupBy(version_key).count().filter("count > 1").select(F.lit("duplicate_version_keys").alias("check"))
     multi = dim.filter(F.col(current)).groupBy(key).count().filter("count > 1").select(
@@ -544,9 +556,13 @@ def scd2_integrity(dim: DataFrame, key: str = "customer_id", version_key: str =
     closed = dim.filter(F.col(valid_to).isNotNull()).select(key, valid_to)
     broken = closed.join(starts, (F.col(key) == F.col("_k")) & (F.col(valid_to) == F.col("_t")), "left_anti").select(
         F.lit("broken_chain").alias("check"))
-    found = dup_keys.unionByName(multi).unionByName(bad).unionByName(broken)
+    near = with_neighbours(dim.select(key, valid_from, version_key, valid_to), [key], [valid_from, version_key], [valid_to])
+    prev_to = F.col(f"prev_{valid_to}")
+    overlap = near.filter(F.col("prev_exists") & (prev_to.isNull() | (prev_to > F.col(valid_from)))).select(
+        F.lit("overlapping_versions").alias("check"))
+    found = dup_keys.unionByName(multi).unionByName(bad).unionByName(broken).unionByName(overlap)
     counts = found.groupBy("check").agg(F.count(F.lit(1)).cast("long").alias("violations"))
-    names = ["duplicate_version_keys", "multiple_current_versions", "invalid_ranges", "broken_chain"]
+    names = ["duplicate_version_keys", "multiple_current_versions", "invalid_ranges", "broken_chain", "overlapping_versions"]
     checks = dim.sparkSession.createDataFrame([(n,) for n in names], "check string")
     return checks.join(counts, "check", "left").select(
         "check", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))

@@ -467,6 +467,13 @@ SELECT o.order_id, COUNT(d.customer_key) AS match_count
 FROM s_orders o LEFT JOIN d_customer_moved d ON o.customer_id = d.customer_id AND o.order_date >= d.effective_from
  AND (d.effective_to IS NULL OR o.order_date < d.effective_to)
 GROUP BY o.order_id""")
+cte("cust_snap_late", CTES["cust_snap"].replace("1998-01-01 00:00:00", "2001-11-15 00:00:00"))
+cte("cust_chg_late", CUSTOMER_CHANGED.format(snap="cust_snap_late"))
+cte("d_customer_late", CUSTOMER_MERGE.format(chg="cust_chg_late"))
+cte("f_orders_late", FACT_BODY.format(dim="d_customer_late"))
+oracle("versions_without_sales", """
+SELECT customer_key, customer_id, first_name, last_name FROM d_customer_late
+ANTI JOIN f_orders_late USING (customer_key)""")
 oracle("fact_orders_versioned", """
 SELECT order_id, customer_key, product_key, date_key, payment_key, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(discount AS DOUBLE) AS discount, CAST(revenue AS DOUBLE) AS revenue FROM f_orders_moved""")
@@ -668,6 +675,10 @@ def _checks(rows: list[tuple[str, str]]) -> str:
 
 
 oracle("dq_scd2_integrity", _checks([
+    ("overlapping_versions",
+     "SELECT COUNT(*) FROM (SELECT effective_from, lag(customer_key) OVER w AS before, lag(effective_to) OVER w AS before_to "
+     "FROM d_customer_moved WINDOW w AS (PARTITION BY customer_id ORDER BY effective_from, customer_key)) x "
+     "WHERE before IS NOT NULL AND (before_to IS NULL OR before_to > effective_from)"),
     ("duplicate_version_keys",
      "SELECT COUNT(*) FROM (SELECT customer_key FROM d_customer_moved GROUP BY customer_key HAVING COUNT(*) > 1) x"),
     ("multiple_current_versions",

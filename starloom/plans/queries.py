@@ -7,6 +7,7 @@ oracle text of the same name in ``starloom.plans.oracle``.
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,7 +17,7 @@ from starloom.functions.nulls import typed_null
 from starloom.operators import keys as key_ops, marts, quality as dq, reconcile as rec, scd
 from starloom.operators.staging import ORDER_STATUSES, PAYMENT_STATUSES, latest_of_repeated, latest_per_key
 from starloom.operators.temporal import MANY_VERSIONS, point_in_time_join as _pit, version_match_count as _vmc
-from starloom.plans.warehouse import Warehouse
+from starloom.plans.warehouse import REQUIRED, Warehouse
 from starloom.sources import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,13 +26,18 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str | None = None):
     def register(fn):
-        QUERIES[name or fn.__name__] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            return expose(fn(spark, sf_dir))
+        QUERIES[name or fn.__name__] = run
         return fn
     return register
 
 
 def expose(df: DataFrame) -> DataFrame:
     """Decimals leave a query as double (exact sums are taken before)."""
+    if not any(isinstance(f.dataType, DecimalType) for f in df.schema.fields):
+        return df
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
                        else F.col(f.name) for f in df.schema.fields])
 
@@ -43,27 +49,27 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 # ------------------------------------------------------------------ staging
 @query()
 def stage_customers(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).stg_customers)
+    return _wh(spark, sf_dir).stg_customers
 
 
 @query()
 def stage_products(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).stg_products)
+    return _wh(spark, sf_dir).stg_products
 
 
 @query()
 def stage_orders(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).stg_orders)
+    return _wh(spark, sf_dir).stg_orders
 
 
 @query()
 def stage_order_items(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).stg_order_items)
+    return _wh(spark, sf_dir).stg_order_items
 
 
 @query()
 def stage_payments(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).stg_payments)
+    return _wh(spark, sf_dir).stg_payments
 
 
 @query()
@@ -115,17 +121,17 @@ def stage_rejected(spark, sf_dir):
 # --------------------------------------------------------------- dimensions
 @query()
 def dim_customer_initial(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).dim_customer)
+    return _wh(spark, sf_dir).dim_customer
 
 
 @query()
 def dim_product(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).dim_product)
+    return _wh(spark, sf_dir).dim_product
 
 
 @query()
 def dim_payment(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).dim_payment)
+    return _wh(spark, sf_dir).dim_payment
 
 
 @query()
@@ -136,7 +142,7 @@ def dim_date(spark, sf_dir):
 # --------------------------------------------------------------------- fact
 @query()
 def fact_orders(spark, sf_dir):
-    return expose(_wh(spark, sf_dir).fact)
+    return _wh(spark, sf_dir).fact
 
 
 # -------------------------------------------------------------------- marts
@@ -193,6 +199,15 @@ def customers_without_sales(spark, sf_dir):
     return marts.customers_without_sales(w.sales, w.dim_customer)
 
 
+@query()
+def versions_without_sales(spark, sf_dir):
+    """OP20 on a dimension with late moves: of the versions opened then, only
+    some have sales."""
+    w = _wh(spark, sf_dir)
+    dim = scd.scd2_merge(w.dim_customer, _customer_moves(w, LATE_MOVE_AT), scd.CUSTOMER_SCD2)
+    return marts.customers_without_sales(w.sales_with(dim), dim)
+
+
 @query()
 def orders_without_items(spark, sf_dir):
     w = _wh(spark, sf_dir)
@@ -239,6 +254,7 @@ EVENTS_MARK = "2024-01-01 12:00:00"    # stored high-water mark of the events lo
 MOVE_REGION = "EUROPE"                  # customers of this region move ...
 MOVE_CITY = "BERLIN"                    # ... to this city ...
 MOVE_AT = "1998-01-01 00:00:00"         # ... at this time
+LATE_MOVE_AT = "2001-11-15 00:00:00"    # a move near the end of the order dates
 SCD1_STATE = "NATION_3"                 # SCD1 corrections for this state
 WHAT_IF_ID, WHAT_IF_CITY, WHAT_IF_AT = 7, "LISBON", "1999-06-01 08:30:00"
 WATERMARK = "2000-01-01 00:00:00"       # stored high-water mark for orders
@@ -301,11 +317,11 @@ def _snapshot_merge(spark, sf_dir):
                           return_parts=True)
 
 
-def _customer_moves(w: Warehouse) -> DataFrame:
+def _customer_moves(w: Warehouse, at: str = MOVE_AT) -> DataFrame:
     moved = F.col("country") == MOVE_REGION
     return w.stg_customers.withColumns({
         "city": F.when(moved, F.lit(MOVE_CITY)).otherwise(F.col("city")),
-        "updated_at": F.when(moved, _ts(MOVE_AT)).otherwise(F.col("updated_at")),
+        "updated_at": F.when(moved, _ts(at)).otherwise(F.col("updated_at")),
     })
 
 
@@ -359,7 +375,7 @@ def scd2_log_rejected(spark, sf_dir):
 
 @query()
 def scd2_customer_moves(spark, sf_dir):
-    return expose(dim_customer_moved(_wh(spark, sf_dir)))
+    return dim_customer_moved(_wh(spark, sf_dir))
 
 
 @query()
@@ -411,7 +427,7 @@ def version_match_count(spark, sf_dir):
 @query()
 def fact_orders_versioned(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return expose(w.fact_with(_moved_with_fact_dims(w)))
+    return w.fact_with(_moved_with_fact_dims(w))
 
 
 @query()
@@ -469,7 +485,7 @@ def watermark_next(spark, sf_dir):
 
 @query()
 def order_totals(spark, sf_dir):
-    return expose(rec.order_totals(_wh(spark, sf_dir).stg_order_items))
+    return rec.order_totals(_wh(spark, sf_dir).stg_order_items)
 
 
 # ========================================================= data quality
@@ -496,20 +512,6 @@ def _declared_marts(w: Warehouse):
     }
 
 
-# Columns that must not be NULL
-REQUIRED = {
-    "fact_orders": ["order_id", "customer_key", "product_key", "date_key", "payment_key", "quantity", "unit_price",
-                    "discount", "revenue"],
-    "dim_customer": ["customer_key", "customer_id", "effective_from"],
-    "mart_daily_sales": ["full_date", "total_orders", "total_items_sold", "total_revenue", "average_order_value"],
-    "mart_product_performance": ["product_key", "total_orders", "total_units_sold", "gross_sales", "total_discount",
-                                 "total_revenue"],
-    "mart_customer_performance": ["customer_key", "customer_id", "total_orders", "total_items_purchased", "total_revenue"],
-    "mart_category_performance": ["category", "units_sold", "total_revenue"],
-    "mart_payment_analysis": ["payment_method", "payment_status", "payment_count", "total_payment_amount"],
-}
-
-
 @query()
 def dq_not_null(spark, sf_dir):
     w = _wh(spark, sf_dir)
@@ -713,7 +715,7 @@ def publish_roundtrip(spark, sf_dir):
     integrity = lambda df: scd.scd2_integrity(df).agg(F.sum("violations")).first()[0]
     publish(w.dim_customer, path, verify=integrity)
     publish(w.dim_customer, path, verify=integrity)
-    return expose(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 @query()
@@ -879,8 +881,8 @@ def fact_orders_asof(spark, sf_dir):
     from starloom.operators.fact import fact_orders as build_fact
     w = _wh(spark, sf_dir)
     w.build_dimensions()
-    return expose(build_fact(w.stg_orders, w.stg_order_items, w.dim_customer, w.dim_product, w.dim_date,
-                             w.dim_payment, pit="asof"))
+    return build_fact(w.stg_orders, w.stg_order_items, w.dim_customer, w.dim_product, w.dim_date,
+                      w.dim_payment, pit="asof")
 
 
 @query()

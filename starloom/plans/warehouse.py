@@ -117,6 +117,76 @@ class Warehouse:
         return self
 
 
+# ------------------------------------------------------------ check suites
+# Columns that must not be NULL, by table
+REQUIRED = {
+    "fact_orders": ["order_id", "customer_key", "product_key", "date_key", "payment_key", "quantity", "unit_price",
+                    "discount", "revenue"],
+    "dim_customer": ["customer_key", "customer_id", "effective_from"],
+    "mart_daily_sales": ["full_date", "total_orders", "total_items_sold", "total_revenue", "average_order_value"],
+    "mart_product_performance": ["product_key", "total_orders", "total_units_sold", "gross_sales", "total_discount",
+                                 "total_revenue"],
+    "mart_customer_performance": ["customer_key", "customer_id", "total_orders", "total_items_purchased", "total_revenue"],
+    "mart_category_performance": ["category", "units_sold", "total_revenue"],
+    "mart_payment_analysis": ["payment_method", "payment_status", "payment_count", "total_payment_amount"],
+}
+# Unique columns, and child column -> parent column
+UNIQUE = [("dim_date", "full_date"), ("dim_product", "product_key"), ("dim_customer", "customer_key"),
+          ("mart_daily_sales", "full_date"), ("mart_product_performance", "product_key"),
+          ("mart_customer_performance", "customer_key"), ("mart_category_performance", "category"),
+          ("stg_customers", "customer_id"), ("stg_products", "product_id"), ("stg_orders", "order_id"),
+          ("stg_payments", "payment_id")]
+PARENTS = [("fact_orders", "customer_key", "dim_customer"), ("fact_orders", "product_key", "dim_product"),
+           ("fact_orders", "date_key", "dim_date"), ("fact_orders", "payment_key", "dim_payment"),
+           ("mart_product_performance", "product_key", "dim_product"),
+           ("mart_customer_performance", "customer_key", "dim_customer"), ("stg_orders", "customer_id", "stg_customers"),
+           ("stg_order_items", "order_id", "stg_orders"), ("stg_order_items", "product_id", "stg_products"),
+           ("stg_payments", "order_id", "stg_orders")]
+
+
+def row_and_key_checks(t: dict[str, DataFrame]) -> DataFrame:
+    """DQ1-DQ8, DQ10, DQ11, DQ18 over stored tables: all row rules of a table
+    in one aggregate, then keys, parents and groups."""
+    from pyspark.sql import functions as F
+
+    from starloom.operators import quality as dq
+    from starloom.operators.temporal import version_match_count
+
+    c = F.col
+    more = {
+        "fact_orders": [*dq.range_rules(quantity_not_positive=c("quantity") <= 0, unit_price_negative=c("unit_price") < 0,
+                                        discount_negative=c("discount") < 0, revenue_negative=c("revenue") < 0),
+                        *dq.identity_rules(), dq.null_key_rule()],
+        "stg_orders": dq.accepted_rules(order_status=staging.ORDER_STATUSES),
+        "stg_payments": [*dq.accepted_rules(payment_status=staging.PAYMENT_STATUSES),
+                         *dq.range_rules(amount_negative=c("amount") < 0)],
+        "stg_products": dq.range_rules(unit_price_negative=c("unit_price") < 0, cost_price_negative=c("cost_price") < 0,
+                                       margin_negative=c("profit_per_unit") < 0),
+    }
+    rules = {name: [*dq.not_null_rules(*REQUIRED.get(name, [])), *more.get(name, [])] for name in {**REQUIRED, **more}}
+    matches = version_match_count(t["stg_orders"], t["dim_customer"], "order_id", "customer_id", "order_date", "customer_key")
+    return dq.union_all([
+        *[dq.table_rules(t[name], name, own) for name, own in rules.items()],
+        *[dq.unique(t[name], name, column) for name, column in UNIQUE],
+        *[dq.relationship(t[name], name, fk, t[parent], fk) for name, fk, parent in PARENTS],
+        dq.duplicate_fact_groups(t["fact_orders"]), dq.orders_before_signup(t["stg_orders"], t["stg_customers"]),
+        dq.violation_count(matches.filter("match_count <> 1"), "exactly_one_version", "stg_orders", "customer_id"),
+    ])
+
+
+def reconciliation(t: dict[str, DataFrame]) -> DataFrame:
+    """DQ12-DQ16 over stored tables."""
+    from starloom.operators import quality as dq, reconcile as rec
+
+    fact = t["fact_orders"]
+    daily, product, customer, category, payment = (t[f"mart_{n}"] for n in (
+        "daily_sales", "product_performance", "customer_performance", "category_performance", "payment_analysis"))
+    return dq.union_all([
+        rec.revenue_report(fact, daily, product, customer, category), rec.orders_report(fact, daily),
+        rec.coverage_report(fact, t["dim_product"], product, customer.filter("total_orders > 0"), category),
+        rec.payments_report(t["stg_payments"], payment, t["stg_order_items"])])
+
+
 # ------------------------------------------------------------ full refresh
 def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tuple[str, str] | None = CALENDAR,
                  fail_on_error: bool = False) -> dict:
@@ -146,8 +216,11 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
 
     report: dict = {}
     w = Warehouse(spark, sf_dir, calendar)
-    stg = {n: put(f"staging/{n}", getattr(w, f"stg_{n}"))
-           for n in ("customers", "products", "orders", "order_items", "payments")}
+    stg = {}
+    for n in ("customers", "products", "orders", "order_items", "payments"):
+        accepted, rejected = staging.stage_split(w.raw(n), staging.SPECS[n])
+        stg[n] = put(f"staging/{n}", accepted)
+        put(f"rejected/{n}", rejected)
     cust_path = path("warehouse/dim_customer")
     if exists(spark, cust_path):
         current = spark.read.parquet(cust_path).withColumn(
@@ -173,19 +246,22 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
     fact = put("warehouse/fact_orders", fact_ops.fact_orders(
         stg["orders"], stg["order_items"], dim_customer, dim_product, dim_date, dim_payment).withColumn(
         "order_month", (F.col("date_key") / 100).cast("int")), ["order_month"])
-    put("analytics/mart_daily_sales", marts.mart_daily_sales(fact, dim_date))
-    put("analytics/mart_product_performance", marts.mart_product_performance(fact, dim_product))
-    put("analytics/mart_customer_performance", marts.mart_customer_performance(fact, dim_customer))
-    put("analytics/mart_category_performance", marts.mart_category_performance(fact, dim_product))
-    put("analytics/mart_payment_analysis", marts.mart_payment_analysis(stg["payments"]))
-    checks = dq.union_all([
-        dq.null_keys(fact), dq.duplicate_fact_groups(fact), dq.revenue_identity(fact),
-        dq.relationship(fact, "fact_orders", "customer_key", dim_customer, "customer_key"),
-        dq.relationship(fact, "fact_orders", "product_key", dim_product, "product_key"),
-        dq.orders_before_signup(stg["orders"], stg["customers"]),
-    ])
-    checks = put("quality/warehouse_checks", checks)
-    if fail_on_error:
-        dq.fail_on_error(checks)
-    report["failed_checks"] = checks.filter(F.col("status") == "FAIL").count()
+    mart: dict = {}
+    mart["mart_daily_sales"] = put("analytics/mart_daily_sales", marts.mart_daily_sales(fact, dim_date))
+    mart["mart_product_performance"] = put("analytics/mart_product_performance", marts.mart_product_performance(fact, dim_product))
+    mart["mart_customer_performance"] = put("analytics/mart_customer_performance", marts.mart_customer_performance(fact, dim_customer))
+    mart["mart_category_performance"] = put("analytics/mart_category_performance", marts.mart_category_performance(fact, dim_product))
+    mart["mart_payment_analysis"] = put("analytics/mart_payment_analysis", marts.mart_payment_analysis(stg["payments"]))
+    tables = {"dim_customer": dim_customer, "dim_product": dim_product, "dim_payment": dim_payment, "dim_date": dim_date,
+              "fact_orders": fact, **{f"stg_{n}": df for n, df in stg.items()}, **mart}
+    suites = {"warehouse_checks": row_and_key_checks(tables), "reconciliation": reconciliation(tables),
+              "scd2_integrity": scd.scd2_integrity(dim_customer).withColumn(
+                  "status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))}
+    failed = []
+    for name, suite in suites.items():
+        stored = put(f"quality/{name}", suite)
+        failed += [r["check"] for r in stored.filter("status = 'FAIL'").collect()]  # one row per check
+    report["failed_checks"] = len(failed)
+    if fail_on_error and failed:
+        raise dq.QualityError(", ".join(failed))
     return report

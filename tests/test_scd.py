@@ -154,7 +154,7 @@ def test_point_in_time_edges(spark):
               version_match_count(orders, d, "order_id", "customer_id", "order_date", "customer_key").collect()}
     assert counts == {10: 1, 11: 1, 12: 0}
     bucketed = {r["order_id"]: r["customer_key"] for r in
-                point_in_time_join(orders, d, "customer_id", "order_date", bucket="month").collect()}
+                point_in_time_join(orders, d, "customer_id", "order_date", many=0).collect()}
     assert bucketed == got
 
 
@@ -295,3 +295,21 @@ def test_apply_log_reports_late_rows(spark):
     assert {r.event_id for r in scd.scd2_late_rows(dim_, batch, "user_id", "ts").collect()} == {2, 3}
     with pytest.raises(scd.Scd2ValidationError, match="late_rows=2"):
         scd.scd2_apply_log(dim_, batch, "user_id", "ts", ["event_type"], "event_id", "version_key")
+
+
+def test_integrity_finds_overlaps_of_closed_versions(spark):
+    rows = [(0, 1, "A", "B", "e", "c", "s", "k", D(2024, 1, 1), T(2024, 1, 1), T(2024, 1, 10), False),
+            (1, 1, "A", "B", "e", "c", "s", "k", D(2024, 1, 1), T(2024, 1, 3), T(2024, 1, 10), False),
+            (2, 1, "A", "B", "e", "c", "s", "k", D(2024, 1, 1), T(2024, 1, 10), None, True)]
+    found = {r["check"]: r["violations"] for r in scd.scd2_integrity(dim(spark, rows)).collect()}
+    assert found["overlapping_versions"] == 1 and sum(found.values()) == 1
+
+
+def test_merge_names_missing_columns(spark):
+    from starloom.sources.readers import ContractError
+    with pytest.raises(ContractError, match="city"):
+        scd.scd2_merge(dim(spark), src(spark, SNAP).drop("city"))
+    with pytest.raises(ContractError, match="signup_date"):
+        scd.scd2_repair_start(dim(spark).drop("signup_date"))
+    with pytest.raises(ValueError):
+        scd.scd2_merge(dim(spark), src(spark, SNAP), sequence=True, return_parts=True)
