@@ -684,6 +684,16 @@ def reconcile_payments(spark, sf_dir):
     return rec.payments_report(w.stg_payments, marts.mart_payment_analysis(w.stg_payments), w.stg_order_items)
 
 
+@query()
+def reconcile_payments_paid(spark, sf_dir):
+    """DQ15/AG14 on payments that pay what their order's items come to, as the
+    source writes them: every check passes."""
+    w = _wh(spark, sf_dir)
+    totals = rec.order_totals(w.stg_order_items).select("order_id", "order_total")
+    paid = w.stg_payments.join(totals, "order_id").withColumn("amount", F.col("order_total")).drop("order_total")
+    return rec.payments_report(paid, marts.mart_payment_analysis(paid), w.stg_order_items)
+
+
 @query()
 def dq_null_measures(spark, sf_dir):
     w = _wh(spark, sf_dir)
@@ -896,3 +906,72 @@ def dq_repair_checks(spark, sf_dir):
                F.col("effective_from") + F.expr("INTERVAL 45 DAYS")).otherwise(F.col("effective_from")))
     repaired = scd.scd2_repair_start(late)
     return scd.scd2_repair_checks(repaired, late, w.stg_orders)
+
+
+# ============================================= landing, swaps, whole refresh
+@query()
+def csv_landing_roundtrip(spark, sf_dir):
+    """SNK1, SRC4/SRC5: the raw orders land as headered CSV files, are read with
+    their declared types and staged; a row that does not fit is told apart."""
+    from pyspark.sql.types import StructType
+    from starloom.operators.staging import ORDERS, stage
+    from starloom.sinks.publish import write_csv
+    from starloom.sources.readers import CORRUPT, read_csv
+    path = _scratch(spark, "landing") + "/orders"
+    raw = adapters.raw_orders(_wh(spark, sf_dir).t)
+    write_csv(raw, path)
+    landed = read_csv(spark, path, StructType([raw.schema[c] for c in raw.columns]))
+    return stage(landed.filter(F.col(CORRUPT).isNull()), ORDERS)
+
+
+@query()
+def parquet_glob_snapshot(spark, sf_dir):
+    """SNK2/SRC7: orders written by year and read back through a glob over the
+    years' folders."""
+    from starloom.sinks.publish import write_parquet
+    from starloom.sources.readers import read_parquet
+    path = _scratch(spark, "years") + "/orders"
+    raw = adapters.raw_orders(_wh(spark, sf_dir).t)
+    write_parquet(raw.withColumn("year", F.year("order_date")), path, partition_by=["year"])
+    return read_parquet(spark, f"{path}/year=*", raw.columns)
+
+
+@query()
+def publish_swap_report(spark, sf_dir):
+    """SNK6/SNK7/SNK10: a dry run, a first publish and a destructive swap of the
+    staged orders, with the rows each reports from its own job."""
+    from starloom.sinks import publish as pub
+    orders = _wh(spark, sf_dir).stg_orders
+    path = _scratch(spark, "swap") + "/orders"
+    done = [("dry_run", pub.publish(orders, path, dry_run=True)), ("first", pub.publish(orders, path)),
+            ("swap", pub.publish(orders, path, keep_backup=False))]
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("stored").alias("step"), F.col("n").cast("long").alias("n_rows"), F.lit(len(pub.backups(spark, path))).cast("long").alias("n_backups"))
+    steps = spark.createDataFrame([(step, r.rows, int(r.backup is not None)) for step, r in done],
+                                  "step string, n_rows long, n_backups long")
+    return steps.unionByName(stored)
+
+
+@query()
+def dq_expected_count(spark, sf_dir):
+    """DQ9: row counts against a parameter; the second misses its number by all
+    rows."""
+    w = _wh(spark, sf_dir)
+    expected = w.t.orders.count()
+    return dq.union_all([dq.expected_count(w.stg_orders, "stg_orders", expected),
+                         dq.expected_count(w.stg_payments, "stg_payments", 0)])
+
+
+@query()
+def full_refresh_second_run(spark, sf_dir):
+    """OP23: the whole refresh twice into one place; rows of every table after
+    the second run, which merged into the stored dimensions, and the rejected
+    rows."""
+    import os
+    from starloom.plans.warehouse import full_refresh
+    root = _scratch(spark, "refresh")
+    full_refresh(spark, sf_dir, root)
+    names = [n for n in full_refresh(spark, sf_dir, root) if n != "failed_checks" and not n.startswith("quality/")]
+    counts = [spark.read.parquet(os.path.join(root, n)).agg(F.count(F.lit(1)).cast("long").alias("n_rows")).select(
+        F.lit(n).alias("table_name"), "n_rows") for n in names]
+    return dq.union_all(counts)

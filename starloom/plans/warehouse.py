@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators import dims, fact as fact_ops, staging
+from starloom.session import input_bytes, size_partitions
 from starloom.sources import adapters
 from starloom.sources.tables import Tables
 
@@ -215,6 +216,7 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
         return spark.read.schema(df.schema).parquet(path(name)).select(*df.columns)
 
     report: dict = {}
+    size_partitions(spark, input_bytes(spark, sf_dir))
     w = Warehouse(spark, sf_dir, calendar)
     stg = {}
     for n in ("customers", "products", "orders", "order_items", "payments"):

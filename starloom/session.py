@@ -79,6 +79,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return configure(spark)
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``, on any store Spark reads."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
 def size_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
                     min_partitions: int | None = None) -> int:
     """Size ``spark.sql.shuffle.partitions`` so one shuffle partition holds about
