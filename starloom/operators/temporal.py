@@ -120,13 +120,17 @@ def _indexed_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, vali
 
 def version_match_count(facts: DataFrame, versions: DataFrame, fact_id: str, key: str, ts: str,
                         version_key: str, valid_from: str = "effective_from",
-                        valid_to: str = "effective_to") -> DataFrame:
-    """JN5: number of versions matching each fact (0, 1 or many): left
-    point-in-time join then ``count(version_key)`` per fact id."""
-    joined = point_in_time_join(facts.select(fact_id, key, ts),
-                                versions.select(key, version_key, valid_from, valid_to),
-                                key, ts, how="left", valid_from=valid_from, valid_to=valid_to)
-    return joined.groupBy(fact_id).agg(F.count(version_key).cast("long").alias("match_count"))
+                        valid_to: str = "effective_to", many: int | None = None) -> DataFrame:
+    """JN5: number of versions matching each fact (0, 1 or many): a left
+    point-in-time join, then ``count(version_key)`` per fact id. With ``many``,
+    matches are counted through the interval index and facts without one added."""
+    f, v = facts.select(fact_id, key, ts), versions.select(key, version_key, valid_from, valid_to)
+    if many is None:
+        joined = point_in_time_join(f, v, key, ts, how="left", valid_from=valid_from, valid_to=valid_to)
+        return joined.groupBy(fact_id).agg(F.count(version_key).cast("long").alias("match_count"))
+    found = point_in_time_join(f, v, key, ts, "inner", valid_from, valid_to, many).select(fact_id, version_key)
+    none = facts.select(fact_id, F.lit(None).cast(versions.schema[version_key].dataType).alias(version_key))
+    return found.unionByName(none).groupBy(fact_id).agg(F.count(version_key).cast("long").alias("match_count"))
 
 
 def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, how: str = "inner",

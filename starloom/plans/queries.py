@@ -421,7 +421,8 @@ def point_in_time_join(spark, sf_dir):
 @query()
 def version_match_count(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return _vmc(w.stg_orders, dim_customer_moved(w), "order_id", "customer_id", "order_date", "customer_key")
+    return _vmc(w.stg_orders, dim_customer_moved(w), "order_id", "customer_id", "order_date", "customer_key",
+                many=MANY_VERSIONS)
 
 
 @query()

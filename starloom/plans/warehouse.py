@@ -209,8 +209,8 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
     def path(name: str) -> str:
         return os.path.join(out_root, name)
 
-    def put(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        report[name] = publish(df, path(name), partition_by=partition_by).rows
+    def put(name: str, df: DataFrame, partition_by: list[str] | None = None, verify=None) -> DataFrame:
+        report[name] = publish(df, path(name), verify, partition_by=partition_by, post_verify=False).rows
         # read back with the written schema: partition values (e.g. a boolean)
         # are not type-inferred from directory names
         return spark.read.schema(df.schema).parquet(path(name)).select(*df.columns)
@@ -232,7 +232,10 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
         dim_customer = dims.dim_customer_initial(stg["customers"])
     # history is append-only and a merge reads only current rows: split the
     # customer dimension by is_current so that read is partition-pruned
-    dim_customer = put("warehouse/dim_customer", dim_customer, ["is_current"])
+    # the candidate is checked as it is stored, before it takes the table's place
+    dim_customer = put("warehouse/dim_customer", dim_customer, ["is_current"], verify=lambda df: scd.scd2_integrity(
+        df.withColumn("is_current", F.col("is_current").cast("boolean"))).agg(F.sum("violations")).first()[0])
+
     def keyed_dim(name: str, build, key: str, version_key: str) -> DataFrame:
         fresh = build(stg[name.split("_", 1)[1] + "s"])
         target = path(f"warehouse/{name}")

@@ -129,6 +129,8 @@ def test_point_in_time_join_with_a_key_hot_on_both_sides(spark):
     f = spark.createDataFrame(facts, "id long, k long, ts timestamp_ntz")
     got, want = (sorted((r.id, r.n) for r in temporal.point_in_time_join(f, v, "k", "ts", many=m).collect()) for m in (100, None))
     assert got == want and len(got) > 2000
+    counts = [sorted(map(tuple, temporal.version_match_count(f, v, "id", "k", "ts", "n", many=m).collect())) for m in (100, None)]
+    assert counts[0] == counts[1] and len(counts[0]) == 3000 and {0, 1, 2} <= {n for _, n in counts[0]}
     index = temporal.interval_index(v.filter("k = 0"))
     pairs = f.filter("k = 0").withColumn("s", temporal._seconds(F.col("ts"))).join(
         index, F.expr("shiftright(s, 3 * _sl_level) = _sl_cell"))
