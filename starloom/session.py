@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, removed when the
+    session's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/starloom-{name}-{uuid.uuid4().hex[:10]}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "starloom") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

@@ -16,13 +16,10 @@ State lives under the cluster's ``spark.checkpoint.dir`` (shared storage).
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from starloom.session import ensure_checkpoint_dir
+from starloom.session import scratch_dir
 from starloom.sinks.dimension_log import DimensionLog
 
 
@@ -32,8 +29,9 @@ def run_change_stream(spark: SparkSession, source: str, schema: StructType, key:
                       max_files_per_trigger: int | None = None, late: str = "merge",
                       compact_every: int | None = None) -> DimensionLog:
     """Run the stream to completion (availableNow) and return the stored
-    dimension. ``compact_every``: batches between compactions."""
-    root = root or os.path.join(ensure_checkpoint_dir(spark), f"starloom-stream-{uuid.uuid4().hex[:10]}")
+    dimension. ``root``: where it is kept (none: a folder that goes with the
+    session). ``compact_every``: batches between compactions."""
+    root = root or scratch_dir(spark, "stream")
     log = DimensionLog(spark, root, schema, key, ts, tiebreak, tracked, version_key)
     reader = spark.readStream.schema(schema)
     if base_path:
