@@ -6,15 +6,13 @@ Parquet below the shared checkpoint folder before the next one reads it.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm import jaccard, langid, linededup, mixing, packing
 from starloom.llm.queries import tokenizer_path
 from starloom.llm.ship import ready
 from starloom.llm.textops import packed, unpacked
-from starloom.session import ensure_checkpoint_dir
+from starloom.session import scratch_dir
 from starloom.sinks.publish import delete
 from starloom.sources.tables import table_path
 
@@ -81,7 +79,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again; what a stage
     has read is removed once its own rows are written."""
     ready(spark)
-    root = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    root = scratch_dir(spark, "pipeline")
     docs, before = spark.read.parquet(table_path(sf_dir, "documents")), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
