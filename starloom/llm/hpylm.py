@@ -60,7 +60,7 @@ BURN = 2  # sweeps before the first sample
 EXACT = 64  # customers of a dish whose tables are drawn from the full posterior
 GROUP = 8  # beyond, a group is 1/GROUP of those seated before
 COMMON = 4096
-TOKENS_PER_BUCKET = 3_000_000
+TOKENS_PER_BUCKET = 4_000_000
 MAX_DOCS = 30_000  # documents of a slice (their number takes 15 bits)
 
 
@@ -82,7 +82,8 @@ def _tokens(column: pa.Array):
 
 
 def _slices(batches):
-    for part in slices(batches, "text"):
+    # a slice's distinct words travel once to each bucket, so slices are large
+    for part in slices(batches, "text", 2 << 20):
         for at in range(0, part.num_rows, MAX_DOCS):
             yield part.slice(at, MAX_DOCS)
 
@@ -292,7 +293,9 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
     hot = np.sort(np.array([u for u, n in contexts.items() if 2 * buckets * n >= n_tokens], dtype=np.uint64))
     hot32 = np.unique(mix(hot).astype(np.uint32).astype(np.uint64))
     # tables and counts travel as 64-bit numbers
-    blocks = token_blocks(base, buckets, hot)
+    # as many tasks as buckets, so that a task holds about one at any size
+    tasks = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    blocks = token_blocks(base, buckets, hot).repartition(tasks, "bucket")
 
     def seat(table: pa.Table) -> pa.Table:
         number = table.column("bucket")[0].as_py()
@@ -316,7 +319,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
         release()
         return _table(rows, _ASK_TYPES)
 
-    asked = blocks.groupBy("bucket").applyInArrow(seat, _ASK)
+    asked = blocks.groupBy("bucket").applyInArrow(seat, _ASK).repartition(tasks, "owner")
 
     def root(table: pa.Table) -> pa.Table:
         number = table.column("owner")[0].as_py()
@@ -356,7 +359,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
         release()
         return _table(rows, _TELL_TYPES)
 
-    answers = asked.groupBy("owner").applyInArrow(root, _TELL)
+    answers = asked.groupBy("owner").applyInArrow(root, _TELL).repartition(tasks, "bucket")
 
     def final(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
