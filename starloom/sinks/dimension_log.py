@@ -68,8 +68,9 @@ class DimensionLog:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def rows(self, last: Row | None = None) -> DataFrame:
-        """All committed log rows, each as its last batch left it."""
+    def rows(self, last: Row | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """The committed log rows (of ``keys``, else all), each as its last batch
+        left it. Rows of other keys are left out before anything is merged."""
         last = last or self.last()
         if last is None:
             return self.spark.createDataFrame([], self.stored)
@@ -77,7 +78,11 @@ class DimensionLog:
         changed = self._read("data").filter((F.col("batch") > base) & (F.col("batch") <= last.batch))
         every = self._read("base").filter(F.col("batch") == base)
         if last.batch > base:
-            every = latest_per_key(every.unionByName(changed), self.identity, ["batch"])
+            every = every.unionByName(changed)
+        if keys is not None:
+            every = every.join(keys, self.key, "left_semi")
+        if last.batch > base:
+            every = latest_per_key(every, self.identity, ["batch"])
         return every.select(self.stored.names)
 
     def versions(self, last: Row | None = None) -> DataFrame:
@@ -108,7 +113,7 @@ class DimensionLog:
         if number <= done:
             return False
         batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in self.source.fields])
-        rows = self.rows(last)
+        rows = self.rows(last, batch.select(self.key).distinct())
         current = None
         if late == "reject":
             current = rows.filter("is_start AND effective_to IS NULL").select(self.key, F.col(self.ts).alias("effective_from"))
