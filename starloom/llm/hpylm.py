@@ -293,8 +293,8 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
     hot = np.sort(np.array([u for u, n in contexts.items() if 2 * buckets * n >= n_tokens], dtype=np.uint64))
     hot32 = np.unique(mix(hot).astype(np.uint32).astype(np.uint64))
     # tables and counts travel as 64-bit numbers
-    # as many tasks as buckets, so that a task holds about one at any size
-    tasks = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # several times as many tasks as buckets, so that few buckets share a task at any size
+    tasks = max(4 * buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = token_blocks(base, buckets, hot).repartition(tasks, "bucket")
 
     def seat(table: pa.Table) -> pa.Table:
