@@ -25,9 +25,9 @@ the word's count and each sample's share; scoring draws the same tables again
 repeats it too). While the root is not known, tables are drawn under the
 words' frequencies: over all tokens for words that make up 1/``COMMON`` of
 them, over the bucket's tokens for rarer ones. A context with more than
-1/(2*buckets) of the tokens is dealt over all buckets by dish; a bucket takes
+1/(8*buckets) of the tokens (and 1/``COMMON``) is dealt over all buckets by dish; a bucket takes
 its tables for a random share of the context's, and the buckets exchange the
-totals of every sample (a list bounded by 2*buckets contexts). Scores return
+totals of every sample (a list bounded by 8*buckets contexts). Scores return
 as sums per (document, bucket). Sizes of all exchanges follow the input;
 buckets follow the number of tokens.
 
@@ -60,6 +60,7 @@ BURN = 2  # sweeps before the first sample
 EXACT = 64  # customers of a dish whose tables are drawn from the full posterior
 GROUP = 8  # beyond, a group is 1/GROUP of those seated before
 COMMON = 4096
+HOT = 8  # a context with 1/HOT of a bucket's share of the tokens is dealt over all buckets
 TOKENS_PER_BUCKET = 4_000_000
 MAX_DOCS = 30_000  # documents of a slice (their number takes 15 bits)
 
@@ -290,7 +291,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
     base = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), held.alias("held"))
     n_tokens, contexts, common = corpus_counts(base)
     buckets = buckets or max(8, -(-n_tokens // TOKENS_PER_BUCKET))
-    hot = np.sort(np.array([u for u, n in contexts.items() if 2 * buckets * n >= n_tokens], dtype=np.uint64))
+    hot = np.sort(np.array([u for u, n in contexts.items() if HOT * buckets * n >= n_tokens], dtype=np.uint64))
     hot32 = np.unique(mix(hot).astype(np.uint32).astype(np.uint64))
     # tables and counts travel as 64-bit numbers
     # several times as many tasks as buckets, so that few buckets share a task at any size
