@@ -7,10 +7,11 @@ reference); data-quality operators report them instead.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from starloom.functions import money
 from starloom.functions.text import apply_rule
@@ -44,8 +45,10 @@ def latest_of_repeated(df: DataFrame, keys: list[str], recency: list[str]) -> Da
     without a shuffle. Different keys that share a hash are grouped too, and
     kept apart there."""
     mark = F.xxhash64(*keys)
-    repeated = (df.groupBy(mark.alias("_sl_mark")).count().filter("count > 1").select("_sl_mark").checkpoint(eager=True))
-    n = repeated.count()
+    found = Observation(f"repeated-{uuid.uuid4().hex[:8]}")  # counted by the job that stores them
+    repeated = (df.groupBy(mark.alias("_sl_mark")).count().filter("count > 1").select("_sl_mark")
+                .observe(found, F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+    n = found.get["n"]
     if not n:
         return df
     repeated = F.broadcast(repeated) if n <= REPEATED_KEYS_BROADCAST else repeated.hint("shuffle_hash")
