@@ -199,6 +199,15 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
     with ``scd2_merge``. Each
     published table is re-read by the next step, so every step starts from
     stored data (lineage is cut at every table)."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_partitions(spark, input_bytes(spark, sf_dir))
+    try:
+        return _refresh(spark, sf_dir, out_root, calendar, fail_on_error)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tuple[str, str] | None, fail_on_error: bool) -> dict:
     import os
 
     from pyspark.sql import functions as F
@@ -216,7 +225,6 @@ def full_refresh(spark: SparkSession, sf_dir: str, out_root: str, calendar: tupl
         return spark.read.schema(df.schema).parquet(path(name)).select(*df.columns)
 
     report: dict = {}
-    size_partitions(spark, input_bytes(spark, sf_dir))
     w = Warehouse(spark, sf_dir, calendar)
     stg = {}
     for n in ("customers", "products", "orders", "order_items", "payments"):
