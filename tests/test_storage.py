@@ -191,3 +191,16 @@ def test_all_rules_of_a_table_take_one_scan(spark, scratch):
         ("not_null", "id", 1, "FAIL"), ("not_null", "s", 1, "FAIL"), ("accepted_values", "s", 1, "FAIL"),
         ("range", "n_negative", 1, "FAIL"), ("null_dimension_keys", "id,s", 2, "FAIL")]
     assert plan(report).split("Initial Plan")[0].count("FileScan") == 1
+
+
+def test_settings_keep_tasks_small(spark):
+    from starloom.session import configure
+    unset, named = spark.newSession(), spark.newSession()
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m", "spark.sql.files.maxPartitionBytes": "32m"}
+    for key in keys:
+        unset.conf.unset(key)
+        named.conf.set(key, "8m")
+    configure(unset), configure(named)
+    for key, value in keys.items():
+        assert unset.conf.get(key) == value
+        assert named.conf.get(key) == "8m"  # what the cluster names stays
