@@ -25,6 +25,7 @@ from starloom.functions.nulls import any_distinct, typed_null
 from starloom.operators.keys import dense_key, next_key_start
 from starloom.operators.sequence import sliced, with_neighbours
 from starloom.operators.staging import latest_per_key
+from starloom.session import stored
 from starloom.sources.readers import require_columns
 
 
@@ -139,7 +140,7 @@ def scd2_changes(dim: DataFrame, changes: DataFrame, spec: Scd2Spec, mode: str =
     """The two halves of a merge, before keys are assigned:
     (current versions after closing, new versions without version key). The
     outer join is stored, so both halves read one execution of it."""
-    cls = _classify(dim, changes, spec, mode).checkpoint(eager=True)
+    cls = stored(_classify(dim, changes, spec, mode), "classes")
     d = lambda c: F.col(f"_d_{c}")
     chg = _ts(F.col(spec.change_ts))
     current_after = cls.filter(d(spec.version_key).isNotNull()).select(*[
@@ -306,7 +307,7 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, tracked: list[str], tiebrea
     carry = list(carry or [])
     n = num_partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marked = _marked(log.select(key, *order, *tracked, *carry), key, order, tracked, n)
-    starts = marked.filter("_sl_start").drop("_sl_start").checkpoint(eager=True)
+    starts = stored(marked.filter("_sl_start").drop("_sl_start"), "starts")
     ended = _ended(starts, key, order, n)
     return ended.select(
         key, *tracked, F.col(ts).alias("effective_from"), F.col(f"next_{ts}").alias("effective_to"),
@@ -355,7 +356,7 @@ def scd2_merge_rows(state: DataFrame, batch: DataFrame, key: str, ts: str, tiebr
     rows = rows.withColumn("_sl_run", run)
     left = F.min(f"_sl_was.{version_key}").over(Window.partitionBy("_sl_pid", key, "_sl_run"))
     rows = rows.withColumn(version_key, F.when(F.col("_sl_start"), F.coalesce(f"_sl_was.{version_key}", left)))
-    rows = rows.drop("_sl_run").checkpoint(eager=True)
+    rows = stored(rows.drop("_sl_run"), "log")
     tops = rows.groupBy(key).agg(F.max(ts).alias("_sl_top"))
     starts = _ended(rows.filter("_sl_start"), key, order, n).join(tops, key).select(
         key, *order, *tracked, "_sl_was", F.lit(True).alias("is_start"), version_key,

@@ -204,3 +204,20 @@ def test_settings_keep_tasks_small(spark):
     for key, value in keys.items():
         assert unset.conf.get(key) == value
         assert named.conf.get(key) == "8m"  # what the cluster names stays
+
+
+def test_stored_rows_are_computed_once(spark):
+    from starloom.session import stored
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(0, 100, 1, 3).selectExpr("id", "struct(id AS a, cast(NULL AS string) AS b) AS s").mapInArrow(
+        run, "id long, s struct<a:long,b:string>")
+    kept = stored(df)
+    assert seen.value == 100
+    assert sorted(kept.collect()) == sorted((i, (i, None)) for i in range(100))
+    assert kept.schema == df.schema and seen.value == 100
+    assert stored(df.filter("id < 0")).count() == 0
