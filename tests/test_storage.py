@@ -221,3 +221,14 @@ def test_stored_rows_are_computed_once(spark):
     assert sorted(kept.collect()) == sorted((i, (i, None)) for i in range(100))
     assert kept.schema == df.schema and seen.value == 100
     assert stored(df.filter("id < 0")).count() == 0
+
+
+def test_steps_run_at_once_and_keep_their_order():
+    import threading
+    from starloom.plans.warehouse import at_once
+    together = threading.Barrier(3, timeout=20)
+
+    def step(i):
+        together.wait()
+        return i * 10
+    assert at_once(step, [3, 1, 2]) == [30, 10, 20]
