@@ -144,20 +144,28 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return base.mapInArrow(run, extended(base.select("doc_id").schema, fingerprint="string", n_signatures="long"))
 
 
+def representatives(prints: DataFrame) -> DataFrame:
+    """id, n_signatures, sigs: the smallest id of each distinct fingerprint that
+    is not empty, with its set as (signed) integers: half of their text's bytes
+    in every exchange, and cheaper to compare."""
+    @F.pandas_udf("array<int>")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: decode(t).view("<i4"))
+
+    reps = (prints.filter("n_signatures > 0 AND doc_id IS NOT NULL").groupBy("fingerprint", "n_signatures")
+            .agg(F.min("doc_id").alias("id")))
+    return reps.select("id", "n_signatures", hashes("fingerprint").alias("sigs"))
+
+
 def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Pairs of distinct fingerprints with Jaccard of at least ``threshold``:
     a, b (fingerprint of the smaller and larger representative id as a_id,
     b_id) and likeness. ``prints``: rows of ``fingerprints``. Documents with
     equal fingerprints are represented by the smallest id."""
-    decoded = F.unbase64(F.substring_index("fingerprint", ":", -1))
-    reps = (prints.filter("n_signatures > 0 AND doc_id IS NOT NULL").groupBy("fingerprint", "n_signatures")
-            .agg(F.min("doc_id").alias("id")).withColumn("bytes", decoded))
     n = F.col("n_signatures")
-    hashes = F.transform(F.sequence(F.lit(0), (n - 1).cast("int")),
-                         lambda i: F.hex(F.substring(F.col("bytes"), i * 4 + 1, F.lit(4))))
     # size class: sets that may reach the threshold lie in equal or adjacent classes
     width = float(-np.log(threshold))
-    reps = (reps.select("id", n.alias("n"), hashes.alias("sigs"), F.floor(F.log("n_signatures") / width).alias("class"))
+    reps = (representatives(prints).select("id", n.alias("n"), "sigs", F.floor(F.log("n_signatures") / width).alias("class"))
             .checkpoint(eager=True))
     token = reps.select("id", "n", "class", F.explode("sigs").alias("sig"))
     often = token.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")

@@ -175,3 +175,14 @@ def test_pipeline_stages_against_brute_force(spark):
     for r in rows:
         ids = [*plain.encode(r.text or "", add_special_tokens=False).ids, 2]
         assert b"".join(x for _, x in sorted(whole[r.doc_id])) == np.array(ids, "<u4").tobytes()
+
+
+def test_spotsigs_sets_are_integers(spark):
+    from starloom.llm import spotsigs
+    docs = spark.createDataFrame([(3, "the quick brown fox is on the old red mat"), (2, "the quick brown fox is on the old red mat"),
+                                  (5, "a cat was in the small green house by the river"), (7, None)], "doc_id long, text string")
+    prints = spotsigs.fingerprints(docs)
+    got = spotsigs.representatives(prints)
+    assert dict(got.dtypes)["sigs"] == "array<int>"
+    want = {r.doc_id: [int(x) for x in spotsigs.decode(r.fingerprint)] for r in prints.collect() if r.doc_id in (2, 5)}
+    assert {r.id: [x & 0xFFFFFFFF for x in r.sigs] for r in got.collect()} == want
