@@ -294,9 +294,8 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
     hot = np.sort(np.array([u for u, n in contexts.items() if HOT * buckets * n >= n_tokens], dtype=np.uint64))
     hot32 = np.unique(mix(hot).astype(np.uint32).astype(np.uint64))
     # tables and counts travel as 64-bit numbers
-    # several times as many tasks as buckets, so that few buckets share a task at any size
-    tasks = max(4 * buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    blocks = token_blocks(base, buckets, hot).repartition(tasks, "bucket")
+    # one bucket to a task: by hash, several would share one, and its memory
+    blocks = token_blocks(base, buckets, hot).repartitionById(buckets, F.col("bucket"))
 
     def seat(table: pa.Table) -> pa.Table:
         number = table.column("bucket")[0].as_py()
@@ -320,7 +319,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
         release()
         return _table(rows, _ASK_TYPES)
 
-    asked = blocks.groupBy("bucket").applyInArrow(seat, _ASK).repartition(tasks, "owner")
+    asked = blocks.groupBy("bucket").applyInArrow(seat, _ASK).repartitionById(buckets, F.col("owner"))
 
     def root(table: pa.Table) -> pa.Table:
         number = table.column("owner")[0].as_py()
@@ -360,7 +359,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, held: Column, buckets: in
         release()
         return _table(rows, _TELL_TYPES)
 
-    answers = asked.groupBy("owner").applyInArrow(root, _TELL).repartition(tasks, "bucket")
+    answers = asked.groupBy("owner").applyInArrow(root, _TELL).repartitionById(buckets, F.col("bucket"))
 
     def final(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []

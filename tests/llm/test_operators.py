@@ -156,6 +156,16 @@ def test_jaccard_all_links(spark, monkeypatch, block):
     assert all(r.linked_classes == of.get(r.doc_id, 0) for r in jaccard.join_components(df).collect())
 
 
+def test_jaccard_steps_are_few_files(spark):
+    same = prose(40)
+    rows = [(i, same + " " + str(i % 50)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(100)
+    sig, classes, profile, roots = jaccard._joined(df, "doc_id", "text", jaccard.SHINGLE, jaccard.PERCENT)
+    few = max(jaccard.FEW_FILES, 2 * spark.sparkContext.defaultParallelism)
+    for step, n in ((sig, 400), (classes, 50), (profile, 50), (roots, 50)):
+        assert step.count() == n and 0 < len(step.inputFiles()) <= few
+
+
 def test_jaccard_keep_one(docs):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
@@ -540,6 +550,12 @@ def test_hpylm(docs, none):
     assert hpylm.score(none, "doc_id", "text", held, 4).count() == 0
 
 
+def test_hpylm_deals_one_bucket_to_a_task(docs):
+    plan = hpylm.score(docs, "doc_id", "text", F.lit(False), 5)._jdf.queryExecution().executedPlan().toString()
+    for key in ("bucket", "owner"):
+        assert f"direct_shuffle_partition_id({key}" in plan and f"hashpartitioning({key}" not in plan
+
+
 def test_hpylm_tells_words_apart_by_all_bits():
     # equal in the lower 40 bits
     w = np.array([7, 7 | 1 << 45, 7, 9, 7 | 1 << 63, *range(100, 100 + (1 << 16)), 7 | 1 << 45], dtype=np.uint64)
