@@ -2,8 +2,11 @@
 
 import collections
 import math
+import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -186,3 +189,18 @@ def test_spotsigs_sets_are_integers(spark):
     assert dict(got.dtypes)["sigs"] == "array<int>"
     want = {r.doc_id: [int(x) for x in spotsigs.decode(r.fingerprint)] for r in prints.collect() if r.doc_id in (2, 5)}
     assert {r.id: [x & 0xFFFFFFFF for x in r.sigs] for r in got.collect()} == want
+
+
+def test_long_rows_are_written_in_small_groups(spark, tmp_path):
+    ready(spark)
+
+    def run(batches):
+        for b in batches:
+            for _ in range(b.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array([os.urandom(100_000)])], names=["ids"])
+
+    spark.range(0, 500, 1, 1).mapInArrow(run, "ids binary").write.parquet(str(tmp_path / "long"))
+    (file,) = (tmp_path / "long").glob("*.parquet")
+    held = pq.ParquetFile(file).metadata
+    assert held.num_rows == 500 and held.num_row_groups > 1
+    assert max(held.row_group(i).total_byte_size for i in range(held.num_row_groups)) < 32 << 20
