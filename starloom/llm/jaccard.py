@@ -41,6 +41,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.session import stored
+
 from .textops import Words, mix, packed, release, slices, unpacked
 
 SHINGLE = 5
@@ -49,6 +51,7 @@ BLOCK = 512  # classes of a block
 TOKENS_PER_BUCKET = 2_000_000
 ORDERS = 3
 BROADCAST_ROWS = 1_000_000  # ids; 8 MB
+FEW_FILES = 32  # of a small step, or two for each core
 
 _U = np.uint64
 
@@ -68,6 +71,12 @@ def _sets(column: pa.Array, k: int):
     return tokens, ptr, n, key
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """``df``, behind a shuffle, in few files: where permissions are set by a
+    process of their own, every file costs its writer one."""
+    return df.coalesce(max(FEW_FILES, 2 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE) -> DataFrame:
     """doc_id, n (set size), c (class key, null for the empty set)."""
     def run(batches):
@@ -372,7 +381,8 @@ def _unfinished(edges: DataFrame) -> int:
 def components(links: DataFrame) -> DataFrame:
     """c, root (smallest c of the component) of every node with a link."""
     edges = (links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-             .distinct().checkpoint(eager=True))
+             .distinct())
+    edges = stored(_few(edges), "edges")
     # a step moves every node to a smaller neighbour, so the steps end with
     # stars, which need no further step to tell
     while _unfinished(edges):
@@ -386,7 +396,7 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.inline(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))))
-        edges = small.filter("a <> b").distinct().checkpoint(eager=True)
+        edges = stored(_few(small.filter("a <> b").distinct()), "edges")
     return edges.select(F.col("a").alias("c"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("c"), F.col("b").alias("root")).distinct())
 
@@ -398,7 +408,7 @@ def _with_root(df: DataFrame, roots: DataFrame) -> DataFrame:
 def compare_blocks(profile: DataFrame, roots: DataFrame, buckets: int, percent: int) -> DataFrame:
     """Links between classes of different components that share a prefix
     shingle: block against block."""
-    own = split_postings(profile, roots, buckets).checkpoint(eager=True)
+    own = stored(split_postings(profile, roots, buckets), "postings")
     # a class lies with the smallest hub it met; large components apart
     place = own.groupBy("c", "root").agg(F.min("hub").alias("hub"))
     size = place.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("members"))
@@ -411,13 +421,13 @@ def compare_blocks(profile: DataFrame, roots: DataFrame, buckets: int, percent:
     part = F.pmod(F.xxhash64(F.when(F.col("one"), F.col("c")).otherwise(F.col("root"))),
                   F.ceil(F.col("total") / BLOCK))
     place = place.select("c", "root", F.xxhash64("hub", F.coalesce("family", F.lit(0)), F.col("one"), part).alias("block"))
-    place = place.checkpoint(eager=True)
+    place = stored(place, "places")
     # blocks that share a shingle and are not of one component there
     met = (own.select("t", "c").join(place, "c").groupBy("t", "block")
            .agg(F.min("root").alias("lo"), F.max("root").alias("hi")))
     other = met.select("t", *[F.col(x).alias(f"{x}2") for x in ("block", "lo", "hi")])
-    cells = (met.join(other, "t").filter("block <= block2 AND NOT (lo = hi AND lo2 = hi2 AND lo = lo2)")
-             .select("block", "block2").distinct().checkpoint(eager=True))
+    cells = stored(met.join(other, "t").filter("block <= block2 AND NOT (lo = hi AND lo2 = hi2 AND lo = lo2)")
+                   .select("block", "block2").distinct(), "cells")
     left = cells.join(place, "block").select("block", "block2", "c", "root", F.lit(0).alias("side"))
     right = (cells.filter("block <> block2").join(place.withColumnRenamed("block", "own"), F.col("block2") == F.col("own"))
              .select("block", "block2", "c", "root", F.lit(1).alias("side")))
@@ -505,23 +515,24 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, k: int,
             percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Documents' sets, classes, profiles, and c, root of the classes with links."""
     spark = docs.sparkSession
-    sig = shingle_sets(docs, id_col, text_col, k).checkpoint(eager=True)
-    classes = (sig.filter("n > 0").groupBy("c", "n").agg(F.min("doc_id").alias("rep")).checkpoint(eager=True))
+    # a step is computed once (an eager checkpoint runs twice)
+    sig = stored(_few(shingle_sets(docs, id_col, text_col, k).hint("rebalance")), "sets")
+    classes = stored(sig.filter("n > 0").groupBy("c", "n").agg(F.min("doc_id").alias("rep")), "classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TOKENS_PER_BUCKET))
     shared = shared_counts(docs, buckets, k, text_col)
-    able = (classes.filter("rep IS NOT NULL").join(shared, "c")
-            .filter(F.col("shared") * 100 >= F.col("n") * percent).select("c", "n", "rep").checkpoint(eager=True))
+    able = stored(classes.filter("rep IS NOT NULL").join(shared, "c")
+                  .filter(F.col("shared") * 100 >= F.col("n") * percent).select("c", "n", "rep"), "able")
     reps = able.select("rep", "c")
     n_able = able.count()
     reps = F.broadcast(reps) if n_able <= BROADCAST_ROWS else reps.hint("merge")
     base = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    profile = profiles(base.join(reps, "rep"), buckets, k, percent).checkpoint(eager=True)
-    links = verify_pairs(hub_pairs(profile, buckets, percent), profile, percent).checkpoint(eager=True)
-    roots = components(links).checkpoint(eager=True)
-    more = compare_blocks(profile, roots, buckets, percent).checkpoint(eager=True)
+    profile = stored(_few(profiles(base.join(reps, "rep"), buckets, k, percent).hint("rebalance", "slice")), "profiles")
+    links = stored(verify_pairs(hub_pairs(profile, buckets, percent), profile, percent), "links")
+    roots = stored(_few(components(links)), "roots")
+    more = stored(compare_blocks(profile, roots, buckets, percent), "links")
     star = roots.filter("c <> root").select(F.col("c").alias("a"), F.col("root").alias("b"))
-    return sig, classes, profile, components(star.unionByName(more)).checkpoint(eager=True)
+    return sig, classes, profile, stored(_few(components(star.unionByName(more))), "roots")
 
 
 def _named(sig: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -563,13 +574,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     the smallest id stays (of repeated rows one). Documents without words,
     and rows with a null id, stay."""
     sig, classes, _, roots = _joined(docs, id_col, text_col, SHINGLE, PERCENT)
-    found = _named(sig, classes, roots).checkpoint(eager=True)
+    found = stored(_named(sig, classes, roots), "named")
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     n = gone.count()
     gone = F.broadcast(gone) if n <= BROADCAST_ROWS else gone.hint("merge")
     kept = packed(docs, id=F.col(id_col)).join(gone, F.col("id") == F.col("gone"), "left_anti")
-    again = (found.filter("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
-             .select(F.col("doc_id").alias("again")).checkpoint(eager=True))
+    again = stored(found.filter("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count()
+                   .filter("count > 1").select(F.col("doc_id").alias("again")), "again")
     if not again.limit(1).collect():
         return unpacked(kept, docs.columns)
     # repeated rows of one id: one row of each id stays
