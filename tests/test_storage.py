@@ -232,3 +232,122 @@ def test_steps_run_at_once_and_keep_their_order():
         together.wait()
         return i * 10
     assert at_once(step, [3, 1, 2]) == [30, 10, 20]
+
+
+# -------------------------------------------------------- disk of a refresh
+def _shop(spark, path):
+    """Tables of the driver's shape, with repeated and null keys and rows that are rejected."""
+    rnd = random.Random(4)
+
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(2).write.parquet(f"{path}/{name}.parquet")
+    put("region", [(0, "EAST"), (1, "WEST")], "r_regionkey int, r_name string")
+    put("nation", [(i, f"N{i}", i % 2) for i in range(4)], "n_nationkey int, n_name string, n_regionkey int")
+    put("customer", [(i, f"Customer#{i}", (i or 0) % 4, 1.5, "CITY") for i in [*range(40), None, None, 7]],
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    put("part", [(i, f"p{i}", f"b{(i or 0) % 3}", f"t{(i or 0) % 5}", 1, 10.25 + (i or 0)) for i in [*range(30), None]],
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    day = lambda: T(1997, 1, 1) + dt.timedelta(hours=rnd.randrange(9000))
+    put("orders", [(i, rnd.choice([*range(40), None]), rnd.choice("FOP"), 9.5, day(), "LOW") for i in [*range(300), None, None, 5, 6]],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    items = [(rnd.choice([*range(310), None]), rnd.randrange(30), 1, rnd.choice((1, 2, None)), float(rnd.choice((0, 1, 5, 9))), 1.0, 0.05, 0.0,
+              "N", "O", day()) for _ in range(1500)]
+    put("lineitem", items + items[:40], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+
+
+TABLES = [f"{kind}/{n}" for kind in ("staging", "rejected") for n in ("customers", "products", "orders", "order_items", "payments")] + [
+    "warehouse/dim_customer", "warehouse/dim_product", "warehouse/dim_payment", "warehouse/dim_date", "warehouse/fact_orders",
+    *[f"analytics/mart_{n}" for n in ("daily_sales", "product_performance", "customer_performance", "category_performance", "payment_analysis")],
+    *[f"quality/{n}" for n in ("warehouse_checks", "reconciliation", "scd2_integrity")]]
+
+
+def test_a_refresh_in_slices_stores_the_same_tables(spark, scratch, monkeypatch):
+    from starloom.plans import warehouse
+    _shop(spark, f"{scratch}/in")
+    cut = []
+
+    def counted(n, key, *tables, was=warehouse.slices):
+        cut.append(n)
+        return was(n, key, *tables)
+    monkeypatch.setattr(warehouse, "slices", counted)
+    found = {}
+    for n, runs in ((1, 1), (3, 2)):
+        monkeypatch.setattr(warehouse, "SLICE_BYTES", warehouse.input_bytes(spark, f"{scratch}/in") // n + 1)
+        cut.clear()
+        for _ in range(runs):
+            report = warehouse.full_refresh(spark, f"{scratch}/in", f"{scratch}/{n}")
+        assert max(cut) == n
+        rows = {t: sorted(map(str, spark.read.parquet(f"{scratch}/{n}/{t}").collect())) for t in TABLES}
+        assert {t: len(rows[t]) for t in TABLES} == {t: report[t] for t in TABLES}
+        found[n] = report, rows
+    assert found[1] == found[3]
+    assert all(len(pub.backups(spark, f"{scratch}/3/{t}")) == 1 for t in TABLES)
+    assert rows["warehouse/fact_orders"] and rows["rejected/order_items"] and any("FAIL" in r for r in rows["quality/warehouse_checks"])
+
+
+def test_a_refresh_leaves_only_its_tables_on_disk(spark, scratch):
+    import glob
+    import time
+    from starloom.plans.warehouse import full_refresh
+    from starloom.session import SMALL_ON_DISK, ensure_checkpoint_dir
+    _shop(spark, f"{scratch}/in")
+    local = [d.getPath() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def left():
+        shuffled = {f for d in local for f in glob.glob(f"{d}/*/shuffle_*")}
+        return shuffled, set(glob.glob(ensure_checkpoint_dir(spark).removeprefix("file:") + "/starloom-*"))
+    before = left()
+    named = {k: spark.conf.get(k, None) for k in SMALL_ON_DISK}
+    assert full_refresh(spark, f"{scratch}/in", f"{scratch}/out")["warehouse/fact_orders"] > 0
+    until = time.time() + 20  # files are removed beside the next jobs
+    while (left()[0] - before[0]) and time.time() < until:
+        time.sleep(0.2)
+    after = left()
+    assert not after[0] - before[0] and not after[1] - before[1]
+    assert {k: spark.conf.get(k, None) for k in SMALL_ON_DISK} == named
+    assert glob.glob(f"{scratch}/out/staging/orders/*.zstd.parquet")
+
+
+def test_a_table_is_published_slice_by_slice(spark, scratch):
+    path, asked = f"{scratch}/t", []
+
+    def parts(n):
+        for i in range(n):
+            asked.append((i, len(os.listdir(scratch))))
+            yield spark.range(i * 10, i * 10 + i + 1).selectExpr("id", "id % 2 AS k")
+    assert pub.publish(parts(3), path, verify=lambda df: df.count() - 6, partition_by=["k"]).rows == 6
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 10, 11, 20, 21, 22]
+    assert asked == [(0, 0), (1, 1), (2, 1)]  # each when the one before is stored
+    again = pub.publish(parts(2), path, partition_by=["k"])
+    assert again.rows == 3 and len(pub.backups(spark, path)) == 1
+    assert pub.publish(parts(3), path, dry_run=True).rows == 6
+    with pytest.raises(pub.PublishError):
+        pub.publish(parts(3), path, verify=lambda df: df.count())
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_few_steps_run_at_once():
+    import threading
+    import time
+    from starloom.plans.warehouse import at_once
+    lock, now, most = threading.Lock(), [0], []
+
+    def step(i):
+        with lock:
+            now[0] += 1
+            most.append(now[0])
+        time.sleep(0.02)
+        with lock:
+            now[0] -= 1
+        return i
+    assert at_once(step, range(9), 2) == [*range(9)] and max(most) <= 2
+
+
+def test_slices_of_a_check_add_up(spark):
+    fact = spark.createDataFrame([(i % 7, 1, 2, 3, 4) for i in range(20)] + [(None, 1, 2, 3, 4)] * 2 + [(99, 1, 2, 3, 4)],
+                                 "order_id long, product_key long, quantity int, unit_price int, discount int")
+    from starloom.plans.warehouse import slices
+    whole = dq.report_rows(dq.duplicate_fact_groups(fact))
+    assert whole[0].violations == 8
+    assert dq.report_rows([dq.duplicate_fact_groups(f) for f in slices(4, "order_id", fact)]) == whole
